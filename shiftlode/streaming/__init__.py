@@ -1,0 +1,5 @@
+"""Left empty on purpose: every job of this library is a full batch refresh.
+
+The work has no event-time windows, session state or late-data handling, so there
+is nothing here that ``readStream`` would serve.
+"""
