@@ -15,6 +15,15 @@ def as_double(value: Column) -> Column:
     return F.nanvl(value.cast("double"), F.lit(None).cast("double"))
 
 
+def salt_of(salts: int, *names: str) -> Column:
+    """Group number that spreads the rows of a hot key, full copies of a row included.
+
+    The input partition is part of the hash, since copies agree in every column. A task
+    that is run again sees the same partition number, so the salt does not change.
+    """
+    return F.pmod(F.xxhash64(F.spark_partition_id(), *names), F.lit(salts)).cast("int")
+
+
 def below(value: Column, limit) -> Column:
     return F.coalesce(value < limit, F.lit(False))
 

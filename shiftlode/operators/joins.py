@@ -5,6 +5,8 @@ joins spread hot keys over salts."""
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from shiftlode.functions.scalars import salt_of
+
 SALTS = 64
 
 
@@ -24,18 +26,16 @@ def missing_dates(calendar: DataFrame, present: DataFrame) -> DataFrame:
 def orphan_rows(child: DataFrame, parent: DataFrame, key: str, salts: int = SALTS) -> DataFrame:
     """Child rows whose key has no parent row; rows with a NULL key reference nothing.
 
-    Child rows of one key are spread over ``salts`` groups by their other columns, and
-    each distinct parent key is repeated once per salt, so a key with a third of all
-    rows is not checked in one task. A small parent is broadcast and nothing moves.
+    Child rows of one key are spread over ``salts`` groups and each distinct parent key
+    is repeated once per salt, so a key with a third of all rows is not checked in one
+    task. A small parent is broadcast and nothing moves.
     """
-    others = [name for name in child.columns if name != key] or [key]
-    salt = F.pmod(F.xxhash64(*others), F.lit(salts)).cast("int")
     parents = parent.select(key).where(F.col(key).isNotNull()).distinct().withColumn(
         "_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
     )
     return (
         child.where(F.col(key).isNotNull())
-        .withColumn("_salt", salt)
+        .withColumn("_salt", salt_of(salts, *child.columns))
         .join(parents, [key, "_salt"], "left_anti")
         .select(*child.columns)
     )

@@ -1,0 +1,76 @@
+"""The three stages in order: load and transform, validate, forecast."""
+
+import logging
+
+from pyspark.sql import DataFrame, SparkSession
+
+from shiftlode import fixed_values as V
+from shiftlode.operators import aggregates as A
+from shiftlode.plans import daily as D
+from shiftlode.plans.eda import eda_tables
+from shiftlode.plans.forecast import run_forecast, save_results
+from shiftlode.plans.validation import report_document, validation_report
+from shiftlode.sinks.tables import append_quality_log, full_refresh, refresh_tables, with_created_at, write_json
+from shiftlode.sources import dump, files
+
+log = logging.getLogger(__name__)
+
+
+def extract(spark: SparkSession, dump_path: str, sensor_path: str, payload_path: str) -> dict[str, DataFrame]:
+    """The four source tables; weather covers every production day, with defaults."""
+    logs = dump.read_production_logs(spark, dump_path)
+    days = files.calendar(A.date_bounds(logs))
+    weather = files.weather_with_defaults(days, files.read_weather_payloads(spark, payload_path))
+    return {
+        "mines": dump.read_mines(spark, dump_path),
+        "production_logs": logs,
+        "equipment_sensors": files.read_sensor_csv(spark, sensor_path),
+        "weather_data": weather,
+    }
+
+
+def run_etl(spark: SparkSession, sources: dict[str, DataFrame], warehouse: str) -> dict[str, DataFrame]:
+    """Refresh the source tables (parents first), build and store the daily table.
+
+    The stored production records keep their raw values; cleaning happens on the way to
+    the daily table.
+    """
+    warehouse = warehouse.rstrip("/")
+    order = ["mines", "production_logs", "equipment_sensors", "weather_data"]
+    tables = refresh_tables({name: (sources[name], f"{warehouse}/{name}") for name in order})
+    issues = D.cleaning_issues(tables["production_logs"])
+    try:
+        append_quality_log(issues, f"{warehouse}/data_quality_log")
+    except Exception:
+        log.exception("the quality log could not be written")
+    daily = D.daily_metrics(tables["production_logs"], tables["equipment_sensors"], tables["weather_data"])
+    tables["daily_production_metrics"] = full_refresh(
+        with_created_at(daily), f"{warehouse}/daily_production_metrics"
+    )
+    return tables
+
+
+def run_all(
+    spark: SparkSession,
+    sources: dict[str, DataFrame],
+    warehouse: str,
+    since: str = V.REPORT_SINCE,
+    weather_until: str = V.REPORT_WEATHER_UNTIL,
+    grids: dict[str, dict] | None = None,
+    **options,
+) -> dict:
+    """All stages. A failing load stops the run, a failing validation is only reported."""
+    tables = run_etl(spark, sources, warehouse)
+    result = {"tables": tables, "summary": A.run_summary(tables["daily_production_metrics"])}
+    try:
+        checked = {name: tables[name] for name in V.RULES}
+        report = validation_report(checked, since, weather_until)
+        write_json(report_document(report), f"{warehouse.rstrip('/')}/validation_report")
+        result["report"] = report
+    except Exception:
+        log.exception("validation failed, going on")
+    daily = tables["daily_production_metrics"].drop("anomaly_flags", "created_at")
+    result["eda"] = eda_tables(daily)
+    result["forecast"] = run_forecast(daily, grids, **options)
+    save_results(result["forecast"], warehouse)
+    return result
