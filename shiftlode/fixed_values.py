@@ -148,6 +148,23 @@ MODEL_GRIDS = {
 }
 FLOAT_EPSILON = 2.220446049250313e-16
 
+# --- Fixed values: feature columns in order ------------------------------------------
+FEATURE_NAMES = [
+    "average_quality_grade", "equipment_utilization", "fuel_efficiency", "weather_impact_score",
+    "temperature_mean", "precipitation_sum",
+    "total_production_daily_lag_1", "total_production_daily_lag_2",
+    "total_production_daily_lag_3", "total_production_daily_lag_7",
+    "total_production_daily_rolling_mean_3", "total_production_daily_rolling_std_3",
+    "total_production_daily_rolling_mean_7", "total_production_daily_rolling_std_7",
+    "total_production_daily_rolling_mean_14", "total_production_daily_rolling_std_14",
+    "year", "month", "day", "day_of_year", "week_of_year", "day_of_week", "is_weekend",
+    "quality_utilization", "efficiency_weather",
+    "equipment_utilization_squared", "equipment_utilization_log",
+    "average_quality_grade_squared", "average_quality_grade_log",
+    "temp_deviation", "high_precipitation", "time_index",
+]
+SAME_DAY_FEATURES = ["fuel_efficiency", "efficiency_weather"]
+
 # --- Fixed values: column order of the stored daily table --------------------------
 DAILY_COLUMNS = [
     "date", "total_production_daily", "average_quality_grade", "equipment_utilization",

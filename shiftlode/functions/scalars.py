@@ -40,6 +40,11 @@ def clamp_range(value: Column, low: float, high: float) -> Column:
     return F.when(value < low, F.lit(low)).when(value > high, F.lit(high)).otherwise(value)
 
 
+def tokens(text: Column) -> Column:
+    """The parts between commas, without blanks and quotes around them."""
+    return F.transform(F.split(text, ","), lambda part: F.trim(F.btrim(F.trim(part), F.lit("'"))))
+
+
 def fuel_efficiency(fuel: Column, total: Column) -> Column:
     """Mean fuel per ton; 0 on days without output; NULL where fuel is unknown."""
     return F.when(total > 0, fuel / total).otherwise(F.lit(0.0))

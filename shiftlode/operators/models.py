@@ -182,7 +182,7 @@ def tune(
             jobs = list(itertools.product(candidates, parts))
             pool = ThreadPool(min(parallelism, len(jobs)))
             try:
-                results = pool.map(inheritable_thread_target(score), jobs)
+                results = pool.map(inheritable_thread_target(train.sparkSession)(score), jobs)
             finally:
                 pool.close()
             for number, params in enumerate(candidates):

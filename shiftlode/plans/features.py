@@ -70,15 +70,7 @@ def with_high_precipitation(df: DataFrame) -> DataFrame:
 def feature_names(include_current: bool = True) -> list[str]:
     """The feature columns in order. Without the current day, the two columns computed
     from the target of the same day (fuel per ton and its product) are left out."""
-    lags = [f"{V.TARGET}_lag_{k}" for k in V.LAGS]
-    rolling = [f"{V.TARGET}_rolling_{kind}_{n}" for n in V.ROLLING_WINDOWS for kind in ("mean", "std")]
-    names = [
-        *V.BASE_FEATURES, "temperature_mean", "precipitation_sum", *lags, *rolling,
-        *S.date_parts(F.col("date")), *S.interactions(), *S.polynomials(),
-        "temp_deviation", "high_precipitation", "time_index",
-    ]
-    same_day = {"fuel_efficiency", "efficiency_weather"}
-    return names if include_current else [name for name in names if name not in same_day]
+    return [name for name in V.FEATURE_NAMES if include_current or name not in V.SAME_DAY_FEATURES]
 
 
 def feature_table(daily: DataFrame, include_current: bool = True) -> DataFrame:

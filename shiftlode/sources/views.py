@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shiftlode import fixed_values as V
-from shiftlode.functions.scalars import as_double
+from shiftlode.functions.scalars import as_double, fuel_efficiency, weather_impact_score
 
 FIRST_DAY = "2023-12-29"
 
@@ -57,17 +57,25 @@ def equipment_sensors(spark: SparkSession, folder: str, *extra: str) -> DataFram
     )
 
 
-def weather_data(spark: SparkSession, folder: str) -> DataFrame:
-    days = table(spark, folder, "orders").groupBy(_day("o_orderkey", 35).alias("date")).agg(
-        F.sum("o_custkey").alias("customers"),
-        F.sum(F.col("o_orderkey") * F.col("o_custkey")).alias("products"),
+def _day_weather():
+    """Made-up weather of a group of orders. Remainders are taken per row as well, so
+    the sums cannot overflow."""
+    warmth = F.sum(F.col("o_custkey") % 140) % 140
+    rain = F.sum((F.col("o_orderkey") % 13) * (F.col("o_custkey") % 13)) % 13
+    return (
+        (F.lit(20.0) + warmth.cast("double") / 10.0).alias("temperature_mean"),
+        rain.cast("double").alias("precipitation_sum"),
     )
+
+
+def weather_data(spark: SparkSession, folder: str) -> DataFrame:
+    days = table(spark, folder, "orders").groupBy(_day("o_orderkey", 35).alias("date")).agg(*_day_weather())
     return days.select(
         "date",
         F.lit(V.SITE_LATITUDE).alias("latitude"),
         F.lit(V.SITE_LONGITUDE).alias("longitude"),
-        (F.lit(20.0) + (F.col("customers") % 140).cast("double") / 10.0).alias("temperature_mean"),
-        (F.col("products") % 13).cast("double").alias("precipitation_sum"),
+        "temperature_mean",
+        "precipitation_sum",
         F.lit(V.SITE_TIMEZONE).alias("timezone"),
     )
 
@@ -78,3 +86,27 @@ def daily_series(spark: SparkSession, folder: str) -> DataFrame:
         (F.sum("o_totalprice") / 1000.0).alias("total_production_daily"),
         F.avg((F.col("o_custkey") % 11).cast("double")).alias("average_quality_grade"),
     )
+
+
+def long_daily(spark: SparkSession, folder: str) -> DataFrame:
+    """The daily series with all metrics. Fuel is unknown on some days, so rows are
+    dropped from the features and the fills have something to do."""
+    days = table(spark, folder, "orders").groupBy(F.col("o_orderdate").cast("date").alias("date")).agg(
+        (F.sum("o_totalprice") / 1000.0).alias("total_production_daily"),
+        F.avg((F.col("o_custkey") % 11).cast("double")).alias("average_quality_grade"),
+        F.avg(F.when(F.col("o_orderstatus") == "O", 100.0).otherwise(0.0)).alias("equipment_utilization"),
+        F.avg((F.col("o_custkey") % 50).cast("double")).alias("fuel"),
+        F.count("*").alias("orders"),
+        *_day_weather(),
+    )
+    fuel = F.when(F.col("orders") % 10 != 0, F.col("fuel"))
+    return days.select(
+        "date",
+        "total_production_daily",
+        "average_quality_grade",
+        "equipment_utilization",
+        fuel_efficiency(fuel, F.col("total_production_daily")).alias("fuel_efficiency"),
+        weather_impact_score(F.col("temperature_mean"), F.col("precipitation_sum")).alias("weather_impact_score"),
+        "temperature_mean",
+        "precipitation_sum",
+    )
