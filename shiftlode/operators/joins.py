@@ -1,12 +1,14 @@
-"""Joins. Sides are never forced to broadcast by hint: Catalyst does so when their
-measured size is under ``spark.sql.autoBroadcastJoinThreshold``; beyond it the raw-grain
-joins spread hot keys over salts."""
+"""Joins. Day-grain joins are left to Catalyst, which broadcasts a side when its size is
+under ``spark.sql.autoBroadcastJoinThreshold``. Raw-grain joins count the keys first:
+few are broadcast, many are joined over salts that spread hot keys."""
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shiftlode.functions.scalars import salt_of
+from shiftlode.session import settle
 
+BROADCAST_KEYS = 1_000_000
 SALTS = 64
 
 
@@ -23,29 +25,30 @@ def missing_dates(calendar: DataFrame, present: DataFrame) -> DataFrame:
     return calendar.join(present.select("date"), "date", "left_anti")
 
 
-def orphan_rows(child: DataFrame, parent: DataFrame, key: str, salts: int = SALTS) -> DataFrame:
-    """Child rows whose key has no parent row; rows with a NULL key reference nothing.
-
-    Child rows of one key are spread over ``salts`` groups and each distinct parent key
-    is repeated once per salt, so a key with a third of all rows is not checked in one
-    task. A small parent is broadcast and nothing moves.
-    """
-    parents = parent.select(key).where(F.col(key).isNotNull()).distinct().withColumn(
-        "_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
-    )
-    return (
-        child.where(F.col(key).isNotNull())
-        .withColumn("_salt", salt_of(salts, *child.columns))
-        .join(parents, [key, "_salt"], "left_anti")
-        .select(*child.columns)
-    )
-
-
 def orphan_keys(child: DataFrame, parent: DataFrame, key: str) -> DataFrame:
-    """Keys without a parent and how many child rows use them (counted before the join)."""
+    """Keys without a parent and how many child rows use them (counted before the join).
+    A NULL key references nothing."""
     used = child.where(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("orphans"))
     return used.join(parent.select(key), key, "left_anti")
 
 
+def orphan_rows(
+    child: DataFrame, parent: DataFrame, key: str, broadcast_keys: int = BROADCAST_KEYS, salts: int = SALTS
+) -> DataFrame:
+    """Child rows whose key has no parent row.
+
+    The orphan keys are found on counted keys and written once. If they are at most
+    ``broadcast_keys``, every task gets them and the child rows do not move. Otherwise
+    each key is repeated once per salt and the child rows of a key are spread over the
+    salts, so a key with a third of all rows is not handled in one task.
+    """
+    keys = settle(orphan_keys(child, parent, key).select(key), "orphan-keys")
+    if keys.count() <= broadcast_keys:
+        return child.join(F.broadcast(keys), key, "left_semi").select(*child.columns)
+    repeated = keys.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    spread = child.withColumn("_salt", salt_of(salts, *child.columns))
+    return spread.join(repeated, [key, "_salt"], "left_semi").select(*child.columns)
+
+
 def unique_violations(df: DataFrame, keys: list[str]) -> DataFrame:
     return df.groupBy(*keys).agg(F.count("*").alias("rows")).where(F.col("rows") > 1)

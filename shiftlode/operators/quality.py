@@ -129,8 +129,10 @@ def _found(counts: dict[str, str]) -> Column:
     """Map of the non-zero counts: column name -> count."""
     if not counts:
         return F.lit(None).cast("map<string,bigint>")
-    entries = F.array(*[F.struct(F.lit(name), F.col(alias)) for name, alias in counts.items()])
-    return F.map_from_entries(F.filter(entries, lambda entry: entry["col2"] > 0))
+    entries = F.array(
+        *[F.struct(F.lit(name).alias("name"), F.col(alias).alias("count")) for name, alias in counts.items()]
+    )
+    return F.map_from_entries(F.filter(entries, lambda entry: entry["count"] > 0))
 
 
 def table_quality(df: DataFrame, table: str, rules: dict | None = None) -> DataFrame:

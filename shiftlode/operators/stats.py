@@ -205,21 +205,18 @@ def histogram(df: DataFrame, name: str, bins: int) -> DataFrame:
         F.when(single, F.min("value") - 0.5).otherwise(F.min("value")).alias("low"),
         F.when(single, F.max("value") + 0.5).otherwise(F.max("value")).alias("high"),
     )
-    span = values.agg(bounds.alias("span"))
-    edge = span.scalar()
+    edge = values.agg(bounds).scalar()
     position = F.floor((F.col("value") - edge["low"]) * float(bins) / (edge["high"] - edge["low"]))
     counted = values.groupBy(F.least(position, F.lit(bins - 1)).cast("int").alias("bin")).agg(
         F.count("*").alias("count")
     )
-    frame = span.where(F.col("span.low").isNotNull()).select(
-        "span", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin")
-    )
-    width = (F.col("span.high") - F.col("span.low")) / bins
-    return frame.join(counted, "bin", "left").select(
+    width = (edge["high"] - edge["low"]) / bins
+    every_bin = df.sparkSession.range(bins).select(F.col("id").cast("int").alias("bin"))
+    return every_bin.where(edge["low"].isNotNull()).join(counted, "bin", "left").select(
         F.lit(name).alias("column_name"),
         "bin",
-        (F.col("span.low") + width * F.col("bin")).alias("bin_start"),
-        (F.col("span.low") + width * (F.col("bin") + 1)).alias("bin_end"),
+        (edge["low"] + width * F.col("bin")).alias("bin_start"),
+        (edge["low"] + width * (F.col("bin") + 1)).alias("bin_end"),
         F.coalesce("count", F.lit(0)).alias("count"),
     )
 

@@ -133,10 +133,10 @@ def expanding_folds(train: DataFrame, folds: int = V.FOLDS, index: str = "split_
     first = rows - folds * size
     block = F.floor((F.col(index) - first) / size)
     own = F.when(F.col(index) >= first, block).otherwise(F.lit(-1))
-    uses = F.transform(
-        F.sequence(F.greatest(own, F.lit(0)), F.lit(folds - 1).cast("bigint")),
-        lambda fold: F.struct(fold.alias("fold"), F.when(fold == own, "test").otherwise("train").alias("role")),
-    )
-    return train.withColumn("_use", F.explode(uses)).select(
-        *train.columns, F.col("_use.fold").cast("int").alias("fold"), F.col("_use.role").alias("role")
+    fold = F.sequence(F.greatest(own, F.lit(0)).cast("int"), F.lit(folds - 1))
+    return (
+        train.withColumn("_own", own)
+        .withColumn("fold", F.explode(fold))
+        .withColumn("role", F.when(F.col("fold") == F.col("_own"), "test").otherwise("train"))
+        .drop("_own")
     )

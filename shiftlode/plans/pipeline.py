@@ -32,12 +32,14 @@ def extract(spark: SparkSession, dump_path: str, sensor_path: str, payload_path:
 def run_etl(spark: SparkSession, sources: dict[str, DataFrame], warehouse: str) -> dict[str, DataFrame]:
     """Refresh the source tables (parents first), build and store the daily table.
 
-    The stored production records keep their raw values; cleaning happens on the way to
-    the daily table.
+    The stored production records keep their raw values and are partitioned by date;
+    cleaning happens on the way to the daily table.
     """
     warehouse = warehouse.rstrip("/")
     order = ["mines", "production_logs", "equipment_sensors", "weather_data"]
-    tables = refresh_tables({name: (sources[name], f"{warehouse}/{name}") for name in order})
+    tables = refresh_tables(
+        {name: (sources[name], f"{warehouse}/{name}") for name in order}, {"production_logs": ["date"]}
+    )
     issues = D.cleaning_issues(tables["production_logs"])
     try:
         append_quality_log(issues, f"{warehouse}/data_quality_log")

@@ -4,8 +4,7 @@ from pyspark.sql import functions as F
 
 from shiftlode import fixed_values as V
 from shiftlode.operators import aggregates as A
-from shiftlode.operators import quality, stats
-from shiftlode.operators.ordered import with_row_index
+from shiftlode.operators import filters, quality, stats
 from shiftlode.plans import daily as D
 from shiftlode.registry.base import num, nums, query
 from shiftlode.registry.scans import SUMMARY, fixture_daily
@@ -134,9 +133,7 @@ def duplicate_count_rows(spark, folder):
     "production_logs",
 )
 def distinct_dates(spark, folder):
-    from shiftlode.operators.filters import date_range
-
-    return date_range(W.production_logs(spark, folder), "2024-01-05", "2024-01-31").select("date").distinct()
+    return filters.date_range(W.production_logs(spark, folder), "2024-01-05", "2024-01-31").select("date").distinct()
 
 
 def stats_sql(table: str, metrics: list[str]) -> str:
@@ -175,7 +172,7 @@ TREND_CASE = """CASE WHEN n < 5 THEN 'insufficient_data' WHEN relative > 0.1 THE
     "long_daily",
 )
 def trend(spark, folder):
-    return stats.trend(W.long_daily(spark, folder))
+    return stats.trend(W.stored_daily(spark, folder))
 
 
 DESCRIBED = [*V.METRICS, "temperature_mean", "precipitation_sum"]
@@ -222,7 +219,7 @@ def histogram_sql(table: str, name: str, bins: int) -> str:
 
 @query("histogram", histogram_sql("long_daily", V.TARGET, V.TARGET_BINS), "long_daily")
 def histogram(spark, folder):
-    return stats.histogram(W.long_daily(spark, folder), V.TARGET, V.TARGET_BINS)
+    return stats.histogram(W.stored_daily(spark, folder), V.TARGET, V.TARGET_BINS)
 
 
 @query(
@@ -246,7 +243,7 @@ def histogram_raw(spark, folder):
 )
 def monthly_mean(spark, folder):
     """With the month of May left out, so that months without rows appear."""
-    daily = W.long_daily(spark, folder)
+    daily = W.stored_daily(spark, folder)
     return A.monthly_mean(daily.where(F.month("date") != 5))
 
 
@@ -289,7 +286,3 @@ def error_metrics(spark, folder):
 )
 def quality_score(spark, folder):
     return quality.table_quality(W.production_logs(spark, folder), "production_logs").select("quality_score")
-
-
-def indexed_long_daily(spark, folder):
-    return with_row_index(W.long_daily(spark, folder))

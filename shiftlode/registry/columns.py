@@ -58,7 +58,7 @@ def cast_types(spark, folder):
     "daily_series",
 )
 def filter_last_n_days(spark, folder):
-    return filters.last_n_days(W.daily_series(spark, folder))
+    return filters.last_n_days(W.stored_series(spark, folder))
 
 
 @query(
@@ -199,7 +199,7 @@ def polynomial_features(spark, folder):
     "long_daily",
 )
 def temp_deviation(spark, folder):
-    return X.with_temp_deviation(W.long_daily(spark, folder)).select("date", "temp_deviation")
+    return X.with_temp_deviation(W.stored_daily(spark, folder)).select("date", "temp_deviation")
 
 
 @query(
@@ -266,7 +266,7 @@ def array_flags(spark, folder):
     "daily_series",
 )
 def severity(spark, folder):
-    daily = W.daily_series(spark, folder)
+    daily = W.stored_series(spark, folder)
     moments = daily.agg(F.struct(F.avg(V.TARGET).alias("mean"), F.stddev_samp(V.TARGET).alias("std"))).scalar()
     return daily.select("date", S.severity(F.col(V.TARGET), moments["mean"], moments["std"]).alias("severity"))
 

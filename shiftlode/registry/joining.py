@@ -9,7 +9,6 @@ from shiftlode.operators import quality, stats
 from shiftlode.plans import daily as D
 from shiftlode.registry.aggregation import stats_sql
 from shiftlode.registry.base import ints, nums, query
-from shiftlode.session import settle
 from shiftlode.sources import files
 from shiftlode.sources import views as W
 
@@ -58,7 +57,7 @@ def outliers_sql(table: str) -> str:
     "long_daily",
 )
 def iqr_outliers(spark, folder):
-    return stats.iqr_outliers(settle(W.long_daily(spark, folder), "long-daily"))
+    return stats.iqr_outliers(W.stored_daily(spark, folder))
 
 
 @query(

@@ -8,9 +8,10 @@ from shiftlode.operators import models as M
 from shiftlode.operators import stats
 from shiftlode.plans import forecast as P
 from shiftlode.registry.base import num, query
-from shiftlode.registry.ordering import CURRENT, stored_daily
+from shiftlode.registry.ordering import CURRENT
 from shiftlode.registry.reports import FEATURES, features_sql
 from shiftlode.session import new_path
+from shiftlode.sources import views as W
 
 SPLIT_FEATURES = f"""WITH f AS ({features_sql(CURRENT, FEATURES)}),
     i AS (SELECT *, ROW_NUMBER() OVER (ORDER BY date) - 1 AS split_index, COUNT(*) OVER () AS n FROM f),
@@ -19,7 +20,7 @@ STANDARDIZED = ["average_quality_grade", "equipment_utilization", "temperature_m
 
 
 def table(spark, folder):
-    return P.modelling_table(stored_daily(spark, folder))
+    return P.modelling_table(W.stored_daily(spark, folder))
 
 
 def train_of(rows):
@@ -31,13 +32,13 @@ def train_of(rows):
     f"""{SPLIT_FEATURES},
         m AS (SELECT {', '.join(f'AVG({n}) AS m_{n}, STDDEV_POP({n}) AS d_{n}' for n in STANDARDIZED)}
               FROM s WHERE split = 'train')
-        SELECT date, split, {', '.join(num(f'ROUND(({n} - m_{n}) / d_{n}, 4)', n) for n in STANDARDIZED)} FROM s, m""",
+        SELECT date, split, {', '.join(num(f'({n} - m_{n}) / d_{n}', n) for n in STANDARDIZED)} FROM s, m""",
     "long_daily",
 )
 def standardize(spark, folder):
     rows = table(spark, folder)
     scaled = M.standardize(train_of(rows), rows, STANDARDIZED)
-    return scaled.select("date", "split", *[F.round(name, 4).alias(name) for name in STANDARDIZED])
+    return scaled.select("date", "split", *STANDARDIZED)
 
 
 @query(
@@ -121,5 +122,5 @@ def run_forecast(spark, folder):
         "Random_Forest": {"n_estimators": [20], "max_depth": [5]},
         "Gradient_Boosting": {"n_estimators": [10], "max_depth": [3]},
     }
-    forecast = P.run_forecast(stored_daily(spark, folder), grids, include_current=False)
+    forecast = P.run_forecast(W.stored_daily(spark, folder), grids, include_current=False)
     return P.summary(forecast)["leaderboard"]

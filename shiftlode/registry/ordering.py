@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from shiftlode import fixed_values as V
 from shiftlode.operators import filters, models, quality, stats
-from shiftlode.operators.ordered import forward_fill, with_row_index
+from shiftlode.operators.ordered import forward_fill, over_previous_rows, with_row_index
 from shiftlode.plans import features as X
 from shiftlode.registry.aggregation import PREDICTED, line_predictions
 from shiftlode.registry.base import ints, num, nums, query
@@ -15,12 +15,8 @@ from shiftlode.sources import views as W
 T = V.TARGET
 
 
-def stored_daily(spark, folder):
-    return settle(W.long_daily(spark, folder), "long-daily")
-
-
 def indexed_daily(spark, folder):
-    return with_row_index(stored_daily(spark, folder))
+    return with_row_index(W.stored_daily(spark, folder))
 
 
 LAG_NAMES = [f"{T}_lag_{k}" for k in V.LAGS]
@@ -88,8 +84,6 @@ SHIFT_DAYS = """mine_days AS (SELECT mine_id, date, SUM(tons_extracted) AS tons
 )
 def lag_features_per_mine(spark, folder):
     """The same helpers with one series per mine."""
-    from shiftlode.operators.ordered import over_previous_rows
-
     days = settle(
         W.production_logs(spark, folder).groupBy("mine_id", "date").agg(F.sum("tons_extracted").alias("tons")),
         "mine-days",
@@ -111,7 +105,7 @@ def lag_features_per_mine(spark, folder):
     "long_daily",
 )
 def forward_fill_query(spark, folder):
-    daily = stored_daily(spark, folder).select("date", "fuel_efficiency")
+    daily = W.stored_daily(spark, folder).select("date", "fuel_efficiency")
     return forward_fill(daily, {"fuel_efficiency": V.DEFAULT_FUEL})
 
 
@@ -141,7 +135,7 @@ SPLIT_SQL = """n AS (SELECT COUNT(*) AS n FROM long_daily),
 
 @query("time_split", f"WITH {SPLIT_SQL} SELECT date, split_index, split FROM s", "long_daily")
 def time_split(spark, folder):
-    return X.time_split(stored_daily(spark, folder)).select("date", "split_index", "split")
+    return X.time_split(W.stored_daily(spark, folder)).select("date", "split_index", "split")
 
 
 @query(
@@ -155,7 +149,7 @@ def time_split(spark, folder):
     "long_daily",
 )
 def expanding_folds(spark, folder):
-    split = settle(X.time_split(stored_daily(spark, folder)), "split")
+    split = settle(X.time_split(W.stored_daily(spark, folder)), "split")
     return X.expanding_folds(split.where(F.col("split") == "train")).select("date", "fold", "role")
 
 

@@ -12,7 +12,7 @@ from shiftlode.registry.aggregation import TREND_CASE, TREND_SQL, histogram_sql
 from shiftlode.registry.base import num, nums, query
 from shiftlode.registry.columns import KEY_COLUMNS, LOG_INTS
 from shiftlode.registry.joining import outliers_sql
-from shiftlode.registry.ordering import CURRENT, EARLIER, LAG_SQL, WINDOW, stored_daily
+from shiftlode.registry.ordering import CURRENT, EARLIER, LAG_SQL, WINDOW
 from shiftlode.registry.scans import DAILY, fixture_daily
 from shiftlode.session import settle
 from shiftlode.sources import views as W
@@ -184,7 +184,7 @@ def production_anomalies(spark, folder):
 )
 def production_anomalies_long(spark, folder):
     """The last 1,500 days of the long series, where outliers occur."""
-    return P.production_anomalies(stored_daily(spark, folder), days=1500)["outliers"]
+    return P.production_anomalies(W.stored_daily(spark, folder), days=1500)["outliers"]
 
 
 @query(
@@ -272,13 +272,13 @@ def features_sql(rolling: str, names: list[str]) -> str:
 
 @query("feature_table", features_sql(CURRENT, FEATURES), "long_daily")
 def feature_table(spark, folder):
-    return X.feature_table(stored_daily(spark, folder))
+    return X.feature_table(W.stored_daily(spark, folder))
 
 
 @query("feature_table_before", features_sql(EARLIER, X.feature_names(False)), "long_daily")
 def feature_table_before(spark, folder):
     """Without the target of the same day in any feature."""
-    return X.feature_table(stored_daily(spark, folder), include_current=False)
+    return X.feature_table(W.stored_daily(spark, folder), include_current=False)
 
 
 @query(
@@ -288,7 +288,7 @@ def feature_table_before(spark, folder):
     "long_daily",
 )
 def feature_rows_removed(spark, folder):
-    daily = stored_daily(spark, folder)
+    daily = W.stored_daily(spark, folder)
     return X.removed_rows(daily, X.feature_table(daily))
 
 
@@ -301,7 +301,7 @@ def feature_rows_removed(spark, folder):
     "long_daily",
 )
 def eda_feature_pairs(spark, folder):
-    return eda.eda_tables(W.long_daily(spark, folder))["feature_pairs"]
+    return eda.feature_pairs(W.long_daily(spark, folder))
 
 
 @query(
@@ -310,9 +310,9 @@ def eda_feature_pairs(spark, folder):
     "long_daily",
 )
 def eda_feature_histograms(spark, folder):
-    return eda.eda_tables(stored_daily(spark, folder))["feature_histograms"]
+    return eda.feature_histograms(W.stored_daily(spark, folder))
 
 
 @query("eda_series", f"SELECT date, {nums('total_production_daily')} FROM long_daily", "long_daily")
 def eda_series(spark, folder):
-    return eda.eda_tables(W.long_daily(spark, folder))["series"]
+    return eda.series(W.long_daily(spark, folder))

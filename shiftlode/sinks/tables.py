@@ -1,5 +1,6 @@
 """Writing tables, the quality log, reports and generated columns."""
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -13,18 +14,38 @@ def full_refresh(
 ) -> DataFrame:
     """Replace the whole table at ``path`` and return it as stored.
 
-    The result is complete in the shared folder before the old table is replaced, so a
-    failing calculation leaves the old table as it was, and a plan that reads the old
-    table may write the new one.
+    The new table is written beside the old one, once, and takes its place when it is
+    complete: a failing calculation leaves the old table as it was, and a plan that reads
+    the old table may write the new one. Partitioned tables are rebalanced first, which
+    gives few files per partition and splits a partition that is much larger than others.
     """
-    staged = settle(df, "refresh")
-    staged.write.mode("overwrite").format(fmt).partitionBy(*partition_by).save(path)
-    return df.sparkSession.read.format(fmt).schema(staged.schema).load(path)
-
-
-def refresh_tables(tables: dict[str, tuple[DataFrame, str]]) -> dict[str, DataFrame]:
+    spark = df.sparkSession
+    staging = f"{path.rstrip('/')}.new-{uuid.uuid4().hex}"
+    rows = df.hint("rebalance", *partition_by) if partition_by else df
+    rows.write.format(fmt).partitionBy(*partition_by).save(staging)
+    _replace(spark, staging, path.rstrip("/"))
+    return spark.read.format(fmt).schema(df.schema).load(path).select(*df.columns)
+
+
+def _replace(spark: SparkSession, staging: str, path: str) -> None:
+    """Rename ``staging`` to ``path``; what was there before is removed last."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    new, target, old = (hadoop.Path(name) for name in (staging, path, f"{staging}-old"))
+    files = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if files.exists(target) and not files.rename(target, old):
+        raise OSError(f"cannot move the old table away from {path}")
+    if not files.rename(new, target):
+        files.rename(old, target)
+        raise OSError(f"cannot put the new table at {path}")
+    files.delete(old, True)
+
+
+def refresh_tables(
+    tables: dict[str, tuple[DataFrame, str]], partition_by: dict[str, Sequence[str]] | None = None
+) -> dict[str, DataFrame]:
     """Full refresh of several tables in the given order: parents before children."""
-    return {name: full_refresh(df, path) for name, (df, path) in tables.items()}
+    parts = partition_by or {}
+    return {name: full_refresh(df, path, partition_by=parts.get(name, ())) for name, (df, path) in tables.items()}
 
 
 def append_quality_log(issues: DataFrame, path: str) -> None:
@@ -38,14 +59,17 @@ def write_json(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("ignoreNullFields", "false").json(path)
 
 
-def with_generated_id(df: DataFrame, name: str = "id") -> DataFrame:
+def with_generated_id(df: DataFrame, name: str = "id", gaps: bool = False) -> DataFrame:
     """Add ids 1, 2, 3, ... without gaps and without bringing the rows together.
 
+    Where gaps do no harm, ``gaps=True`` costs nothing but the id itself. Otherwise
     ``monotonically_increasing_id`` holds the partition in its upper bits and the row
     number within the partition in its lower 33 bits. The rows are written with it once,
     so a recomputed partition cannot number them differently; the rows per partition
     then give each partition its offset. The offset table has one row per partition.
     """
+    if gaps:
+        return df.select((F.monotonically_increasing_id() + 1).alias(name), "*")
     row_bits = 33
     stored = settle(df.withColumn("_mid", F.monotonically_increasing_id()), "ids")
     part = F.shiftright("_mid", row_bits)

@@ -47,8 +47,8 @@ def parse_payloads(lines: DataFrame) -> DataFrame:
         F.col("d.time").try_cast("date").alias("date"),
         "latitude",
         "longitude",
-        F.col("d.temperature").alias("temperature_mean"),
-        F.col("d.rain").alias("precipitation_sum"),
+        as_double(F.col("d.temperature")).alias("temperature_mean"),
+        as_double(F.col("d.rain")).alias("precipitation_sum"),
         "timezone",
     ).where(F.col("date").isNotNull())
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from shiftlode import fixed_values as V
 from shiftlode.functions.scalars import as_double, fuel_efficiency, weather_impact_score
+from shiftlode.session import settle
 
 FIRST_DAY = "2023-12-29"
 
@@ -110,3 +111,12 @@ def long_daily(spark: SparkSession, folder: str) -> DataFrame:
         "temperature_mean",
         "precipitation_sum",
     )
+
+
+def stored_daily(spark: SparkSession, folder: str) -> DataFrame:
+    """``long_daily`` written once, for queries that read it several times."""
+    return settle(long_daily(spark, folder), "long-daily")
+
+
+def stored_series(spark: SparkSession, folder: str) -> DataFrame:
+    return settle(daily_series(spark, folder), "daily-series")
