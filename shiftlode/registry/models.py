@@ -13,7 +13,7 @@ from shiftlode.registry.reports import FEATURES, features_sql
 from shiftlode.session import new_path
 from shiftlode.sources import views as W
 
-SPLIT_FEATURES = f"""WITH f AS ({features_sql(CURRENT, FEATURES)}),
+SPLIT_FEATURES = f"""WITH f AS ({features_sql(CURRENT, FEATURES, rounded=False)}),
     i AS (SELECT *, ROW_NUMBER() OVER (ORDER BY date) - 1 AS split_index, COUNT(*) OVER () AS n FROM f),
     s AS (SELECT *, CASE WHEN split_index < FLOOR(n * CAST(0.8 AS DOUBLE)) THEN 'train' ELSE 'test' END AS split FROM i)"""
 STANDARDIZED = ["average_quality_grade", "equipment_utilization", "temperature_mean", "time_index"]

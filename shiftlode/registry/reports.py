@@ -248,10 +248,12 @@ INT_FEATURES = [
 ]
 
 
-def features_sql(rolling: str, names: list[str]) -> str:
+def features_sql(rolling: str, names: list[str], rounded: bool = True) -> str:
     """All features, then the drop of incomplete days."""
+    exact = INT_FEATURES if rounded else [V.TARGET, *names]
     columns = ", ".join(
-        f"CAST({name} AS BIGINT) AS {name}" if name in INT_FEATURES else num(name, name) for name in names
+        (f"CAST({name} AS BIGINT) AS {name}" if name in INT_FEATURES else name) if name in exact else num(name, name)
+        for name in [V.TARGET, *names]
     )
     complete = " AND ".join(f"{name} IS NOT NULL" for name in ["total_production_daily", *names])
     return f"""WITH f AS (SELECT *, {LAG_SQL}, {rolling}, YEAR(date) AS year, MONTH(date) AS month, DAY(date) AS day,
@@ -267,7 +269,7 @@ def features_sql(rolling: str, names: list[str]) -> str:
           CASE WHEN precipitation_sum > 5 THEN 1 ELSE 0 END AS high_precipitation,
           ROW_NUMBER() OVER w - 1 AS time_index
         FROM long_daily {WINDOW})
-        SELECT date, {nums('total_production_daily')}, {columns} FROM f WHERE {complete}"""
+        SELECT date, {columns} FROM f WHERE {complete}"""
 
 
 @query("feature_table", features_sql(CURRENT, FEATURES), "long_daily")
