@@ -26,6 +26,7 @@ log = logging.getLogger(__name__)
 
 SCALED_MODELS = {"Linear_Regression", "Ridge_Regression"}
 DEEPEST_TREE = 30
+LEAST_SQUARES_ALPHA = 1e-8
 
 
 @dataclass(frozen=True)
@@ -71,24 +72,34 @@ def feature_stages(names: list[str], scaled: bool) -> list:
     ]
 
 
-def linear_regression() -> LinearRegression:
-    return LinearRegression(labelCol=V.TARGET, regParam=0.0, solver="normal")
-
-
 def ridge_regression(alpha: float, data: TrainingSet, scaler_rows: int | None = None) -> LinearRegression:
     """Least squares plus ``alpha`` times the squared length of the coefficients.
 
     The solver minimises the mean (not the sum) of squares and divides the penalty by the
     std of the label, hence the factor std / rows. ``alpha`` refers to features divided by
-    their population std, the scaler uses the sample std: factor (n - 1) / n.
+    their population std, the scaler uses the sample std: factor (n - 1) / n. A feature
+    that is constant within a fold sends the solver to its iterative branch, so that one
+    gets a tight tolerance.
     """
     n = scaler_rows or data.rows
     reg = alpha * (n - 1) / n * data.label_std / data.rows
     return LinearRegression(
-        labelCol=V.TARGET, regParam=reg, elasticNetParam=0.0, standardization=False, solver="normal"
+        labelCol=V.TARGET,
+        regParam=reg,
+        elasticNetParam=0.0,
+        standardization=False,
+        solver="normal",
+        maxIter=1000,
+        tol=1e-8,
     )
 
 
+def linear_regression(data: TrainingSet) -> LinearRegression:
+    """Least squares. The features are collinear over a single year (position, day of
+    year and year); a vanishing penalty then picks the shortest solution."""
+    return ridge_regression(LEAST_SQUARES_ALPHA, data)
+
+
 def random_forest(n_estimators: int = 100, max_depth: int | None = None, min_samples_leaf: int = 1, **_):
     """Every split may use all features; unlimited depth means the deepest Spark allows."""
     return RandomForestRegressor(
@@ -116,7 +127,7 @@ def gradient_boosting(
 
 def estimator(model: str, params: dict, data: TrainingSet, scaler_rows: int | None = None) -> Estimator:
     if model == "Linear_Regression":
-        return linear_regression()
+        return linear_regression(data)
     if model == "Ridge_Regression":
         return ridge_regression(params["alpha"], data, scaler_rows)
     if model == "Random_Forest":

@@ -1,0 +1,35 @@
+from shiftlode import fixed_values as V
+from shiftlode.plans.pipeline import extract, run_all
+from shiftlode.registry.scans import typed_logs
+from shiftlode.sources import dump, files
+from shiftlode.sources import views as W
+
+
+def test_all_stages_from_files(spark, folder, tmp_path):
+    """Dump, CSV and payloads in; warehouse, report, panels and models out."""
+    lines = dump.insert_lines(W.mines(spark, folder), "mines").unionByName(
+        dump.insert_lines(typed_logs(spark, folder), "production_logs")
+    )
+    lines.write.text(str(tmp_path / "dump"))
+    sensors = W.equipment_sensors(spark, folder)
+    sensors.withColumn("timestamp", sensors["timestamp"].cast("string")).write.option("header", True).csv(
+        str(tmp_path / "sensors")
+    )
+    files.payload_lines(W.weather_data(spark, folder)).write.text(str(tmp_path / "payloads"))
+
+    sources = extract(spark, *(str(tmp_path / name) for name in ("dump", "sensors", "payloads")))
+    warehouse = str(tmp_path / "warehouse")
+    result = run_all(
+        spark, sources, warehouse, "2024-01-01", "2024-02-06", grids={"Ridge_Regression": {"alpha": [1.0, 10.0]}}
+    )
+    tables = result["tables"]
+    assert tables["production_logs"].count() == 6000
+    assert tables["daily_production_metrics"].count() == 40
+    assert set(tables["daily_production_metrics"].columns) == {*V.DAILY_COLUMNS, "created_at"}
+    assert result["summary"].first()["days"] == 40
+    assert result["report"]["overall"].first()["weather_data_complete"] is True
+    assert spark.read.json(f"{warehouse}/validation_report").count() == 1
+    assert spark.read.parquet(f"{warehouse}/data_quality_log").count() == 1
+    assert result["forecast"].metrics.count() == 2
+    stored = spark.read.parquet(f"{warehouse}/production_logs").where("tons_extracted < 0").count()
+    assert stored > 0  # raw values are kept

@@ -1,0 +1,191 @@
+import datetime as dt
+import math
+
+import numpy as np
+import pandas as pd
+import pytest
+from pyspark.sql import functions as F
+
+from shiftlode import fixed_values as V
+from shiftlode.operators import filters, stats
+from shiftlode.plans import eda
+from shiftlode.plans import validation as P
+
+
+def daily(spark, totals, utilization=None, grades=None):
+    n = len(totals)
+    rows = [
+        (dt.date(2024, 1, 1) + dt.timedelta(days=i), float(totals[i]), float((grades or [5.0] * n)[i]),
+         float((utilization or [80.0] * n)[i]), 0.1 * i, 90.0 + i % 3)
+        for i in range(n)
+    ]
+    return spark.createDataFrame(rows, "date date, " + ", ".join(f"{name} double" for name in V.METRICS))
+
+
+@pytest.fixture(scope="module")
+def random_daily(spark):
+    rng = np.random.default_rng(3)
+    frame = pd.DataFrame({name: rng.normal(50, 10, 200) for name in V.METRICS})
+    frame.insert(0, "date", [dt.date(2024, 1, 1) + dt.timedelta(days=i) for i in range(200)])
+    return frame, spark.createDataFrame(frame)
+
+
+def test_describe_equals_pandas(random_daily):
+    frame, df = random_daily
+    got = stats.describe_table(df).toPandas().set_index("column_name")
+    want = frame[V.METRICS].describe().T
+    for ours, theirs in zip(["count", "mean", "std", "min", "q1", "median", "q3", "max"], want.columns):
+        np.testing.assert_allclose(got.loc[V.METRICS, ours], want[theirs], rtol=1e-12)
+
+
+def test_approximate_quantiles_are_near(random_daily):
+    frame, df = random_daily
+    got = stats.metric_stats(df, approximate=True).toPandas().set_index("metric")
+    for name in V.METRICS:
+        assert abs(got.loc[name, "q1"] - frame[name].quantile(0.25)) < 2.0
+
+
+def test_correlations_equal_pandas(random_daily):
+    frame, df = random_daily
+    got = stats.correlation_matrix(df).toPandas().pivot(index="row_name", columns="column_name", values="correlation")
+    names = [*V.BASE_FEATURES, V.TARGET]
+    np.testing.assert_allclose(got.loc[names, names], frame[names].corr(), rtol=1e-9)
+    ranked = stats.ranked_correlations(df).toPandas()
+    expected = frame[names].corr()[V.TARGET].drop(V.TARGET).sort_values(key=abs, ascending=False)
+    assert ranked["feature"].tolist() == expected.index.tolist()
+
+
+def test_histogram_equals_numpy(random_daily):
+    frame, df = random_daily
+    got = stats.histogram(df, V.TARGET, 30).orderBy("bin").toPandas()
+    counts, edges = np.histogram(frame[V.TARGET], 30)
+    assert got["count"].tolist() == counts.tolist()
+    np.testing.assert_allclose(got["bin_start"], edges[:-1])
+    np.testing.assert_allclose(got["bin_end"], edges[1:])
+
+
+def test_histogram_of_one_value_and_of_nothing(spark):
+    df = spark.createDataFrame([(2.0,), (2.0,), (None,)], "x double")
+    got = stats.histogram(df, "x", 4).orderBy("bin").collect()
+    counts, edges = np.histogram([2.0, 2.0], 4)
+    assert [row["count"] for row in got] == counts.tolist()
+    assert [row["bin_start"] for row in got] == edges[:-1].tolist()
+    assert stats.histogram(df.where("x IS NULL"), "x", 4).count() == 0
+
+
+def test_outliers_and_their_text(spark):
+    df = daily(spark, [10, 11, 12, 13, 14, 15, 16, 17, 18, 500])
+    rows = stats.iqr_outliers(df, [V.TARGET]).collect()
+    values = pd.Series([10, 11, 12, 13, 14, 15, 16, 17, 18, 500.0])
+    q1, q3 = values.quantile(0.25), values.quantile(0.75)
+    low, high = q1 - 1.5 * (q3 - q1), q3 + 1.5 * (q3 - q1)
+    assert [(row["value"], row["expected_range"], row["severity"]) for row in rows] == [
+        (500.0, f"{low:.2f} - {high:.2f}", "medium")
+    ]
+
+
+def test_less_than_a_week_gives_nothing(spark):
+    short = daily(spark, [1, 2, 3, 4, 5, 600])
+    assert stats.metric_stats(short).count() == 0
+    assert stats.iqr_outliers(short).count() == 0
+    assert stats.threshold_alerts(short).first()["alerts"] == []
+
+
+@pytest.mark.parametrize(
+    "totals, expected",
+    [
+        ([1, 2, 3, 4], "insufficient_data"),
+        ([1, 2, 3, 4, 5], "increasing"),
+        ([5, 4, 3, 2, 1], "declining"),
+        ([100, 101, 102, 103, 104], "stable"),
+        ([-2, -1, 0, 1, 2], "stable"),
+    ],
+)
+def test_trend(spark, totals, expected):
+    row = stats.trend(daily(spark, totals)).first()
+    assert row["trend"] == expected
+    if len(totals) >= 5:
+        assert row["slope"] == pytest.approx(np.polyfit(range(len(totals)), totals, 1)[0])
+
+
+def test_all_alerts(spark):
+    totals = [100, 90, 80, 70, 60, 50, 40, 30, 20, -150]
+    df = daily(spark, totals, utilization=[80.0] * 9 + [49.96], grades=[5.0] * 9 + [2.25])
+    assert stats.threshold_alerts(df).first()["alerts"] == [
+        f"Production significantly below average: {-150:.2f} tons",
+        f"Poor coal quality detected: {2.25:.1f}",
+        f"Low equipment utilization: {49.96:.1f}%",
+        "Declining production trend detected over the analysis period",
+    ]
+
+
+def test_error_metrics_by_hand(spark):
+    df = spark.createDataFrame([(1.0, 2.0), (2.0, 2.0), (0.0, 1.0), (5.0, 4.0)], "actual double, prediction double")
+    row = stats.error_metrics(df).first()
+    assert row["mse"] == pytest.approx(0.75)
+    assert row["rmse"] == pytest.approx(math.sqrt(0.75))
+    assert row["mae"] == pytest.approx(0.75)
+    assert row["r2"] == pytest.approx(1 - 3 / 14)
+    assert row["mape"] == pytest.approx(100 * (1 + 0 + 1 / V.FLOAT_EPSILON + 0.2) / 4)
+
+
+def test_last_days_count_back_from_the_newest(spark):
+    df = daily(spark, range(60))
+    assert filters.last_n_days(df, 30).count() == 31
+    assert filters.last_n_days(df, 30, "2024-01-31").agg(F.min("date")).first()[0] == dt.date(2024, 1, 1)
+    assert filters.last_n_days(df, 30, "2030-01-01").count() == 0
+
+
+def test_weather_completeness(spark):
+    weather = spark.createDataFrame([(dt.date(2024, 1, day),) for day in (1, 1, 3, 9)], "date date")
+    row = P.weather_completeness(weather, "2024-01-01", "2024-01-04").first()
+    assert (row["expected_days"], row["actual_days"], row["completeness_percentage"]) == (4, 2, 50.0)
+    assert (row["missing_dates"], row["data_complete"]) == (["2024-01-02", "2024-01-04"], False)
+    assert P.weather_completeness(weather, "2024-01-01", "2024-01-01").first()["data_complete"] is True
+    assert P.weather_completeness(weather.limit(0), "2024-01-01", "2024-01-02").first()["actual_days"] == 0
+
+
+def test_report_sections_and_document(spark, tmp_path):
+    from shiftlode.sinks.tables import write_json
+
+    metrics = daily(spark, [*range(40, 79), 900])
+    tables = {
+        "production_logs": spark.createDataFrame(
+            [(dt.date(2024, 1, 1), 1, "Day", -1.0, 5.0)],
+            "date date, mine_id int, shift string, tons_extracted double, quality_grade double",
+        ),
+        "equipment_sensors": spark.createDataFrame(
+            [(dt.datetime(2024, 1, 1), "E", "active", 1.0, False)],
+            "timestamp timestamp_ntz, equipment_id string, status string, fuel_consumption double,"
+            " maintenance_alert boolean",
+        ),
+        "weather_data": spark.createDataFrame(
+            [(dt.date(2024, 1, 1), 1.0, 1.0, 20.0, 0.0)],
+            "date date, latitude double, longitude double, temperature_mean double, precipitation_sum double",
+        ),
+        "daily_production_metrics": metrics,
+    }
+    report = P.validation_report(tables, "2024-01-01", "2024-01-02")
+    scores = {row["table_name"]: row["quality_score"] for row in report["tables"].collect()}
+    assert scores == {
+        "production_logs": 65.0, "equipment_sensors": 100.0, "weather_data": 100.0, "daily_production_metrics": 100.0,
+    }
+    overall = report["overall"].first()
+    assert (overall["average_quality_score"], overall["data_health"]) == (91.25, "good")
+    assert (overall["critical_issues"], overall["total_anomalies"], overall["weather_data_complete"]) == (1, 1, False)
+    assert overall["recommendations"] == [V.ADVICE_REPORT_WEATHER]
+    path = str(tmp_path / "report")
+    write_json(P.report_document(report), path)
+    document = spark.read.json(path).first()
+    assert len(document["table_validations"]) == 4
+    assert document["anomaly_analysis"]["anomalies_detected"][0]["value"] == 900.0
+    assert document["weather_completeness"]["missing_dates"] == ["2024-01-02"]
+
+
+def test_eda_tables(random_daily):
+    tables = eda.eda_tables(random_daily[1].withColumn("temperature_mean", F.lit(20.0)))
+    assert tables["feature_pairs"].count() == 800
+    assert tables["feature_histograms"].groupBy("column_name").agg(F.sum("count")).distinct().count() == 4
+    assert tables["target_histogram"].count() == 30
+    assert tables["missing_values"].first()[0] == 0
+    assert tables["monthly_mean"].count() == 7
