@@ -10,8 +10,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shiftlode import fixed_values as V
-from shiftlode.functions.scalars import outside, present, salt_of
+from shiftlode.functions.scalars import present, salt_of
 
+ANOMALIES = (
+    "ARRAY<STRUCT<type: STRING, column: STRING, count: BIGINT, expected_range: STRING, allowed_values: ARRAY<STRING>>>"
+)
 NO_RULES = {"ranges": {}, "allowed": {}, "required": [], "keys": [], "date_column": None}
 
 
@@ -19,46 +22,51 @@ def rules_for(table: str, rules: dict | None = None) -> dict:
     return (rules or V.RULES).get(table, NO_RULES)
 
 
-def is_missing(df: DataFrame, name: str) -> Column:
-    """NULL, or NaN in a floating column."""
-    missing = F.col(name).isNull()
-    if isinstance(df.schema[name].dataType, (T.DoubleType, T.FloatType)):
-        missing = missing | F.isnan(name)
-    return missing
+def missing_condition(df: DataFrame, name: str) -> str:
+    """SQL condition for NULL, or NaN in a floating column."""
+    floating = isinstance(df.schema[name].dataType, (T.DoubleType, T.FloatType))
+    return f"`{name}` IS NULL OR isnan(`{name}`)" if floating else f"`{name}` IS NULL"
 
 
-def _count_columns(df: DataFrame, conditions: dict[str, Column], kind: str) -> DataFrame:
-    """One row per condition with its count, from one pass over the table."""
-    if not conditions:
-        return df.sparkSession.createDataFrame([], f"column_name string, {kind} long")
-    counts = df.agg(*[F.count_if(condition).alias(name) for name, condition in conditions.items()])
-    rows = [F.struct(F.lit(name).alias("column_name"), F.col(name).alias(kind)) for name in conditions]
-    return counts.select(F.inline(F.array(*rows)))
+def _missing_conditions(df: DataFrame) -> dict[str, str]:
+    return {name: missing_condition(df, name) for name in df.columns}
 
 
-def null_counts(df: DataFrame) -> DataFrame:
-    """Columns with missing values and how many."""
-    found = _count_columns(df, {name: is_missing(df, name) for name in df.columns}, "null_count")
-    return found.where(F.col("null_count") > 0)
-
-
-def _range_conditions(df: DataFrame, rules: dict) -> dict[str, Column]:
+def _range_conditions(df: DataFrame, rules: dict) -> dict[str, str]:
+    """A missing value is not out of range."""
     return {
-        name: outside(F.col(name), low, high)
+        name: f"`{name}` < {low} OR `{name}` > {high}"
         for name, (low, high) in rules["ranges"].items()
         if name in df.columns
     }
 
 
-def _domain_conditions(df: DataFrame, rules: dict) -> dict[str, Column]:
+def _domain_conditions(df: DataFrame, rules: dict) -> dict[str, str]:
     """A missing value is not one of the allowed values."""
     return {
-        name: ~F.coalesce(F.col(name).isin(values), F.lit(False))
+        name: f"`{name}` IS NULL OR `{name}` NOT IN ({_texts(values)})"
         for name, values in rules["allowed"].items()
         if name in df.columns
     }
 
 
+def _texts(values: Sequence[str]) -> str:
+    return ", ".join("'" + value.replace("'", "\\'") + "'" for value in values)
+
+
+def _count_columns(df: DataFrame, conditions: dict[str, str], kind: str) -> DataFrame:
+    """One row per condition with its count, from one pass over the table."""
+    if not conditions:
+        return df.sparkSession.createDataFrame([], f"column_name string, {kind} long")
+    rows = ", ".join(f"struct('{name}' AS column_name, count_if({test}) AS {kind})" for name, test in conditions.items())
+    return df.agg(F.expr(f"array({rows})").alias("found")).select(F.inline("found"))
+
+
+def null_counts(df: DataFrame) -> DataFrame:
+    """Columns with missing values and how many."""
+    return _count_columns(df, _missing_conditions(df), "null_count").where(F.col("null_count") > 0)
+
+
 def out_of_range_counts(df: DataFrame, table: str, rules: dict | None = None) -> DataFrame:
     return _count_columns(df, _range_conditions(df, rules_for(table, rules)), "out_of_range")
 
@@ -68,7 +76,7 @@ def invalid_value_counts(df: DataFrame, table: str, rules: dict | None = None) -
 
 
 def not_null_violations(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    return _count_columns(df, {name: is_missing(df, name) for name in columns}, "violations")
+    return _count_columns(df, {name: missing_condition(df, name) for name in columns}, "violations")
 
 
 def duplicate_count(df: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
@@ -125,92 +133,67 @@ def recommendations(nulls: Column, out_of_range: Column, duplicates: Column, sco
     )
 
 
-def _found(counts: dict[str, str]) -> Column:
-    """Map of the non-zero counts: column name -> count."""
-    if not counts:
-        return F.lit(None).cast("map<string,bigint>")
-    entries = F.array(
-        *[F.struct(F.lit(name).alias("name"), F.col(alias).alias("count")) for name, alias in counts.items()]
-    )
-    return F.map_from_entries(F.filter(entries, lambda entry: entry["count"] > 0))
+def _nonzero(prefix: str, names: Sequence[str]) -> Column:
+    """Map of column name -> count, without the zero counts."""
+    pairs = ", ".join(f"'{name}', `{prefix}{name}`" for name in names)
+    source = f"map({pairs})" if pairs else "CAST(map() AS MAP<STRING, BIGINT>)"
+    return F.expr(f"map_filter({source}, (name, found) -> found > 0)")
 
 
-def table_quality(df: DataFrame, table: str, rules: dict | None = None) -> DataFrame:
-    """One row with all checks of the table, its score and recommendations."""
-    rule = rules_for(table, rules)
-    ranges, domains = _range_conditions(df, rule), _domain_conditions(df, rule)
-    nulls = {name: f"null_{name}" for name in df.columns}
-    outs = {name: f"range_{name}" for name in ranges}
-    bads = {name: f"domain_{name}" for name in domains}
-    summary = df.agg(
-        F.count("*").alias("records_checked"),
-        *[F.count_if(is_missing(df, name)).alias(alias) for name, alias in nulls.items()],
-        *[F.count_if(ranges[name]).alias(alias) for name, alias in outs.items()],
-        *[F.count_if(domains[name]).alias(alias) for name, alias in bads.items()],
-    )
+def _total(prefix: str, names: Sequence[str]) -> Column:
+    return F.expr(" + ".join(["0L", *[f"`{prefix}{name}`" for name in names]]))
 
-    def total(aliases):
-        return sum((F.col(alias) for alias in aliases), F.lit(0).cast("bigint"))
-
-    def anomaly(kind, name, alias, field, expected):
-        entry = F.struct(
-            F.lit(kind).alias("type"),
-            F.lit(name).alias("column"),
-            F.col(alias).alias("count"),
-            F.lit(expected if field == "range" else None).cast("string").alias("expected_range"),
-            (F.array(*map(F.lit, expected)) if field == "values" else F.lit(None).cast("array<string>")).alias(
-                "allowed_values"
-            ),
-        )
-        return F.when(F.col(alias) > 0, entry)
 
+def _anomalies(rule: dict, ranges: Sequence[str], domains: Sequence[str]) -> Column:
+    """One entry per kind of issue found: first the ranges, then the allowed values."""
     entries = []
-    for name, (low, high) in rule["ranges"].items():
-        if name in outs:
-            entries.append(anomaly("out_of_range", name, outs[name], "range", f"{low}-{high}"))
-    for name, values in rule["allowed"].items():
-        if name in bads:
-            entries.append(anomaly("invalid_values", name, bads[name], "values", values))
-    no_anomalies = F.lit(None).cast(
-        "array<struct<type:string,column:string,count:bigint,expected_range:string,allowed_values:array<string>>>"
+    for name in ranges:
+        low, high = rule["ranges"][name]
+        entries.append(("out_of_range", name, f"range_{name}", f"'{low}-{high}'", "CAST(NULL AS ARRAY<STRING>)"))
+    for name in domains:
+        allowed = f"array({_texts(rule['allowed'][name])})"
+        entries.append(("invalid_values", name, f"domain_{name}", "CAST(NULL AS STRING)", allowed))
+    if not entries:
+        return F.expr(f"CAST(array() AS {ANOMALIES})")
+    items = ", ".join(
+        f"IF(`{count}` > 0, struct('{kind}' AS type, '{name}' AS column, `{count}` AS count,"
+        f" {expected} AS expected_range, {allowed} AS allowed_values), NULL)"
+        for kind, name, count, expected, allowed in entries
     )
-    anomalies = F.array_compact(F.array(*entries)) if entries else no_anomalies
-    duplicates = duplicate_count(df, rule["keys"]).scalar()
+    return F.expr(f"array_compact(array({items}))")
+
 
+def table_quality(df: DataFrame, table: str, rules: dict | None = None) -> DataFrame:
+    """One row with all checks of the table, its score and recommendations."""
+    rule = rules_for(table, rules)
+    groups = {
+        "null_": _missing_conditions(df),
+        "range_": _range_conditions(df, rule),
+        "domain_": _domain_conditions(df, rule),
+    }
+    counts = [
+        F.expr(f"count_if({test}) AS `{prefix}{name}`") for prefix, tests in groups.items() for name, test in tests.items()
+    ]
+    ranges, domains = list(groups["range_"]), list(groups["domain_"])
+    nulls, outs, duplicates = F.col("null_total"), F.col("out_of_range_total"), F.col("duplicate_counts")
     return (
-        summary.withColumns(
-            {
-                "null_total": total(nulls.values()),
-                "out_of_range_total": total(outs.values()),
-                "duplicate_counts": duplicates,
-                "anomalies": anomalies,
-                "null_counts": _found(nulls),
-                "out_of_range_counts": _found(outs),
-            }
-        )
-        .withColumn("anomaly_kinds", F.coalesce(F.size("anomalies"), F.lit(0)) if entries else F.lit(0))
-        .withColumn(
-            "quality_score",
-            quality_score(
-                F.col("null_total"), F.col("out_of_range_total"), F.col("duplicate_counts"),
-                F.col("anomaly_kinds"), F.col("records_checked"),
-            ),
-        )
+        df.agg(F.count("*").alias("records_checked"), *counts)
         .select(
             F.lit(table).alias("table_name"),
             "records_checked",
-            "null_counts",
-            "null_total",
-            "out_of_range_counts",
-            "out_of_range_total",
-            "duplicate_counts",
-            "anomalies",
-            "anomaly_kinds",
+            _nonzero("null_", df.columns).alias("null_counts"),
+            _total("null_", df.columns).alias("null_total"),
+            _nonzero("range_", ranges).alias("out_of_range_counts"),
+            _total("range_", ranges).alias("out_of_range_total"),
+            duplicate_count(df, rule["keys"]).scalar().alias("duplicate_counts"),
+            _anomalies(rule, ranges, domains).alias("anomalies"),
+        )
+        .withColumn("anomaly_kinds", F.size("anomalies"))
+        .withColumn(
             "quality_score",
-            recommendations(
-                F.col("null_total"), F.col("out_of_range_total"), F.col("duplicate_counts"), F.col("quality_score")
-            ).alias("recommendations"),
+            quality_score(nulls, outs, duplicates, F.col("anomaly_kinds"), F.col("records_checked")),
         )
+        .withColumn("recommendations", recommendations(nulls, outs, duplicates, F.col("quality_score")))
     )
 
 

@@ -20,64 +20,44 @@ def numeric_columns(df: DataFrame) -> list[str]:
     return [field.name for field in df.schema if isinstance(field.dataType, T.NumericType)]
 
 
+def _value(name: str) -> str:
+    """SQL for the column as a double with NaN as NULL."""
+    return f"nanvl(CAST(`{name}` AS DOUBLE), CAST(NULL AS DOUBLE))"
+
+
+# Statistics by name; {v} is the value and {q} the quantile function.
+SPREAD = {
+    "mean": "avg({v})",
+    "std": "stddev_samp({v})",
+    "min": "min({v})",
+    "q1": "{q}({v}, 0.25)",
+    "median": "{q}({v}, 0.5)",
+    "q3": "{q}({v}, 0.75)",
+    "max": "max({v})",
+}
+
+
 def _summary(
-    df: DataFrame, names: Sequence[str], label: str, parts: dict, approximate: bool
+    df: DataFrame, names: Sequence[str], label: str, parts: dict[str, str], approximate: bool
 ) -> DataFrame:
-    """One row per column: ``parts`` maps a result name to a function of the value."""
-    quantile = F.percentile_approx if approximate else F.percentile
-    results = {}
+    """One row per column with the number of rows and the statistics, from one pass."""
+    quantile = "percentile_approx" if approximate else "percentile"
+    rows = []
     for name in names:
-        value = as_double(F.col(name))
-        for part, build in parts.items():
-            results[f"{part}|{name}"] = build(value, quantile)
-    wide = df.agg(F.count("*").alias("_rows"), *[column.alias(key) for key, column in results.items()])
-    rows = [
-        F.struct(
-            F.lit(name).alias(label),
-            F.col("_rows").alias("rows"),
-            *[F.col(f"`{part}|{name}`").alias(part) for part in parts],
-        )
-        for name in names
-    ]
-    return wide.select(F.inline(F.array(*rows)))
+        fields = [f"{sql.format(v=_value(name), q=quantile)} AS `{part}`" for part, sql in parts.items()]
+        rows.append(f"struct('{name}' AS {label}, count(*) AS rows, {', '.join(fields)})")
+    return df.agg(F.expr(f"array({', '.join(rows)})").alias("found")).select(F.inline("found"))
 
 
 def describe_table(df: DataFrame, names: Sequence[str] | None = None, approximate: bool = False) -> DataFrame:
     """count, mean, std, min, quartiles and max per numeric column."""
-    return _summary(
-        df,
-        names or numeric_columns(df),
-        "column_name",
-        {
-            "count": lambda v, q: F.count(v),
-            "mean": lambda v, q: F.avg(v),
-            "std": lambda v, q: F.stddev_samp(v),
-            "min": lambda v, q: F.min(v),
-            "q1": lambda v, q: q(v, 0.25),
-            "median": lambda v, q: q(v, 0.5),
-            "q3": lambda v, q: q(v, 0.75),
-            "max": lambda v, q: F.max(v),
-        },
-        approximate,
-    ).drop("rows")
+    parts = {"count": "count({v})", **SPREAD}
+    return _summary(df, names or numeric_columns(df), "column_name", parts, approximate).drop("rows")
 
 
 def metric_stats(daily: DataFrame, metrics: Sequence[str] = V.METRICS, approximate: bool = False) -> DataFrame:
     """mean, std, q1, q3, iqr, min and max per metric; nothing for less than a week."""
-    stats = _summary(
-        daily,
-        metrics,
-        "metric",
-        {
-            "mean": lambda v, q: F.avg(v),
-            "std": lambda v, q: F.stddev_samp(v),
-            "q1": lambda v, q: q(v, 0.25),
-            "q3": lambda v, q: q(v, 0.75),
-            "min": lambda v, q: F.min(v),
-            "max": lambda v, q: F.max(v),
-        },
-        approximate,
-    )
+    stats = _summary(daily, metrics, "metric", SPREAD, approximate)
     return (
         stats.where(F.col("rows") >= V.MIN_ROWS_FOR_STATS)
         .withColumn("iqr", F.col("q3") - F.col("q1"))
@@ -171,18 +151,19 @@ def threshold_alerts(daily: DataFrame, production_trend: DataFrame | None = None
 
 
 def correlation_matrix(daily: DataFrame, names: Sequence[str] = (*V.BASE_FEATURES, V.TARGET)) -> DataFrame:
-    """Pearson correlation of every pair in long form, from one pass over the table."""
-    values = {name: as_double(F.col(name)) for name in names}
-    pairs = [(a, b) for i, a in enumerate(names) for b in names[i:]]
-    wide = daily.agg(*[F.corr(values[a], values[b]).alias(f"{a}|{b}") for a, b in pairs])
-
-    def cell(row: str, column: str) -> Column:
-        a, b = sorted((row, column), key=list(names).index)
-        return F.struct(
-            F.lit(row).alias("row_name"), F.lit(column).alias("column_name"), F.col(f"`{a}|{b}`").alias("correlation")
-        )
+    """Pearson correlation of every pair in long form, from one pass over the table.
 
-    return wide.select(F.inline(F.array(*[cell(a, b) for a in names for b in names])))
+    Each pair is computed once and serves both of its cells.
+    """
+    pairs = [(a, b) for number, a in enumerate(names) for b in names[number:]]
+    cells = ", ".join(f"struct('{a}' AS a, '{b}' AS b, corr({_value(a)}, {_value(b)}) AS correlation)" for a, b in pairs)
+    found = daily.agg(F.expr(f"array({cells})").alias("cells")).select(F.inline("cells"))
+    both = F.when(F.col("a") == F.col("b"), F.array(F.struct("a", "b"))).otherwise(
+        F.array(F.struct("a", "b"), F.struct(F.col("b").alias("a"), F.col("a").alias("b")))
+    )
+    return found.select(F.explode(both).alias("cell"), "correlation").select(
+        F.col("cell.a").alias("row_name"), F.col("cell.b").alias("column_name"), "correlation"
+    )
 
 
 def ranked_correlations(daily: DataFrame, target: str = V.TARGET, features: Sequence[str] = V.BASE_FEATURES) -> DataFrame:

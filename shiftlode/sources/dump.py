@@ -24,14 +24,14 @@ def statement_pattern(table: str) -> str:
 def parse_inserts(lines: DataFrame, table: str, schema: T.StructType) -> DataFrame:
     """Typed rows from the statements for ``table`` in the ``value`` column of ``lines``.
 
-    Commas and doubled quotes inside quoted text belong to the text.
+    Commas and doubled quotes inside quoted text belong to the text. Exploding the match
+    drops all other lines and keeps the pattern from being evaluated again by a filter.
     """
-    values = F.regexp_extract("value", statement_pattern(table), 1)
+    values = F.explode(F.regexp_extract_all("value", F.lit(statement_pattern(table)), F.lit(1)))
     ddl = ", ".join(f"`{field.name}` {field.dataType.simpleString()}" for field in schema)
     return (
         lines.where(F.col("value").contains(f"INSERT INTO {table} "))
         .select(values.alias("_values"))
-        .where(F.col("_values") != "")
         .select(F.from_csv("_values", ddl, VALUE_OPTIONS).alias("_row"))
         .select("_row.*")
     )

@@ -15,8 +15,8 @@ LINES = [
     "    mine_id INT PRIMARY KEY",
     ");",
     "-- INSERT INTO mines is explained here",
-    f"{MINE}(1, 'M1', 'North', 'Berau, Kalimantan', 'Active');",
-    f"{MINE}(2, 'M2', 'Driver''s (old) pit', 'Berau', NULL);",
+    f"{MINE}(1, 'M1', 'North', 'Field 7, East', 'Active');",
+    f"{MINE}(2, 'M2', 'Driver''s (old) pit', 'Field 8', NULL);",
     f"{LOG}('2024-07-01', 1, 'Day', -195.47, 4.3);",
     f"{LOG}('2024-07-01',2,'Night',NULL,6.0);",
     "",
@@ -33,8 +33,8 @@ def dump_path(tmp_path_factory):
 def test_dump_keeps_commas_quotes_and_nulls(spark, dump_path):
     rows = dump.read_mines(spark, dump_path).orderBy("mine_id").collect()
     assert [tuple(row) for row in rows] == [
-        (1, "M1", "North", "Berau, Kalimantan", "Active"),
-        (2, "M2", "Driver's (old) pit", "Berau", None),
+        (1, "M1", "North", "Field 7, East", "Active"),
+        (2, "M2", "Driver's (old) pit", "Field 8", None),
     ]
 
 

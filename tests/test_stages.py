@@ -1,5 +1,5 @@
 from shiftlode import fixed_values as V
-from shiftlode.plans.pipeline import extract, run_all
+from shiftlode.plans.stages import extract, run_all
 from shiftlode.registry.scans import typed_logs
 from shiftlode.sources import dump, files
 from shiftlode.sources import views as W
