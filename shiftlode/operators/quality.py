@@ -4,6 +4,7 @@ Nothing but one summary row per table leaves the executors.
 """
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -11,6 +12,8 @@ from pyspark.sql import types as T
 
 from shiftlode import fixed_values as V
 from shiftlode.functions.scalars import present, salt_of
+from shiftlode.operators.joins import BROADCAST_KEYS, SALTS, unique_violations
+from shiftlode.session import settle
 
 ANOMALIES = (
     "ARRAY<STRUCT<type: STRING, column: STRING, count: BIGINT, expected_range: STRING, allowed_values: ARRAY<STRING>>>"
@@ -87,12 +90,32 @@ def duplicate_count(df: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     return groups.agg(F.coalesce(F.sum(F.col("rows") - 1), F.lit(0)).alias("duplicate_count"))
 
 
-def duplicate_flags(df: DataFrame, keys: Sequence[str], order: Sequence[str], salts: int = 64) -> DataFrame:
-    """Mark every row but the first (by ``order``) of its key.
+def duplicate_flags(
+    df: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[str],
+    broadcast_keys: int = BROADCAST_KEYS,
+    salts: int = SALTS,
+) -> DataFrame:
+    """Mark every row but the first (by ``order``) of its key; missing keys are equal.
 
-    The rows of a key are spread over ``salts`` groups. The first of each group, at most
-    ``salts`` per key, are compared in a second step; all others are duplicates already.
+    The repeated keys are counted first. If they are at most ``broadcast_keys``, every
+    task gets them: rows with other keys are no duplicates and do not move, and only the
+    rest is put in order. Otherwise all rows are.
     """
+    repeated = settle(unique_violations(df, keys).select(*keys), "repeated-keys")
+    if repeated.count() > broadcast_keys:
+        return _flag_all_but_first(df, keys, order, salts)
+    renamed = repeated.toDF(*[f"_key_{name}" for name in keys])
+    same = reduce(Column.__and__, [F.col(name).eqNullSafe(F.col(f"_key_{name}")) for name in keys])
+    unique = df.join(F.broadcast(renamed), same, "left_anti").withColumn("is_duplicate", F.lit(False))
+    suspects = df.join(F.broadcast(renamed), same, "left_semi")
+    return unique.unionByName(_flag_all_but_first(suspects, keys, order, salts))
+
+
+def _flag_all_but_first(df: DataFrame, keys: Sequence[str], order: Sequence[str], salts: int) -> DataFrame:
+    """The rows of a key are spread over ``salts`` groups. The first of each group, at
+    most ``salts`` per key, are compared in a second step; all others are duplicates."""
     spread = df.withColumn("_salt", salt_of(salts, *order))
     local = Window.partitionBy(*keys, "_salt").orderBy(*order)
     numbered = spread.withColumn("_local", F.row_number().over(local))

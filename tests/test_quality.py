@@ -53,11 +53,14 @@ def test_duplicates_of_whole_rows(spark):
     assert Q.duplicate_count(rows.limit(0)).first()[0] == 0
 
 
+@pytest.mark.parametrize("broadcast_keys", [0, 1000])
 @pytest.mark.parametrize("salts", [1, 4, 64])
-def test_duplicate_flags_with_a_hot_key(spark, salts):
-    """One key holds half of the rows; exactly one row per key is not a duplicate."""
-    rows = spark.range(0, 2000, 1, 8).select(F.when(F.col("id") % 2 == 0, 0).otherwise(F.col("id") % 50).alias("k"), "id")
-    flagged = Q.duplicate_flags(rows, ["k"], ["id"], salts).toPandas()
+def test_duplicate_flags_with_a_hot_key(spark, salts, broadcast_keys):
+    """One key, the missing one, holds half of the rows and many keys occur once;
+    exactly one row per key is not a duplicate."""
+    key = F.when(F.col("id") % 2 == 1, F.when(F.col("id") < 1000, F.col("id") % 50).otherwise(F.col("id")))
+    rows = spark.range(0, 2000, 1, 8).select(key.alias("k"), "id")
+    flagged = Q.duplicate_flags(rows, ["k"], ["id"], broadcast_keys, salts).toPandas().fillna({"k": -1})
     firsts = flagged[~flagged.is_duplicate].set_index("k").id.to_dict()
     assert len(flagged) == 2000
     assert firsts == flagged.groupby("k").id.min().to_dict()
@@ -65,7 +68,8 @@ def test_duplicate_flags_with_a_hot_key(spark, salts):
 
 def test_duplicate_flags_of_full_copies(spark):
     copies = spark.range(0, 300, 1, 4).select(F.lit(1).alias("k"), F.lit("same").alias("o"))
-    assert Q.duplicate_flags(copies, ["k"], ["o"]).where("NOT is_duplicate").count() == 1
+    for broadcast_keys in (0, 10):
+        assert Q.duplicate_flags(copies, ["k"], ["o"], broadcast_keys).where("NOT is_duplicate").count() == 1
 
 
 def test_table_quality_scores(spark, logs):
