@@ -1,7 +1,5 @@
 """Composite checks and reports."""
 
-from pyspark.sql import functions as F
-
 from shiftlode import fixed_values as V
 from shiftlode.operators import quality, stats
 from shiftlode.plans import daily as D
