@@ -66,7 +66,8 @@ def with_generated_id(df: DataFrame, name: str = "id", gaps: bool = False) -> Da
     ``monotonically_increasing_id`` holds the partition in its upper bits and the row
     number within the partition in its lower 33 bits. The rows are written with it once,
     so a recomputed partition cannot number them differently; the rows per partition
-    then give each partition its offset. The offset table has one row per partition.
+    then give each partition its offset. The offset table has one row per partition and is
+    written too: the planner sees how small it is and joins without moving the rows.
     """
     if gaps:
         return df.select((F.monotonically_increasing_id() + 1).alias(name), "*")
@@ -74,10 +75,11 @@ def with_generated_id(df: DataFrame, name: str = "id", gaps: bool = False) -> Da
     stored = settle(df.withColumn("_mid", F.monotonically_increasing_id()), "ids")
     part = F.shiftright("_mid", row_bits)
     earlier = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (
+    offsets = settle(
         stored.groupBy(part.alias("_part"))
         .agg(F.count("*").alias("_rows"))
-        .select("_part", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_offset"))
+        .select("_part", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_offset")),
+        "id-offsets",
     )
     number = F.col("_mid").bitwiseAND(F.lit((1 << row_bits) - 1)) + F.col("_offset") + 1
     return (
