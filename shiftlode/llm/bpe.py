@@ -37,7 +37,7 @@ SPLIT = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\
 
 BLOCK = 1 << 12  # bytes merged at once, besides the lookahead
 SLICE = 1 << 14  # characters split at once
-CACHED_WORDS = 200_000  # words whose tokens a task remembers
+CACHED_WORDS = 400_000  # words whose tokens a task remembers
 CACHED_LENGTH = 64  # longer words are not remembered
 NONE = 1 << 60
 
@@ -102,6 +102,23 @@ class MergeList:
             starts.setdefault(self.product[rank], set()).add(left)
         return max(moved.values(), default=0)
 
+    def merged_word(self, ids: list[int]) -> list[int]:
+        """The same as :meth:`merged` for short lists, one merge at a time in place."""
+        rank_of, product = self.ranks.get, self.product
+        found = [rank_of(pair, NONE) for pair in zip(ids, ids[1:])]
+        while found:
+            rank = min(found)
+            if rank == NONE:
+                break
+            at = found.index(rank)
+            ids[at : at + 2] = (product[rank],)
+            del found[at]
+            if at:
+                found[at - 1] = rank_of((ids[at - 1], ids[at]), NONE)
+            if at < len(found):
+                found[at] = rank_of((ids[at], ids[at + 1]), NONE)
+        return ids
+
     def merged(self, ids: list[int]) -> list[int]:
         """Apply the merges to a list of byte tokens, the earliest merge first."""
         ranks, product = self.ranks, self.product
@@ -177,6 +194,8 @@ class Encoder:
 
     def _word(self, word: str) -> tuple[int, ...]:
         data = word.encode("utf-8", "surrogatepass")
+        if len(data) <= CACHED_LENGTH:
+            return tuple(self.merges.merged_word([self.merges.first[byte] for byte in data]))
         if len(data) <= BLOCK:
             return tuple(self.merges.merged([self.merges.first[byte] for byte in data]))
         return tuple(self._long(data))
