@@ -4,9 +4,15 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from shiftlode.llm.blocks import nearest
 from shiftlode.llm.bpe import bpe_digest
 from shiftlode.llm.common import table
+from shiftlode.llm.entropy import mix
+from shiftlode.llm.pfor import blocks_round_trip
+
+END_ID = 2
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -20,3 +26,34 @@ def query(run: Callable[[SparkSession, str], DataFrame]):
 @query
 def op1_bpe_transducer(spark: SparkSession, folder: str) -> DataFrame:
     return bpe_digest(table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+@query
+def op8_token_blocks(spark: SparkSession, folder: str) -> DataFrame:
+    path = public_tokenizers.path("word_bpe_49k.json")
+    return blocks_round_trip(table(spark, folder, "documents"), path, END_ID)
+
+
+@query
+def op9_block_nearest(spark: SparkSession, folder: str) -> DataFrame:
+    return nearest(table(spark, folder, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
+ORACLES["op9_block_nearest"] = """
+    WITH v AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
+               WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+                 AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+                 AND len(list_filter(embedding, x -> x <> 0)) > 0),
+         pairs AS (SELECT q.vec_id AS query_id, c.vec_id,
+                          list_inner_product(q.v, c.v)
+                            / (sqrt(list_inner_product(q.v, q.v)) * sqrt(list_inner_product(c.v, c.v))) AS score
+                   FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0),
+         ranked AS (SELECT query_id, vec_id, score,
+                           CAST(ROW_NUMBER() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank
+                    FROM pairs)
+    SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5"""
+
+
+@query
+def op10_entropy_mix(spark: SparkSession, folder: str) -> DataFrame:
+    return mix(table(spark, folder, "documents"))
