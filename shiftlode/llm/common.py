@@ -2,7 +2,9 @@
 
 from collections.abc import Callable, Iterable, Iterator
 
+import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -44,6 +46,7 @@ def by_row(df: DataFrame, columns: list[str], step: Callable[[], Callable], sche
 
 
 SEND = 512
+HASHED_WORDS = 400_000
 
 _ARROW = {
     "long": pa.int64(),
@@ -75,9 +78,66 @@ def words_of(text: str | None) -> list[bytes]:
     return text.encode("utf-8", "surrogatepass").split() if text else []
 
 
+def free_names(df: DataFrame, *names: str) -> list[str]:
+    """Names that no column of ``df`` has."""
+    taken = {column.lower() for column in df.columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        out.append(name)
+    return out
+
+
+class WordHashes(dict):
+    """64-bit hashes of words; forgets all when full, so its memory is bounded."""
+
+    def __missing__(self, word: bytes) -> int:
+        if len(self) >= HASHED_WORDS:
+            self.clear()
+        self[word] = number = xxhash.xxh64_intdigest(word)
+        return number
+
+
+def hashes_of(words: list[bytes], known: WordHashes) -> np.ndarray:
+    return np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
+
+
 def word_count(text: str) -> F.Column:
     """Number of words of a column, in the JVM."""
     spread = F.trim(F.regexp_replace(F.col(text), "[\\x20\\x09-\\x0D]+", " "))
     return F.when(F.coalesce(spread, F.lit("")) == "", F.lit(0)).otherwise(
         F.length(spread) - F.length(F.replace(spread, F.lit(" "))) + 1
     )
+
+
+def by_group(df: DataFrame, keys: list[str], columns: list[str], step: Callable[[pa.Table], list[tuple]], schema: str) -> DataFrame:
+    """Run a Python step on every group of rows with equal ``keys`` (whole numbers).
+
+    For many small groups of bounded size: rows are sorted by key within a task and cut there,
+    without one call from Spark per group. ``step`` gets ``columns`` of one group at a time.
+    """
+    names = [field.split()[0] for field in schema.split(", ")]
+    types = arrow_types(schema)
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: pa.Table | None = None
+        out: list[tuple] = []
+        for batch in batches:
+            rows = pa.Table.from_batches([batch])
+            rows = pa.concat_tables([held, rows]) if held is not None else rows
+            marks = np.stack([rows.column(i).to_numpy() for i in range(len(keys))])
+            cuts = np.nonzero((marks[:, 1:] != marks[:, :-1]).any(axis=0))[0] + 1
+            for first, stop in zip([0, *cuts[:-1].tolist()], cuts.tolist()):
+                out.extend(step(rows.slice(first, stop - first).select(columns)))
+                if len(out) >= SEND:
+                    yield to_batch(out, names, types)
+                    out = []
+            held = rows.slice(int(cuts[-1]) if len(cuts) else 0)
+        if held is not None and held.num_rows:
+            out.extend(step(held.select(columns)))
+        if out:
+            yield to_batch(out, names, types)
+
+    picked = df.select(*keys, *[name for name in columns if name not in keys]).repartition(*keys).sortWithinPartitions(*keys)
+    return picked.mapInArrow(run, schema)

@@ -34,7 +34,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from shiftlode.llm.common import word_count
+from shiftlode.llm.common import free_names, word_count
 from shiftlode.session import settle
 
 WEIGHTS = (3.0, 1.0, 2.0)
@@ -164,14 +164,13 @@ def mixed_rows(df: DataFrame, key: str = "doc_id", text: str = "text", source: s
     Rows with the same id and text are exchangeable: their copies are added up and dealt out as one
     list to the first of them.
     """
-    many = copies(df, key, text, source, **options).groupBy("doc_id", "tie").agg(F.collect_list("copies").alias("_copies"))
-    many = many.filter(F.exists("_copies", lambda x: x > 0)).select(
-        F.col("doc_id").alias("_doc"), F.col("tie").alias("_tie"), F.aggregate("_copies", F.lit(0).cast("long"), lambda a, b: a + b).alias("_times"), F.size("_copies").alias("_rows"),
-    )
-    own = df[key].cast("long").eqNullSafe(many["_doc"]) & (F.xxhash64(df[text]) == many["_tie"])
-    joined = df.join(many, own)
-    single = joined.filter("_rows = 1")
-    first = Window.partitionBy("_doc", "_tie").orderBy(*[F.col(f"`{c}`") for c in df.columns if c != text])
-    repeated = joined.filter("_rows > 1").withColumn("_place", F.row_number().over(first)).filter("_place = 1").drop("_place")
-    rows = single.unionByName(repeated)
-    return rows.withColumn("_time", F.explode(F.sequence(F.lit(1), F.col("_times").cast("int")))).select(*[F.col(f"`{c}`") for c in df.columns])
+    own, tie, times, number, place, time = free_names(df, "_doc", "_tie", "_times", "_rows", "_place", "_time")
+    many = copies(df, key, text, source, **options).groupBy("doc_id", "tie").agg(F.sum("copies"), F.count("*"))
+    many = many.toDF(own, tie, times, number).filter(F.col(times) > 0)
+    joined = df.join(many, df[key].cast("long").eqNullSafe(many[own]) & (F.xxhash64(df[text]) == many[tie]))
+    columns = [F.col(f"`{name}`") for name in df.columns]
+    single = joined.filter(F.col(number) == 1)
+    first = Window.partitionBy(own, tie).orderBy(*[F.col(f"`{c}`") for c in df.columns if c != text])
+    repeated = joined.filter(F.col(number) > 1).withColumn(place, F.row_number().over(first)).filter(F.col(place) == 1)
+    rows = single.unionByName(repeated.drop(place))
+    return rows.withColumn(time, F.explode(F.sequence(F.lit(1), F.col(times).cast("int")))).select(*columns)

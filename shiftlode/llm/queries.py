@@ -10,7 +10,15 @@ from shiftlode.llm.blocks import nearest
 from shiftlode.llm.bpe import bpe_digest
 from shiftlode.llm.common import table
 from shiftlode.llm.entropy import mix
+from shiftlode.llm.evidence import identify
+from shiftlode.llm.forest import fit as fit_forest
+from shiftlode.llm.forest import judge
+from shiftlode.llm.masked import pseudo_likelihood
+from shiftlode.llm.merkle import audit, row_id, shard_records, write_replica
+from shiftlode.llm.paths import classes
 from shiftlode.llm.pfor import blocks_round_trip
+from shiftlode.llm.template import extract
+from shiftlode.session import new_path
 
 END_ID = 2
 
@@ -28,6 +36,64 @@ def op1_bpe_transducer(spark: SparkSession, folder: str) -> DataFrame:
     return bpe_digest(table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+@query
+def op2_merkle_fixity(spark: SparkSession, folder: str) -> DataFrame:
+    """Two replicas of all pages, the second with one byte changed in every 97th page, and their audit."""
+    records = shard_records(table(spark, folder, "pages"))
+    sound, damaged = new_path(spark, "warc"), new_path(spark, "warc")
+    write_replica(records, sound)
+    changed = F.regexp_replace("record", r"^(?s)(.*?\r\n\r\n)<", "$1?")
+    write_replica(records.withColumn("record", F.when(F.col("_order") % 97 == 3, changed).otherwise(F.col("record"))), damaged)
+    found = audit(spark, sound, damaged)
+    return found.select(row_id("record").alias("page_id"), "status")
+
+
+ORACLES["op2_merkle_fixity"] = """
+    SELECT page_id, CASE WHEN page_id % 97 = 3 AND html LIKE '<%' THEN 'damaged in b' ELSE 'same' END AS status FROM pages"""
+
+
+@query
+def op3_chosen_path_join(spark: SparkSession, folder: str) -> DataFrame:
+    return classes(table(spark, folder, "documents"))
+
+
+# Hashes of shingles would be shorter, but lists of words need no proof.
+ORACLES["op3_chosen_path_join"] = r"""
+    WITH RECURSIVE
+    words AS (SELECT doc_id, regexp_extract_all(COALESCE(text, ''), '[^ \t\n\x0B\x0C\r]+') AS w FROM documents),
+    grams AS (SELECT doc_id, w, list_distinct(list_transform(range(1, GREATEST(len(w) - 4, 1) + 1),
+                     lambda i: array_to_string(w[i:i + 4], ' '))) AS g FROM words WHERE len(w) > 0),
+    tokens AS (SELECT doc_id, len(g) AS n, unnest(g) AS t FROM grams),
+    pairs AS (SELECT a.doc_id AS a, b.doc_id AS b FROM tokens a JOIN tokens b ON a.t = b.t AND a.doc_id <> b.doc_id
+              GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING COUNT(*) >= 0.8 * (a.n + b.n - COUNT(*)) - 1e-9),
+    reach AS (SELECT doc_id AS a, doc_id AS b FROM documents UNION SELECT r.a, p.b FROM reach r JOIN pairs p ON r.b = p.a),
+    class AS (SELECT a AS doc_id, MIN(b) AS class_id FROM reach GROUP BY a),
+    links AS (SELECT p.a AS doc_id, COUNT(DISTINCT d.text) FILTER (WHERE d.text <> s.text) AS n
+              FROM pairs p JOIN documents d ON d.doc_id = p.b JOIN documents s ON s.doc_id = p.a GROUP BY p.a)
+    SELECT c.doc_id, c.class_id, COALESCE(l.n, 0) AS n_links FROM class c LEFT JOIN links l ON l.doc_id = c.doc_id"""
+
+
+@query
+def op4_site_templates(spark: SparkSession, folder: str) -> DataFrame:
+    return extract(table(spark, folder, "pages"))
+
+
+@query
+def op5_masked_likelihood(spark: SparkSession, folder: str) -> DataFrame:
+    return pseudo_likelihood(table(spark, folder, "documents"))
+
+
+@query
+def op6_isolation_forest(spark: SparkSession, folder: str) -> DataFrame:
+    documents = table(spark, folder, "documents")
+    return judge(documents, fit_forest(documents, table(spark, folder, "labels")))
+
+
+@query
+def op7_language_evidence(spark: SparkSession, folder: str) -> DataFrame:
+    return identify(table(spark, folder, "documents"))
+
+
 @query
 def op8_token_blocks(spark: SparkSession, folder: str) -> DataFrame:
     path = public_tokenizers.path("word_bpe_49k.json")
@@ -42,8 +108,8 @@ def op9_block_nearest(spark: SparkSession, folder: str) -> DataFrame:
 ORACLES["op9_block_nearest"] = """
     WITH v AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
                WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
-                 AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
-                 AND len(list_filter(embedding, x -> x <> 0)) > 0),
+                 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+                 AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
          pairs AS (SELECT q.vec_id AS query_id, c.vec_id,
                           list_inner_product(q.v, c.v)
                             / (sqrt(list_inner_product(q.v, q.v)) * sqrt(list_inner_product(c.v, c.v))) AS score
