@@ -28,6 +28,7 @@ table gives no files' rows and an empty result; other columns are ignored.
 
 import functools
 import os
+import re
 import struct
 import zlib
 from collections.abc import Iterable, Iterator
@@ -38,6 +39,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from shiftlode.llm.bpe import byte_letters
 from shiftlode.llm.common import arrow_types, to_batch, values
 from shiftlode.session import new_path
 
@@ -47,7 +49,7 @@ BLOCK = LANES * DEPTH
 PERCENTILE = 0.9
 SEGMENT = 1 << 20
 HEADER = struct.Struct("<4sQI")
-CACHED_WORDS = 300_000
+CACHED_WORDS = 600_000
 CACHED_LENGTH = 64
 POWERS = np.array([1 << k for k in range(33)], np.uint64)
 
@@ -135,11 +137,18 @@ def unpack_range(payload: bytes, first: int = 0, stop: int | None = None) -> np.
     return out.reshape(-1)[first - begin * BLOCK : stop - begin * BLOCK]
 
 
+# The split pattern of the vocabulary, said for letters, digits and white space of Latin-1.
+_LETTER, _DIGIT, _SPACE = "a-zªµºß-öø-ÿ", "0-9²³¹¼½¾", "\\t\\n\\x0b\\x0c\\r \\x85\\xa0"
+LATIN = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTER}]+|[{_DIGIT}]|[^{_SPACE}{_LETTER}{_DIGIT}]+")
+
+
 class WordEncoder:
-    """The tokenizers library, remembering the ids of short runs between blanks.
+    """The tokenizers library, remembering the ids of short words.
 
     The vocabulary drops white space and never merges over it, and none of its special tokens
-    contains any, so a text has the ids of its runs in order.
+    contains any, so a text has the ids of its runs between blanks in order. Texts of Latin-1 without
+    a special token are cut further, into the words of the split pattern in lower case: there
+    are fewer different ones, and they go to the merges of the library at once.
     """
 
     def __init__(self, path: str):
@@ -149,22 +158,41 @@ class WordEncoder:
         self.library = Tokenizer.from_file(path)
         self.library.no_truncation()
         self.library.no_padding()
+        self.special = [token.content for token in self.library.get_added_tokens_decoder().values()]
+        self.merges = self.library.model.tokenize
+        letter = {byte: mark for mark, byte in byte_letters().items()}
+        self.marks = {code: "".join(letter[byte] for byte in chr(code).encode()) for code in range(256)}
         self.known: dict[str, bytes] = {}
 
+    def words(self, text: str) -> tuple[bool, list[str]]:
+        """Parts of a text whose ids follow one another; whether they are words of the split pattern."""
+        try:
+            text.encode("latin-1")
+        except UnicodeEncodeError:
+            return False, text.replace("\n", " ").split(" ")
+        if any(token in text for token in self.special):
+            return False, text.replace("\n", " ").split(" ")
+        return True, LATIN.findall(text.lower())
+
+    def new(self, order: list[str], split: bool) -> list[list[int]]:
+        if split:
+            return [[token.id for token in self.merges(word.translate(self.marks))] for word in order]
+        return [encoded.ids for encoded in self.library.encode_batch_fast(order, add_special_tokens=False)]
+
     def encode(self, text: str) -> bytes:
         """Ids of a text as little-endian unsigned 32-bit integers."""
-        runs = text.replace("\n", " ").split(" ")
-        missing = set(runs).difference(self.known)
+        split, words = self.words(text)
+        missing = set(words).difference(self.known)
         if len(self.known) + len(missing) > CACHED_WORDS:
             self.known.clear()
-            missing = set(runs)
+            missing = set(words)
         order = list(missing)
-        for run, encoded in zip(order, self.library.encode_batch_fast(order, add_special_tokens=False)):
-            self.known[run] = np.array(encoded.ids, "<u4").tobytes()
-        ids = b"".join(map(self.known.__getitem__, runs))
-        for run in order:
-            if len(run) > CACHED_LENGTH:
-                del self.known[run]
+        for word, new in zip(order, self.new(order, split)):
+            self.known[word] = struct.pack(f"<{len(new)}I", *new)
+        ids = b"".join(map(self.known.__getitem__, words))
+        for word in order:
+            if len(word) > CACHED_LENGTH:
+                del self.known[word]
         if len(self.known) > CACHED_WORDS:
             self.known.clear()
         return ids
@@ -181,8 +209,9 @@ DOCUMENTS = "part int, seq int, place int, doc_id long, start long, n_tokens lon
 
 
 def write_blocks(
-    df: DataFrame, path: str, end_id: int, target: str, key: str = "doc_id", text: str = "text", percentile: float = PERCENTILE
-) -> None:
+    df: DataFrame, path: str, end_id: int, target: str, key: str = "doc_id", text: str = "text",
+    percentile: float = PERCENTILE, segment_ids: int = SEGMENT,
+) -> None:
     """Encode ``text``, append ``end_id`` and write segments in ascending order of ``key``."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -203,7 +232,7 @@ def write_blocks(
                 numbers.append(number)
                 parts.append(encode(value or "") + end)
                 size += len(parts[-1]) // 4
-                if size >= SEGMENT:
+                if size >= segment_ids:
                     yield segment()
                     numbers, parts, size, seq = [], [], 0, seq + 1
         if parts:
@@ -243,10 +272,12 @@ def read_blocks(spark: SparkSession, target: str) -> DataFrame:
     return documents.join(offsets, ["part", "seq"]).withColumn("start", F.col("start") + F.col("_offset")).drop("_offset")
 
 
-def blocks_round_trip(df: DataFrame, path: str, end_id: int, key: str = "doc_id", text: str = "text") -> DataFrame:
+def blocks_round_trip(
+    df: DataFrame, path: str, end_id: int, key: str = "doc_id", text: str = "text", segment_ids: int = SEGMENT
+) -> DataFrame:
     """Write the segments to the shared folder and give the documents read back from them."""
     target = new_path(df.sparkSession, "blocks")
-    write_blocks(df, path, end_id, target, key, text)
+    write_blocks(df, path, end_id, target, key, text, segment_ids=segment_ids)
     return read_blocks(df.sparkSession, target).select(
         F.col("doc_id").alias(key), "start", "n_tokens", "ids_crc32"
     )

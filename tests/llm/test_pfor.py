@@ -46,6 +46,12 @@ def test_ids_equal_the_library(text):
     assert np.frombuffer(WORDS.encode(text), "<u4").tolist() == LIBRARY.encode(text, add_special_tokens=False).ids
 
 
+@settings(max_examples=400, deadline=None)
+@given(st.text(alphabet=st.one_of(st.sampled_from(" 'sStTrReE.,!aBß1½\xa0\x85\x1f\x7f"), st.characters(max_codepoint=255)), max_size=60))
+def test_ids_of_latin_texts(text):
+    assert np.frombuffer(WORDS.encode(text), "<u4").tolist() == LIBRARY.encode(text, add_special_tokens=False).ids
+
+
 WORDS = WordEncoder(PATH)
 
 
@@ -58,8 +64,7 @@ def test_memory_of_words_is_bounded(monkeypatch):
 
 
 @pytest.mark.parametrize("segment", [1, 50, 1 << 20])
-def test_rows(spark, monkeypatch, segment):
-    monkeypatch.setattr(pfor, "SEGMENT", segment)
+def test_rows(spark, segment):
     texts = [None, "", "Hello <|endoftext|> World", "x " * 5000, "long" * 9000, "same", "same"] + [f"t {i} é" for i in range(40)]
     rows = [(i * 7 % 50 if i < 5 or i > 6 else 3, text, 1) for i, text in enumerate(texts)] + [(None, "nobody", 2)]
     df = spark.createDataFrame(rows, "doc_id long, text string, part int").repartition(5)
@@ -68,7 +73,7 @@ def test_rows(spark, monkeypatch, segment):
         length, check = expected(text)
         want.append((number, start, length, check))
         start += length
-    got = sorted(map(tuple, blocks_round_trip(df, PATH, 2).collect()), key=lambda r: r[1])
+    got = sorted(map(tuple, blocks_round_trip(df, PATH, 2, segment_ids=segment).collect()), key=lambda r: r[1])
     assert got == want
 
 
