@@ -27,6 +27,9 @@ HEADLINE = [
     "histogram_raw",
     "error_metrics",
     "scan_insert_dump",
+    "tune",
+    "run_forecast",
+    "random_forest",
 ]
 RUNS = 3
 

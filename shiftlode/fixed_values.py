@@ -70,6 +70,19 @@ NOT_NULL = {
     "daily_production_metrics": ["date"],
 }
 
+UNIQUE = {"mines": ["mine_id"], "weather_data": ["date"], "daily_production_metrics": ["date"]}
+ID_COLUMNS = {
+    "production_logs": "log_id",
+    "equipment_sensors": "id",
+    "weather_data": "id",
+    "daily_production_metrics": "id",
+}
+
+# --- Fixed values: rows of the quality log ------------------------------------------
+ISSUE_BEFORE = "Found "
+ISSUE_AFTER = " records with negative tons_extracted, replaced with 0"
+ISSUE_SEVERITY = "WARNING"
+
 # --- Fixed values: quality score (points per percent, largest deduction) -----------
 NULL_POINTS, NULL_CAP = 0.5, 20.0
 RANGE_POINTS, RANGE_CAP = 0.8, 30.0

@@ -9,8 +9,11 @@ from shiftlode.functions.scalars import as_double
 
 
 def daily_production(logs: DataFrame, *extra: Column) -> DataFrame:
-    """Per date: total tons (0 when all are missing) and mean grade over the records."""
-    return logs.groupBy("date").agg(
+    """Per date: total tons (0 when all are missing) and mean grade over the records.
+
+    Records without a date belong to no day.
+    """
+    return logs.where(F.col("date").isNotNull()).groupBy("date").agg(
         F.coalesce(F.sum(as_double(F.col("tons_extracted"))), F.lit(0.0)).alias("total_production_daily"),
         F.avg(as_double(F.col("quality_grade"))).alias("average_quality_grade"),
         *extra,
@@ -18,9 +21,13 @@ def daily_production(logs: DataFrame, *extra: Column) -> DataFrame:
 
 
 def equipment_daily(sensors: DataFrame) -> DataFrame:
-    """Per date and equipment: share of active readings in percent, mean fuel."""
+    """Per date and equipment: share of active readings in percent, mean fuel.
+
+    Readings without a time or an equipment belong to no group.
+    """
     active = F.when(F.col("status") == V.ACTIVE_STATUS, 1.0).otherwise(0.0)
-    return sensors.groupBy(F.to_date("timestamp").alias("date"), "equipment_id").agg(
+    known = sensors.where(F.col("timestamp").isNotNull() & F.col("equipment_id").isNotNull())
+    return known.groupBy(F.to_date("timestamp").alias("date"), "equipment_id").agg(
         (F.avg(active) * 100).alias("utilization"),
         F.avg(as_double(F.col("fuel_consumption"))).alias("fuel_consumption"),
     )

@@ -1,23 +1,27 @@
-"""Joins. Day-grain joins are left to Catalyst, which broadcasts a side when its size is
-under ``spark.sql.autoBroadcastJoinThreshold``. Raw-grain joins count the keys first:
-few are broadcast, many are joined over salts that spread hot keys."""
+"""Joins. All are left to Catalyst, which broadcasts a side when its size is under
+``spark.sql.autoBroadcastJoinThreshold`` and splits the partitions of hot keys otherwise."""
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shiftlode.functions.scalars import salt_of
-from shiftlode.session import settle
-
-BROADCAST_KEYS = 1_000_000
-SALTS = 64
 
 
 def join_production_equipment(production: DataFrame, equipment: DataFrame) -> DataFrame:
     return production.join(equipment, "date", "left")
 
 
+def weather_of_days(weather: DataFrame) -> DataFrame:
+    """One row per date: of several rows the one with the smallest temperature, then rain,
+    with missing values last."""
+    values = ("temperature_mean", "precipitation_sum")
+    order = F.struct(*[x for name in values for x in (F.col(name).isNull(), F.col(name))])
+    days = weather.where(F.col("date").isNotNull()).groupBy("date")
+    return days.agg(F.min_by(F.struct(*values), order).alias("w")).select("date", "w.*")
+
+
 def join_weather(daily: DataFrame, weather: DataFrame) -> DataFrame:
-    return daily.join(weather.select("date", "temperature_mean", "precipitation_sum"), "date", "left")
+    """Weather of each day; repeated weather rows do not repeat the day."""
+    return daily.join(weather_of_days(weather), "date", "left")
 
 
 def missing_dates(calendar: DataFrame, present: DataFrame) -> DataFrame:
@@ -32,22 +36,13 @@ def orphan_keys(child: DataFrame, parent: DataFrame, key: str) -> DataFrame:
     return used.join(parent.select(key), key, "left_anti")
 
 
-def orphan_rows(
-    child: DataFrame, parent: DataFrame, key: str, broadcast_keys: int = BROADCAST_KEYS, salts: int = SALTS
-) -> DataFrame:
-    """Child rows whose key has no parent row.
+def orphan_rows(child: DataFrame, parent: DataFrame, key: str) -> DataFrame:
+    """Child rows whose key has no parent row; a NULL key references nothing.
 
-    The orphan keys are found on counted keys and written once. If they are at most
-    ``broadcast_keys``, every task gets them and the child rows do not move. Otherwise
-    each key is repeated once per salt and the child rows of a key are spread over the
-    salts, so a key with a third of all rows is not handled in one task.
+    One anti join for all sizes: the parents are broadcast if their bytes allow it, and a
+    hot key among the child rows is split by adaptive execution if not.
     """
-    keys = settle(orphan_keys(child, parent, key).select(key), "orphan-keys")
-    if keys.count() <= broadcast_keys:
-        return child.join(F.broadcast(keys), key, "left_semi").select(*child.columns)
-    repeated = keys.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    spread = child.withColumn("_salt", salt_of(salts, *child.columns))
-    return spread.join(repeated, [key, "_salt"], "left_semi").select(*child.columns)
+    return child.where(F.col(key).isNotNull()).join(parent.select(key), key, "left_anti").select(*child.columns)
 
 
 def unique_violations(df: DataFrame, keys: list[str]) -> DataFrame:

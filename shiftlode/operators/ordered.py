@@ -10,7 +10,9 @@ ever brought together:
 * ``forward_fill``: last known value per block, carried into the following blocks.
 
 ``entity`` columns (mine, equipment, ...) hold separate series; none means one series.
-The order column must be unique within a series, as dates are in the daily table.
+The order column must be unique within a series, as dates are in the daily table. Rows
+without an order value have no place in their series: they are kept, with NULL results,
+and spread over ``LOOSE`` groups so that many of them are no hot spot.
 """
 
 from collections.abc import Callable, Sequence
@@ -19,6 +21,12 @@ from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 BLOCK_ROWS = 4096
+LOOSE = 1024
+
+
+def _loose(order: Column, *columns: str) -> Column:
+    """0 for rows with a place, else one of many groups."""
+    return F.when(order.isNull(), F.pmod(F.xxhash64(F.spark_partition_id(), *columns), F.lit(LOOSE)) + 1).otherwise(F.lit(0))
 
 
 def month_block(order: str = "date") -> Column:
@@ -37,19 +45,28 @@ def with_row_index(
     blocked = df.withColumn("_block", month_block(order) if block is None else block)
     earlier = Window.partitionBy(*entity).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
-        blocked.groupBy(*entity, "_block")
+        blocked.where(F.col(order).isNotNull()).groupBy(*entity, "_block")
         .agg(F.count("*").alias("_rows"))
         .select(*entity, "_block", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_offset"))
     )
-    within = Window.partitionBy(*entity, "_block").orderBy(order)
+    within = Window.partitionBy(*entity, "_block", "_loose").orderBy(order)
+    numbered = blocked.withColumn("_loose", _loose(F.col(order), *df.columns)).withColumn("_row", F.row_number().over(within) - 1)
     return (
-        blocked.withColumn("_row", F.row_number().over(within) - 1)
-        .join(offsets, [*entity, "_block"], "left")
-        .withColumn(name, F.col("_offset") + F.col("_row"))
-        .drop("_block", "_row", "_offset")
+        _at_block(numbered, offsets, entity)
+        .withColumn(name, F.when(F.col(order).isNotNull(), F.col("_offset") + F.col("_row")))
+        .select(*df.columns, name)
     )
 
 
+def _at_block(rows: DataFrame, blocks: DataFrame, entity: Sequence[str]) -> DataFrame:
+    """Rows with the values of their block; an entity may be missing."""
+    named = blocks.select(*[F.col(c).alias(f"_at_{c}" if c in (*entity, "_block") else c) for c in blocks.columns])
+    same = rows["_block"] == named["_at__block"]
+    for name in entity:
+        same = same & rows[name].eqNullSafe(named[f"_at_{name}"])
+    return rows.join(named, same, "left")
+
+
 def over_previous_rows(
     df: DataFrame,
     columns: Callable[[WindowSpec], dict[str, Column]],
@@ -68,12 +85,13 @@ def over_previous_rows(
     home = F.floor(F.col(index) / block_rows)
     also_next = F.col(index) % block_rows >= block_rows - lookback
     blocks = F.when(also_next, F.array(home, home + 1)).otherwise(F.array(home))
-    window = Window.partitionBy(*entity, "_block").orderBy(index)
-    spread = df.withColumn("_block", F.explode(blocks))
+    window = Window.partitionBy(*entity, "_block", "_loose").orderBy(index)
+    placed = F.col(index).isNotNull()
+    spread = df.withColumn("_loose", _loose(F.col(index), *df.columns)).withColumn("_block", F.explode(blocks))
     return (
-        spread.select("*", *[column.alias(name) for name, column in columns(window).items()])
-        .where(F.col("_block") == home)
-        .drop("_block")
+        spread.select("*", *[F.when(placed, column).alias(name) for name, column in columns(window).items()])
+        .where(F.col("_block").eqNullSafe(home))
+        .drop("_block", "_loose")
     )
 
 
@@ -84,7 +102,10 @@ def forward_fill(
     entity: Sequence[str] = (),
     block: Column | None = None,
 ) -> DataFrame:
-    """Replace NULL by the last known value before it, and by the default where none is."""
+    """Replace NULL by the last known value before it, and by the default where none is.
+
+    Nothing is before a row without an order value, so it gets the default.
+    """
     names = list(defaults)
     blocked = df.withColumn("_block", month_block(order) if block is None else block)
     last_known = [
@@ -92,7 +113,7 @@ def forward_fill(
     ]
     earlier = Window.partitionBy(*entity).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
     carried = (
-        blocked.groupBy(*entity, "_block")
+        blocked.where(F.col(order).isNotNull()).groupBy(*entity, "_block")
         .agg(*last_known)
         .select(
             *entity, "_block",
@@ -100,11 +121,16 @@ def forward_fill(
         )
     )
     so_far = (
-        Window.partitionBy(*entity, "_block").orderBy(order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        Window.partitionBy(*entity, "_block", "_loose")
+        .orderBy(order)
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    joined = blocked.withColumns(
-        {f"_seen_{name}": F.last(name, ignorenulls=True).over(so_far) for name in names}
-    ).join(carried, [*entity, "_block"], "left")
+    placed = F.col(order).isNotNull()
+    seen = {
+        f"_seen_{name}": F.when(placed, F.last(name, ignorenulls=True).over(so_far)).otherwise(F.col(name))
+        for name in names
+    }
+    joined = _at_block(blocked.withColumn("_loose", _loose(F.col(order), *df.columns)).withColumns(seen), carried, entity)
     filled = {
         name: F.coalesce(F.col(f"_seen_{name}"), F.col(f"_carry_{name}"), F.lit(default))
         for name, default in defaults.items()

@@ -4,7 +4,6 @@ Nothing but one summary row per table leaves the executors.
 """
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -12,9 +11,8 @@ from pyspark.sql import types as T
 
 from shiftlode import fixed_values as V
 from shiftlode.functions.scalars import present, salt_of
-from shiftlode.operators.joins import BROADCAST_KEYS, SALTS, unique_violations
-from shiftlode.session import settle
 
+SALTS = 64
 ANOMALIES = (
     "ARRAY<STRUCT<type: STRING, column: STRING, count: BIGINT, expected_range: STRING, allowed_values: ARRAY<STRING>>>"
 )
@@ -90,44 +88,21 @@ def duplicate_count(df: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     return groups.agg(F.coalesce(F.sum(F.col("rows") - 1), F.lit(0)).alias("duplicate_count"))
 
 
-def duplicate_flags(
-    df: DataFrame,
-    keys: Sequence[str],
-    order: Sequence[str],
-    broadcast_keys: int = BROADCAST_KEYS,
-    salts: int = SALTS,
-) -> DataFrame:
+def duplicate_flags(df: DataFrame, keys: Sequence[str], order: Sequence[str], salts: int = SALTS) -> DataFrame:
     """Mark every row but the first (by ``order``) of its key; missing keys are equal.
 
-    The repeated keys are counted first. If they are at most ``broadcast_keys``, every
-    task gets them: rows with other keys are no duplicates and do not move, and only the
-    rest is put in order. Otherwise all rows are.
+    The rows of a key are spread over ``salts`` groups. All but the first of a group are
+    duplicates at once and do not move again. Only the firsts, at most ``salts`` per key,
+    go on to be compared with each other. Both branches read the same shuffle.
     """
-    repeated = settle(unique_violations(df, keys).select(*keys), "repeated-keys")
-    if repeated.count() > broadcast_keys:
-        return _flag_all_but_first(df, keys, order, salts)
-    renamed = repeated.toDF(*[f"_key_{name}" for name in keys])
-    same = reduce(Column.__and__, [F.col(name).eqNullSafe(F.col(f"_key_{name}")) for name in keys])
-    unique = df.join(F.broadcast(renamed), same, "left_anti").withColumn("is_duplicate", F.lit(False))
-    suspects = df.join(F.broadcast(renamed), same, "left_semi")
-    return unique.unionByName(_flag_all_but_first(suspects, keys, order, salts))
-
-
-def _flag_all_but_first(df: DataFrame, keys: Sequence[str], order: Sequence[str], salts: int) -> DataFrame:
-    """The rows of a key are spread over ``salts`` groups. The first of each group, at
-    most ``salts`` per key, are compared in a second step; all others are duplicates."""
     spread = df.withColumn("_salt", salt_of(salts, *order))
     local = Window.partitionBy(*keys, "_salt").orderBy(*order)
-    numbered = spread.withColumn("_local", F.row_number().over(local))
-    # The firsts share the group -1 of their key, the others stay where they are.
-    meeting = F.when(F.col("_local") == 1, F.lit(-1)).otherwise(F.col("_salt"))
-    final = Window.partitionBy(*keys, "_meeting").orderBy(*order)
-    return (
-        numbered.withColumn("_meeting", meeting)
-        .withColumn("_rank", F.row_number().over(final))
-        .withColumn("is_duplicate", (F.col("_local") > 1) | (F.col("_rank") > 1))
-        .select(*df.columns, "is_duplicate")
-    )
+    # A lag, since a row number invites a limit below the shuffle in one branch only.
+    marked = spread.withColumn("_behind", F.lag(F.lit(True), 1, False).over(local))
+    final = Window.partitionBy(*keys).orderBy(*order)
+    firsts = marked.where(~F.col("_behind")).withColumn("is_duplicate", F.lag(F.lit(True), 1, False).over(final))
+    others = marked.where("_behind").withColumn("is_duplicate", F.lit(True))
+    return firsts.unionByName(others).select(*df.columns, "is_duplicate")
 
 
 def quality_score(nulls: Column, out_of_range: Column, duplicates: Column, kinds: Column, rows: Column) -> Column:
@@ -187,20 +162,34 @@ def _anomalies(rule: dict, ranges: Sequence[str], domains: Sequence[str]) -> Col
 
 
 def table_quality(df: DataFrame, table: str, rules: dict | None = None) -> DataFrame:
-    """One row with all checks of the table, its score and recommendations."""
+    """One row with all checks of the table, its score and recommendations.
+
+    One pass: the counts of all checks are taken per key, combined before the shuffle, and summed
+    up; the keys then also say how many rows are repeats.
+    """
     rule = rules_for(table, rules)
     groups = {
         "null_": _missing_conditions(df),
         "range_": _range_conditions(df, rule),
         "domain_": _domain_conditions(df, rule),
     }
-    counts = [
-        F.expr(f"count_if({test}) AS `{prefix}{name}`") for prefix, tests in groups.items() for name, test in tests.items()
-    ]
+    tests = {f"{prefix}{name}": test for prefix, found in groups.items() for name, test in found.items()}
+    keys = [F.col(name).alias(f"_key_{number}") for number, name in enumerate(rule["keys"] or df.columns)]
+    per_key = df.groupBy(*keys).agg(
+        F.count("*").alias("_rows"), *[F.expr(f"count_if({test})").alias(name) for name, test in tests.items()]
+    )
     ranges, domains = list(groups["range_"]), list(groups["domain_"])
     nulls, outs, duplicates = F.col("null_total"), F.col("out_of_range_total"), F.col("duplicate_counts")
+
+    def total(value):
+        return F.coalesce(F.sum(value), F.lit(0))
+
     return (
-        df.agg(F.count("*").alias("records_checked"), *counts)
+        per_key.agg(
+            total("_rows").alias("records_checked"),
+            total(F.col("_rows") - 1).alias("duplicate_counts"),
+            *[total(f"`{name}`").alias(name) for name in tests],
+        )
         .select(
             F.lit(table).alias("table_name"),
             "records_checked",
@@ -208,7 +197,7 @@ def table_quality(df: DataFrame, table: str, rules: dict | None = None) -> DataF
             _total("null_", df.columns).alias("null_total"),
             _nonzero("range_", ranges).alias("out_of_range_counts"),
             _total("range_", ranges).alias("out_of_range_total"),
-            duplicate_count(df, rule["keys"]).scalar().alias("duplicate_counts"),
+            "duplicate_counts",
             _anomalies(rule, ranges, domains).alias("anomalies"),
         )
         .withColumn("anomaly_kinds", F.size("anomalies"))

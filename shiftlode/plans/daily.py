@@ -45,15 +45,17 @@ def cleaning_report(logs: DataFrame) -> DataFrame:
 
 def cleaning_issues(logs: DataFrame) -> DataFrame:
     """Rows for the quality log: negative tons only, and none when there are none."""
+    return _issues(cleaning_report(logs))
+
+
+def _issues(counts: DataFrame) -> DataFrame:
     count = F.col("negative_tons").cast("string")
-    return cleaning_report(logs).where(F.col("negative_tons") > 0).select(
+    return counts.where(F.col("negative_tons") > 0).select(
         F.lit("production_logs").alias("table_name"),
         F.lit(V.FLAG_NEGATIVE_TONS).alias("anomaly_type"),
-        F.concat(
-            F.lit("Found "), count, F.lit(" records with negative tons_extracted, replaced with 0")
-        ).alias("description"),
+        F.concat(F.lit(V.ISSUE_BEFORE), count, F.lit(V.ISSUE_AFTER)).alias("description"),
         F.col("negative_tons").cast("int").alias("affected_records"),
-        F.lit("WARNING").alias("severity"),
+        F.lit(V.ISSUE_SEVERITY).alias("severity"),
     )
 
 
@@ -87,10 +89,15 @@ def transform(logs: DataFrame, sensors: DataFrame, weather: DataFrame) -> DataFr
 
     Efficiency and impact score are taken before the fills, so they stay NULL on days
     without sensors or weather. The joined days are written once: the fill, the flags
-    and the caller then read that small table instead of the raw records.
+    and the caller then read that small table instead of the raw records. So the raw
+    tables are read when this is called, not when its result is used.
     """
+    return _filled(_joined_days(logs, sensors, weather))
+
+
+def _joined_days(logs: DataFrame, sensors: DataFrame, weather: DataFrame) -> DataFrame:
     joined = J.join_weather(J.join_production_equipment(production_days(logs), equipment_days(sensors)), weather)
-    days = settle(
+    return settle(
         joined.withColumns(
             {
                 "fuel_efficiency": S.fuel_efficiency(F.col("avg_fuel_consumption"), F.col(V.TARGET)),
@@ -101,6 +108,9 @@ def transform(logs: DataFrame, sensors: DataFrame, weather: DataFrame) -> DataFr
         ),
         "days",
     )
+
+
+def _filled(days: DataFrame) -> DataFrame:
     flags = days.agg(_cleaning_flags(F.sum("_negative"), F.sum("_invalid")))
     filled = forward_fill(
         days, {"equipment_utilization": V.DEFAULT_UTILIZATION, "avg_fuel_consumption": V.DEFAULT_FUEL}
@@ -133,4 +143,11 @@ def validate_metrics(daily: DataFrame) -> DataFrame:
 
 def daily_metrics(logs: DataFrame, sensors: DataFrame, weather: DataFrame) -> DataFrame:
     """The stored daily table: transform, validate, keep the nine columns."""
-    return validate_metrics(transform(logs, sensors, weather)).select(*V.DAILY_COLUMNS)
+    return daily_with_issues(logs, sensors, weather)[0]
+
+
+def daily_with_issues(logs: DataFrame, sensors: DataFrame, weather: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The daily table and the rows for the quality log, from one pass over the raw records."""
+    days = _joined_days(logs, sensors, weather)
+    issues = _issues(days.agg(F.coalesce(F.sum("_negative"), F.lit(0)).alias("negative_tons")))
+    return validate_metrics(_filled(days)).select(*V.DAILY_COLUMNS), issues

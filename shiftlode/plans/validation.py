@@ -3,6 +3,7 @@
 from collections.abc import Sequence
 from functools import reduce
 
+from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -11,7 +12,7 @@ from shiftlode.functions.scalars import date_text, days_inclusive, health_bucket
 from shiftlode.operators import filters, quality, stats
 from shiftlode.operators.ordered import with_row_index
 from shiftlode.session import settle
-from shiftlode.sources.files import calendar_between, scan_since
+from shiftlode.sources.files import MONTH, calendar_between, scan_since
 
 
 def production_anomalies(
@@ -55,20 +56,62 @@ def weather_completeness(weather: DataFrame, start: str, end: str) -> DataFrame:
     )
 
 
-def validate_tables(tables: dict[str, DataFrame], since: str | None = V.REPORT_SINCE) -> DataFrame:
-    """Structure and quality, one row per table. The structure counts all records, the
-    checks look at those since the given day."""
-    parts = []
+def _table_checks(name: str, df: DataFrame, since: str | None) -> DataFrame:
+    """Structure and quality of one table. Without ``since`` one pass gives both; with it the
+    checks skip older files, and the count of all records reads no column."""
+    rule = quality.rules_for(name)
+    column = rule["date_column"]
+    limited = since is not None and column in df.columns
+    checked = scan_since(df, since, column) if limited else df
+    found = quality.table_quality(checked.drop(MONTH), name)
+    total = df.agg(F.count("*")).scalar() if limited else F.col("records_checked")
+    missing = quality.missing_columns(df, name)
+    structure = F.struct(
+        F.lit(not missing).alias("structure_valid"),
+        (F.array(*map(F.lit, missing)) if missing else F.array().cast("array<string>")).alias("missing_fields"),
+        total.alias("total_records"),
+    )
+    return found.withColumn("structure", structure).withColumn("errors", F.array().cast("array<string>"))
+
+
+def _failed(spark, name: str, error: Exception) -> DataFrame:
+    """The row of a table that could not be checked."""
+    text = (str(error).strip().splitlines() or [type(error).__name__])[0]
+    return spark.createDataFrame([(name, [text])], "table_name string, errors array<string>")
+
+
+def validate_tables(
+    tables: dict[str, DataFrame], since: str | None = V.REPORT_SINCE, expected: Sequence[str] = ()
+) -> DataFrame:
+    """Structure and quality, one row per table, written once.
+
+    A table that is ``expected`` but not there, or that cannot be read or checked, gets a row with the text in
+    ``errors`` and no figures; the others go on. All tables are checked in one run; only if that fails are
+    they run one by one.
+    """
+    spark = next(iter(tables.values())).sparkSession
+    parts = {name: _failed(spark, name, KeyError(f"table {name} is not there")) for name in expected if name not in tables}
+    whole = {}
     for name, df in tables.items():
-        column = quality.rules_for(name)["date_column"]
-        checked = scan_since(df, since, column) if column in df.columns else df
-        structure = quality.table_structure(df, name)
-        parts.append(
-            quality.table_quality(checked, name).withColumn(
-                "structure", structure.select(F.struct("structure_valid", "missing_fields", "total_records")).scalar()
-            )
-        )
-    return reduce(DataFrame.unionByName, parts)
+        try:
+            whole[name] = _table_checks(name, df, since)
+        except AnalysisException as error:
+            parts[name] = _failed(spark, name, error)
+    try:
+        return settle(_united([*whole.values(), *parts.values()]), "checks")
+    except PySparkException:
+        for name, rows in whole.items():
+            try:
+                parts[name] = settle(rows, "checks")
+            except PySparkException as error:
+                parts[name] = _failed(spark, name, error)
+        return settle(_united(list(parts.values())), "checks")
+
+
+def _united(parts: list[DataFrame]) -> DataFrame:
+    """Rows with all columns first, so that rows of failed tables get NULLs."""
+    ordered = sorted(parts, key=lambda part: -len(part.columns))
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), ordered)
 
 
 def overall_assessment(
@@ -104,7 +147,7 @@ def validation_report(
     as_of: str | None = None,
 ) -> dict[str, DataFrame]:
     """All sections of the report; each is a small DataFrame."""
-    checks = settle(validate_tables(tables, since), "checks")
+    checks = validate_tables(tables, since, list(V.RULES))
     recent = production_anomalies(tables["daily_production_metrics"], days, as_of)
     completeness = weather_completeness(tables["weather_data"], since, weather_until)
     overall = overall_assessment(

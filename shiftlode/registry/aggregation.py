@@ -233,7 +233,7 @@ def histogram_raw(spark, folder):
 
 @query(
     "monthly_mean",
-    f"""WITH f AS (SELECT * FROM long_daily WHERE MONTH(date) <> 5),
+    f"""WITH f AS (SELECT * FROM long_daily),
         m AS (SELECT DATE_TRUNC('month', date) AS month, AVG(total_production_daily) AS mean_value FROM f GROUP BY 1),
         c AS (SELECT UNNEST(GENERATE_SERIES(MIN(DATE_TRUNC('month', date)), MAX(DATE_TRUNC('month', date)),
                 INTERVAL 1 MONTH)) AS month FROM f)
@@ -242,9 +242,7 @@ def histogram_raw(spark, folder):
     "long_daily",
 )
 def monthly_mean(spark, folder):
-    """With the month of May left out, so that months without rows appear."""
-    daily = W.stored_daily(spark, folder)
-    return A.monthly_mean(daily.where(F.month("date") != 5))
+    return A.monthly_mean(W.stored_daily(spark, folder))
 
 
 PREDICTED = """WITH p AS (SELECT l_returnflag AS model, CASE WHEN l_linestatus = 'F' THEN 'train' ELSE 'test' END AS split,
@@ -268,10 +266,10 @@ def line_predictions(spark, folder):
 
 @query(
     "error_metrics",
-    f"""{PREDICTED} SELECT model, split, {num('ROUND(mse, 0)', 'mse')}, {nums('rmse', 'mae', 'r2', 'mape')} FROM e""",
+    f"""{PREDICTED} SELECT model, split, {num('mse / 1000000', 'mse')}, {nums('rmse', 'mae', 'r2', 'mape')} FROM e""",
 )
 def error_metrics(spark, folder):
-    return stats.error_metrics(line_predictions(spark, folder), ["model", "split"]).withColumn("mse", F.round("mse", 0))
+    return stats.error_metrics(line_predictions(spark, folder), ["model", "split"]).withColumn("mse", F.col("mse") / 1e6)
 
 
 @query(

@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
-SHIFT = 3e-9
+SHIFT, FINE_SHIFT = 3e-9, 3e-13
 
 
 def query(name: str, sql: str | None = None, views: str = ""):
@@ -24,10 +24,10 @@ def query(name: str, sql: str | None = None, views: str = ""):
 
 
 def tidy(df: DataFrame) -> DataFrame:
-    """Integers as BIGINT, other numbers as DOUBLE with six decimals, lists as text.
+    """Integers as BIGINT, other numbers as DOUBLE with six decimals (ten below 1), lists as text.
 
     Sums of doubles differ in the last bits with the order of their parts. Both sides
-    shift the value by a few billionths before rounding, so that a mean such as 0.0000125
+    shift the value a little before rounding, so that a mean such as 0.0000125
     does not lie exactly between two results.
     """
 
@@ -36,7 +36,9 @@ def tidy(df: DataFrame) -> DataFrame:
         if isinstance(field.dataType, T.IntegralType):
             value = value.cast("bigint")
         elif isinstance(field.dataType, T.NumericType):
-            value = F.round(value.cast("double") + F.lit(SHIFT), 6) + F.lit(0.0)
+            value = value.cast("double")
+            fine = F.round(value + F.lit(FINE_SHIFT), 10)
+            value = F.when(F.abs(value) < 1, fine).otherwise(F.round(value + F.lit(SHIFT), 6)) + F.lit(0.0)
         elif isinstance(field.dataType, T.ArrayType):
             value = F.array_join(value, ",")
         elif isinstance(field.dataType, T.TimestampNTZType):
@@ -47,8 +49,12 @@ def tidy(df: DataFrame) -> DataFrame:
 
 
 def num(expression: str, name: str) -> str:
-    """SQL for a number with six decimals; adding zero turns -0.0 into 0.0."""
-    return f"ROUND(CAST({expression} AS DOUBLE) + {SHIFT}, 6) + CAST(0 AS DOUBLE) AS {name}"
+    """SQL for a number with six decimals, ten below 1; adding zero turns -0.0 into 0.0."""
+    value = f"CAST({expression} AS DOUBLE)"
+    return (
+        f"CASE WHEN ABS({value}) < 1 THEN ROUND({value} + {FINE_SHIFT}, 10) ELSE ROUND({value} + {SHIFT}, 6) END "
+        f"+ CAST(0 AS DOUBLE) AS {name}"
+    )
 
 
 def nums(*names: str) -> str:
@@ -64,11 +70,12 @@ IMPACT = """LEAST(GREATEST(100.0 - (CASE WHEN precipitation_sum > 5 THEN (precip
     - ABS(temperature_mean - 25) * 1.5, 0.0), 100.0)"""
 
 VIEWS = {
-    "mines": """
+    "all_mines": """
         SELECT CAST(s_suppkey AS INTEGER) AS mine_id, 'MINE' || CAST(s_suppkey AS VARCHAR) AS mine_code,
                s_name AS mine_name, CAST(s_nationkey AS VARCHAR) AS location,
                CASE WHEN s_suppkey % 3 = 0 THEN 'Maintenance' ELSE 'Active' END AS operational_status
-        FROM supplier WHERE s_suppkey % 10 <> 0""",
+        FROM supplier""",
+    "mines": "SELECT * FROM all_mines WHERE mine_id % 10 <> 0",
     "production_logs": """
         SELECT DATE '2023-12-29' + CAST(l_orderkey % 40 AS INTEGER) AS date, CAST(l_suppkey AS INTEGER) AS mine_id,
                CASE WHEN l_linenumber % 2 = 1 THEN 'Day' ELSE 'Night' END AS shift,
@@ -159,6 +166,7 @@ VIEWS = {
 
 # The views each view reads.
 _NEEDS = {
+    "mines": ["all_mines"],
     "long_daily": ["long_parts"],
     "clean_logs": ["production_logs"],
     "production_days": ["clean_logs"],

@@ -90,8 +90,9 @@ def drop_incomplete_rows(spark, folder):
 def string_tokens(spark, folder):
     """The values of a statement, split on commas, without blanks and quotes."""
     lines = dump.insert_lines(typed_logs(spark, folder), "production_logs")
-    values = F.regexp_extract("value", dump.statement_pattern("production_logs"), 1)
-    return lines.select(F.array_join(S.tokens(values), "|").alias("tokens"))
+    statements = dump.insert_statements(lines, "production_logs")
+    values = F.regexp_extract("statement", dump.ROW + r"\s*$", 1)
+    return statements.select(F.array_join(S.tokens(values), "|").alias("tokens"))
 
 
 KEY_COLUMNS = ["l_orderkey", "l_linenumber", "l_partkey"]

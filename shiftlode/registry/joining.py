@@ -1,9 +1,13 @@
 """Joins and set operations."""
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shiftlode import fixed_values as V
 from shiftlode.operators import aggregates as A
+from shiftlode.operators import constraints as C
 from shiftlode.operators import joins as J
 from shiftlode.operators import quality, stats
 from shiftlode.plans import daily as D
@@ -107,6 +111,33 @@ def orphan_keys(spark, folder):
     return J.orphan_keys(W.production_logs(spark, folder), W.mines(spark, folder), "mine_id")
 
 
+@query(
+    "rejected_rows",
+    """SELECT 'production_logs' AS table_name, 'orphan_mine_id' AS reason, COUNT(*) AS records FROM production_logs
+       WHERE mine_id NOT IN (SELECT mine_id FROM mines)
+       UNION ALL SELECT 'equipment_sensors', 'null_status', COUNT(*) FILTER (WHERE status IN ('purchase', 'signup')) FROM equipment_sensors
+       UNION ALL SELECT 'weather_data', 'duplicate_date', COUNT(*) FILTER (WHERE precipitation_sum > 3) FROM weather_data""",
+    "mines production_logs equipment_sensors weather_data",
+)
+def rejected_rows(spark, folder):
+    """Records of unknown mines, readings whose status was taken away, weather days stored twice."""
+    sensors = W.equipment_sensors(spark, folder)
+    known = F.when(~F.col("status").isin("purchase", "signup"), F.col("status"))
+    weather = W.weather_data(spark, folder)
+    again = weather.where("precipitation_sum > 3").withColumn("temperature_mean", F.col("temperature_mean") + 1)
+    checked = {
+        "production_logs": (W.production_logs(spark, folder), {"mine_id": W.mines(spark, folder)}),
+        "equipment_sensors": (sensors.withColumn("status", known), {}),
+        "weather_data": (weather.unionByName(again), {}),
+    }
+    parts = []
+    for name, (df, references) in checked.items():
+        rules = C.Constraints(tuple(V.NOT_NULL[name]), tuple(V.UNIQUE.get(name, ())), references)
+        parts.append(C.rejected_rows(C.with_reason(df, rules), name))
+    found = reduce(DataFrame.unionByName, parts)
+    return found.groupBy("table_name", "reason").agg(F.count("*").alias("records"))
+
+
 @query(
     "unique_violations",
     f"""SELECT date, {ints('mine_id')}, shift, COUNT(*) AS rows FROM production_logs

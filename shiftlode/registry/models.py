@@ -1,22 +1,26 @@
 """Model operators on the features of the long daily series."""
 
+from functools import reduce
+
 from pyspark.ml import PipelineModel
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shiftlode import fixed_values as V
 from shiftlode.operators import models as M
 from shiftlode.operators import stats
+from shiftlode.plans import features as X
 from shiftlode.plans import forecast as P
 from shiftlode.registry.base import num, query
-from shiftlode.registry.ordering import CURRENT
+from shiftlode.registry.ordering import CURRENT, EARLIER
 from shiftlode.registry.reports import FEATURES, features_sql
-from shiftlode.session import new_path
+from shiftlode.session import new_path, settle
 from shiftlode.sources import views as W
 
 SPLIT_FEATURES = f"""WITH f AS ({features_sql(CURRENT, FEATURES, rounded=False)}),
     i AS (SELECT *, ROW_NUMBER() OVER (ORDER BY date) - 1 AS split_index, COUNT(*) OVER () AS n FROM f),
     s AS (SELECT *, CASE WHEN split_index < FLOOR(n * CAST(0.8 AS DOUBLE)) THEN 'train' ELSE 'test' END AS split FROM i)"""
-STANDARDIZED = ["average_quality_grade", "equipment_utilization", "temperature_mean", "time_index"]
+STANDARDIZED = FEATURES
 
 
 def table(spark, folder):
@@ -32,7 +36,7 @@ def train_of(rows):
     f"""{SPLIT_FEATURES},
         m AS (SELECT {', '.join(f'AVG({n}) AS m_{n}, STDDEV_POP({n}) AS d_{n}' for n in STANDARDIZED)}
               FROM s WHERE split = 'train')
-        SELECT date, split, {', '.join(num(f'({n} - m_{n}) / d_{n}', n) for n in STANDARDIZED)} FROM s, m""",
+        SELECT date, split, {', '.join(num(f'COALESCE(({n} - m_{n}) / NULLIF(d_{n}, 0), 0)', n) for n in STANDARDIZED)} FROM s, m""",
     "long_daily",
 )
 def standardize(spark, folder):
@@ -41,86 +45,185 @@ def standardize(spark, folder):
     return scaled.select("date", "split", *STANDARDIZED)
 
 
+# Two features without the target of the day, for which the solution can be said in SQL.
+PAIR = [f"{V.TARGET}_lag_1", f"{V.TARGET}_lag_7"]
+EARLIER_SPLIT = f"""WITH f AS ({features_sql(EARLIER, X.feature_names(False), rounded=False)}),
+    i AS (SELECT *, {PAIR[0]} AS x1, {PAIR[1]} AS x2, total_production_daily AS y,
+            ROW_NUMBER() OVER (ORDER BY date) - 1 AS split_index, COUNT(*) OVER () AS n FROM f),
+    s AS (SELECT *, CASE WHEN split_index < FLOOR(n * CAST(0.8 AS DOUBLE)) THEN 'train' ELSE 'test' END AS split FROM i),
+    m AS (SELECT AVG(x1) AS a1, AVG(x2) AS a2, STDDEV_POP(x1) AS d1, STDDEV_POP(x2) AS d2, COUNT(*) AS rows
+          FROM s WHERE split = 'train'),
+    z AS (SELECT date, split, split_index, y, (x1 - a1) / d1 AS z1, (x2 - a2) / d2 AS z2, rows FROM s, m)"""
+
+
+def ridge_sql(source: str, group: str, alphas: str) -> str:
+    """Closed form per alpha and group of ``source`` (z1, z2, y): intercept and coefficients."""
+    return f"""t AS (SELECT {group}, COUNT(*) AS k, AVG(z1) AS m1, AVG(z2) AS m2, AVG(y) AS my,
+          COUNT(*) * VAR_POP(z1) AS s11, COUNT(*) * VAR_POP(z2) AS s22, COUNT(*) * COVAR_POP(z1, z2) AS s12,
+          COUNT(*) * COVAR_POP(z1, y) AS s1y, COUNT(*) * COVAR_POP(z2, y) AS s2y FROM {source} GROUP BY {group}),
+        b AS (SELECT {group}, alpha, m1, m2, my,
+          ((s22 + alpha) * s1y - s12 * s2y) / ((s11 + alpha) * (s22 + alpha) - s12 * s12) AS b1,
+          ((s11 + alpha) * s2y - s12 * s1y) / ((s11 + alpha) * (s22 + alpha) - s12 * s12) AS b2
+          FROM t, (SELECT CAST(UNNEST([{alphas}]) AS DOUBLE) AS alpha) q)"""
+
+
+ALPHAS = V.MODEL_GRIDS["Ridge_Regression"]["alpha"]
+TRAIN_ROWS = "(SELECT 1 AS g, * FROM z WHERE split = 'train') v"
+GUESS = "my + b1 * (z1 - m1) + b2 * (z2 - m2)"
+
+
+def earlier_table(spark, folder):
+    return P.modelling_table(W.stored_daily(spark, folder), include_current=False)
+
+
+LEAK = [f"{V.TARGET}_lag_1", f"{V.TARGET}_lag_2", f"{V.TARGET}_rolling_mean_3"]
+
+
 @query(
     "linear_regression",
-    f"""{SPLIT_FEATURES} SELECT split, COUNT(*) AS rows, TRUE AS exact FROM s GROUP BY split""",
+    f"""{SPLIT_FEATURES} SELECT date, split,
+          {num(f'3 * {LEAK[2]} - {LEAK[0]} - {LEAK[1]}', 'prediction')} FROM s""",
     "long_daily",
 )
 def linear_regression(spark, folder):
-    """The rolling means hold the target of the day, so least squares gives it exactly."""
+    """The mean of three days and the two days before give the target, which the fit has to find."""
     rows = table(spark, folder)
-    tuned = M.tune("Linear_Regression", train_of(rows), FEATURES, {})
-    predictions = M.predict(tuned.fitted, rows, tuned.model)
-    return predictions.groupBy("split").agg(
-        F.count("*").alias("rows"), (F.max(F.abs(F.col("actual") - F.col("prediction"))) < 1e-4).alias("exact")
-    )
+    tuned = M.tune("Linear_Regression", train_of(rows), LEAK, {})
+    return M.predict(tuned.fitted, rows, tuned.model).select("date", "split", "prediction")
 
 
-def evaluated(spark, folder, model, grid, **options):
+@query(
+    "ridge_regression",
+    f"""{EARLIER_SPLIT}, {ridge_sql(TRAIN_ROWS, 'g', ', '.join(map(str, ALPHAS)))},
+        p AS (SELECT alpha, split, y, {GUESS} AS guess FROM z, b)
+        SELECT alpha, split, {num('AVG((y - guess) ** 2) / 1000000', 'mse')}, {num('SQRT(AVG((y - guess) ** 2))', 'rmse')},
+          {num('AVG(ABS(y - guess))', 'mae')} FROM p GROUP BY alpha, split""",
+    "long_daily",
+)
+def ridge_regression(spark, folder):
+    """Errors for every alpha of the grid, against the closed form."""
+    rows = earlier_table(spark, folder)
+    parts = []
+    for alpha in ALPHAS:
+        tuned = M.tune("Ridge_Regression", train_of(rows), PAIR, {"alpha": [alpha]})
+        errors = stats.error_metrics(M.predict(tuned.fitted, rows, tuned.model), ["split"])
+        parts.append(errors.select(F.lit(float(alpha)).alias("alpha"), "split", F.col("mse") / 1e6, "rmse", "mae"))
+    return reduce(DataFrame.union, parts).toDF("alpha", "split", "mse", "rmse", "mae")
+
+
+def tuned_trees(spark, folder, model, grid, draws):
+    """Tune over random draws of a grid of three parameters on all features; what has to hold of the result."""
     rows = table(spark, folder)
-    tuned = M.tune(model, train_of(rows), FEATURES, grid, **options)
-    return tuned, stats.error_metrics(M.predict(tuned.fitted, rows, model), ["model", "split"])
+    tuned = M.tune(model, train_of(rows), FEATURES, grid, draws=draws)
+    predictions = settle(M.predict(tuned.fitted, rows, model), "predictions")
+    bounds = predictions.where("split = 'train'").agg(F.min("actual"), F.max("actual"), F.avg("actual")).first()
+    inside = F.col("prediction").between(bounds[0], bounds[1])
+    error, plain = F.col("actual") - F.col("prediction"), F.col("actual") - F.lit(bounds[2])
+    best = min(score for _, score in tuned.scores)
+    return predictions.groupBy("split").agg(
+        F.count("*").alias("rows"),
+        F.count_if(inside).alias("inside"),
+        (F.sum(error * error) < 0.5 * F.sum(plain * plain)).alias("halves_the_error"),
+    ).withColumns(
+        {
+            "candidates": F.lit(len({str(params) for params, _ in tuned.scores})),
+            "chosen_is_best": F.lit(dict((str(p), s) for p, s in tuned.scores)[str(tuned.params)] == best),
+        }
+    )
 
 
-@query("ridge_regression")
-def ridge_regression(spark, folder):
-    return evaluated(spark, folder, "Ridge_Regression", {"alpha": [10.0]})[1]
+def trees_sql(draws: int) -> str:
+    return f"""{SPLIT_FEATURES} SELECT split, COUNT(*) AS rows, COUNT(*) AS inside, TRUE AS halves_the_error,
+        CAST({draws} AS BIGINT) AS candidates, TRUE AS chosen_is_best FROM s GROUP BY split"""
 
 
-@query("random_forest")
+@query("random_forest", trees_sql(3), "long_daily")
 def random_forest(spark, folder):
-    return evaluated(spark, folder, "Random_Forest", {"n_estimators": [20], "max_depth": [8]})[1]
+    """Means of leaves lie within the targets of the training rows."""
+    grid = {"n_estimators": [10, 20], "max_depth": [5, 8], "min_samples_leaf": [1, 4]}
+    return tuned_trees(spark, folder, "Random_Forest", grid, 3)
 
 
-@query("gradient_boosting")
+@query("gradient_boosting", trees_sql(3).replace("COUNT(*) AS inside, ", ""), "long_daily")
 def gradient_boosting(spark, folder):
-    return evaluated(spark, folder, "Gradient_Boosting", {"n_estimators": [15], "max_depth": [3]})[1]
+    grid = {"n_estimators": [10, 15], "learning_rate": [0.1, 0.3], "max_depth": [3, 4]}
+    return tuned_trees(spark, folder, "Gradient_Boosting", grid, 3).drop("inside")
 
 
-@query("tune")
+@query(
+    "tune",
+    f"""{EARLIER_SPLIT},
+        k AS (SELECT UNNEST(RANGE(0, 5)) AS fold),
+        e AS (SELECT fold, rows - (5 - fold) * (rows // 6) AS first, rows - (4 - fold) * (rows // 6) AS stop
+              FROM k, (SELECT MAX(rows) AS rows FROM z) r),
+        {ridge_sql("(SELECT e.fold AS g, z.* FROM z JOIN e ON split_index < e.first WHERE split = 'train') v", 'g', ', '.join(map(str, ALPHAS)))},
+        p AS (SELECT alpha, fold, AVG((y - ({GUESS})) ** 2) AS mse
+              FROM b JOIN e ON b.g = e.fold JOIN z ON split_index >= first AND split_index < stop
+              WHERE split = 'train' GROUP BY alpha, fold),
+        c AS (SELECT alpha, AVG(mse) AS mse FROM p GROUP BY alpha)
+        SELECT alpha, {num('mse / 1000000', 'cv_mse')}, mse = (SELECT MIN(mse) FROM c) AS chosen FROM c""",
+    "long_daily",
+)
 def tune(spark, folder):
-    """Mean squared error per alpha over five expanding folds."""
-    rows = table(spark, folder)
-    tuned = M.tune("Ridge_Regression", train_of(rows), FEATURES, V.MODEL_GRIDS["Ridge_Regression"])
+    """Mean squared error per alpha over five expanding folds, against the closed form in every fold."""
+    tuned = M.tune("Ridge_Regression", train_of(earlier_table(spark, folder)), PAIR, V.MODEL_GRIDS["Ridge_Regression"])
     return spark.createDataFrame(
-        [(params["alpha"], mse, params == tuned.params) for params, mse in tuned.scores],
+        [(float(params["alpha"]), mse / 1e6, params == tuned.params) for params, mse in tuned.scores],
         "alpha double, cv_mse double, chosen boolean",
     )
 
 
 @query(
     "predict",
-    f"""{SPLIT_FEATURES} SELECT 'Linear_Regression' AS model, split, date, {num('total_production_daily', 'actual')},
-          {num('total_production_daily', 'prediction')} FROM s""",
+    f"""{EARLIER_SPLIT}, {ridge_sql(TRAIN_ROWS, 'g', '0')}
+        SELECT 'Linear_Regression' AS model, split, date, {num('y', 'actual')}, {num(GUESS, 'prediction')} FROM z, b""",
     "long_daily",
 )
 def predict(spark, folder):
-    rows = table(spark, folder)
-    tuned = M.tune("Linear_Regression", train_of(rows), FEATURES, {})
+    rows = earlier_table(spark, folder)
+    tuned = M.tune("Linear_Regression", train_of(rows), PAIR, {})
     return M.predict(tuned.fitted, rows, tuned.model)
 
 
 @query(
     "save_model",
-    f"{SPLIT_FEATURES} SELECT date, {num('total_production_daily', 'prediction')} FROM s",
+    f"""{EARLIER_SPLIT}, {ridge_sql(TRAIN_ROWS, 'g', '10')}
+        SELECT date, {num(GUESS, 'prediction')} FROM z, b""",
     "long_daily",
 )
 def save_model(spark, folder):
     """Fitted, stored, loaded again and applied."""
-    rows = table(spark, folder)
-    tuned = M.tune("Linear_Regression", train_of(rows), FEATURES, {})
+    rows = earlier_table(spark, folder)
+    tuned = M.tune("Ridge_Regression", train_of(rows), PAIR, {"alpha": [10.0]})
     loaded: PipelineModel = M.load_model(M.save_model(tuned, new_path(spark, "models")))
     return loaded.transform(rows).select("date", "prediction")
 
 
-@query("run_forecast")
+FORECAST_MODELS = ["Linear_Regression", "Ridge_Regression", "Random_Forest", "Gradient_Boosting"]
+
+
+@query(
+    "run_forecast",
+    f"""{EARLIER_SPLIT} SELECT model, split, COUNT(*) AS rows, {num('SUM(y)', 'actual')}, split = 'train' AS learned
+        FROM s, (SELECT UNNEST({FORECAST_MODELS}) AS model) q GROUP BY model, split""",
+    "long_daily",
+)
 def run_forecast(spark, folder):
-    """The comparison of models without the target of the day among the features."""
+    """The comparison of models, tuned, without the target of the day among the features.
+
+    ``learned``: the error on the training rows is below that of always guessing their mean.
+    """
     grids = {
         "Linear_Regression": {},
         "Ridge_Regression": V.MODEL_GRIDS["Ridge_Regression"],
-        "Random_Forest": {"n_estimators": [20], "max_depth": [5]},
-        "Gradient_Boosting": {"n_estimators": [10], "max_depth": [3]},
+        "Random_Forest": {"n_estimators": [10, 20], "max_depth": [5]},
+        "Gradient_Boosting": {"n_estimators": [5, 10], "max_depth": [3]},
     }
     forecast = P.run_forecast(W.stored_daily(spark, folder), grids, include_current=False)
-    return P.summary(forecast)["leaderboard"]
+    rows = settle(forecast.predictions, "predictions")
+    mean = rows.where("split = 'train'").agg(F.avg("actual")).first()[0]
+    plain = F.avg((F.col("actual") - mean) ** 2)
+    counts = rows.groupBy("model", "split").agg(F.count("*").alias("rows"), F.sum("actual").alias("actual"), plain.alias("plain"))
+    joined = counts.join(forecast.metrics, ["model", "split"])
+    learned = (F.col("mse") < F.col("plain")) & (F.col("split") == "train")
+    return joined.select("model", "split", "rows", "actual", learned.alias("learned"))

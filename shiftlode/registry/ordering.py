@@ -77,9 +77,9 @@ SHIFT_DAYS = """mine_days AS (SELECT mine_id, date, SUM(tons_extracted) AS tons
 @query(
     "lag_features_per_mine",
     f"""WITH {SHIFT_DAYS},
-        l AS (SELECT mine_id, date, LAG(tons, 1) OVER w AS lag_1, LAG(tons, 7) OVER w AS lag_7
+        l AS (SELECT mine_id, date, {', '.join(f'LAG(tons, {k}) OVER w AS lag_{k}' for k in V.LAGS)}
               FROM mine_days WINDOW w AS (PARTITION BY mine_id ORDER BY date))
-        SELECT {ints('mine_id')}, date, {nums('lag_1', 'lag_7')} FROM l""",
+        SELECT {ints('mine_id')}, date, {nums(*[f'lag_{k}' for k in V.LAGS])} FROM l""",
     "production_logs",
 )
 def lag_features_per_mine(spark, folder):
@@ -90,11 +90,11 @@ def lag_features_per_mine(spark, folder):
     )
     lagged = over_previous_rows(
         with_row_index(days, entity=["mine_id"]),
-        lambda w: {f"lag_{k}": F.lag("tons", k).over(w) for k in (1, 7)},
-        7,
+        lambda w: {f"lag_{k}": F.lag("tons", k).over(w) for k in V.LAGS},
+        max(V.LAGS),
         entity=["mine_id"],
     )
-    return lagged.select("mine_id", "date", "lag_1", "lag_7")
+    return lagged.select("mine_id", "date", *[f"lag_{k}" for k in V.LAGS])
 
 
 @query(

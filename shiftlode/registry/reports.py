@@ -1,18 +1,24 @@
 """Composite checks and reports."""
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
 from shiftlode import fixed_values as V
 from shiftlode.operators import quality, stats
 from shiftlode.plans import daily as D
 from shiftlode.plans import eda
 from shiftlode.plans import features as X
 from shiftlode.plans import validation as P
-from shiftlode.registry.aggregation import TREND_CASE, TREND_SQL, histogram_sql
+from shiftlode.registry.aggregation import TREND_CASE, TREND_SQL, histogram_sql, stats_sql
 from shiftlode.registry.base import num, nums, query
 from shiftlode.registry.columns import KEY_COLUMNS, LOG_INTS
 from shiftlode.registry.joining import outliers_sql
 from shiftlode.registry.ordering import CURRENT, EARLIER, LAG_SQL, WINDOW
 from shiftlode.registry.scans import DAILY, fixture_daily
-from shiftlode.session import settle
+from shiftlode.session import new_path, settle
+from shiftlode.sinks.tables import read_json_report, write_json
 from shiftlode.sources import views as W
 
 SINCE, UNTIL = "2024-01-01", "2024-02-06"
@@ -86,6 +92,12 @@ def checked_tables(spark, folder):
     }
 
 
+CHECKED_COLUMNS = {
+    "production_logs": ["date", "mine_id", "shift", "tons_extracted", "quality_grade"],
+    "equipment_sensors": ["timestamp", "equipment_id", "status", "fuel_consumption", "maintenance_alert"],
+    "weather_data": ["date", "latitude", "longitude", "temperature_mean", "precipitation_sum", "timezone"],
+    "daily_production_metrics": [name for name in V.DAILY_COLUMNS if name != "anomaly_flags"],
+}
 QUALITY_COLUMNS = [
     "table_name", "records_checked", "null_total", "out_of_range_total", "duplicate_counts", "anomaly_kinds",
     "quality_score", "recommendations",
@@ -94,12 +106,7 @@ QUALITY_COLUMNS = [
 
 def quality_counts_sql(name: str, since: str | None) -> str:
     rule = V.RULES[name]
-    columns = {
-        "production_logs": ["date", "mine_id", "shift", "tons_extracted", "quality_grade"],
-        "equipment_sensors": ["timestamp", "equipment_id", "status", "fuel_consumption", "maintenance_alert"],
-        "weather_data": ["date", "latitude", "longitude", "temperature_mean", "precipitation_sum", "timezone"],
-        "daily_production_metrics": [name for name in V.DAILY_COLUMNS if name != "anomaly_flags"],
-    }[name]
+    columns = CHECKED_COLUMNS[name]
     day = "CAST(timestamp AS DATE)" if rule["date_column"] == "timestamp" else "date"
     where = f"WHERE {day} >= DATE '{since}'" if since else ""
     out = [
@@ -140,11 +147,14 @@ CHECK_ROWS = f"""table_name, records_checked, null_total, out_of_range_total, du
 
 @query("table_quality", f"WITH {quality_sql(None)} SELECT {CHECK_ROWS} FROM checks", CHECKED_VIEWS)
 def table_quality(spark, folder):
-    parts = [quality.table_quality(df, name) for name, df in checked_tables(spark, folder).items()]
-    result = parts[0]
-    for part in parts[1:]:
-        result = result.unionByName(part)
-    return result.select(*QUALITY_COLUMNS)
+    return table_quality_rows(spark, folder).select(*QUALITY_COLUMNS)
+
+
+def table_quality_rows(spark, folder):
+    return reduce(
+        DataFrame.unionByName,
+        [quality.table_quality(df, name) for name, df in checked_tables(spark, folder).items()],
+    )
 
 
 @query("table_quality_since", f"WITH {quality_sql(SINCE)} SELECT {CHECK_ROWS} FROM checks", CHECKED_VIEWS)
@@ -154,11 +164,11 @@ def table_quality_since(spark, folder):
 
 @query(
     "recommendations",
-    f"WITH {quality_sql(None)} SELECT recommendations FROM checks WHERE table_name = 'equipment_sensors'",
+    f"WITH {quality_sql(None)} SELECT table_name, recommendations FROM checks",
     CHECKED_VIEWS,
 )
 def recommendations(spark, folder):
-    return quality.table_quality(W.equipment_sensors(spark, folder), "equipment_sensors").select("recommendations")
+    return table_quality_rows(spark, folder).select("table_name", "recommendations")
 
 
 RECENT = """recent AS (SELECT * FROM {table} WHERE date >= (SELECT MAX(date) FROM {table}) - 30)"""
@@ -168,11 +178,12 @@ OUTLIERS = f"""SELECT date, metric, {nums('value')}, PRINTF('%.2f - %.2f', lo, h
 
 @query(
     "production_anomalies",
-    f"WITH {RECENT.format(table='daily_metrics')}, {outliers_sql('recent')} {OUTLIERS}",
-    "daily_metrics",
+    f"WITH {RECENT.format(table='long_daily').replace('- 30', '- 365')}, {outliers_sql('recent')} {OUTLIERS}",
+    "long_daily",
 )
 def production_anomalies(spark, folder):
-    return P.production_anomalies(settle(fixture_daily(spark, folder), "daily"))["outliers"]
+    """Outliers of the last year of the long series."""
+    return P.production_anomalies(W.stored_daily(spark, folder), days=365)["outliers"]
 
 
 @query(
@@ -185,24 +196,86 @@ def production_anomalies_long(spark, folder):
     return P.production_anomalies(W.stored_daily(spark, folder), days=1500)["outliers"]
 
 
-@query(
-    "threshold_alerts",
-    f"""WITH {TREND_SQL.format(table='daily_metrics')},
-        a AS (SELECT AVG(total_production_daily) AS m, STDDEV_SAMP(total_production_daily) AS s FROM daily_metrics),
-        l AS (SELECT * FROM daily_metrics WHERE date = (SELECT MAX(date) FROM daily_metrics))
-        SELECT CONCAT_WS(',',
+ALERTS = f"""SELECT CONCAT_WS(',',
           CASE WHEN l.total_production_daily < m - 2 * s THEN PRINTF('Production significantly below average: %.2f tons',
             l.total_production_daily) END,
           CASE WHEN l.average_quality_grade < 3.0 THEN PRINTF('Poor coal quality detected: %.1f', l.average_quality_grade) END,
           CASE WHEN l.equipment_utilization < 50 THEN PRINTF('Low equipment utilization: %.1f%%', l.equipment_utilization) END,
           CASE WHEN {TREND_CASE} = 'declining' THEN 'Declining production trend detected over the analysis period' END
-        ) AS alerts FROM l, a, u""",
+        ) AS alerts FROM l, a, u"""
+
+
+@query(
+    "threshold_alerts",
+    f"""WITH {TREND_SQL.format(table='daily_metrics')},
+        a AS (SELECT AVG(total_production_daily) AS m, STDDEV_SAMP(total_production_daily) AS s FROM daily_metrics),
+        l AS (SELECT * FROM daily_metrics WHERE date = (SELECT MAX(date) FROM daily_metrics))
+        {ALERTS}""",
     "daily_metrics",
 )
 def threshold_alerts(spark, folder):
     return stats.threshold_alerts(settle(fixture_daily(spark, folder), "daily"))
 
 
+@query(
+    "production_statistics_long",
+    f"""WITH {RECENT.format(table='long_daily').replace('- 30', '- 1500')}, a AS ({stats_sql('recent', V.METRICS)})
+        SELECT metric, {nums('mean', 'std', 'q1', 'q3')}, {num('q3 - q1', 'iqr')} FROM a""",
+    "long_daily",
+)
+def production_statistics_long(spark, folder):
+    """The statistics section of the anomaly analysis."""
+    found = P.production_anomalies(W.stored_daily(spark, folder), days=1500)["statistics"]
+    return found.select("metric", "mean", "std", "q1", "q3", "iqr")
+
+
+@query(
+    "production_alerts",
+    f"""WITH recent AS (SELECT * FROM daily_metrics WHERE date >= (SELECT MAX(date) FROM daily_metrics) - 30),
+        {TREND_SQL.format(table='recent')},
+        a AS (SELECT AVG(total_production_daily) AS m, STDDEV_SAMP(total_production_daily) AS s FROM recent),
+        l AS (SELECT * FROM recent WHERE date = (SELECT MAX(date) FROM recent))
+        {ALERTS}""",
+    "daily_metrics",
+)
+def production_alerts(spark, folder):
+    """The alerts section of the anomaly analysis."""
+    return P.production_anomalies(settle(fixture_daily(spark, folder), "daily"))["alerts"]
+
+
+def quality_entries_sql() -> str:
+    """One row per table, kind of finding and column."""
+    parts = []
+    for name, rule in V.RULES.items():
+        for column in [c for c in CHECKED_COLUMNS[name]]:
+            parts.append(f"SELECT '{name}' AS table_name, 'null' AS kind, '{column}' AS column_name, COUNT(*) - COUNT({column}) AS found, '' AS expected FROM {name}")
+        for column, (low, high) in rule["ranges"].items():
+            test = f"COUNT(*) FILTER (WHERE {column} < {low} OR {column} > {high})"
+            parts.append(f"SELECT '{name}', 'range', '{column}', {test}, '' FROM {name}")
+            parts.append(f"SELECT '{name}', 'out_of_range', '{column}', {test}, '{low}-{high}' FROM {name}")
+        for column, values in rule["allowed"].items():
+            test = f"COUNT(*) FILTER (WHERE {column} IS NULL OR {column} NOT IN ({', '.join(repr(v) for v in values)}))"
+            parts.append(f"SELECT '{name}', 'invalid_values', '{column}', {test}, '{','.join(values)}' FROM {name}")
+    return "SELECT * FROM (" + "\nUNION ALL ".join(parts) + ") e WHERE found > 0"
+
+
+@query("table_quality_entries", quality_entries_sql(), CHECKED_VIEWS)
+def table_quality_entries(spark, folder):
+    """The maps and the list of anomalies of the quality checks, one row per entry."""
+    return quality_entries(table_quality_rows(spark, folder))
+
+
+def quality_entries(rows: DataFrame) -> DataFrame:
+    def counts(kind: str, name: str) -> DataFrame:
+        entries = rows.select("table_name", F.explode(name).alias("column_name", "found"))
+        return entries.select("table_name", F.lit(kind).alias("kind"), "column_name", "found", F.lit("").alias("expected"))
+
+    anomaly = rows.select("table_name", F.explode("anomalies").alias("a"))
+    expected = F.coalesce("a.expected_range", F.array_join("a.allowed_values", ","))
+    listed = anomaly.select("table_name", F.col("a.type").alias("kind"), F.col("a.column").alias("column_name"), F.col("a.count").alias("found"), expected.alias("expected"))
+    return counts("null", "null_counts").unionByName(counts("range", "out_of_range_counts")).unionByName(listed)
+
+
 COMPLETENESS = f"""d AS (SELECT CAST(UNNEST(GENERATE_SERIES(DATE '{SINCE}', DATE '{UNTIL}', INTERVAL 1 DAY)) AS DATE) AS date),
     g AS (SELECT STRING_AGG(STRFTIME(date, '%Y-%m-%d'), ',' ORDER BY date) AS missing, COUNT(*) AS k FROM d
           WHERE date NOT IN (SELECT date FROM weather_data)),
@@ -240,6 +313,44 @@ def validation_report(spark, folder):
     return P.validation_report(checked_tables(spark, folder), SINCE, UNTIL)["overall"]
 
 
+@query(
+    "validation_document",
+    f"""WITH {quality_sql(SINCE)}, e AS (SELECT table_name, quality_score FROM checks)
+        SELECT 'table_validations' AS section, table_name AS name, {num('quality_score', 'value')} FROM checks
+        UNION ALL SELECT 'overall_assessment', 'average_quality_score', {num('AVG(quality_score)', 'value')} FROM checks
+        UNION ALL SELECT 'overall_assessment', 'critical_issues', {num('COUNT(*) FILTER (WHERE quality_score < 70)', 'value')} FROM checks
+        UNION ALL SELECT 'statistical_summary', metric, {num('mean', 'value')}
+          FROM ({stats_sql('(SELECT * FROM daily_metrics WHERE date >= (SELECT MAX(date) FROM daily_metrics) - 30)', V.METRICS)}) a
+        UNION ALL SELECT 'weather_completeness', 'actual_days', {num('COUNT(DISTINCT date)', 'value')} FROM weather_data
+          WHERE date >= DATE '{SINCE}' AND date <= DATE '{UNTIL}'
+        UNION ALL SELECT 'errors', table_name, {num('0', 'value')} FROM checks""",
+    CHECKED_VIEWS + " daily_metrics",
+)
+def validation_document(spark, folder):
+    """The report, stored as JSON, read back and taken apart."""
+    path = new_path(spark, "validation")
+    document = P.report_document(P.validation_report(checked_tables(spark, folder), SINCE, UNTIL))
+    write_json(document, path)
+    stored = settle(read_json_report(spark, path, document.schema), "document")
+
+    def rows(section: str, source: str, name: str, value) -> DataFrame:
+        inner = stored.select(F.explode(source).alias("r"))
+        return inner.select(F.lit(section).alias("section"), F.col(f"r.{name}").alias("name"), value.cast("double").alias("value"))
+
+    def one(section: str, name: str) -> DataFrame:
+        return stored.select(F.lit(section).alias("section"), F.lit(name).alias("name"), F.col(f"{section}.{name}").cast("double").alias("value"))
+
+    parts = [
+        rows("table_validations", "table_validations", "table_name", F.col("r.quality_score")),
+        one("overall_assessment", "average_quality_score"),
+        one("overall_assessment", "critical_issues"),
+        rows("statistical_summary", "anomaly_analysis.statistical_summary", "metric", F.col("r.mean")),
+        one("weather_completeness", "actual_days"),
+        rows("errors", "table_validations", "table_name", F.size("r.errors")),
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
 FEATURES = X.feature_names()
 INT_FEATURES = [
     "year", "month", "day", "day_of_year", "week_of_year", "day_of_week", "is_weekend", "high_precipitation", "time_index",

@@ -39,22 +39,81 @@ def fixture_daily(spark, folder) -> DataFrame:
     "production_logs",
 )
 def scan_insert_dump(spark, folder):
-    """The shift records are written as a dump and read back."""
+    """The shift records are written as a dump with every kind of statement and read back."""
     path = new_path(spark, "dump")
-    dump.insert_lines(typed_logs(spark, folder), "production_logs").write.text(path)
+    dump_text(typed_logs(spark, folder), "production_logs").write.text(path)
+    return dump.read_production_logs(spark, path)
+
+
+def dump_text(df: DataFrame, table: str) -> DataFrame:
+    """Statements of a table: two on a line, over several lines, with comments, with several rows."""
+    line = dump.insert_lines(df, table).select("value", F.pmod(F.xxhash64("value"), F.lit(5)).alias("kind"))
+    value, kind = F.col("value"), F.col("kind")
+    again = F.regexp_replace(value, r"^.*?VALUES (.*);$", ", $1;")
+    other = F.lit(f" INSERT INTO other_{table} (text) VALUES ('a; b (c)'); ")
+    return line.select(
+        F.when(kind == 0, F.concat(other, value))
+        .when(kind == 1, F.concat(value, F.lit(" -- it's a record; INSERT INTO")))
+        .when(kind == 2, F.regexp_replace(value, " VALUES ", "\n  VALUES\n  "))
+        .when(kind == 3, F.concat(F.lit("/* ; ( ' */ "), value, other))
+        .otherwise(value)
+        .alias("value")
+    ).withColumn("value", F.coalesce("value", again))
+
+
+@query(
+    "dump_several_rows",
+    f"SELECT date, {ints('mine_id')}, shift, {nums('tons_extracted', 'quality_grade')} FROM production_logs",
+    "production_logs",
+)
+def dump_several_rows(spark, folder):
+    """All records of a day and mine as one statement with several rows."""
+    path = new_path(spark, "dump")
+    rows = F.regexp_extract(F.col("value"), r"VALUES (.*);$", 1)
+    logs = typed_logs(spark, folder)
+    lines = dump.insert_lines(logs, "production_logs").select(rows.alias("row"))
+    grouped = lines.groupBy(F.pmod(F.xxhash64("row"), F.lit(997)).alias("part")).agg(F.collect_list("row").alias("rows"))
+    head = f"INSERT INTO production_logs ({', '.join(logs.columns)}) VALUES\n"
+    grouped.select(F.concat(F.lit(head), F.array_join("rows", ",\n"), F.lit(";")).alias("value")).write.text(path)
     return dump.read_production_logs(spark, path)
 
 
+@query(
+    "dump_rejects",
+    """SELECT 'production_logs' AS table_name, CAST(mine_id % 3 AS BIGINT) AS kind, COUNT(*) AS records
+       FROM production_logs WHERE mine_id % 7 = 0 GROUP BY mine_id % 3""",
+    "production_logs",
+)
+def dump_rejects(spark, folder):
+    """Every record of the mines 0, 7, 14, ... is broken: no date, a value too few, or a text for tons."""
+    path = new_path(spark, "dump")
+    logs = typed_logs(spark, folder)
+    lines = dump.insert_lines(logs.select("*", F.col("mine_id").alias("hurt")), "production_logs")
+    value, hurt = F.regexp_replace("value", ", hurt\\)", ")"), F.regexp_extract("value", r", (\d+)\);$", 1).cast("int")
+    value = F.regexp_replace(value, r", \d+\);$", ");")
+    broken = (
+        F.when(hurt % 3 == 0, F.regexp_replace(value, r"\('\d{4}", "('day"))
+        .when(hurt % 3 == 1, F.regexp_replace(value, r", [^,]*\);$", ");"))
+        .otherwise(F.regexp_replace(value, r"('(?:Day|Night)', )[^,]*", "$1'many'"))
+    )
+    lines.select(F.when(hurt % 7 == 0, broken).otherwise(value).alias("value")).write.text(path)
+    found = dump.rejects(dump.production_records(spark, path), "production_logs")
+    kind = F.when(F.col("record").contains("'day"), 0).when(F.col("record").contains("'many'"), 2).otherwise(1)
+    return found.groupBy("table_name", kind.alias("kind")).agg(F.count("*").alias("records"))
+
+
 @query(
     "scan_insert_dump_mines",
     f"""SELECT {ints('mine_id')}, mine_code, mine_name, location || ', d''Or' AS location, operational_status
-        FROM mines""",
-    "mines",
+        FROM all_mines""",
+    "all_mines",
 )
 def scan_insert_dump_mines(spark, folder):
     """Text with a comma and a quote has to come back whole."""
-    mines = W.mines(spark, folder).withColumn("location", F.concat("location", F.lit(", d'Or")))
-    return dump.parse_inserts(dump.insert_lines(mines, "mines"), "mines", schemas.MINES)
+    path = new_path(spark, "dump")
+    mines = W.all_mines(spark, folder).withColumn("location", F.concat("location", F.lit(", d'Or")))
+    dump.insert_lines(mines, "mines").write.text(path)
+    return dump.read_mines(spark, path)
 
 
 @query(
@@ -75,7 +134,9 @@ WEATHER = f"date, {nums('latitude', 'longitude', 'temperature_mean', 'precipitat
 
 @query("scan_weather_json", f"SELECT {WEATHER} FROM weather_data", "weather_data")
 def scan_weather_json(spark, folder):
-    return files.parse_payloads(files.payload_lines(W.weather_data(spark, folder)))
+    path = new_path(spark, "payloads")
+    files.payload_lines(W.weather_data(spark, folder)).write.text(path)
+    return files.read_weather_payloads(spark, path)
 
 
 @query(
@@ -118,12 +179,13 @@ SOURCE_TABLES = ["mines", "production_logs", "equipment_sensors", "weather_data"
 
 
 def source_tables(spark, folder) -> dict[str, DataFrame]:
-    return {name: getattr(W, name)(spark, folder) for name in SOURCE_TABLES}
+    tables = {name: getattr(W, name)(spark, folder) for name in SOURCE_TABLES}
+    return {**tables, "mines": W.all_mines(spark, folder)}
 
 
 _COLUMN_ROWS = "\nUNION ALL ".join(
     f"SELECT '{table}' AS table_name, CAST({position} AS BIGINT) AS position, '{field.name}' AS column_name, "
-    f"COUNT({field.name}) AS filled FROM {table}"
+    f"COUNT({field.name}) AS filled FROM {'all_mines' if table == 'mines' else table}"
     for table, schema in [
         ("mines", schemas.MINES),
         ("production_logs", schemas.PRODUCTION_LOGS),
@@ -134,7 +196,7 @@ _COLUMN_ROWS = "\nUNION ALL ".join(
 )
 
 
-@query("table_columns", _COLUMN_ROWS, "mines production_logs equipment_sensors weather_data")
+@query("table_columns", _COLUMN_ROWS, "all_mines production_logs equipment_sensors weather_data")
 def table_columns(spark, folder):
     """Columns and positions of the source tables with the number of filled values."""
     tables = source_tables(spark, folder)
@@ -202,7 +264,7 @@ def write_full_refresh(spark, folder):
 def append_quality_log(spark, folder):
     path = new_path(spark, "quality-log")
     K.append_quality_log(D.cleaning_issues(W.production_logs(spark, folder)), path)
-    return spark.read.schema(schemas.DATA_QUALITY_LOG).parquet(path).drop("timestamp")
+    return spark.read.schema(schemas.DATA_QUALITY_LOG).parquet(path).drop("id", "timestamp")
 
 
 SUMMARY = f"""SELECT MIN(date) AS first_date, MAX(date) AS last_date, COUNT(*) AS days,
@@ -245,17 +307,17 @@ def refresh_order(spark, folder):
 
 @query(
     "generated_columns",
-    """SELECT COUNT(*) AS rows, CAST(1 AS BIGINT) AS first_id, COUNT(*) AS last_id, COUNT(*) AS distinct_ids,
+    """SELECT COUNT(*) AS rows, CAST(1 AS BIGINT) AS first_id, COUNT(*) AS filled_ids, COUNT(*) AS distinct_ids,
          COUNT(*) AS stamped FROM production_logs""",
     "production_logs",
 )
 def generated_columns(spark, folder):
-    """Ids 1..n over all shift records, each once, and a time of writing."""
+    """Stored ids of all shift records, each once, and a time of writing."""
     numbered = K.with_created_at(K.with_generated_id(W.production_logs(spark, folder), "log_id"))
-    return numbered.agg(
+    return K.full_refresh(numbered, new_path(spark, "numbered")).agg(
         F.count("*").alias("rows"),
         F.min("log_id").alias("first_id"),
-        F.max("log_id").alias("last_id"),
+        F.count("log_id").alias("filled_ids"),
         F.count_distinct("log_id").alias("distinct_ids"),
         F.count("created_at").alias("stamped"),
     )

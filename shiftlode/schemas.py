@@ -57,6 +57,7 @@ DAILY_PRODUCTION_METRICS = _schema(
 )
 
 DATA_QUALITY_LOG = _schema(
+    ("id", T.LongType()),
     ("timestamp", T.TimestampNTZType()),
     ("table_name", T.StringType()),
     ("anomaly_type", T.StringType()),

@@ -1,12 +1,15 @@
 """Writing tables, the quality log, reports and generated columns."""
 
+import json
 import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-from shiftlode.session import settle
+CURRENT = "slot string, number long, schema string"
 
 
 def full_refresh(
@@ -14,30 +17,46 @@ def full_refresh(
 ) -> DataFrame:
     """Replace the whole table at ``path`` and return it as stored.
 
-    The new table is written beside the old one, once, and takes its place when it is
-    complete: a failing calculation leaves the old table as it was, and a plan that reads
-    the old table may write the new one. Partitioned tables are rebalanced first, which
-    gives few files per partition and splits a partition that is much larger than others.
+    A table has two slots and a list of its versions. The new version is written, once, to
+    the slot that is not in use; when it is complete one row is appended to the list. A reader
+    (:func:`read_table`) takes the newest version of the list, so it sees the old table or the new
+    one, never none; a failing calculation leaves the old one as it was, and a plan that reads
+    the old table may write the new one. What a broken run has left in a slot is replaced by the next
+    refresh. No files are renamed, which an object store would do by copying them. Partitioned
+    tables are rebalanced first, which gives few files per partition and splits a partition
+    that is much larger than others.
+
+    A plan over a version can be run until the second refresh after it.
     """
-    spark = df.sparkSession
-    staging = f"{path.rstrip('/')}.new-{uuid.uuid4().hex}"
+    spark, path = df.sparkSession, path.rstrip("/")
+    used, number = _current(spark, path)
+    slot = "slot-b" if used == "slot-a" else "slot-a"
     rows = df.hint("rebalance", *partition_by) if partition_by else df
-    rows.write.format(fmt).partitionBy(*partition_by).save(staging)
-    _replace(spark, staging, path.rstrip("/"))
-    return spark.read.format(fmt).schema(df.schema).load(path).select(*df.columns)
+    rows.write.format(fmt).partitionBy(*partition_by).mode("overwrite").save(f"{path}/{slot}")
+    entry = spark.createDataFrame([(slot, number + 1, df.schema.json())], CURRENT)
+    entry.coalesce(1).write.mode("append").parquet(f"{path}/versions")
+    return read_table(spark, path, fmt)
+
 
+def _current(spark: SparkSession, path: str) -> tuple[str | None, int]:
+    """Slot and number of the newest version; no slot and 0 before the first."""
+    try:
+        newest = spark.read.schema(CURRENT).parquet(f"{path}/versions").agg(F.max_by("slot", "number"), F.max("number"))
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
+            return None, 0
+        raise
+    slot, number = newest.first()
+    return slot, number or 0
 
-def _replace(spark: SparkSession, staging: str, path: str) -> None:
-    """Rename ``staging`` to ``path``; what was there before is removed last."""
-    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
-    new, target, old = (hadoop.Path(name) for name in (staging, path, f"{staging}-old"))
-    files = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if files.exists(target) and not files.rename(target, old):
-        raise OSError(f"cannot move the old table away from {path}")
-    if not files.rename(new, target):
-        files.rename(old, target)
-        raise OSError(f"cannot put the new table at {path}")
-    files.delete(old, True)
+
+def read_table(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
+    """The newest version of a table written by :func:`full_refresh`."""
+    path = path.rstrip("/")
+    versions = spark.read.schema(CURRENT).parquet(f"{path}/versions")
+    slot, schema = versions.agg(F.max_by("slot", "number"), F.max_by("schema", "number")).first()
+    fields = StructType.fromJson(json.loads(schema))
+    return spark.read.format(fmt).schema(fields).load(f"{path}/{slot}").select(*fields.names)
 
 
 def refresh_tables(
@@ -49,9 +68,17 @@ def refresh_tables(
 
 
 def append_quality_log(issues: DataFrame, path: str) -> None:
-    """Append issue rows with the time of writing to the quality log."""
-    stamped = issues.select(F.localtimestamp().alias("timestamp"), *issues.columns)
-    stamped.coalesce(1).write.mode("append").parquet(path)
+    """Append issue rows with an id and the time of writing to the quality log.
+
+    An id is the hash of a name that no other append uses and the place of the row, so
+    that appends need not read the log.
+    """
+    run = uuid.uuid4().hex
+    number = F.xxhash64(F.lit(run), F.monotonically_increasing_id()).bitwiseAND(F.lit((1 << 62) - 1))
+    stamped = issues.coalesce(1).select(
+        number.alias("id"), F.localtimestamp().alias("timestamp"), *issues.columns
+    )
+    stamped.write.mode("append").parquet(path)
 
 
 def write_json(df: DataFrame, path: str) -> None:
@@ -59,34 +86,14 @@ def write_json(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("ignoreNullFields", "false").json(path)
 
 
-def with_generated_id(df: DataFrame, name: str = "id", gaps: bool = False) -> DataFrame:
-    """Add ids 1, 2, 3, ... without gaps and without bringing the rows together.
+def with_generated_id(df: DataFrame, name: str = "id") -> DataFrame:
+    """Add ids from 1 on that are unique and grow with the order of the rows, with gaps.
 
-    Where gaps do no harm, ``gaps=True`` costs nothing but the id itself. Otherwise
-    ``monotonically_increasing_id`` holds the partition in its upper bits and the row
-    number within the partition in its lower 33 bits. The rows are written with it once,
-    so a recomputed partition cannot number them differently; the rows per partition
-    then give each partition its offset. The offset table has one row per partition and is
-    written too: the planner sees how small it is and joins without moving the rows.
+    The id is made in the one write of the table, without a shuffle or a copy. It holds the
+    number of the task in its upper bits. Store the table before it is read again: a plan that is
+    run twice may number its rows differently.
     """
-    if gaps:
-        return df.select((F.monotonically_increasing_id() + 1).alias(name), "*")
-    row_bits = 33
-    stored = settle(df.withColumn("_mid", F.monotonically_increasing_id()), "ids")
-    part = F.shiftright("_mid", row_bits)
-    earlier = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = settle(
-        stored.groupBy(part.alias("_part"))
-        .agg(F.count("*").alias("_rows"))
-        .select("_part", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_offset")),
-        "id-offsets",
-    )
-    number = F.col("_mid").bitwiseAND(F.lit((1 << row_bits) - 1)) + F.col("_offset") + 1
-    return (
-        stored.withColumn("_part", part)
-        .join(offsets, "_part")
-        .select(number.alias(name), *df.columns)
-    )
+    return df.select((F.monotonically_increasing_id() + 1).alias(name), "*")
 
 
 def with_created_at(df: DataFrame, name: str = "created_at") -> DataFrame:

@@ -1,4 +1,10 @@
-"""Records from a dump of single-row INSERT statements, one statement per line."""
+"""Records from a dump of INSERT statements.
+
+The text is read in pieces that end with a semicolon and a line end, so large dumps are
+read by many tasks. A piece may hold comments and several statements. It is cut at the
+semicolons outside of quotes; a statement may run over lines and insert several rows. What is
+an INSERT into the wanted table but cannot be read in full is kept as a reject with its text.
+"""
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -7,34 +13,79 @@ from pyspark.sql import types as T
 from shiftlode import schemas
 from shiftlode.functions.scalars import as_double
 
-# The options under which the values of a statement read as one CSV record.
+STATEMENT_END = ";\n"
+
+# Grammar of the statements: a quoted text doubles its quotes, a name may be quoted.
+QUOTED = "'(?:[^']++|'')*+'"
+COMMENT = r"--[^\n]*+|/\*(?s:.*?)\*/"
+STATEMENT = rf"((?:[^';]++|{QUOTED}|'(?:[^']++|'')*+$)++)"
+ROW = rf"\(((?:[^'()]++|{QUOTED})*+)\)"
+
+# Options under which the values of a row read as one CSV record.
 VALUE_OPTIONS = {
     "quote": "'",
     "escape": "'",
     "ignoreLeadingWhiteSpace": "true",
     "ignoreTrailingWhiteSpace": "true",
     "nullValue": "NULL",
+    "mode": "PERMISSIVE",
+    "columnNameOfCorruptRecord": "_reject",
 }
 
 
-def statement_pattern(table: str) -> str:
-    return rf"^\s*INSERT INTO {table} \([^)]+\) VALUES \((.*)\);\s*$"
+def read_statements(spark: SparkSession, path: str, end: str = STATEMENT_END) -> DataFrame:
+    """The text in pieces that end with ``end`` (``";\\r\\n"`` for other line ends)."""
+    return spark.read.option("lineSep", end).text(path)
 
 
-def parse_inserts(lines: DataFrame, table: str, schema: T.StructType) -> DataFrame:
-    """Typed rows from the statements for ``table`` in the ``value`` column of ``lines``.
+def insert_statements(pieces: DataFrame, table: str) -> DataFrame:
+    """``statement``: the text of every INSERT into ``table``, without comments."""
+    bare = F.regexp_replace("value", rf"({QUOTED})|{COMMENT}", "$1")
+    parts = F.regexp_extract_all(bare, F.lit(STATEMENT), F.lit(1))
+    head = rf'(?is)^\s*INSERT\s+INTO\s+"?{table}"?\s*[( ].*'
+    return (
+        pieces.where(F.lower("value").contains(table.lower()))
+        .select(F.explode(parts).alias("statement"))
+        .where(F.col("statement").rlike(head))
+    )
+
 
-    Commas and doubled quotes inside quoted text belong to the text. Exploding the match
-    drops all other lines and keeps the pattern from being evaluated again by a filter.
+def parse_records(pieces: DataFrame, table: str, schema: T.StructType) -> DataFrame:
+    """The fields of ``schema`` of every row of every INSERT into ``table``, and ``_reject``:
+    the text of what could not be read, NULL for good rows.
+
+    The columns are those that the statement names, in its order; without names they are
+    the columns of the schema. A row with another number of values or with a value
+    that does not fit its type is a reject as a whole.
     """
-    values = F.explode(F.regexp_extract_all("value", F.lit(statement_pattern(table)), F.lit(1)))
     ddl = ", ".join(f"`{field.name}` {field.dataType.simpleString()}" for field in schema)
-    return (
-        lines.where(F.col("value").contains(f"INSERT INTO {table} "))
-        .select(values.alias("_values"))
-        .select(F.from_csv("_values", ddl, VALUE_OPTIONS).alias("_row"))
-        .select("_row.*")
+    whole = rf'(?is)^\s*INSERT\s+INTO\s+"?{table}"?\s*(?:\(([^)\']*)\))?\s*VALUES\s*({ROW}(?:\s*,\s*{ROW})*+)\s*$'
+    found = insert_statements(pieces, table).select(
+        "statement",
+        F.regexp_replace(F.lower(F.regexp_extract("statement", whole, 1)), r'[\s"]', "").alias("_names"),
+        F.regexp_extract("statement", whole, 2).alias("_rows"),
     )
+    names = F.lit(",".join(field.name for field in schema))
+    known = (F.col("_names") == "") | (F.col("_names") == names)
+    values = F.when(known & (F.col("_rows") != ""), F.regexp_extract_all("_rows", F.lit(ROW), F.lit(1)))
+    rows = found.select("statement", F.explode_outer(values).alias("_values"))
+    parsed = rows.select("statement", "_values", F.from_csv("_values", f"{ddl}, _reject string", VALUE_OPTIONS).alias("_row"))
+    reject = F.when(F.col("_values").isNull(), F.col("statement")).otherwise(F.col("_row._reject"))
+    return parsed.select(*[F.col(f"_row.{field.name}") for field in schema], reject.alias("_reject"))
+
+
+def accepted(records: DataFrame) -> DataFrame:
+    return records.where("_reject IS NULL").drop("_reject")
+
+
+def rejects(records: DataFrame, table: str) -> DataFrame:
+    """table_name and text of what could not be read."""
+    return records.where("_reject IS NOT NULL").select(F.lit(table).alias("table_name"), F.col("_reject").alias("record"))
+
+
+def parse_inserts(pieces: DataFrame, table: str, schema: T.StructType) -> DataFrame:
+    """Typed rows from the statements for ``table`` in the ``value`` column of ``pieces``."""
+    return accepted(parse_records(pieces, table, schema))
 
 
 def insert_lines(df: DataFrame, table: str) -> DataFrame:
@@ -51,13 +102,21 @@ def insert_lines(df: DataFrame, table: str) -> DataFrame:
     return df.select(F.concat(F.lit(head), values, F.lit(");")).alias("value"))
 
 
-def read_mines(spark: SparkSession, path: str) -> DataFrame:
-    return parse_inserts(spark.read.text(path), "mines", schemas.MINES)
+def mine_records(spark: SparkSession, path: str) -> DataFrame:
+    return parse_records(read_statements(spark, path), "mines", schemas.MINES)
 
 
-def read_production_logs(spark: SparkSession, path: str) -> DataFrame:
-    """Shift records as doubles, the type all calculations use."""
-    logs = parse_inserts(spark.read.text(path), "production_logs", schemas.PRODUCTION_LOGS)
-    return logs.withColumns(
+def production_records(spark: SparkSession, path: str) -> DataFrame:
+    """Shift records as doubles, the type all calculations use, with ``_reject``."""
+    records = parse_records(read_statements(spark, path), "production_logs", schemas.PRODUCTION_LOGS)
+    return records.withColumns(
         {name: as_double(F.col(name)) for name in ("tons_extracted", "quality_grade")}
     )
+
+
+def read_mines(spark: SparkSession, path: str) -> DataFrame:
+    return accepted(mine_records(spark, path))
+
+
+def read_production_logs(spark: SparkSession, path: str) -> DataFrame:
+    return accepted(production_records(spark, path))

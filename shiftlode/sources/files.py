@@ -8,6 +8,8 @@ from shiftlode import fixed_values as V
 from shiftlode import schemas
 from shiftlode.functions.scalars import as_double, source_kind
 
+MONTH = "stored_month"
+
 
 def read_sensor_csv(spark: SparkSession, path: str) -> DataFrame:
     """Header CSV. Every column is read as text and cast with ``try_cast``, so one bad
@@ -111,13 +113,21 @@ def with_source_kind(days: DataFrame, as_of: str) -> DataFrame:
 
 def scan_since(df: DataFrame, since: str | None, column: str = "date") -> DataFrame:
     """Rows from a day on. The column is compared as it is stored, so the filter reaches
-    the file scan; midnight of the day is the same bound for a timestamp."""
+    the file scan; midnight of the day is the same bound for a timestamp. Tables that are
+    stored by month skip the folders before."""
     if since is None:
         return df
     kind = df.schema[column].dataType
+    if MONTH in df.columns:
+        df = df.where(F.col(MONTH) >= since[:7])
     return df.where(F.col(column) >= F.lit(since).cast(kind))
 
 
+def with_month(df: DataFrame, column: str = "timestamp") -> DataFrame:
+    """The month as text, to store a table by."""
+    return df.withColumn(MONTH, F.date_format(column, "yyyy-MM"))
+
+
 def scan_columns(df: DataFrame, *columns: str) -> DataFrame:
     return df.select(*columns)
 

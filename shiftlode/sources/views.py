@@ -1,7 +1,8 @@
 """The warehouse tables derived from the TPC-H-like driver tables.
 
 The driver tables have no mines, shifts or weather, so each warehouse table is a view
-over one of them. Every view reads its whole table.
+over one of them. Every view reads its whole table, but for ``mines``, which leaves out
+every tenth mine so that there are records without a mine; ``all_mines`` has them all.
 """
 
 from pyspark.sql import DataFrame, SparkSession
@@ -23,8 +24,12 @@ def _day(key: str, days: int):
 
 
 def mines(spark: SparkSession, folder: str) -> DataFrame:
+    return all_mines(spark, folder).where(F.col("mine_id") % 10 != 0)
+
+
+def all_mines(spark: SparkSession, folder: str) -> DataFrame:
     key = F.col("s_suppkey")
-    return table(spark, folder, "supplier").where(key % 10 != 0).select(
+    return table(spark, folder, "supplier").select(
         key.cast("int").alias("mine_id"),
         F.concat(F.lit("MINE"), key.cast("string")).alias("mine_code"),
         F.col("s_name").alias("mine_name"),

@@ -35,6 +35,18 @@ def series(spark, frame):
     ).repartition(5)
 
 
+def test_rows_without_a_date_are_kept(spark):
+    rows = [(dt.date(2024, 1, d), float(d)) for d in range(1, 6)] + [(None, 7.0), (None, None)]
+    df = spark.createDataFrame(rows, f"date date, {T} double")
+    indexed = with_row_index(df)
+    lagged = over_previous_rows(indexed, lambda w: lag_columns(w, lags=(1,)), 1, block_rows=2).collect()
+    got = sorted((r["date"] is None, r["date"], r["time_index"], r[f"{T}_lag_1"]) for r in lagged if r["date"])
+    assert [r[2:] for r in got] == [(0, None), (1, 1.0), (2, 2.0), (3, 3.0), (4, 4.0)]
+    assert [(r["time_index"], r[f"{T}_lag_1"]) for r in lagged if r["date"] is None] == [(None, None)] * 2
+    filled = forward_fill(df, {T: 9.0}).where("date IS NULL").collect()
+    assert sorted(r[T] for r in filled) == [7.0, 9.0]
+
+
 def test_index_without_entity(spark, series, frame):
     one = series.where("entity = 'a'")
     got = with_row_index(one).orderBy("date").toPandas()

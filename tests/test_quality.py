@@ -53,14 +53,13 @@ def test_duplicates_of_whole_rows(spark):
     assert Q.duplicate_count(rows.limit(0)).first()[0] == 0
 
 
-@pytest.mark.parametrize("broadcast_keys", [0, 1000])
 @pytest.mark.parametrize("salts", [1, 4, 64])
-def test_duplicate_flags_with_a_hot_key(spark, salts, broadcast_keys):
+def test_duplicate_flags_with_a_hot_key(spark, salts):
     """One key, the missing one, holds half of the rows and many keys occur once;
     exactly one row per key is not a duplicate."""
     key = F.when(F.col("id") % 2 == 1, F.when(F.col("id") < 1000, F.col("id") % 50).otherwise(F.col("id")))
     rows = spark.range(0, 2000, 1, 8).select(key.alias("k"), "id")
-    flagged = Q.duplicate_flags(rows, ["k"], ["id"], broadcast_keys, salts).toPandas().fillna({"k": -1})
+    flagged = Q.duplicate_flags(rows, ["k"], ["id"], salts).toPandas().fillna({"k": -1})
     firsts = flagged[~flagged.is_duplicate].set_index("k").id.to_dict()
     assert len(flagged) == 2000
     assert firsts == flagged.groupby("k").id.min().to_dict()
@@ -68,8 +67,20 @@ def test_duplicate_flags_with_a_hot_key(spark, salts, broadcast_keys):
 
 def test_duplicate_flags_of_full_copies(spark):
     copies = spark.range(0, 300, 1, 4).select(F.lit(1).alias("k"), F.lit("same").alias("o"))
-    for broadcast_keys in (0, 10):
-        assert Q.duplicate_flags(copies, ["k"], ["o"], broadcast_keys).where("NOT is_duplicate").count() == 1
+    assert Q.duplicate_flags(copies, ["k"], ["o"]).where("NOT is_duplicate").count() == 1
+
+
+def test_only_firsts_are_shuffled_again(spark):
+    """One scan and one shuffle of all rows; the second window reads the firsts of the groups only."""
+    rows = spark.range(0, 5000, 1, 4).select((F.col("id") % 10).alias("k"), "id")
+    flagged = Q.duplicate_flags(rows, ["k"], ["id"], 8)
+    logical = [line.strip(" +-:") for line in flagged._jdf.queryExecution().optimizedPlan().toString().splitlines()]
+    second = next(i for i, line in enumerate(logical) if line.startswith("Window") and "_salt" not in line.split("],")[1])
+    assert any(line.startswith("Filter") and "NOT _behind" in line for line in logical[second + 1 : second + 3])
+    assert flagged.where("NOT is_duplicate").count() == 10
+    flagged.collect()
+    final = flagged._jdf.queryExecution().executedPlan().toString().partition("Initial Plan")[0]
+    assert final.count("Range (0, 5000") == 1 and "ReusedExchange" in final
 
 
 def test_table_quality_scores(spark, logs):
@@ -123,14 +134,16 @@ def test_structure_names_missing_columns(spark, logs):
     assert Q.table_structure(logs, "production_logs").first()["structure_valid"] is True
 
 
-@pytest.mark.parametrize("broadcast_keys", [0, 10])
-def test_orphans_both_ways(spark, broadcast_keys):
+@pytest.mark.parametrize("threshold", ["-1", "10m"])
+def test_orphans_both_ways(spark, threshold):
     child = spark.range(1000).select(F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id") % 5).alias("k"), "id")
     child = child.unionByName(spark.createDataFrame([(None, 5000)], "k long, id long"))
     parent = spark.createDataFrame([(0,), (1,), (1,), (2,)], "k long")
-    rows = J.orphan_rows(child, parent, "k", broadcast_keys)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    rows = J.orphan_rows(child, parent, "k")
     expected = {(r["k"], r["id"]) for r in child.collect() if r["k"] is not None and r["k"] not in (0, 1, 2)}
     got = [(r["k"], r["id"]) for r in rows.collect()]
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert len(got) == len(expected) and set(got) == expected
     assert counts(J.orphan_keys(child, parent, "k"))[7] == 334
 

@@ -1,4 +1,5 @@
 import datetime as dt
+import threading
 
 import pytest
 from pyspark.errors import PySparkException
@@ -13,9 +14,46 @@ def test_refresh_replaces_and_may_read_the_old_table(spark, tmp_path):
     path = str(tmp_path / "t")
     first = K.full_refresh(spark.range(5).toDF("a"), path)
     assert first.count() == 5
-    second = K.full_refresh(spark.read.parquet(path).where("a > 2"), path)
+    second = K.full_refresh(K.read_table(spark, path).where("a > 2"), path)
     assert sorted(row["a"] for row in second.collect()) == [3, 4]
-    assert sorted(p.name for p in tmp_path.iterdir()) == ["t"]
+    third = K.full_refresh(second.where("a > 3"), path)
+    assert [row["a"] for row in third.collect()] == [4]
+    assert sorted(p.name for p in (tmp_path / "t").iterdir()) == ["slot-a", "slot-b", "versions"]
+
+
+def test_a_reader_sees_the_old_table_or_the_new_one(spark, tmp_path):
+    """The old version can be read until the new one is complete, and its plan after that."""
+    path = str(tmp_path / "t")
+    old = K.full_refresh(spark.range(5).toDF("a"), path)
+    seen = []
+
+    @F.udf("long")
+    def slow(value):
+        import time
+
+        time.sleep(0.2)
+        return value
+
+    def read():
+        while not done.is_set():
+            seen.append(K.read_table(spark, path).count())
+
+    done = threading.Event()
+    reader = threading.Thread(target=read)
+    reader.start()
+    K.full_refresh(spark.range(0, 9, 1, 3).select(slow("id").alias("a")), path)
+    done.set()
+    reader.join()
+    assert set(seen) <= {5, 9} and 5 in seen
+    assert K.read_table(spark, path).count() == 9 and old.count() == 5
+
+
+def test_left_over_files_are_replaced(spark, tmp_path):
+    path = str(tmp_path / "t")
+    K.full_refresh(spark.range(5).toDF("a"), path)
+    spark.range(7).toDF("a").write.parquet(f"{path}/slot-b")  # a run that broke off before its entry
+    assert K.read_table(spark, path).count() == 5
+    assert K.full_refresh(spark.range(3).toDF("a"), path).count() == 3
 
 
 def test_failed_refresh_keeps_the_old_table(spark, tmp_path):
@@ -23,7 +61,7 @@ def test_failed_refresh_keeps_the_old_table(spark, tmp_path):
     K.full_refresh(spark.range(5).toDF("a"), path)
     with pytest.raises(PySparkException):
         K.full_refresh(spark.range(5).select(F.raise_error(F.lit("broken")).cast("bigint").alias("a")), path)
-    assert spark.read.parquet(path).count() == 5
+    assert K.read_table(spark, path).count() == 5
 
 
 def test_partitioned_refresh_prunes(spark, tmp_path):
@@ -48,6 +86,7 @@ def test_quality_log_appends(spark, tmp_path):
     assert rows[0]["description"] == "Found 1 records with negative tons_extracted, replaced with 0"
     assert (rows[0]["severity"], rows[0]["affected_records"]) == ("WARNING", 1)
     assert isinstance(rows[0]["timestamp"], dt.datetime)
+    assert len({row["id"] for row in rows}) == 2
 
 
 def test_no_issue_row_without_negative_tons(spark):
@@ -56,15 +95,11 @@ def test_no_issue_row_without_negative_tons(spark):
 
 
 @pytest.mark.parametrize("partitions", [1, 7])
-def test_ids_have_no_gaps(spark, partitions):
+def test_stored_ids_are_unique(spark, tmp_path, partitions):
     df = spark.range(1000).where("id % 3 = 0").repartition(partitions)
-    ids = sorted(row["key"] for row in K.with_generated_id(df, "key").collect())
-    assert ids == list(range(1, 335))
-
-
-def test_ids_with_gaps_are_unique(spark):
-    numbered = K.with_generated_id(spark.range(0, 100, 1, 5), "key", gaps=True)
-    assert numbered.select("key").distinct().count() == 100
+    stored = K.full_refresh(K.with_generated_id(df, "key"), str(tmp_path / "t"))
+    ids = [row["key"] for row in stored.collect()]
+    assert len(ids) == len(set(ids)) == 334 and min(ids) == 1
 
 
 def test_json_report_keeps_nulls(spark, tmp_path):

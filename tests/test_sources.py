@@ -17,7 +17,7 @@ LINES = [
     "-- INSERT INTO mines is explained here",
     f"{MINE}(1, 'M1', 'North', 'Field 7, East', 'Active');",
     f"{MINE}(2, 'M2', 'Driver''s (old) pit', 'Field 8', NULL);",
-    f"{LOG}('2024-07-01', 1, 'Day', -195.47, 4.3);",
+    f"{LOG}('2024-07-01', 1, 'Day', -12.5, 7.5);",
     f"{LOG}('2024-07-01',2,'Night',NULL,6.0);",
     "",
 ]
@@ -42,7 +42,7 @@ def test_dump_logs_are_typed(spark, dump_path):
     logs = dump.read_production_logs(spark, dump_path)
     assert dict(logs.dtypes)["tons_extracted"] == "double"
     rows = [tuple(row) for row in logs.orderBy("mine_id").collect()]
-    assert rows == [(dt.date(2024, 7, 1), 1, "Day", -195.47, 4.3), (dt.date(2024, 7, 1), 2, "Night", None, 6.0)]
+    assert rows == [(dt.date(2024, 7, 1), 1, "Day", -12.5, 7.5), (dt.date(2024, 7, 1), 2, "Night", None, 6.0)]
 
 
 def test_dump_lines_round_trip(spark):
@@ -54,6 +54,53 @@ def test_dump_lines_round_trip(spark):
     assert sorted(map(str, again.collect())) == sorted(map(str, df.collect()))
 
 
+STATEMENTS = f"""-- two on a line, a comment behind; another
+{MINE}(1, 'A', 'one', 'x', 'Active'); {MINE}(2, 'B', 'two', 'x', 'Active'); -- don't stop; here
+/* INSERT INTO mines (mine_id) VALUES (99); */
+insert into Mines
+  (mine_id, mine_code, mine_name, location, operational_status)
+VALUES
+  (3, 'C', 'semi;colon', 'a (b), c', NULL),
+  (4, 'D', 'it''s -- no comment', '', 'Active') -- the last
+;
+INSERT INTO other (text) VALUES ('INSERT INTO mines (mine_id) VALUES (98);');
+INSERT INTO mines VALUES (5, 'E', 'no names', 'x', 'Active');
+{MINE}(6, 'F', 'too few', 'x');
+{MINE}(7, 'G', 'too many', 'x', 'Active', 1);
+{MINE}('eight', 'H', 'no number', 'x', 'Active');
+{MINE}(9, 'I', NOW(), 'x', 'Active');
+INSERT INTO mines (mine_id, mine_name) VALUES (10, 'other columns');
+INSERT INTO mines_archive VALUES (97, 'Z', 'another table', 'x', 'Active');
+{MINE}(11, 'K', 'cut off
+"""
+
+
+def test_every_statement_is_read_or_kept_as_reject(spark, tmp_path):
+    path = tmp_path / "statements.sql"
+    path.write_text(STATEMENTS)
+    records = dump.mine_records(spark, str(path))
+    rows = dump.accepted(records).orderBy("mine_id").collect()
+    assert [tuple(row) for row in rows] == [
+        (1, "A", "one", "x", "Active"),
+        (2, "B", "two", "x", "Active"),
+        (3, "C", "semi;colon", "a (b), c", None),
+        (4, "D", "it's -- no comment", "", "Active"),
+        (5, "E", "no names", "x", "Active"),
+    ]
+    kept = [row["record"] for row in dump.rejects(records, "mines").collect()]
+    assert len(kept) == 6
+    for text in ("too few", "too many", "eight", "NOW()", "other columns", "cut off"):
+        assert sum(text in record for record in kept) == 1
+
+
+def test_other_line_ends(spark, tmp_path):
+    path = tmp_path / "windows.sql"
+    path.write_bytes(f"{MINE}(1, 'A', 'one', 'x', 'Active');\r\n{MINE}(2, 'B', 'two', 'x', 'Active');\r\n".encode())
+    for end in (dump.STATEMENT_END, ";\r\n"):
+        pieces = dump.read_statements(spark, str(path), end)
+        assert dump.parse_inserts(pieces, "mines", schemas.MINES).count() == 2
+
+
 def test_sensor_csv(spark, tmp_path):
     path = tmp_path / "sensors.csv"
     path.write_text(
