@@ -28,6 +28,7 @@ import zlib
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -67,11 +68,22 @@ def shard_records(df: DataFrame, key: str = "page_id", url: str = "url", html: s
     return rows
 
 
-def write_replica(records: DataFrame, target: str) -> None:
-    """``record`` of every row to the file of its shard, ordered by ``_order``."""
-    placed = records.repartition("shard").sortWithinPartitions("shard", "_order", "record")
-    lines = placed.select("shard", F.col("record").alias("value"))
-    lines.write.partitionBy("shard").option("lineSep", "\r\n\r\n").option("compression", "gzip").text(target)
+def write_replicas(records: DataFrame, target: str, copies: dict[str, F.Column]) -> list[str]:
+    """Folders with one replica for each of ``copies``, a name and the record that it holds.
+
+    The rows move to their shard once for all replicas; a task writes the file of a shard in the order of ``_order``.
+    """
+    each = [F.struct(F.lit(name).alias("replica"), record.alias("value")) for name, record in copies.items()]
+    placed = records.repartition("shard").select("shard", "_order", F.explode(F.array(*each)).alias("_copy"))
+    lines = placed.select("_copy.replica", "shard", "_order", "_copy.value")
+    lines = lines.sortWithinPartitions("replica", "shard", "_order", "value").drop("_order")
+    lines.write.partitionBy("replica", "shard").option("lineSep", "\r\n\r\n").option("compression", "gzip").text(target)
+    return [f"{target}/replica={name}" for name in copies]
+
+
+def write_replica(records: DataFrame, target: str) -> str:
+    """The folder of a single replica."""
+    return write_replicas(records, target, {"only": F.col("record")})[0]
 
 
 def inflated(data: bytes) -> bytes:
@@ -146,10 +158,13 @@ def replica_tree(spark: SparkSession, source: str) -> DataFrame:
                         rows = [(level, shard, at + i, *x) for i, x in enumerate(nodes[at : at + (1 << 12)])]
                         yield to_batch(rows, names, types)
 
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(source)
+    try:
+        files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(source)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], NODES)  # no records, no folder
     target = new_path(spark, "tree")
-    if "shard" not in files.columns:  # no shards
-        return spark.createDataFrame([], NODES)
     shards = files.select(F.col("shard").cast("long"), "content")
     shards.mapInArrow(run, NODES).write.partitionBy("level").parquet(target)
     return spark.read.schema(NODES).parquet(target)

@@ -14,7 +14,7 @@ from shiftlode.llm.evidence import identify
 from shiftlode.llm.forest import fit as fit_forest
 from shiftlode.llm.forest import judge
 from shiftlode.llm.masked import pseudo_likelihood
-from shiftlode.llm.merkle import audit, row_id, shard_records, write_replica
+from shiftlode.llm.merkle import audit, row_id, shard_records, write_replicas
 from shiftlode.llm.paths import classes
 from shiftlode.llm.pfor import blocks_round_trip
 from shiftlode.llm.template import extract
@@ -40,11 +40,10 @@ def op1_bpe_transducer(spark: SparkSession, folder: str) -> DataFrame:
 def op2_merkle_fixity(spark: SparkSession, folder: str) -> DataFrame:
     """Two replicas of all pages, the second with one byte changed in every 97th page, and their audit."""
     records = shard_records(table(spark, folder, "pages"))
-    sound, damaged = new_path(spark, "warc"), new_path(spark, "warc")
-    write_replica(records, sound)
     changed = F.regexp_replace("record", r"^(?s)(.*?\r\n\r\n)<", "$1?")
-    write_replica(records.withColumn("record", F.when(F.col("_order") % 97 == 3, changed).otherwise(F.col("record"))), damaged)
-    found = audit(spark, sound, damaged)
+    damaged = F.when(F.col("_order") % 97 == 3, changed).otherwise(F.col("record"))
+    folders = write_replicas(records, new_path(spark, "warc"), {"a": F.col("record"), "b": damaged})
+    found = audit(spark, *folders)
     return found.select(row_id("record").alias("page_id"), "status")
 
 

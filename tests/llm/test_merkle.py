@@ -3,8 +3,9 @@
 import gzip
 
 import pytest
+from pyspark.sql import functions as F
 
-from shiftlode.llm.merkle import audit, damaged_leaves, inflated, parse, replica_tree, row_id, shard_records, tree, write_replica
+from shiftlode.llm.merkle import audit, damaged_leaves, inflated, parse, replica_tree, row_id, shard_records, tree, write_replica, write_replicas
 from shiftlode.session import new_path
 
 
@@ -22,8 +23,7 @@ def replicas(spark, a, b, shard_bytes=4000):
         if records is None:
             total = sum(len((r[2] or "").encode()) for r in a)
             records = shard_records(df, shard_bytes=-(-sum(len((r[2] or "").encode()) for r in rows) // -(-total // shard_bytes)) if rows else 1)
-        out.append(new_path(spark, "warc"))
-        write_replica(records, out[-1])
+        out.append(write_replica(records, new_path(spark, "warc")))
     return out
 
 
@@ -42,10 +42,12 @@ def test_changed_bytes(spark):
     rows = pages()
     schema = "page_id long, url string, html string, shard string"
     records = shard_records(spark.createDataFrame(rows, schema), shard_bytes=4000)
-    a, b = new_path(spark, "warc"), new_path(spark, "warc")
     hit = "_order % 50 = 7"
-    write_replica(records.selectExpr("shard", "_order", "CASE WHEN _order = 9 THEN replace(record, '<p>', '<q>') ELSE record END AS record"), a)
-    write_replica(records.selectExpr("shard", "_order", f"CASE WHEN {hit} OR _order = 9 THEN replace(record, '</p>', '</r>') ELSE record END AS record"), b)
+    copies = {
+        "a": F.expr("CASE WHEN _order = 9 THEN replace(record, '<p>', '<q>') ELSE record END"),
+        "b": F.expr(f"CASE WHEN {hit} OR _order = 9 THEN replace(record, '</p>', '</r>') ELSE record END"),
+    }
+    a, b = write_replicas(records, new_path(spark, "warc"), copies)
     expected = {(r[0], "damaged in b" if r[0] % 50 == 7 else "damaged in both" if r[0] == 9 else "same") for r in rows}
     found = audit(spark, a, b)
     assert statuses(found) == expected and found.count() == len(rows)
@@ -57,9 +59,8 @@ def test_missing_records(spark):
     rows = pages(60)
     schema = "page_id long, url string, html string, shard string"
     records = shard_records(spark.createDataFrame(rows, schema), shard_bytes=3000)
-    a, b = new_path(spark, "warc"), new_path(spark, "warc")
-    write_replica(records, a)
-    write_replica(records.filter("_order <> 20"), b)
+    a = write_replica(records, new_path(spark, "warc"))
+    b = write_replica(records.filter("_order <> 20"), new_path(spark, "warc"))
     got = statuses(audit(spark, a, b))
     assert (20, "missing in b") in got and {s for _, s in got} <= {"same", "moved", "missing in b"} and len(got) == len(rows)
     assert (20, "missing in a") in statuses(audit(spark, b, a))
@@ -92,6 +93,8 @@ def test_cut_streams(cut):
 
 def test_empty(spark):
     empty = spark.createDataFrame([], "page_id long, url string, html string")
-    a = new_path(spark, "warc")
-    write_replica(shard_records(empty), a)
-    assert shard_records(empty).count() == 0
+    a = write_replica(shard_records(empty), new_path(spark, "warc"))
+    assert audit(spark, a, a).count() == 0
+    rows = pages(5)
+    b = write_replica(shard_records(spark.createDataFrame(rows, "page_id long, url string, html string, shard string")), new_path(spark, "warc"))
+    assert {s for _, s in statuses(audit(spark, b, a))} == {"missing in b"}
