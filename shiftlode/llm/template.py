@@ -8,8 +8,9 @@
    before the shuffle, so the menu of a host with a third of all pages is one row per task.
 3. A hash on at least ``MIN_PAGES`` pages and ``SHARE`` of the pages of its host is template. If pages
    have ``m`` hashes on average, at most ``m / SHARE`` of them can be template, so
-   the list of a host is bounded by the size of its pages, not by their number. It is joined to the pages by
-   host and every block inside a template subtree is deleted.
+   the list of a host is bounded by the size of its pages, not by their number. The lists are written, so that
+   Spark knows their size, and joined to the pages by host: broadcast while they are small, else with the
+   pages of a hot host split. Every block inside a template subtree is deleted.
 
 Recurrence says nothing about hosts with a few pages, nor about parts that change from page to page, such
 as reader comments. So elements whose name, role or class says what they are (``SKIPPED``, ``HINTS``) go as
@@ -242,7 +243,8 @@ def extract(
     )
     schema = "_key long, _url string, _host string, _texts array<string>, _may array<int>, _chains array<array<long>>, _content long"
     read = settle(by_row(rows, ["_key", "_url", "_host", "_html"], step, schema), "blocks")
-    met = read.join(templates(read, min_pages, share), F.col("_host") == F.col("_h"), "left")
+    found = settle(templates(read, min_pages, share), "templates")
+    met = read.join(found, F.col("_host") == F.col("_h"), "left")
     recurring = F.coalesce(F.col("_template"), F.array().cast("array<long>"))
     blocks = F.arrays_zip(F.col("_texts").alias("t"), F.col("_may").alias("m"), F.col("_chains").alias("c"))
     deleted = F.filter("_chains", lambda c: F.arrays_overlap(c, recurring))
