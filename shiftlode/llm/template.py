@@ -59,6 +59,7 @@ HINTS = frozenset(
     "menus nav navbar navigation breadcrumb breadcrumbs masthead footer comment comments disqus reply replies respond share "
     "sharing social related recommended recommendations pagination pager toolbar skip copyright".split()
 )
+STATES = frozenset("has with without no is js".split())
 HEADERS = frozenset("header heading topbar".split())  # only outside the article
 CLOSED_BY = {
     **{name: frozenset(["p"]) for name in BLOCKS - {"li", "dd", "dt", "tr", "td", "th", "option", "body", "html", "head"}},
@@ -98,7 +99,11 @@ def skipped_by_attributes(name: str, text: str, inside: bool) -> tuple[bool, str
     label = f"{values.get('class', '')} {values.get('id', '')}"
     if name in ("html", "body", "main", "article"):
         return False, label
-    words = {word.lower() for word in WORDS.findall(label)}
+    words = set()
+    for own in label.split():
+        parts = [word.lower() for word in WORDS.findall(own)]
+        if parts and parts[0] not in STATES:  # "has-sidebar" is no sidebar
+            words.update(parts)
     hidden = "hidden" in values or re.search(r"display\s*:\s*none", values.get("style", ""))
     said = words & HINTS or (not inside and words & HEADERS) or values.get("role", "").lower() in ROLES
     return bool(hidden or said), label

@@ -34,6 +34,7 @@ def text(source):
         ("<div class='post'><p>x <span class='ad'>buy</span> y</p></div><div class='cookie-notice'><p>We</p></div><div class='sideBar'>s</div>", "x\ny\ns"),
         ("<form><p>n</p></form><div hidden>h</div><div style='display: none'>d</div><div role='banner'>b</div><p>x</p>", "x"),
         ("</p></div>a</article>b</nope><p/>c<1>", "ab\nc<1>"),
+        ("<div class='main has-sidebar'><p>x</p><div id='sidebar-2'>s</div></div>", "x"),
         ("<DIV>Up<P CLASS=AD>gone</P></DIV>", "Up"),
     ],
 )
