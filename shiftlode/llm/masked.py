@@ -1,7 +1,7 @@
 """Masked pseudo-likelihood: every token predicted from both sides by a window network.
 
-**Tokens** are the words of a text, hashed to ``BUCKETS`` buckets. Their counts over all documents are a
-grouped sum of at most that many rows. Buckets are put in classes of about equal mass by falling count, and
+**Tokens** are the words of a text, hashed to ``BUCKETS`` buckets once and written as two bytes each. Their
+counts over all documents are a grouped sum of at most that many rows. Buckets are put in classes of about equal mass by falling count, and
 
     log p(token | window) = log p(class | window) + log p(token | class)
 
@@ -29,7 +29,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shiftlode.llm.common import WordHashes, arrow_types, hashes_of, to_batch, values, words_of
+from shiftlode.llm.common import WordHashes, arrow_types, by_row, hashes_of, to_batch, values, words_of
+from shiftlode.session import settle
 
 BUCKETS = 1 << 16
 FEATURES = 1 << 12
@@ -124,15 +125,30 @@ def windows(buckets: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         yield np.stack([padded[p : p + size] for p in places], axis=1), buckets[start : start + size]
 
 
-def count_buckets(df: DataFrame, text: str) -> np.ndarray:
+def encoded(df: DataFrame, key: str, text: str) -> DataFrame:
+    """``doc_id`` and ``tokens`` (buckets, two bytes each) of every text, written for the passes that follow."""
+
+    def step():
+        known = WordHashes()
+        return lambda number, value: [(number, buckets_of(value, known).astype("<u2").tobytes())]
+
+    rows = df.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"))
+    return settle(by_row(rows, ["doc_id", "text"], step, "doc_id long, tokens binary"), "tokens")
+
+
+def token_arrays(column: pa.Array) -> Iterator[np.ndarray]:
+    return (np.frombuffer(value, "<u2").astype(np.int64) for value in values(column))
+
+
+def count_buckets(tokens: DataFrame) -> np.ndarray:
     """How often each bucket occurs in all texts. At most BUCKETS rows come to the driver."""
     schema = "bucket long, n long"
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums, known, held, size = np.zeros(BUCKETS, np.int64), WordHashes(), [], 0
+        sums, held, size = np.zeros(BUCKETS, np.int64), [], 0
         for batch in batches:
-            for value in values(batch.column(0)):
-                held.append(buckets_of(value, known))
+            for value in token_arrays(batch.column(0)):
+                held.append(value)
                 size += len(held[-1])
                 if size >= BUCKETS:
                     sums += np.bincount(np.concatenate(held), minlength=BUCKETS)
@@ -142,7 +158,7 @@ def count_buckets(df: DataFrame, text: str) -> np.ndarray:
         found = np.nonzero(sums)[0]
         yield to_batch(list(zip(found.tolist(), sums[found].tolist())), ["bucket", "n"], arrow_types(schema))
 
-    grouped = df.select(text).mapInArrow(run, schema).groupBy("bucket").agg(F.sum("n").alias("n")).toPandas()
+    grouped = tokens.select("tokens").mapInArrow(run, schema).groupBy("bucket").agg(F.sum("n").alias("n")).toPandas()
     counts = np.zeros(BUCKETS)
     counts[grouped["bucket"].to_numpy(np.int64)] = grouped["n"]
     return counts
@@ -151,11 +167,11 @@ def count_buckets(df: DataFrame, text: str) -> np.ndarray:
 PARTS = "chunk int, salt int, weight double, sums binary"
 
 
-def train_task(texts: Iterable[str | None], network: Network, vocabulary: Vocabulary, offset: int) -> int:
-    """Go through texts in batches; returns the number of targets."""
-    known, held, size, total = WordHashes(), [], 0, 0
-    for text in texts:
-        for window, target in windows(buckets_of(text, known)):
+def train_task(texts: Iterable[np.ndarray], network: Network, vocabulary: Vocabulary, offset: int) -> int:
+    """Go through texts (arrays of buckets) in batches; returns the number of targets."""
+    held, size, total = [], 0, 0
+    for tokens in texts:
+        for window, target in windows(tokens):
             held.append((window[offset::STRIDE], vocabulary.kind[target[offset::STRIDE]]))
             size += len(held[-1][1])
             if size >= BATCH:
@@ -170,8 +186,8 @@ def train_task(texts: Iterable[str | None], network: Network, vocabulary: Vocabu
     return total
 
 
-def train(df: DataFrame, text: str, vocabulary: Vocabulary, rounds: int = ROUNDS) -> Network:
-    """Rounds of local training and averaging over all documents."""
+def train(tokens: DataFrame, vocabulary: Vocabulary, rounds: int = ROUNDS) -> Network:
+    """Rounds of local training and averaging over all documents (:func:`encoded`)."""
     network = Network(vocabulary)
     names, types = [field.split()[0] for field in PARTS.split(", ")], arrow_types(PARTS)
     for number in range(rounds):
@@ -179,7 +195,7 @@ def train(df: DataFrame, text: str, vocabulary: Vocabulary, rounds: int = ROUNDS
 
         def local(batches: Iterable[pa.RecordBatch], start=start, offset=offset) -> Iterator[pa.RecordBatch]:
             own = Network(vocabulary, start.copy())
-            total = train_task((value for batch in batches for value in values(batch.column(0))), own, vocabulary, offset)
+            total = train_task((x for batch in batches for x in token_arrays(batch.column(0))), own, vocabulary, offset)
             salt = TaskContext.get().partitionId() % SALT
             if total:
                 moved = (own.flat - start) * np.float64(total)
@@ -194,7 +210,7 @@ def train(df: DataFrame, text: str, vocabulary: Vocabulary, rounds: int = ROUNDS
                     sums[chunk] = old[0] + weight, old[1] + np.frombuffer(data)
             yield to_batch([(chunk, 0, w, s.tobytes()) for chunk, (w, s) in sorted(sums.items())], names, types)
 
-        parts = df.select(text).mapInArrow(local, PARTS)
+        parts = tokens.select("tokens").mapInArrow(local, PARTS)
         parts = parts.repartition("chunk", "salt").sortWithinPartitions("chunk", "salt", "weight", "sums").mapInArrow(add, PARTS)
         parts = parts.repartition("chunk").sortWithinPartitions("chunk", "weight", "sums").mapInArrow(add, PARTS)
         flat = start.astype(np.float64)
@@ -205,9 +221,9 @@ def train(df: DataFrame, text: str, vocabulary: Vocabulary, rounds: int = ROUNDS
     return network
 
 
-def score_texts(texts: Iterable[str | None], network: Network, vocabulary: Vocabulary) -> Iterator[tuple[int, float]]:
+def score_texts(texts: Iterable[np.ndarray], network: Network, vocabulary: Vocabulary) -> Iterator[tuple[int, float]]:
     """Tokens and log-likelihood of every text, in order; short texts share a matrix product."""
-    known, held, owners, size = WordHashes(), [], [], 0
+    held, owners, size = [], [], 0
 
     def flush() -> list[tuple[int, float]]:
         window, target = (np.concatenate(x) for x in zip(*held)) if held else (np.zeros((0, 2 * SIDE), np.int64), np.zeros(0, np.int64))
@@ -218,8 +234,7 @@ def score_texts(texts: Iterable[str | None], network: Network, vocabulary: Vocab
         ends = np.cumsum(owners, dtype=np.int64).tolist()
         return [(n, float(logs[end - n : end].sum())) for n, end in zip(owners, ends)]
 
-    for text in texts:
-        tokens = buckets_of(text, known)
+    for tokens in texts:
         if len(tokens) > 32 * PIECE:  # a very long text goes alone, piece by piece
             yield from flush()
             held, owners, size = [], [], 0
@@ -238,20 +253,21 @@ def score_texts(texts: Iterable[str | None], network: Network, vocabulary: Vocab
 SCORES = "doc_id long, n_tokens long, log_likelihood double, mean_log_likelihood double"
 
 
-def score(df: DataFrame, network: Network, vocabulary: Vocabulary, key: str = "doc_id", text: str = "text") -> DataFrame:
+def score(tokens: DataFrame, network: Network, vocabulary: Vocabulary) -> DataFrame:
     """Pseudo-log-likelihood of every text."""
     names, types = [field.split()[0] for field in SCORES.split(", ")], arrow_types(SCORES)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            scored = score_texts(values(batch.column(1)), network, vocabulary)
+            scored = score_texts(token_arrays(batch.column(1)), network, vocabulary)
             rows = [(number, n, total, total / n if n else None) for number, (n, total) in zip(batch.column(0).to_pylist(), scored)]
             yield to_batch(rows, names, types)
 
-    return df.select(F.col(key).cast("long"), F.col(text)).mapInArrow(run, SCORES).withColumnRenamed("doc_id", key)
+    return tokens.select("doc_id", "tokens").mapInArrow(run, SCORES)
 
 
 def pseudo_likelihood(df: DataFrame, key: str = "doc_id", text: str = "text", rounds: int = ROUNDS) -> DataFrame:
     """Count, train and score on the same documents. Counting and training run at once."""
-    vocabulary = Vocabulary(count_buckets(df, text))
-    return score(df, train(df, text, vocabulary, rounds), vocabulary, key, text)
+    tokens = encoded(df, key, text)
+    vocabulary = Vocabulary(count_buckets(tokens))
+    return score(tokens, train(tokens, vocabulary, rounds), vocabulary).withColumnRenamed("doc_id", key)

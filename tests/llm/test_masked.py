@@ -19,13 +19,16 @@ def corpus(n, seed):
     return out
 
 
+def arrays(texts):
+    return [buckets_of(text, WordHashes()) for text in texts]
+
+
 def vocabulary(texts):
-    known = WordHashes()
-    return Vocabulary(sum(np.bincount(buckets_of(t, known), minlength=masked.BUCKETS) for t in texts).astype(float))
+    return Vocabulary(sum(np.bincount(x, minlength=masked.BUCKETS) for x in texts).astype(float))
 
 
 def test_probabilities_sum_to_one():
-    own = vocabulary(corpus(20, 1))
+    own = vocabulary(arrays(corpus(20, 1)))
     network = Network(own)
     window = np.array([[0, 5, 6, 7]])
     kinds = np.arange(len(own.log_class))
@@ -44,7 +47,7 @@ def test_windows_see_both_sides():
 
 
 def test_learning_lowers_the_loss_on_new_texts():
-    seen, new = corpus(300, 1), corpus(50, 2)
+    seen, new = arrays(corpus(300, 1)), arrays(corpus(50, 2))
     own = vocabulary(seen)
     network = Network(own)
     mean = lambda: sum(s for _, s in score_texts(new, network, own)) / sum(n for n, _ in score_texts(new, network, own))
@@ -74,19 +77,19 @@ def test_rows(scored):
 
 def test_scores_are_sums_over_tokens(spark):
     texts = corpus(30, 5) + ["a b " * 80_000]
-    own = vocabulary(texts)
+    own = vocabulary(arrays(texts))
     network = Network(own)
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
-    for row in score(df, network, own).collect():
-        logs = [network.log_probability(w, own.kind[t]).astype(float) + own.log_share[t] for w, t in windows(buckets_of(texts[row["doc_id"]], WordHashes()))]
+    for row in score(masked.encoded(df, "doc_id", "text"), network, own).collect():
+        logs = [network.log_probability(w, own.kind[t]).astype(float) + own.log_share[t] for w, t in windows(arrays(texts)[row["doc_id"]])]
         assert np.isclose(row["log_likelihood"], np.concatenate(logs).sum(), rtol=1e-5)
 
 
 def test_documents_in_order_score_better(spark, folder):
     documents = spark.read.parquet(f"{folder}/documents.parquet".replace("sf0.001", "sf0.1")).filter("doc_id % 4 = 0")
-    texts = [r["text"] for r in documents.filter("doc_id % 16 = 0").collect()]
+    texts = arrays([r["text"] for r in documents.filter("doc_id % 16 = 0").collect()])
     own = vocabulary(texts)
-    network = masked.train(documents, "text", own)
+    network = masked.train(masked.encoded(documents, "doc_id", "text"), own)
     mean = lambda net: sum(s for _, s in score_texts(texts, net, own)) / sum(n for n, _ in score_texts(texts, net, own))
     assert mean(network) > mean(Network(own)) + 0.03
 
