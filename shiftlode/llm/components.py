@@ -14,14 +14,15 @@ def components(edges: DataFrame) -> DataFrame:
     Each round hangs the larger neighbours of an id, then its smaller ones, on the smallest
     id it knows; after a number of rounds that grows with the logarithm of the longest chain
     only stars are left. Ids meet their smallest neighbour by an aggregate that combines before the
-    shuffle and a join that Spark can split, so an id with very many neighbours is no hot spot.
+    shuffle and a join that Spark can split (the smallest neighbours are read from a stored table), so an id
+    with very many neighbours is no hot spot. After that step an id has few smaller neighbours.
     """
     start = F.least("a", "b"), F.greatest("a", "b")
     links = settle(edges.filter("a <> b").select(start[0].alias("v"), start[1].alias("u")).distinct(), "edges")
     state = _state(links)
     for _ in range(ROUNDS):
         both = links.select("u", "v").union(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
+        least = settle(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")), "least")
         large = both.join(least, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         large = large.filter("u <> v").distinct()
         least = large.groupBy("u").agg(F.min("v").alias("m"))
