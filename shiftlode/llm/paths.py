@@ -45,7 +45,7 @@ TOKENS = 128
 START = 2  # levels before the first count
 DEPTH = 6
 LIMIT = 256
-BLOCK = 512
+BLOCK = 256
 SLICE = 1 << 14
 
 _source = np.random.default_rng(20)
