@@ -2,6 +2,7 @@
 
 import logging
 import uuid
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -31,8 +32,15 @@ def extract(spark: SparkSession, dump_path: str, sensor_path: str, payload_path:
     }
 
 
-def load(df: DataFrame, name: str, path: str, references: dict[str, DataFrame] | None = None, **options):
-    """Check the constraints of a table and store its good rows with their ids.
+def load(
+    df: DataFrame,
+    name: str,
+    path: str,
+    references: dict[str, DataFrame] | None = None,
+    finish: Callable[[DataFrame], DataFrame] = lambda rows: rows,
+    **options,
+):
+    """Check the constraints of a table, ``finish`` its good rows and store them with their ids.
 
     Returns the stored table, the counts of broken constraints and the marked source rows. The counts are
     observed during the one write; the source is read again only to keep rejected rows, if any.
@@ -40,7 +48,7 @@ def load(df: DataFrame, name: str, path: str, references: dict[str, DataFrame] |
     rules = C.Constraints(tuple(V.NOT_NULL[name]), tuple(V.UNIQUE.get(name, ())), references or {})
     marked = C.with_reason(df, rules)
     seen = Observation(f"load-{name}-{uuid.uuid4().hex}")
-    rows = C.good_rows(marked.observe(seen, F.count("*").alias("rows"), *C.reason_counts(rules)))
+    rows = finish(C.good_rows(marked.observe(seen, F.count("*").alias("rows"), *C.reason_counts(rules))))
     if name in V.ID_COLUMNS:
         rows = with_generated_id(rows, V.ID_COLUMNS[name])
     stored = full_refresh(rows, path, **options)
@@ -78,7 +86,7 @@ def run_etl(spark: SparkSession, sources: dict[str, DataFrame], warehouse: str)
     store("production_logs", sources["production_logs"], references={"mine_id": tables["mines"]}, partition_by=["date"])
     store("equipment_sensors", files.with_month(sources["equipment_sensors"]), partition_by=[files.MONTH])
     days = files.calendar(A.date_bounds(tables["production_logs"]))
-    store("weather_data", files.weather_with_defaults(days, sources["weather_data"]))
+    store("weather_data", sources["weather_data"], finish=lambda rows: files.weather_with_defaults(days, rows))
     parts = [C.rejected_rows(marked[name].drop(files.MONTH), name) for name, found in counts.items() if found]
     none = spark.createDataFrame([], "table_name string, reason string, record string")
     tables["rejected_rows"] = full_refresh(reduce(DataFrame.unionByName, parts, none), f"{warehouse}/rejected_rows")

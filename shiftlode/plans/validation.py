@@ -20,7 +20,7 @@ def production_anomalies(
 ) -> dict[str, DataFrame]:
     """Statistics, outliers and alerts of the last days. All are empty below a week.
 
-    The recent days are written once, with their position, for the passes over them.
+    The recent days are written once, with their position, for the passes over them, when this is called.
     """
     recent = settle(with_row_index(filters.last_n_days(daily, days, as_of)), "recent")
     summary = stats.metric_stats(recent, metrics)

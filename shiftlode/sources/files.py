@@ -36,7 +36,10 @@ def read_weather_payloads(spark: SparkSession, path: str) -> DataFrame:
 
 
 def parse_payloads(lines: DataFrame) -> DataFrame:
-    """One row per day of every payload in the ``value`` column; empty replies give none."""
+    """One row per day of every payload in the ``value`` column; empty replies give none.
+
+    A day whose date cannot be read has a NULL date, which the load rejects and counts.
+    """
     daily = F.arrays_zip(
         F.col("p.daily.time").alias("time"),
         F.col("p.daily.temperature_2m_mean").alias("temperature"),
@@ -52,7 +55,7 @@ def parse_payloads(lines: DataFrame) -> DataFrame:
         as_double(F.col("d.temperature")).alias("temperature_mean"),
         as_double(F.col("d.rain")).alias("precipitation_sum"),
         "timezone",
-    ).where(F.col("date").isNotNull())
+    )
 
 
 def payload_lines(weather: DataFrame) -> DataFrame:

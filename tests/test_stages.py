@@ -27,7 +27,8 @@ def land(spark, folder, place, broken: bool) -> list[str]:
         values = ["(NULL, 1, 'Day', 1, 1);", "('2024-01-01', 99999, 'Day', 1, 1);", "('2024-01-01', 1, 'Day');", "('2024-01-01', 1, 'Day', 'x', 1);"]
         lines = lines.unionByName(spark.createDataFrame([(head + v,) for v in values], "value string"))
         sensors = sensors.unionByName(spark.createDataFrame([("2024-01-05 00:00:00", None, "active", 9000.0, False), ("bad", "EQ1", "active", 1.0, True)], sensors.schema))
-        payloads = payloads.unionByName(payloads.limit(1))
+        bad = '{"latitude":2.0,"longitude":1.0,"timezone":"x","daily":{"time":["2024-13-45"],"temperature_2m_mean":[1.0],"precipitation_sum":[1.0]}}'
+        payloads = payloads.unionByName(payloads.limit(1)).unionByName(spark.createDataFrame([(bad,)], "value string"))
     lines.write.text(str(place / "dump"))
     sensors.write.option("header", True).csv(str(place / "sensors"))
     payloads.write.text(str(place / "payloads"))
@@ -69,6 +70,7 @@ def test_bad_rows_are_kept_out_and_counted(spark, folder, tmp_path):
     assert found == {
         ("production_logs", "unreadable"): 2, ("production_logs", "null_date"): 1, ("production_logs", "orphan_mine_id"): 1,
         ("equipment_sensors", "null_timestamp"): 1, ("equipment_sensors", "null_equipment_id"): 1,
+        ("weather_data", "null_date"): 1,
     }
     log = {(r["table_name"], r["anomaly_type"]): r["affected_records"] for r in spark.read.parquet(str(bad / "warehouse/data_quality_log")).collect()}
     assert {key: log[key[0], f"rejected_{key[1]}"] for key in found} == found
