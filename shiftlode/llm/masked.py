@@ -9,8 +9,8 @@ The second part is the smoothed share of the counts. The first comes from a netw
 neighbours (hashed to ``FEATURES`` rows, one table per position) are added up, ``tanh``, softmax over the classes.
 
 **Training** is numpy inside tasks. In each round every task starts from the same parameters, goes through its
-documents in small batches (every ``STRIDE``-th token of every document is a target, at another offset in each
-round), and gives its parameters weighted by its targets. Spark adds them up chunk by chunk, salted first, so
+documents in small batches (every ``STRIDE``-th token of every document is a target, at another offset in each of
+the ``STRIDE`` rounds, so that each token is a target once), and gives its parameters weighted by its targets. Spark adds them up chunk by chunk, salted first, so
 what is gathered grows with the input but no task or driver ever holds more than a chunk of
 each; the mean (about a megabyte) is the next round's start.
 
@@ -38,7 +38,7 @@ CLASSES = 64
 SIDE = 2
 WIDTH = 16
 ROUNDS = 2
-STRIDE = 8
+STRIDE = ROUNDS  # each token is a target in one round
 BATCH = 2048
 RATE, TABLE_RATE = 0.5, 0.3
 PIECE = 1 << 12  # tokens that are scored at once
@@ -95,24 +95,26 @@ class Network:
         logits -= logits.max(axis=1, keepdims=True)
         return logits[np.arange(len(kind)), kind] - np.log(np.exp(logits).sum(axis=1))
 
-    def learn(self, window: np.ndarray, kind: np.ndarray) -> None:
-        """One step of gradient descent on a batch."""
+    def learn(self, window: np.ndarray, kind: np.ndarray, share: float = 1.0) -> None:
+        """One step of gradient descent on a batch; ``share`` shortens the step of a small one."""
         hidden = self.hidden(window)
         logits = hidden @ self.out + self.prior
         error = np.exp(logits - logits.max(axis=1, keepdims=True))
         error /= error.sum(axis=1, keepdims=True)
         error[np.arange(len(kind)), kind] -= 1
         back = (error @ self.out.T) * (1 - hidden * hidden)
-        step = np.float32(RATE / len(kind))
+        step = np.float32(share * RATE / len(kind))
         self.out -= step * (hidden.T @ error)
         self.prior -= step * error.sum(axis=0)
         self.bias -= step * back.sum(axis=0)
         for place in range(2 * SIDE):
             # Rows of frequent words get the mean of their gradients, so steps stay bounded.
-            rows, owner, times = np.unique(window[:, place], return_inverse=True, return_counts=True)
-            sums = np.zeros((len(rows), WIDTH), np.float32)
-            np.add.at(sums, owner, back)
-            self.tables[place][rows] -= np.float32(TABLE_RATE) * sums / np.sqrt(times, dtype=np.float32)[:, None]
+            order = np.argsort(window[:, place].astype(np.uint16), kind="stable")
+            ordered = window[order, place]
+            starts = np.nonzero(np.diff(ordered, prepend=-1))[0]
+            times = np.diff(starts, append=len(ordered))
+            sums = np.add.reduceat(back[order], starts, axis=0)
+            self.tables[place][ordered[starts]] -= np.float32(share * TABLE_RATE) * sums / np.sqrt(times, dtype=np.float32)[:, None]
 
 
 def windows(buckets: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -167,12 +169,12 @@ def count_buckets(tokens: DataFrame) -> np.ndarray:
 PARTS = "chunk int, salt int, weight double, sums binary"
 
 
-def train_task(texts: Iterable[np.ndarray], network: Network, vocabulary: Vocabulary, offset: int) -> int:
-    """Go through texts (arrays of buckets) in batches; returns the number of targets."""
+def train_task(texts: Iterable[np.ndarray], network: Network, vocabulary: Vocabulary, offset: int, stride: int = STRIDE) -> int:
+    """Go through texts (arrays of buckets) in batches; returns the number of targets, all of them learnt."""
     held, size, total = [], 0, 0
     for tokens in texts:
         for window, target in windows(tokens):
-            held.append((window[offset::STRIDE], vocabulary.kind[target[offset::STRIDE]]))
+            held.append((window[offset::stride], vocabulary.kind[target[offset::stride]]))
             size += len(held[-1][1])
             if size >= BATCH:
                 window, kind = (np.concatenate(x) for x in zip(*held))
@@ -180,22 +182,21 @@ def train_task(texts: Iterable[np.ndarray], network: Network, vocabulary: Vocabu
                 total, held, size = total + size, [], 0
     if size:
         window, kind = (np.concatenate(x) for x in zip(*held))
-        if size >= BATCH // 8 or not total:
-            network.learn(window, kind)
+        network.learn(window, kind, min(1.0, size / BATCH) if total else 1.0)
         total += size
     return total
 
 
 def train(tokens: DataFrame, vocabulary: Vocabulary, rounds: int = ROUNDS) -> Network:
-    """Rounds of local training and averaging over all documents (:func:`encoded`)."""
+    """Rounds of local training and averaging over all documents (:func:`encoded`); together they learn every token once."""
     network = Network(vocabulary)
     names, types = [field.split()[0] for field in PARTS.split(", ")], arrow_types(PARTS)
     for number in range(rounds):
-        start, offset = network.flat, number * (STRIDE // max(rounds, 1)) % STRIDE
+        start = network.flat
 
-        def local(batches: Iterable[pa.RecordBatch], start=start, offset=offset) -> Iterator[pa.RecordBatch]:
+        def local(batches: Iterable[pa.RecordBatch], start=start, offset=number) -> Iterator[pa.RecordBatch]:
             own = Network(vocabulary, start.copy())
-            total = train_task((x for batch in batches for x in token_arrays(batch.column(0))), own, vocabulary, offset)
+            total = train_task((x for batch in batches for x in token_arrays(batch.column(0))), own, vocabulary, offset, rounds)
             salt = TaskContext.get().partitionId() % SALT
             if total:
                 moved = (own.flat - start) * np.float64(total)

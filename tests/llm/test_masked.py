@@ -98,3 +98,29 @@ def test_empty(spark):
     df = spark.createDataFrame([], "doc_id long, text string")
     assert pseudo_likelihood(df).count() == 0
     assert [tuple(r) for r in pseudo_likelihood(spark.createDataFrame([(1, None)], "doc_id long, text string")).collect()] == [(1, 0, 0.0, None)]
+
+
+def test_every_token_is_learnt_once(spark):
+    texts = ["a", "b c", "d e f", " ".join(f"w{i}" for i in range(5001))]
+    tokens = masked.encoded(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1), "doc_id", "text")
+    own = vocabulary(arrays(texts))
+
+    class Seen:
+        kinds = 0
+
+        def learn(self, window, kind, share=1.0):
+            assert len(window) == len(kind)
+            self.kinds += len(kind)
+
+    for rounds in (1, masked.ROUNDS, 3):
+        seen, total = Seen(), 0
+        for offset in range(rounds):
+            total += train_task(arrays(texts), seen, own, offset, rounds)
+        assert seen.kinds == total == sum(len(x) for x in arrays(texts))
+    assert masked.STRIDE == masked.ROUNDS
+    only = arrays([texts[2]])
+    network = masked.train(tokens.filter("doc_id = 2"), own)
+    one = Network(own)
+    for offset in range(masked.ROUNDS):
+        assert train_task(only, one, own, offset) == (2, 1)[offset]
+    assert np.allclose(network.flat, one.flat, atol=1e-5) and not np.allclose(network.flat, Network(own).flat)
