@@ -1,12 +1,16 @@
 """Masked pseudo-likelihood: every token predicted from both sides by a window network.
 
-**Tokens** are the words of a text, hashed to ``BUCKETS`` buckets once and written as two bytes each. Their
-counts over all documents are a grouped sum of at most that many rows. Buckets are put in classes of about equal mass by falling count, and
+**Tokens** are the words of a text, hashed to 64 bits once. The lowest bits are the bucket of a word, written as two bytes a
+token; the counts of buckets are at most ``BUCKETS`` rows. Buckets are put in ``CLASSES * CELLS`` cells of about
+equal mass by falling count, ``CELLS`` next to each other are a class, and
 
-    log p(token | window) = log p(class | window) + log p(token | class)
+    log p(word | window) = log p(class | window) + log p(cell | class, window) + log p(bucket | cell) + log p(word | bucket)
 
-The second part is the smoothed share of the counts. The first comes from a network: the ``2 * SIDE``
-neighbours (hashed to ``FEATURES`` rows, one table per position) are added up, ``tanh``, softmax over the classes.
+The first two parts come from a network with two levels: the ``2 * SIDE`` neighbours (hashed to ``FEATURES`` rows, one table per
+position) are added up, ``tanh``, softmax over the classes, and a softmax of each class over its cells. The
+third is the smoothed share of the bucket in its cell. The fourth is the share of the word in its bucket, from the
+counts of all distinct words, a grouped Spark table: words are told apart by 64 bits, not by buckets. The counts of at most ``FREQUENT`` words are
+looked up in the tasks, those of all others are joined by word. So the window decides between cells, the counts within a cell.
 
 **Training** is numpy inside tasks. In each round every task starts from the same parameters, goes through its
 documents in small batches (every ``STRIDE``-th token of every document is a target, at another offset in each of
@@ -14,13 +18,15 @@ the ``STRIDE`` rounds, so that each token is a target once), and gives its param
 what is gathered grows with the input but no task or driver ever holds more than a chunk of
 each; the mean (about a megabyte) is the next round's start.
 
-**Scores** are the sums over all tokens of a text, one pass, rows do not move.
+**Scores** are the sums over all tokens of a text. Only numbers move: (row, word, times) of the words that are not
+frequent, and one sum a row.
 
 Defined cases: a null or empty text has no tokens, log-likelihood 0 and no mean; neighbours beyond the ends of a text are
 one special row; repeated rows get equal scores but for the last digits of single precision; an empty table gives an empty table; other columns
 are ignored. Without any word in the corpus all tokens are equally likely.
 """
 
+import itertools
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -34,7 +40,7 @@ from shiftlode.session import settle
 
 BUCKETS = 1 << 16
 FEATURES = 1 << 12
-CLASSES = 64
+CLASSES, CELLS = 64, 32
 SIDE = 2
 WIDTH = 16
 ROUNDS = 2
@@ -45,6 +51,9 @@ PIECE = 1 << 12  # tokens that are scored at once
 CHUNK = 1 << 14  # parameters that are added up as one row
 SALT = 32
 SMOOTH = 0.5
+FREQUENT = 1 << 17  # words whose counts tasks hold
+STEPS = 8  # parts of a power of two in the histogram that finds them
+HELD = 1 << 20  # words whose counts are added up at once
 
 
 def buckets_of(text: str | None, known: WordHashes) -> np.ndarray:
@@ -52,37 +61,55 @@ def buckets_of(text: str | None, known: WordHashes) -> np.ndarray:
 
 
 class Vocabulary:
-    """Class of every bucket and its log-share in the class."""
+    """Kind (cell of a class) of every bucket, its log-share in the kind, and the class of every kind."""
 
     def __init__(self, counts: np.ndarray):
         order = np.lexsort((np.arange(BUCKETS), -counts))
         mass = counts[order] + SMOOTH
         before = np.cumsum(mass) - mass
-        part = np.minimum((before / mass.sum() * CLASSES).astype(np.int64), CLASSES - 1)
-        part = np.unique(part, return_inverse=True)[1]  # a very frequent word may skip classes
+        part = np.minimum((before / mass.sum() * CLASSES * CELLS).astype(np.int64), CLASSES * CELLS - 1)
+        places, part = np.unique(part, return_inverse=True)  # a very frequent word may skip cells
         self.kind = np.empty(BUCKETS, np.int64)
         self.kind[order] = part
         total = np.bincount(part, mass)
         self.log_share = np.empty(BUCKETS)
         self.log_share[order] = np.log(mass / total[part])
         self.log_class = np.log(total / total.sum())
+        self.group = np.unique(places // CELLS, return_inverse=True)[1]  # rising, so cells of a class are neighbours
+        self.first = np.searchsorted(self.group, np.arange(self.group[-1] + 2))
+        self.log_group = np.log(np.add.reduceat(total, self.first[:-1]) / total.sum())
+
+
+def log_softmax(logits: np.ndarray, chosen: np.ndarray) -> np.ndarray:
+    logits -= logits.max(axis=1, keepdims=True)
+    return logits[np.arange(len(chosen)), chosen] - np.log(np.exp(logits).sum(axis=1))
+
+
+def softmax_error(logits: np.ndarray, chosen: np.ndarray) -> np.ndarray:
+    error = np.exp(logits - logits.max(axis=1, keepdims=True))
+    error /= error.sum(axis=1, keepdims=True)
+    error[np.arange(len(chosen)), chosen] -= 1
+    return error
 
 
 class Network:
     """Parameters as one float32 array; the layers are views of it."""
 
     def __init__(self, vocabulary: Vocabulary, flat: np.ndarray | None = None):
-        kinds = len(vocabulary.log_class)
-        shapes = [(2 * SIDE, FEATURES, WIDTH), (WIDTH,), (WIDTH, kinds), (kinds,)]
+        kinds, groups = len(vocabulary.log_class), len(vocabulary.log_group)
+        self.group, self.first = vocabulary.group, vocabulary.first
+        shapes = [(2 * SIDE, FEATURES, WIDTH), (WIDTH,), (WIDTH, groups), (groups,), (kinds, WIDTH), (kinds,)]
         sizes = [int(np.prod(shape)) for shape in shapes]
         self.flat = np.zeros(sum(sizes), np.float32) if flat is None else flat
         parts = np.split(self.flat, np.cumsum(sizes)[:-1])
-        self.tables, self.bias, self.out, self.prior = (part.reshape(shape) for part, shape in zip(parts, shapes))
+        layers = (part.reshape(shape) for part, shape in zip(parts, shapes))
+        self.tables, self.bias, self.out, self.prior, self.inner, self.inner_prior = layers
         if flat is None:
             source = np.random.default_rng(11)
             self.tables[:] = source.normal(0, 0.1, self.tables.shape)
             self.out[:] = source.normal(0, 0.1, self.out.shape)
-            self.prior[:] = vocabulary.log_class
+            self.prior[:] = vocabulary.log_group
+            self.inner_prior[:] = vocabulary.log_class
 
     def hidden(self, window: np.ndarray) -> np.ndarray:
         total = self.tables[0][window[:, 0]]
@@ -90,19 +117,35 @@ class Network:
             total += self.tables[place][window[:, place]]
         return np.tanh(total + self.bias)
 
+    def by_class(self, kind: np.ndarray) -> Iterator[tuple[np.ndarray, slice]]:
+        """Places of the targets of each class, and its cells; nothing for a class of one cell."""
+        group = self.group[kind]
+        order = np.argsort(group.astype(np.uint16), kind="stable")
+        ends = np.cumsum(np.bincount(group, minlength=len(self.first) - 1))
+        for start, stop, first, last in zip([0, *ends[:-1].tolist()], ends.tolist(), self.first[:-1].tolist(), self.first[1:].tolist()):
+            if stop > start and last - first > 1:
+                yield order[start:stop], slice(first, last)
+
     def log_probability(self, window: np.ndarray, kind: np.ndarray) -> np.ndarray:
-        logits = self.hidden(window) @ self.out + self.prior
-        logits -= logits.max(axis=1, keepdims=True)
-        return logits[np.arange(len(kind)), kind] - np.log(np.exp(logits).sum(axis=1))
+        hidden = self.hidden(window)
+        found = log_softmax(hidden @ self.out + self.prior, self.group[kind])
+        for places, cells in self.by_class(kind):
+            found[places] += log_softmax(hidden[places] @ self.inner[cells].T + self.inner_prior[cells], kind[places] - cells.start)
+        return found
 
     def learn(self, window: np.ndarray, kind: np.ndarray, share: float = 1.0) -> None:
         """One step of gradient descent on a batch; ``share`` shortens the step of a small one."""
         hidden = self.hidden(window)
-        logits = hidden @ self.out + self.prior
-        error = np.exp(logits - logits.max(axis=1, keepdims=True))
-        error /= error.sum(axis=1, keepdims=True)
-        error[np.arange(len(kind)), kind] -= 1
-        back = (error @ self.out.T) * (1 - hidden * hidden)
+        error = softmax_error(hidden @ self.out + self.prior, self.group[kind])
+        back = error @ self.out.T
+        for places, cells in self.by_class(kind):
+            own = hidden[places]
+            wrong = softmax_error(own @ self.inner[cells].T + self.inner_prior[cells], kind[places] - cells.start)
+            back[places] += wrong @ self.inner[cells]
+            pace = np.float32(share * RATE / max(len(places), CELLS))  # few targets make a short step
+            self.inner[cells] -= pace * (wrong.T @ own)
+            self.inner_prior[cells] -= pace * wrong.sum(axis=0)
+        back *= 1 - hidden * hidden
         step = np.float32(share * RATE / len(kind))
         self.out -= step * (hidden.T @ error)
         self.prior -= step * error.sum(axis=0)
@@ -128,14 +171,96 @@ def windows(buckets: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
 
 
 def encoded(df: DataFrame, key: str, text: str) -> DataFrame:
-    """``doc_id`` and ``tokens`` (buckets, two bytes each) of every text, written for the passes that follow."""
+    """Every text for the passes that follow, written: ``doc_id``, ``tokens`` (buckets, two bytes each), ``row`` (a
+    number of its own), and its different ``words`` (eight bytes each, rising) with how many ``times`` (eight bytes) each occurs."""
 
     def step():
         known = WordHashes()
-        return lambda number, value: [(number, buckets_of(value, known).astype("<u2").tobytes())]
+        rows = itertools.count(TaskContext.get().partitionId() << 40)
+
+        def each(number, value):
+            hashes = hashes_of(words_of(value), known)
+            words, times = np.unique(hashes.view(np.int64), return_counts=True)
+            buckets = (hashes % np.uint64(BUCKETS)).astype("<u2")
+            return [(number, buckets.tobytes(), next(rows), words.astype("<i8").tobytes(), times.astype("<i8").tobytes())]
+
+        return each
 
     rows = df.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    return settle(by_row(rows, ["doc_id", "text"], step, "doc_id long, tokens binary"), "tokens")
+    return settle(by_row(rows, ["doc_id", "text"], step, "doc_id long, tokens binary, row long, words binary, times binary"), "tokens")
+
+
+def count_words(tokens: DataFrame) -> DataFrame:
+    """``word`` (64 bits) and ``n`` of all distinct words, written."""
+
+    def added(held: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
+        words, times = (np.concatenate(x) for x in zip(*held))
+        order = np.argsort(words)
+        words = words[order]
+        starts = np.nonzero(np.diff(words, prepend=words[0] - 1))[0]
+        return pa.RecordBatch.from_arrays([pa.array(words[starts]), pa.array(np.add.reduceat(times[order], starts))], names=["word", "n"])
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
+        for batch in batches:
+            for words, times in zip(values(batch.column(0)), values(batch.column(1))):
+                if words:
+                    held.append((np.frombuffer(words, "<i8"), np.frombuffer(times, "<i8")))
+                    size += len(held[-1][0])
+                if size >= HELD:
+                    yield added(held)
+                    held, size = [], 0
+        if held:
+            yield added(held)
+
+    found = tokens.select("words", "times").mapInArrow(run, "word long, n long")
+    return settle(found.groupBy("word").agg(F.sum("n").alias("n")), "words")
+
+
+def frequent_words(words: DataFrame, most: int = FREQUENT) -> tuple[np.ndarray, np.ndarray]:
+    """At most ``most`` words, rising, and the logarithms of their counts: all above a count that a histogram gives."""
+    level = F.floor(F.log2("n") * STEPS)
+    sizes = sorted(((row["level"], row["count"]) for row in words.groupBy(level.alias("level")).count().collect()), reverse=True)
+    total, least = 0, None
+    for at, size in sizes:
+        total += size
+        if total > most:
+            break
+        least = at
+    if least is None:
+        return np.zeros(0, np.int64), np.zeros(0)
+    found = words.filter(level >= least).toPandas()
+    number, n = found["word"].to_numpy(np.int64), found["n"].to_numpy(np.float64)
+    order = np.argsort(number)
+    return number[order], np.log(n[order])
+
+
+def other_words(tokens: DataFrame, frequent: np.ndarray) -> DataFrame:
+    """``row``, ``word``, ``times`` of the words of every text that are not frequent."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            held, size = [], 0
+            for row, words, times in zip(*[values(batch.column(i)) for i in range(3)]):
+                words, times = np.frombuffer(words, "<i8"), np.frombuffer(times, "<i8")
+                other = ~known(frequent, words)[0]
+                held.append((np.full(int(other.sum()), row), words[other], times[other]))
+                size += len(held[-1][0])
+                if size >= HELD // 8:
+                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*held)], names=["row", "word", "times"])
+                    held, size = [], 0
+            if size:
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*held)], names=["row", "word", "times"])
+
+    return tokens.select("row", "words", "times").mapInArrow(run, "row long, word long, times long")
+
+
+def known(frequent: np.ndarray, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Which words are frequent, and their places."""
+    if not len(frequent):
+        return np.zeros(len(words), bool), np.zeros(len(words), np.int64)
+    place = np.minimum(np.searchsorted(frequent, words), len(frequent) - 1)
+    return frequent[place] == words, place
 
 
 def token_arrays(column: pa.Array) -> Iterator[np.ndarray]:
@@ -254,21 +379,49 @@ def score_texts(texts: Iterable[np.ndarray], network: Network, vocabulary: Vocab
 SCORES = "doc_id long, n_tokens long, log_likelihood double, mean_log_likelihood double"
 
 
-def score(tokens: DataFrame, network: Network, vocabulary: Vocabulary) -> DataFrame:
-    """Pseudo-log-likelihood of every text."""
-    names, types = [field.split()[0] for field in SCORES.split(", ")], arrow_types(SCORES)
+def score(tokens: DataFrame, network: Network, vocabulary: Vocabulary, key: str = "doc_id") -> DataFrame:
+    """Pseudo-log-likelihood of the buckets of every text; with ``key`` "row" that number too."""
+    schema = SCORES if key == "doc_id" else f"{SCORES}, {key} long"
+    names, types = [field.split()[0] for field in schema.split(", ")], arrow_types(schema)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             scored = score_texts(token_arrays(batch.column(1)), network, vocabulary)
-            rows = [(number, n, total, total / n if n else None) for number, (n, total) in zip(batch.column(0).to_pylist(), scored)]
+            keys = zip(*[batch.column(i).to_pylist() for i in range(batch.num_columns) if i != 1])
+            rows = [(own[0], n, total, total / n if n else None, *own[1:]) for own, (n, total) in zip(keys, scored)]
             yield to_batch(rows, names, types)
 
-    return tokens.select("doc_id", "tokens").mapInArrow(run, SCORES)
+    return tokens.select("doc_id", "tokens", *([] if key == "doc_id" else [key])).mapInArrow(run, schema)
+
+
+def word_shares(tokens: DataFrame, counts: np.ndarray) -> DataFrame:
+    """``row`` and ``share``: the sum of log p(word | bucket) over all tokens of a text."""
+    words = count_words(tokens)
+    frequent, logs = frequent_words(words)
+    log_bucket = np.log(np.maximum(counts, 1))
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = []
+            for row, held, times in zip(*[values(batch.column(i)) for i in range(3)]):
+                held, times = np.frombuffer(held, "<i8"), np.frombuffer(times, "<i8")
+                found, place = known(frequent, held)
+                own = (logs[place[found]] * times[found]).sum() if found.any() else 0.0
+                rows.append((row, float(own - (log_bucket[held % BUCKETS] * times).sum())))
+            yield to_batch(rows, ["row", "share"], arrow_types("row long, share double"))
+
+    here = tokens.select("row", "words", "times").mapInArrow(run, "row long, share double")
+    met = other_words(tokens, frequent).join(words, "word").select("row", (F.col("times") * F.log("n")).alias("share"))
+    return here.unionByName(met).groupBy("row").agg(F.sum("share").alias("share"))
 
 
 def pseudo_likelihood(df: DataFrame, key: str = "doc_id", text: str = "text", rounds: int = ROUNDS) -> DataFrame:
     """Count, train and score on the same documents. Counting and training run at once."""
     tokens = encoded(df, key, text)
-    vocabulary = Vocabulary(count_buckets(tokens))
-    return score(tokens, train(tokens, vocabulary, rounds), vocabulary).withColumnRenamed("doc_id", key)
+    counts = count_buckets(tokens)
+    vocabulary = Vocabulary(counts)
+    scored = score(tokens, train(tokens, vocabulary, rounds), vocabulary, "row")
+    total = F.col("log_likelihood") + F.col("share")
+    return scored.join(word_shares(tokens, counts), "row").select(
+        F.col("doc_id").alias(key), "n_tokens", total.alias("log_likelihood"), F.when(F.col("n_tokens") > 0, total / F.col("n_tokens")).alias("mean_log_likelihood")
+    )

@@ -124,3 +124,50 @@ def test_every_token_is_learnt_once(spark):
     for offset in range(masked.ROUNDS):
         assert train_task(only, one, own, offset) == (2, 1)[offset]
     assert np.allclose(network.flat, one.flat, atol=1e-5) and not np.allclose(network.flat, Network(own).flat)
+
+
+def colliding():
+    """Two words of one bucket."""
+    seen = {}
+    for i in range(100_000):
+        word = f"w{i}"
+        other = seen.setdefault(int(buckets_of(word, WordHashes())[0]), word)
+        if other != word:
+            return other, word
+
+
+@pytest.mark.parametrize("most", [masked.FREQUENT, 1, 0])
+def test_words_of_one_bucket_are_told_apart(spark, monkeypatch, most):
+    often, rare = colliding()
+    texts = [f"a {often} b"] * 99 + [f"a {rare} b", f"{rare} {rare} x y", None]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    monkeypatch.setattr(masked.frequent_words, "__defaults__", (most,))
+    got = {r["doc_id"]: r for r in pseudo_likelihood(df).collect()}
+    assert len(got) == len(texts) and got[101]["log_likelihood"] == 0
+    assert np.isclose(got[0]["log_likelihood"] - got[99]["log_likelihood"], np.log(99 / 3), atol=1e-5)
+    tokens = masked.encoded(df, "doc_id", "text")
+    counts = {r["word"]: r["n"] for r in masked.count_words(tokens).collect()}
+    assert sorted(counts.values()) == [1, 1, 3, 99, 100, 100]
+
+
+def test_words_of_one_class_depend_on_the_window():
+    source = np.random.default_rng(4)
+    texts = [" ".join(f"l{k} m{k} r{k}" for k in source.integers(0, 500, 300)) for _ in range(150)]
+    own = vocabulary(arrays(texts))
+    one = own.kind[buckets_of("m1", WordHashes())[0]]
+    assert len(own.log_group) <= masked.CLASSES < len(own.log_class) <= masked.CLASSES * masked.CELLS
+    network = Network(own)
+    for _ in range(6):
+        for offset in range(masked.STRIDE):
+            train_task(arrays(texts), network, own, offset)
+    at = {name: 1 + buckets_of(name, WordHashes())[0] % (masked.FEATURES - 1) for name in ("l1", "r1", "l2", "r2")}
+    cells = np.arange(*own.first[own.group[one] :][:2])
+    assert len(cells) > 1
+
+    def inside(k):
+        window = np.repeat([[0, at[f"l{k}"], at[f"r{k}"], 0]], len(cells), axis=0)
+        logs = network.log_probability(window, cells)
+        return logs - np.log(np.exp(logs).sum())
+
+    assert not np.allclose(inside(1), inside(2), atol=1e-3)
+    assert inside(1)[one - cells[0]] > inside(2)[one - cells[0]]
