@@ -10,7 +10,7 @@ from shiftlode.llm.blocks import nearest
 from shiftlode.llm.bpe import bpe_digest
 from shiftlode.llm.common import table
 from shiftlode.llm.entropy import mix
-from shiftlode.llm.evidence import identify
+from shiftlode.llm.evidence import identify, page_evidence
 from shiftlode.llm.forest import fit as fit_forest
 from shiftlode.llm.forest import judge
 from shiftlode.llm.masked import pseudo_likelihood
@@ -90,7 +90,10 @@ def op6_isolation_forest(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def op7_language_evidence(spark: SparkSession, folder: str) -> DataFrame:
-    return identify(table(spark, folder, "documents"))
+    """Documents by their text, ``lang`` and source, and pages by their text, markup language, host and address suffix."""
+    documents = identify(table(spark, folder, "documents"))
+    pages = identify(page_evidence(table(spark, folder, "pages")), "page_id", "text", "declared", "host", "suffix")
+    return documents.unionByName(pages, allowMissingColumns=True)
 
 
 @query

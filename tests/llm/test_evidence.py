@@ -4,6 +4,7 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from shiftlode.llm.evidence import identify, kept_rows, page_evidence, trigram_codes
+from shiftlode.llm.queries import QUERIES
 
 
 def test_documents(spark, folder):
@@ -56,3 +57,18 @@ def test_slices_do_not_lose_letters():
     codes = [c for part in trigram_codes("ab cd") for c in part.tolist()]
     assert len(codes) == 5 and list(trigram_codes(None)) == [] and [len(x) for x in trigram_codes("12")] == []
     assert np.concatenate(list(trigram_codes("abc " * 400_000))).size > 1_590_000
+
+
+def test_registered_query_reads_the_evidence_of_pages(spark, folder, tmp_path):
+    documents = spark.read.parquet(f"{folder}/documents.parquet".replace("sf0.001", "sf0.01"))
+    html = F.concat(F.lit('<html lang="'), "lang", F.lit('"><body><p>'), "text")
+    address = F.concat(F.lit("http://h"), F.col("doc_id") % 9, F.lit("."), "lang", F.lit("/"), "doc_id")
+    pages = documents.select(F.col("doc_id").alias("page_id"), address.alias("url"), html.alias("html"))
+    short = [(-1, "https://new.de/a", "<p>xa"), (-2, "//new.es/", "<p>xa"), (-3, "http://new.org/", "<html lang='fr-CA'>xa"), (-4, None, None)]
+    pages.unionByName(spark.createDataFrame(short, "page_id long, url string, html string")).write.parquet(f"{tmp_path}/pages.parquet")
+    documents.write.parquet(f"{tmp_path}/documents.parquet")
+    found = QUERIES["op7_language_evidence"](spark, str(tmp_path)).cache()
+    assert found.filter("page_id IS NULL").count() == documents.count()
+    assert found.filter("doc_id IS NULL").count() == pages.count() + len(short)
+    got = {r["page_id"]: (r["language"], r["declared"]) for r in found.filter("page_id < 0").collect()}
+    assert got == {-1: ("de", "none"), -2: ("es", "none"), -3: ("fr", "fr"), -4: ("und", "none")}
