@@ -12,10 +12,14 @@
    Spark knows their size, and joined to the pages by host: broadcast while they are small, else with the
    pages of a hot host split. Every block inside a template subtree is deleted.
 
+4. Articles may quote the same lines, so an article and the prose elements inside it (paragraphs, lists, tables, headings) are
+   template only from ``LINE_PAGES`` pages and ``LINE_SHARE`` of the pages of the host on. The lowest bit of a hash says
+   which of the two limits it has.
+
 Recurrence says nothing about hosts with a few pages, nor about parts that change from page to page, such
-as reader comments. So elements whose name, role or class says what they are (``SKIPPED``, ``HINTS``) go as
-well, and where a page marks its article (or else its main part), blocks outside it go. Prose elements of a marked article are never
-template: articles may quote the same lines.
+as reader comments. So elements whose name, role or class says what they are (``SKIPPED``, ``HINTS``) go on all hosts.
+On hosts with fewer than ``LINE_PAGES`` pages (and on pages without a host), where a page marks its article (or else
+its main part), blocks outside it go as well; on all others recurrence decides about blocks outside and inside.
 
 Defined cases: null or empty html gives the empty text; a page without host is compared with no other;
 repeated rows are kept each; unclosed tags end with their parent, elements nested deeper than ``DEEPEST`` follow one another, unclosed comments and scripts
@@ -35,6 +39,8 @@ from shiftlode.session import settle
 
 MIN_PAGES = 3
 SHARE = 0.3
+LINE_PAGES = 10
+LINE_SHARE = 0.5
 DEEPEST = 512  # elements below become siblings, as in browsers
 
 # Names of HTML elements, roles and usual class words.
@@ -167,7 +173,7 @@ class Page:
         inside = self.articles > 0
         by_attributes, label = skipped_by_attributes(name, attributes, inside)
         skipped = by_attributes or name in SKIPPED or (name == "header" and not inside)
-        node = Node(name, skipped, inside and name in PROSE, f"<{name} {label}>")
+        node = Node(name, skipped, name == "article" or (inside and name in PROSE), f"<{name} {label}>")
         if skipped and not node.block:
             self.flush()  # an inline element that is no content must not share a block
         while len(self.stack) > DEEPEST:
@@ -197,25 +203,26 @@ class Page:
             self.mains -= node.name == "main"
         self.stack.pop()
         if len(node.parts) > 1:
-            node.hash = xxhash.xxh64_intdigest("\x00".join(node.parts)) - (1 << 63)
+            node.hash = (xxhash.xxh64_intdigest("\x00".join(node.parts)) - (1 << 63)) & ~1 | node.prose
             self.stack[-1].parts.append(str(node.hash) if node.block else "\x01".join(node.parts[1:]))
 
-    def rows(self) -> Iterator[tuple[str, bool, list[int]]]:
-        """text, whether it may be content, hashes that delete it when they are template."""
+    def rows(self) -> Iterator[tuple[str, bool, bool, list[int]]]:
+        """text, whether it is skipped, whether it is in the marked part, hashes that delete it when they are template."""
         marked = max((level for _, skipped, level, _ in self.blocks if not skipped), default=0)
         for text, skipped, level, path in self.blocks:
-            chain = [node.hash for node in path if not node.prose and node.name not in ("html", "body", "main", "article")]
-            yield text, not skipped and level == marked, chain
+            chain = [node.hash for node in path if node.name not in ("html", "body", "main")]
+            yield text, skipped, level == marked, chain
 
 
 def read_page(source: str | None) -> tuple[list[str], list[int], list[list[int]], int]:
-    """Texts (empty if no content), 1 for content, hashes, and a hash of the content."""
+    """Texts (empty if skipped), 1 for content by the marks of the page, hashes, and a hash of that content."""
     texts, content, chains = [], [], []
-    for text, may_be, chain in Page(source or "").rows():
-        texts.append(text if may_be else "")
-        content.append(int(may_be))
+    for text, skipped, inside, chain in Page(source or "").rows():
+        texts.append("" if skipped else text)
+        content.append(int(inside and not skipped))
         chains.append(chain)
-    return texts, content, chains, xxhash.xxh64_intdigest("\x00".join(texts)) - (1 << 63)
+    marked = "\x00".join(text if inside else "" for text, inside in zip(texts, content))
+    return texts, content, chains, xxhash.xxh64_intdigest(marked) - (1 << 63)
 
 
 def host_of(url) -> F.Column:
@@ -223,20 +230,27 @@ def host_of(url) -> F.Column:
     return F.when(host != "", host)
 
 
-def templates(read: DataFrame, min_pages: int = MIN_PAGES, share: float = SHARE) -> DataFrame:
-    """``_h`` (host) and ``_template``: the hashes that recur on its pages."""
+def templates(
+    read: DataFrame, min_pages: int = MIN_PAGES, share: float = SHARE, line_pages: int = LINE_PAGES, line_share: float = LINE_SHARE
+) -> DataFrame:
+    """``_h`` (host), ``_template``: the hashes that recur on its pages, and ``_large``: recurrence decides alone."""
     known = read.filter("_host IS NOT NULL")
     sizes = known.groupBy("_host", "_content").agg(F.lit(1).alias("_one")).groupBy("_host").agg(F.count("*").alias("_pages"))
     each = known.select("_host", "_content", F.explode(F.array_distinct(F.flatten("_chains"))).alias("_hash"))
     pages = each.groupBy("_host", "_hash", "_content").agg(F.lit(1).alias("_one"))
-    counts = pages.groupBy("_host", "_hash").agg(F.count("*").alias("_n")).filter(F.col("_n") >= min_pages)
-    often = counts.join(sizes.filter(F.col("_pages") >= min_pages), "_host").filter(F.col("_n") >= share * F.col("_pages"))
-    return often.groupBy(F.col("_host").alias("_h")).agg(F.collect_list("_hash").alias("_template"))
+    line = F.col("_hash").bitwiseAND(F.lit(1).cast("long")) == 1
+    least, part = F.when(line, line_pages).otherwise(min_pages), F.when(line, line_share).otherwise(share)
+    counts = pages.groupBy("_host", "_hash").agg(F.count("*").alias("_n")).filter(F.col("_n") >= least)
+    often = counts.join(sizes.filter(F.col("_pages") >= min_pages), "_host").filter(F.col("_n") >= part * F.col("_pages"))
+    lists = often.groupBy("_host").agg(F.collect_list("_hash").alias("_template"))
+    large = F.col("_pages") >= line_pages
+    found = sizes.select("_host", large.alias("_large")).join(lists, "_host", "left").filter("_large OR _template IS NOT NULL")
+    return found.select(F.col("_host").alias("_h"), "_template", "_large")
 
 
 def extract(
     df: DataFrame, key: str = "page_id", url: str = "url", html: str = "html",
-    min_pages: int = MIN_PAGES, share: float = SHARE,
+    min_pages: int = MIN_PAGES, share: float = SHARE, line_pages: int = LINE_PAGES, line_share: float = LINE_SHARE,
 ) -> DataFrame:
     """key, url, main text, its code points, and how many blocks were template."""
 
@@ -248,12 +262,13 @@ def extract(
     )
     schema = "_key long, _url string, _host string, _texts array<string>, _may array<int>, _chains array<array<long>>, _content long"
     read = settle(by_row(rows, ["_key", "_url", "_host", "_html"], step, schema), "blocks")
-    found = settle(templates(read, min_pages, share), "templates")
+    found = settle(templates(read, min_pages, share, line_pages, line_share), "templates")
     met = read.join(found, F.col("_host") == F.col("_h"), "left")
     recurring = F.coalesce(F.col("_template"), F.array().cast("array<long>"))
     blocks = F.arrays_zip(F.col("_texts").alias("t"), F.col("_may").alias("m"), F.col("_chains").alias("c"))
     deleted = F.filter("_chains", lambda c: F.arrays_overlap(c, recurring))
-    left = F.filter(blocks, lambda b: (b["m"] == 1) & ~F.arrays_overlap(b["c"], recurring))
+    large = F.coalesce(F.col("_large"), F.lit(False))
+    left = F.filter(blocks, lambda b: ((b["m"] == 1) | (large & (b["t"] != ""))) & ~F.arrays_overlap(b["c"], recurring))
     text = F.array_join(F.transform(left, lambda b: b["t"]), "\n")
     return met.select(
         F.col("_key").alias(key), F.col("_url").alias(url), text.alias("text"), F.size(deleted).cast("long").alias("n_template_blocks")

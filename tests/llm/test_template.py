@@ -74,3 +74,20 @@ def test_given_pages(spark, folder):
         article = page["html"].partition("<article>")[2].partition("</article>")[0]
         blocks = [" ".join(html.unescape(re.sub("<[^>]*>", "", b)).split()) for b in re.split("</?(?:p|h1)>", article)]
         assert got[page["page_id"]] == "\n".join(b for b in blocks if b)
+
+
+def test_recurring_prose_of_articles_is_deleted_on_hosts_with_many_pages(spark):
+    notice = "<p>Subscribe now</p><ul><li>Share</li><li>Print</li></ul><table><tr><td>Fees</td></tr></table>"
+    article = lambda i, extra: f"<article><h2>title {i}</h2><p>said {i}</p>{extra}</article>"
+    pages = [(i, f"http://many.example/{i}", f"<p>lead {i}</p><p>Every page</p>{article(i, notice)}") for i in range(12)]
+    pages += [(100 + i, f"http://few.example/{i}", f"<p>lead {i}</p>{article(i, notice)}") for i in range(9)]
+    # A quotation on a part of the pages stays, copies of a page count once.
+    pages += [(200 + i, f"http://quotes.example/{i}", article(i, "<p>quoted</p>" if i < 10 else "")) for i in range(24)]
+    pages += [(300 + i, f"http://copies.example/{i}", article(0, notice)) for i in range(15)]
+    got = {r["page_id"]: r for r in extract(spark.createDataFrame(pages, "page_id long, url string, html string")).collect()}
+    kept = "\nSubscribe now\nShare\nPrint\nFees"
+    for i in range(12):
+        assert got[i]["text"] == f"lead {i}\ntitle {i}\nsaid {i}" and got[i]["n_template_blocks"] == 5
+    assert all(got[100 + i]["text"] == f"title {i}\nsaid {i}{kept}" for i in range(9))
+    assert all(got[200 + i]["text"] == f"title {i}\nsaid {i}" + "\nquoted" * (i < 10) for i in range(24))
+    assert all(got[300 + i]["text"] == f"title 0\nsaid 0{kept}" for i in range(15))
