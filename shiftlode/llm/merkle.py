@@ -1,8 +1,10 @@
 """WARC shards and a fixity audit of two replicas by hash trees.
 
-**Writing.** Records (header lines, blank line, payload, two line ends) go to shards of about ``SHARD_BYTES``
+**Writing.** Records (header lines, blank line, payload, two line ends) go to shards of at most about ``SHARD_BYTES``
 bytes, dealt by hash and ordered by id, as gzipped text files that Spark writes itself. Each header has the digest
-of its payload.
+of its payload. The number of shards is a power of two from the bytes of the whole records. Rows of one id and address share a
+shard while they are at most a ``PARTS``-th of it; else they are dealt by their content, and copies of one row in
+runs of that size, counted by Spark: which shard holds how many copies depends on the rows only, not on their order.
 
 **Trees.** A task reads whole shards. A leaf is the hash of a record with the range of offsets it
 fills; a node is the hash of up to ``FAN`` ordered children with the range they cover; ``LEVELS`` levels give the root
@@ -36,6 +38,8 @@ from shiftlode.llm.common import arrow_types, to_batch, values
 from shiftlode.session import new_path, settle
 
 SHARD_BYTES = 8 << 20
+PARTS = 8
+HEADER = 320  # bytes of a record beside its address and payload, at most
 FAN, LEVELS = 16, 5  # up to FAN ** LEVELS records a shard
 BEGIN, END = b"WARC/1.0\r\n", b"\r\n\r\n"
 NODES = "level int, shard long, idx long, first long, stop long, hash binary, record string, sound boolean, digest binary"
@@ -60,12 +64,33 @@ def records_text(key, url, html) -> F.Column:
 
 
 def shard_records(df: DataFrame, key: str = "page_id", url: str = "url", html: str = "html", shard_bytes: int = SHARD_BYTES) -> DataFrame:
-    """``shard``, ``_order`` and ``record`` of every row; counts bytes first."""
-    total = df.agg(F.sum(F.octet_length(html))).first()[0] or 0
-    shards = max(1, -(-total // shard_bytes))
-    record = records_text(F.col(key), F.col(url), F.col(html))
-    rows = df.select(F.pmod(F.xxhash64(F.col(key), F.col(url)), F.lit(shards)).alias("shard"), F.col(key).cast("long").alias("_order"), record.alias("record"))
-    return rows
+    """``shard``, ``_order`` and ``record`` of every row; counts bytes by id and address first."""
+    rows = df.select(F.col(key).alias("_key"), F.col(url).alias("_url"), F.col(html).alias("_html"))
+    size = F.lit(HEADER).cast("long") + sum(F.coalesce(F.octet_length(name), F.lit(0)) for name in ("_url", "_html"))
+    most = max(1, shard_bytes // PARTS)
+    sizes = rows.groupBy("_key", "_url").agg(F.sum(size).alias("_bytes"), F.count("*").alias("_rows"))
+    sizes = settle(sizes, "record-sizes")
+    total = sizes.agg(F.sum("_bytes")).first()[0] or 0
+    shards = 1 << (max(1, -(-total // shard_bytes)) - 1).bit_length()
+    record = records_text(F.col("_key"), F.col("_url"), F.col("_html"))
+    number = F.col("_key").cast("long").alias("_order")
+
+    def dealt(*by: str) -> F.Column:
+        return F.pmod(F.xxhash64(*by), F.lit(shards)).alias("shard")
+
+    large = sizes.filter((F.col("_rows") > 1) & (F.col("_bytes") > most)).select(F.col("_key").alias("_k"), F.col("_url").alias("_u"))
+    if shards == 1 or not large.take(1):
+        return rows.select(dealt("_key", "_url"), number, record.alias("record"))
+    large = settle(large, "large-ids")
+    same = F.col("_key").eqNullSafe(F.col("_k")) & F.col("_url").eqNullSafe(F.col("_u"))
+    small = rows.join(large, same, "left_anti").select(dealt("_key", "_url"), number, record.alias("record"))
+    # One row for all copies, then one for each run of them, which moves before it becomes records.
+    copies = rows.join(large, same, "left_semi").groupBy("_key", "_url", "_html").agg(F.count("*").alias("_n"))
+    copies = copies.withColumn("_run", F.greatest(F.lit(1).cast("long"), F.floor(F.lit(most) / size)))
+    runs = copies.withColumn("_at", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("_n") - 1) / F.col("_run")))))
+    runs = runs.select(dealt("_key", "_url", "_html", "_at"), number, record.alias("record"), F.least("_run", F.col("_n") - F.col("_at") * F.col("_run")).alias("_times"))
+    each = runs.repartition("shard").withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_times"))))
+    return small.unionByName(each.select("shard", "_order", "record"))
 
 
 def write_replicas(records: DataFrame, target: str, copies: dict[str, F.Column]) -> list[str]:

@@ -98,3 +98,30 @@ def test_empty(spark):
     rows = pages(5)
     b = write_replica(shard_records(spark.createDataFrame(rows, "page_id long, url string, html string, shard string")), new_path(spark, "warc"))
     assert {s for _, s in statuses(audit(spark, b, a))} == {"missing in b"}
+
+
+def shard_sizes(records):
+    return [r["n"] for r in records.groupBy("shard").agg(F.sum(F.octet_length("record") + 4).alias("n")).collect()]
+
+
+def test_no_shard_holds_all_copies_of_a_page(spark):
+    """A third of all rows are one page, others one id with many texts; both orders give the same shards."""
+    rows = [(i, f"http://h/{i}", f"<p>{i}</p>" * 9, "x") for i in range(2000)] + [(7, "http://h/7", "<p>again</p>", "x")] * 1500
+    rows += [(None, None, f"<p>lost {i % 400}</p>", "x") for i in range(500)]
+    schema = "page_id long, url string, html string, shard string"
+    records = [shard_records(spark.createDataFrame(x, schema), shard_bytes=40_000) for x in (rows, list(reversed(rows)))]
+    assert max(shard_sizes(records[0])) <= 80_000 and sum(shard_sizes(records[0])) > 1_000_000
+    assert records[0].exceptAll(records[1]).count() == 0 and records[0].count() == records[1].count() == len(rows)
+    a, b = (write_replica(x, new_path(spark, "warc")) for x in records)
+    assert damaged_leaves(replica_tree(spark, a), replica_tree(spark, b)) is None
+    damaged = write_replica(records[0].withColumn("record", F.expr("replace(record, 'p>3<', 'p>4<')")), new_path(spark, "warc"))
+    found = audit(spark, a, damaged).groupBy("status").count().collect()
+    assert {r["status"]: r["count"] for r in found} == {"same": len(rows) - 1, "damaged in b": 1}
+
+
+def test_rows_without_payload_fill_shards(spark):
+    rows = spark.range(3000).select(F.col("id").alias("page_id"), F.lit(None).cast("string").alias("url"), F.lit(None).cast("string").alias("html"))
+    assert max(shard_sizes(shard_records(rows, shard_bytes=20_000))) <= 40_000
+    nothing = rows.withColumn("page_id", F.lit(None).cast("long"))
+    records = shard_records(nothing, shard_bytes=20_000)
+    assert max(shard_sizes(records)) <= 40_000 and records.count() == 3000
