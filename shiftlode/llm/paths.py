@@ -10,7 +10,8 @@ a hash of the node), and every set goes to the child for its value of each. Simi
 part. Nodes with one set end; nodes with at most ``LIMIT`` sets are compared by brute force; larger ones are split
 again, level by level, all runs at once. What is still large after ``DEPTH`` levels is compared in blocks, so no
 bucket is cut. With similarity ``s`` a pair survives a level with the probability of :func:`survival`; the number of
-runs follows from it and the target ``RECALL``.
+runs follows from it and the target ``RECALL``. All runs read one sketch, so the miss is averaged over how many sampled
+tokens a pair at the threshold shares (:func:`missed`).
 
 **Links.** Brute force compares sketches; their error at the threshold is below 1e-5. What passes joins sets
 into candidate components. Within a component all pairs are compared, block by block, by sketch
@@ -40,7 +41,7 @@ from shiftlode.session import settle
 
 WORDS = 5
 SIMILARITY = 0.8
-RECALL = 0.995
+RECALL = 0.9999
 TOKENS = 128
 START = 2  # levels before the first count
 DEPTH = 6
@@ -92,8 +93,20 @@ def survival(levels: int, similarity: float = SIMILARITY) -> float:
     return chance
 
 
+def missed(runs: int, similarity: float = SIMILARITY) -> float:
+    """Probability that no run finds a pair; the runs are independent only given the sketches."""
+    total = 0.0
+    for matches in range(TOKENS + 1):
+        chance = math.comb(TOKENS, matches) * similarity**matches * (1 - similarity) ** (TOKENS - matches)
+        total += chance * (1 - survival(DEPTH, matches / TOKENS)) ** runs
+    return total
+
+
 def runs_for(recall: float = RECALL) -> int:
-    return math.ceil(math.log(1 - recall) / math.log(1 - survival(DEPTH)))
+    runs = 1
+    while missed(runs) > 1 - recall:
+        runs += 1
+    return runs
 
 
 def split(nodes: np.ndarray, sketches: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

@@ -136,3 +136,13 @@ def test_components(spark, shape):
     want = {(a, label[a]) for a, b in edges for a in (a, b) if edges and any(x != y for x, y in edges if a in (x, y))}
     got = {tuple(r) for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert got == want
+
+
+def test_runs_are_enough_for_pairs_of_one_sketch():
+    """Pairs at the threshold with sampled tokens drawn at random; all runs of a pair read the same ones."""
+    assert paths.missed(runs_for(0.995)) <= 0.005 and paths.missed(runs_for()) <= 1e-4
+    source = np.random.default_rng(3)
+    shared = source.binomial(paths.TOKENS, paths.SIMILARITY, 200_000) / paths.TOKENS
+    chances = {x: survival(paths.DEPTH, x) for x in np.unique(shared)}
+    found = np.array([chances[x] for x in shared])
+    assert ((1 - found) ** runs_for()).mean() <= 2e-4
