@@ -17,6 +17,7 @@ from shiftlode.llm.masked import pseudo_likelihood
 from shiftlode.llm.merkle import audit, row_id, shard_records, write_replicas
 from shiftlode.llm.paths import classes
 from shiftlode.llm.pfor import blocks_round_trip
+from shiftlode.llm.resample import resample
 from shiftlode.llm.template import extract
 from shiftlode.session import new_path
 
@@ -125,3 +126,43 @@ ORACLES["op9_block_nearest"] = """
 @query
 def op10_entropy_mix(spark: SparkSession, folder: str) -> DataFrame:
     return mix(table(spark, folder, "documents"))
+
+
+@query
+def op12_importance_draw(spark: SparkSession, folder: str) -> DataFrame:
+    drawn = resample(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+    return drawn.select("doc_id", "n_features", "weight", "score", "rank", "n_words")
+
+
+# CRC-32 by its table of 256 steps: the rest of a byte after eight shifts by the polynomial 0xEDB88320.
+ORACLES["op12_importance_draw"] = r"""
+    WITH RECURSIVE
+    texts AS (SELECT 's' AS kind, doc_id, text FROM documents UNION ALL SELECT 't', item_id, text FROM benchmark),
+    words AS (SELECT ROW_NUMBER() OVER () AS row, kind, doc_id,
+                     regexp_extract_all(translate(COALESCE(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                        '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM texts),
+    features AS (SELECT row, kind, unnest(w) AS f FROM words
+                 UNION ALL SELECT row, kind, unnest(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) FROM words),
+    names AS (SELECT DISTINCT f FROM features),
+    steps AS (SELECT i AS first, i AS rest, 0 AS shift FROM range(256) AS r(i)
+              UNION ALL SELECT first, xor(rest >> 1, CASE WHEN rest & 1 = 1 THEN 3988292384 ELSE 0 END), shift + 1 FROM steps WHERE shift < 8),
+    lookup AS (SELECT list(CAST(rest AS BIGINT) ORDER BY first) AS t FROM steps WHERE shift = 8),
+    bytes AS (SELECT f, list_transform(range(1, octet_length(encode(f)) + 1),
+                     lambda i: CAST('0x' || substr(hex(encode(f)), 2 * i - 1, 2) AS BIGINT)) AS b FROM names),
+    checked AS (SELECT f, xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), b),
+                       lambda c, x: xor(c >> 8, t[(xor(c, x) & 255) + 1])), 4294967295) % 10000 AS bucket FROM bytes, lookup),
+    placed AS (SELECT row, kind, bucket FROM features JOIN checked USING (f)),
+    counts AS (SELECT bucket, COUNT(*) FILTER (WHERE kind = 's') AS s, COUNT(*) FILTER (WHERE kind = 't') AS t FROM placed GROUP BY bucket),
+    sums AS (SELECT COALESCE(SUM(s), 0) + 10000 AS s_all, COALESCE(SUM(t), 0) + 10000 AS t_all FROM counts),
+    gains AS (SELECT bucket, CAST(floor(1000 * ln(CAST((t + 1) * s_all AS DOUBLE) / CAST((s + 1) * t_all AS DOUBLE))) AS BIGINT) AS gain
+              FROM counts, sums),
+    weights AS (SELECT row, COUNT(*) AS n_features, CAST(SUM(gain) AS BIGINT) AS total FROM placed JOIN gains USING (bucket)
+                WHERE kind = 's' GROUP BY row),
+    scores AS (SELECT doc_id, len(w) AS n_words, COALESCE(n_features, 0) AS n_features,
+                      CASE WHEN n_features > 0 THEN CAST(floor(total / n_features) AS BIGINT) ELSE 0 END AS weight,
+                      CAST('0x' || substr(sha256('7:' || COALESCE(CAST(doc_id AS VARCHAR), '')), 1, 8) AS BIGINT) AS h
+               FROM words LEFT JOIN weights USING (row) WHERE kind = 's'),
+    noisy AS (SELECT *, weight + CAST(floor(-1000 * ln(-ln((h + 0.5::DOUBLE) / 4294967296))) AS BIGINT) AS score FROM scores),
+    ranked AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY n_words >= 20 ORDER BY score DESC, doc_id) AS place,
+                      COUNT(*) OVER (PARTITION BY n_words >= 20) AS n FROM noisy)
+    SELECT doc_id, n_features, weight, score, CASE WHEN n_words >= 20 AND place <= 25 * n // 100 THEN place END AS rank, n_words FROM ranked"""
