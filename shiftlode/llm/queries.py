@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from shiftlode.llm.blocks import nearest
 from shiftlode.llm.bpe import bpe_digest
+from shiftlode.llm.collocations import collocations
 from shiftlode.llm.common import table
 from shiftlode.llm.entropy import mix
 from shiftlode.llm.evidence import identify, page_evidence
@@ -128,6 +129,35 @@ def op10_entropy_mix(spark: SparkSession, folder: str) -> DataFrame:
     return mix(table(spark, folder, "documents"))
 
 
+@query
+def op11_rollup_phrases(spark: SparkSession, folder: str) -> DataFrame:
+    return collocations(table(spark, folder, "documents"))
+
+
+ORACLES["op11_rollup_phrases"] = r"""
+    WITH pieces AS (SELECT COALESCE(lang, 'und') AS lang,
+                           unnest(regexp_split_to_array(translate(COALESCE(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                        '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+         words AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces),
+         total AS (SELECT lang, SUM(len(w)) AS n FROM words GROUP BY lang),
+         found AS (SELECT lang, k, unnest(list_transform(range(1, len(w) - k + 2), lambda i: w[i:i + k - 1])) AS p
+                   FROM words, range(1, 6) AS sizes(k) WHERE len(w) >= k),
+         f AS (SELECT lang, p, len(p) AS k, COUNT(*) AS f FROM found GROUP BY lang, p HAVING COUNT(*) >= 100),
+         cuts AS (SELECT c.lang, c.p, c.f AS a, cut, l.f AS l, r.f AS r, n,
+                         CAST(1000 * CAST(c.f AS HUGEINT) * CAST(n AS HUGEINT) // (CAST(l.f AS HUGEINT) * r.f) AS BIGINT) AS score
+                  FROM (SELECT *, unnest(range(1, k)) AS cut FROM f WHERE k > 1) c
+                  JOIN total USING (lang)
+                  JOIN f l ON l.lang = c.lang AND l.p = c.p[1:cut] JOIN f r ON r.lang = c.lang AND r.p = c.p[cut + 1:]),
+         lowest AS (SELECT * FROM cuts QUALIFY ROW_NUMBER() OVER (PARTITION BY lang, p ORDER BY score, cut) = 1),
+         inner_phrases AS (SELECT lang, f, k, unnest(range(1, k)) AS first, p FROM f WHERE k > 2),
+         spans AS (SELECT lang, f, k, first, unnest(range(first + 1, k + 1)) AS last, p FROM inner_phrases),
+         longer AS (SELECT lang, p[first:last] AS p, MAX(f) AS f FROM spans WHERE last - first + 1 < k GROUP BY ALL),
+         kept AS (SELECT c.* FROM lowest c LEFT JOIN longer USING (lang, p) WHERE longer.f IS NULL OR 100 * longer.f < 100 * a),
+         ranked AS (SELECT lang, array_to_string(p, ' ') AS phrase, a, l, r, n, score FROM kept)
+    SELECT lang, ROW_NUMBER() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, CAST(n AS BIGINT) AS n, score
+    FROM ranked QUALIFY rank <= 2000"""
+
+
 @query
 def op12_importance_draw(spark: SparkSession, folder: str) -> DataFrame:
     drawn = resample(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
