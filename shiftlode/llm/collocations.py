@@ -6,11 +6,13 @@ A phrase of k words occurs exactly where it is the head of a window, so Spark's
 (group, w1, ..., w5) sums the windows to the counts of all shorter phrases and to the number of words of the group;
 there is no explosion for each length.
 
-**Cut windows.** A phrase found ``least`` times has only words and neighbouring pairs found as often. A first pass over the
-texts sums words and pairs by 32-bit codes; the first ``BITS`` bits of those reaching ``least`` are
-a bitmap of fixed size (2 MB), which all tasks get. Windows end at the first pair outside of it, and words outside
+**Cut windows.** A phrase found ``least`` times has only words, neighbouring pairs and triples found as often. A first pass over the
+texts adds those up by hashed codes of ``CODE_BITS`` bits: tasks send sorted codes, two bytes each, cut in ranges, and each range
+is added up in one array of fixed size. The first ``BITS`` bits of the codes reaching ``least`` are
+a bitmap of fixed size (2 MB), which all tasks get. Windows end before the first pair or triple outside of it, and words outside
 count for the number of words only. Codes that collide let more windows through, never fewer, so all
-counts that reach ``least`` are exact; with a full bitmap the windows are whole and only cost more.
+counts that reach ``least`` are exact. The more words a corpus has, the more codes collide: beyond some 10 ** 11 words, ``code_bits`` should
+rise with them (more ranges, not larger ones); else windows are whole, which costs more and changes nothing else.
 
 **Scores.** Every cut of a candidate in two parts is looked up by two joins with the counts; the products are decimals
 of 38 digits, so ``1000 * a * n`` may go up to 10 to the power of 38. Phrases inside a longer candidate that is
@@ -31,7 +33,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from shiftlode.llm.common import WordHashes, hashes_of, values
+from shiftlode.llm.common import WordHashes, arrow_types, hashes_of, to_batch, values
 from shiftlode.session import settle
 
 LONGEST = 5
@@ -39,7 +41,10 @@ LEAST = 100
 MOST = 2000
 KEEP = 100  # percent of a phrase that a longer candidate has to cover to replace it
 UNKNOWN = "und"
+PARTS = 32
+CODE_BITS, RANGE_BITS = 32, 23
 BITS = 24
+CODES = 1 << 22  # codes that a task adds up before it sends them
 HELD = 1 << 18
 SLICE = 1 << 20
 LEADS = [f"w{i}" for i in range(1, LONGEST + 1)]
@@ -77,20 +82,25 @@ class Block:
         self.is_pair = self.is_word[:-1] & self.is_word[1:]
         salt = np.array([xxhash.xxh64_intdigest(name.encode("utf-8", "surrogatepass")) for name in names], np.uint64)[self.group]
         code = hashes_of(spelt, known)[self.token]
-        self.word_code = _mixed(code ^ salt)
-        self.pair_code = _mixed(_spread(code[:-1] ^ salt[:-1]) + code[1:])  # of a token and the next one
+        pair = _spread(code[:-1] ^ salt[:-1]) + code[1:]
+        self.word_code, self.pair_code = _spread(code ^ salt), _spread(pair)  # of a token; of it and the next one
+        self.triple_code = _spread(_spread(pair[:-1]) + code[2:])  # and the one after
+
+    def codes(self) -> np.ndarray:
+        """Of all words, pairs and triples that start in this block."""
+        at = slice(self.starts)
+        triple = self.is_pair[:-1] & self.is_pair[1:]
+        parts = (self.word_code, self.is_word), (self.pair_code, self.is_pair), (self.triple_code, triple)
+        return np.concatenate([code[at][real[at]] for code, real in parts])
 
 
 def _spread(code: np.ndarray) -> np.ndarray:
-    code = code * np.uint64(0x9E3779B97F4A7C15)
+    """Another order of the 64-bit numbers, in which every bit depends on all others."""
+    for factor in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9):
+        code = (code ^ (code >> np.uint64(31))) * np.uint64(factor)
     return code ^ (code >> np.uint64(29))
 
 
-def _mixed(code: np.ndarray) -> np.ndarray:
-    """32 bits of 64."""
-    return (_spread(_spread(code)) >> np.uint64(32)).astype(np.int64)
-
-
 def blocks(batches: Iterable[pa.RecordBatch]) -> Iterator[Block]:
     """The rows (text, group) of a task as blocks of tokens; every token starts a window of one block."""
     known, names = WordHashes(), {}
@@ -111,29 +121,72 @@ def blocks(batches: Iterable[pa.RecordBatch]) -> Iterator[Block]:
         yield Block(tokens, groups, list(names), known)
 
 
-def frequent_bits(texts: DataFrame, least: int = LEAST) -> np.ndarray:
-    """Bitmap, as 64-bit words, of the first ``BITS`` bits of codes of words and pairs found ``least`` times or more."""
+def _packed(codes: np.ndarray) -> Iterator[tuple]:
+    """Rows (range, whether steps take four bytes, steps between the codes of a range, places of repeated codes, times they are repeated)."""
+    codes, times = np.unique(codes, return_counts=True)
+    part, place = codes >> np.uint64(RANGE_BITS), (codes & np.uint64((1 << RANGE_BITS) - 1)).astype(np.int64)
+    starts = np.nonzero(np.diff(part, prepend=part[:1] - np.uint64(1)))[0].tolist() if len(codes) else []
+    for start, stop in zip(starts, [*starts[1:], len(codes)]):
+        steps, often = np.diff(place[start:stop], prepend=0), np.nonzero(times[start:stop] > 1)[0]
+        wide = bool(steps.max() > 0xFFFF)
+        kind = np.uint32 if wide else np.uint16
+        extra = np.minimum(times[start:stop][often] - 1, 0xFFFFFFFF)
+        yield int(part[start]), wide, steps.astype(kind).tobytes(), often.astype(np.uint32).tobytes(), extra.astype(np.uint32).tobytes()
+
+
+PACKED = "range long, wide boolean, steps binary, places binary, extra binary"
+
+
+def _sums(batches: Iterable[pa.RecordBatch], least: int, drop: int) -> Iterator[pa.RecordBatch]:
+    """Bits of each range from its rows, which come together; one array of counts is held."""
+    counts, current = np.zeros(1 << RANGE_BITS, np.int64), None
+
+    def marks() -> pa.RecordBatch:
+        bits = np.packbits((counts >= least).reshape(-1, 1 << drop).any(axis=1), bitorder="little").tobytes()
+        return to_batch([(current, bits)], ["range", "bits"], [pa.int64(), pa.binary()])
+
+    for batch in batches:
+        for part, wide, *packed in zip(*[values(column) for column in batch.columns]):
+            if part != current:
+                if current is not None:
+                    yield marks()
+                    counts[:] = 0
+                current = part
+            steps, places, extra = (np.frombuffer(b, kind) for b, kind in zip(packed, (np.uint32 if wide else np.uint16, np.uint32, np.uint32)))
+            code = np.cumsum(steps, dtype=np.int64)
+            counts[code] += 1
+            counts[code[places]] += extra
+    if current is not None:
+        yield marks()
+
+
+def frequent_bits(texts: DataFrame, least: int = LEAST, code_bits: int = CODE_BITS) -> np.ndarray:
+    """Bitmap, as bytes, of the first ``BITS`` bits of the codes found ``least`` times or more."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, n = [], 0
+        names, types = [field.split()[0] for field in PACKED.split(", ")], arrow_types(PACKED)
         for block in blocks(batches):
-            at = slice(block.starts)
-            found = np.concatenate([block.word_code[at][block.is_word[at]], block.pair_code[at][block.is_pair[at]]])
-            code, n = np.unique(found, return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(code), pa.array(n)], names=["code", "n"])
-
-    often = texts.mapInArrow(run, "code long, n long").groupBy("code").agg(F.sum("n").alias("n")).filter(F.col("n") >= least)
-    bit = F.shiftright("code", 32 - BITS)
-    marks = often.select(F.shiftright(bit, 6).alias("place"), F.expr(f"shiftleft(1L, CAST(shiftright(code, {32 - BITS}) & 63 AS INT))").alias("mark"))
-    # At most 2 ** (BITS - 6) rows of two numbers.
-    rows = marks.groupBy("place").agg(F.bit_or("mark").alias("mark")).toArrow()
-    bits = np.zeros(1 << (BITS - 6), np.uint64)
-    bits[rows.column("place").to_numpy()] = rows.column("mark").to_numpy().astype(np.int64).view(np.uint64)
+            held.append(block.codes() >> np.uint64(64 - code_bits))
+            n += len(held[-1])
+            if n >= CODES:
+                yield to_batch(list(_packed(np.concatenate(held))), names, types)
+                held, n = [], 0
+        yield to_batch(list(_packed(np.concatenate([np.zeros(0, np.uint64), *held]))), names, types)
+
+    ranges = texts.mapInArrow(run, PACKED).repartition("range").sortWithinPartitions("range")
+    # At most 2 MB of bits in all.
+    rows = ranges.mapInArrow(lambda batches: _sums(batches, least, code_bits - BITS), "range long, bits binary").collect()
+    size = (1 << (BITS + RANGE_BITS - code_bits)) // 8
+    bits = np.zeros((1 << BITS) // 8, np.uint8)
+    for row in rows:
+        bits[row.range * size : (row.range + 1) * size] = np.frombuffer(row.bits, np.uint8)
     return bits
 
 
 def _marked(bits: np.ndarray, code: np.ndarray) -> np.ndarray:
-    bit = code >> (32 - BITS)
-    return (bits[bit >> 6] >> (bit & 63).astype(np.uint64)) & np.uint64(1) > 0
+    bit = code >> np.uint64(64 - BITS)
+    return (bits[bit >> np.uint64(3)] >> (bit & np.uint64(7)).astype(np.uint8)) & np.uint8(1) > 0
 
 
 def windows(texts: DataFrame, bits: np.ndarray) -> DataFrame:
@@ -143,11 +196,13 @@ def windows(texts: DataFrame, bits: np.ndarray) -> DataFrame:
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in blocks(batches):
             word = (block.is_word & _marked(held.value, block.word_code))[: block.starts]
-            more = block.is_pair & _marked(held.value, block.pair_code)
-            length, run_on = word.astype(np.int64), word
+            pair = block.is_pair & _marked(held.value, block.pair_code)
+            triple = pair[:-1] & pair[1:] & _marked(held.value, block.triple_code)
+            length = word.astype(np.int64)
+            run_on = word & pair[: block.starts]
             for shift in range(LONGEST - 1):
-                run_on = run_on & more[shift : shift + block.starts]
                 length += run_on
+                run_on = run_on & triple[shift : shift + block.starts] if shift < LONGEST - 2 else run_on
             yield _rows(block, np.nonzero(length > 1)[0], length, None)
             # Windows of no or one word are added up here, by exact numbers of word and group.
             other = block.is_word[: block.starts] & (length < 2)
@@ -191,14 +246,14 @@ def _joined(start: F.Column, size: F.Column) -> F.Column:
     return F.concat_ws(" ", F.slice("words", start, size))
 
 
-def scored(counts: DataFrame) -> DataFrame:
-    """Candidates with the lowest-scoring of their cuts."""
+def scored(counts: DataFrame, totals: DataFrame) -> DataFrame:
+    """Candidates with the lowest-scoring of their cuts; ``totals`` has the words of each group."""
     parts = counts.filter("size > 0").select("lang", "phrase", "f")
     cuts = counts.filter("size > 1").withColumn("cut", F.explode(F.sequence(F.lit(1), F.col("size") - 1)))
     cuts = cuts.withColumn("left", _joined(F.lit(1), F.col("cut"))).withColumn("right", _joined(F.col("cut") + 1, F.col("size") - F.col("cut")))
     cuts = cuts.join(parts.select("lang", F.col("phrase").alias("left"), F.col("f").alias("l")), ["lang", "left"])
     cuts = cuts.join(parts.select("lang", F.col("phrase").alias("right"), F.col("f").alias("r")), ["lang", "right"])
-    cuts = cuts.join(counts.filter("size = 0").select("lang", F.col("f").alias("n")), "lang")
+    cuts = cuts.join(totals, "lang")
     whole = {name: f"CAST({name} AS DECIMAL(19, 0))" for name in ("f", "l", "r", "n")}
     cuts = cuts.withColumn("score", F.expr(f"(1000BD * {whole['f']} * {whole['n']}) DIV ({whole['l']} * {whole['r']})"))
     lowest = F.min(F.struct("score", "cut", "l", "r")).alias("lowest")
@@ -216,14 +271,18 @@ def covered(counts: DataFrame) -> DataFrame:
 
 
 def collocations(
-    df: DataFrame, text: str = "text", group: str = "lang", least: int = LEAST, most: int = MOST, keep: int = KEEP
+    df: DataFrame, text: str = "text", group: str = "lang", least: int = LEAST, most: int = MOST, keep: int = KEEP, code_bits: int = CODE_BITS
 ) -> DataFrame:
     """The best ``most`` phrases of each group (``lang``) with their counts, score and rank."""
     texts = df.select(F.col(text), F.coalesce(F.col(group).cast("string"), F.lit(UNKNOWN)))
-    counts = settle(phrase_counts(windows(texts, frequent_bits(texts, least)), least), "phrases")
-    rows = scored(counts).join(covered(counts), ["lang", "phrase"], "left")
+    counts = settle(phrase_counts(windows(texts, frequent_bits(texts, least, code_bits)), least), "phrases")
+    # One row per group, in a table of its own, so that Spark knows how small it is.
+    totals = settle(counts.filter("size = 0").select("lang", F.col("f").alias("n")), "totals")
+    rows = scored(counts, totals).join(covered(counts), ["lang", "phrase"], "left")
     rows = rows.filter(F.coalesce(100 * F.col("longer") < keep * F.col("a"), F.lit(True)))
-    order = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
-    # Spark keeps the first rows of each task before it moves any.
-    best = rows.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= most)
-    return best.select("lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", "n", "score")
+    rows = rows.withColumn("part", F.pmod(F.xxhash64("phrase"), F.lit(PARTS)))
+    # First the best of each part of a group, so that the task of a group gets at most PARTS * most rows.
+    for keys in (["lang", "part"], ["lang"]):
+        order = Window.partitionBy(*keys).orderBy(F.desc("score"), F.desc("a"), "phrase")
+        rows = rows.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= most)
+    return rows.select("lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", "n", "score")

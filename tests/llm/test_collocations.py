@@ -94,9 +94,9 @@ def test_collocations(spark, least, most, keep):
 
 def test_products_beyond_64_bits(spark):
     big = 10**15
-    parts = [("x", "a b", 2, ["a", "b"], big), ("x", "a", 1, ["a"], 3 * big), ("x", "b", 1, ["b"], 7 * big), ("x", "", 0, [], 10**17 + 1)]
+    parts = [("x", "a b", 2, ["a", "b"], big), ("x", "a", 1, ["a"], 3 * big), ("x", "b", 1, ["b"], 7 * big)]
     counts = spark.createDataFrame(parts, "lang string, phrase string, size int, words array<string>, f long")
-    assert c.scored(counts).first().score == 1000 * big * (10**17 + 1) // (21 * big * big)
+    assert c.scored(counts, spark.createDataFrame([("x", 10**17 + 1)], "lang string, n long")).first().score == 1000 * big * (10**17 + 1) // (21 * big * big)
 
 
 def test_conditions_come_before_the_sums(spark):
@@ -105,6 +105,20 @@ def test_conditions_come_before_the_sums(spark):
     assert plan.index("Aggregate") < plan.rindex("Filter") < plan.index("Expand")
 
 
+@settings(max_examples=25, deadline=None)
+@given(st.lists(st.lists(st.integers(0, 1 << 26), max_size=60), max_size=4))
+def test_packed_codes(lists):
+    least, batches = 3, []
+    for codes in lists:
+        rows = list(c._packed(np.array(codes, np.uint64)))
+        batches.append(rows)
+    rows = sorted((row for batch in batches for row in batch), key=lambda row: row[0])
+    names = [field.split()[0] for field in c.PACKED.split(", ")]
+    found = c._sums([c.to_batch(rows, names, c.arrow_types(c.PACKED))], least, 8) if rows else []
+    marked = {row["range"] * 2**15 + i for batch in found for row in batch.to_pylist() for i in np.nonzero(np.unpackbits(np.frombuffer(row["bits"], np.uint8), bitorder="little"))[0].tolist()}
+    assert marked == {code >> 8 for code, times in Counter(code for codes in lists for code in codes).items() if times >= least}
+
+
 def test_empty(spark):
     assert c.collocations(spark.createDataFrame([], SCHEMA)).count() == 0
     assert c.collocations(spark.createDataFrame([(1, None, None, "", "")], SCHEMA)).count() == 0
