@@ -6,6 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from shiftlode.llm import secret_scan
 from shiftlode.llm.blocks import nearest
 from shiftlode.llm.bpe import bpe_digest
 from shiftlode.llm.collocations import collocations
@@ -196,3 +197,9 @@ ORACLES["op12_importance_draw"] = r"""
     ranked AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY n_words >= 20 ORDER BY score DESC, doc_id) AS place,
                       COUNT(*) OVER (PARTITION BY n_words >= 20) AS n FROM noisy)
     SELECT doc_id, n_features, weight, score, CASE WHEN n_words >= 20 AND place <= 25 * n // 100 THEN place END AS rank, n_words FROM ranked"""
+
+
+@query
+def op13_secret_network(spark: SparkSession, folder: str) -> DataFrame:
+    documents = table(spark, folder, "documents")
+    return secret_scan.digest(secret_scan.scan(documents, secret_scan.fit(documents)))
