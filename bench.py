@@ -1,6 +1,7 @@
 """Times the headline queries and prints one JSON line.
 
-Each query runs once to warm up and then three times; the median counts. The result is
+Each query runs once to warm up and then three times; the median counts. Searches over grids of models, which take
+much longer than what a first run costs besides, run once. The result is
 written to the ``noop`` sink, so all columns of all rows are computed.
 """
 
@@ -31,6 +32,7 @@ HEADLINE = [
     "run_forecast",
     "random_forest",
 ]
+SEARCHES = {"run_forecast", "random_forest"}
 RUNS = 3
 
 
@@ -46,6 +48,9 @@ def main() -> None:
 
     seconds = {}
     for name in HEADLINE:
+        if name in SEARCHES:
+            seconds[name] = round(run(name), 3)
+            continue
         run(name)
         seconds[name] = round(statistics.median(run(name) for _ in range(RUNS)), 3)
     print(

@@ -1,7 +1,8 @@
 """Regression models with Spark ML: scaling, estimators, tuning over expanding folds.
 
 The input is the daily feature table (one row per day). Fits run on the executors;
-the driver only submits them and keeps parameters and scores.
+the driver only submits them and keeps parameters and scores. ``tune`` spreads the rows of each fit; forests and
+boosted trees over tables of checked size are searched by ``trees.search``, which spreads the fits.
 """
 
 import itertools
@@ -16,10 +17,11 @@ from pyspark.ml import Estimator, Pipeline, PipelineModel
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shiftlode import fixed_values as V
+from shiftlode.operators import trees
 from shiftlode.plans.features import fold_bounds
 
 log = logging.getLogger(__name__)
@@ -149,9 +151,10 @@ def parameter_draws(grid: dict[str, list], draws: int = V.RANDOM_DRAWS, seed: in
 class Tuned:
     model: str
     params: dict
-    fitted: PipelineModel
+    fitted: PipelineModel | trees.TreeModel
     cv_mse: float | None = None
     scores: list[tuple[dict, float]] = field(default_factory=list)
+    fits: int | None = None  # fits for the scores, where tree counts share them
 
 
 def tune(
@@ -208,20 +211,32 @@ def tune(
     return Tuned(model, best, PipelineModel([*stages.stages, final]), cv_mse, scores)
 
 
+def search_trees(
+    model: str, train: DataFrame, names: list[str], grid: dict[str, list], draws: int = V.RANDOM_DRAWS, folds: int = V.FOLDS
+) -> Tuned:
+    """As :func:`tune`, for forests and boosted trees over a daily table: the fits are spread, and one serves all tree counts."""
+    found = trees.search(model, train, names, parameter_draws(grid, draws), folds)
+    return Tuned(model, found.params, found.fitted, found.cv_mse, found.scores, found.fits)
+
+
 def train_models(
-    train: DataFrame, names: list[str], grids: dict[str, dict] | None = None, **options
+    train: DataFrame, names: list[str], grids: dict[str, dict] | None = None, spread_rows: bool = False, **options
 ) -> dict[str, Tuned]:
-    """Tune and fit every model of ``grids``; one that fails is reported and left out."""
+    """Tune and fit every model of ``grids``; one that fails is reported and left out.
+
+    ``spread_rows=True`` fits trees with Spark ML too, for tables beyond ``trees.MOST_ROWS``.
+    """
     trained = {}
     for model, grid in (V.MODEL_GRIDS if grids is None else grids).items():
         try:
-            trained[model] = tune(model, train, names, grid, **options)
+            way = search_trees if model in trees.MODELS and not spread_rows else tune
+            trained[model] = way(model, train, names, grid, **options)
         except Exception:
             log.exception("training %s failed, the model is left out", model)
     return trained
 
 
-def predict(fitted: PipelineModel, rows: DataFrame, model: str) -> DataFrame:
+def predict(fitted: PipelineModel | trees.TreeModel, rows: DataFrame, model: str) -> DataFrame:
     """Date, split, actual and predicted value of every row."""
     return fitted.transform(rows).select(
         F.lit(model).alias("model"), "split", "date", F.col(V.TARGET).alias("actual"), "prediction"
@@ -231,12 +246,15 @@ def predict(fitted: PipelineModel, rows: DataFrame, model: str) -> DataFrame:
 def save_model(tuned: Tuned, folder: str) -> str:
     """Store a fitted model together with its scaler stage."""
     path = f"{folder.rstrip('/')}/{tuned.model.lower()}_model"
-    tuned.fitted.write().overwrite().save(path)
+    if isinstance(tuned.fitted, trees.TreeModel):
+        tuned.fitted.save(path)
+    else:
+        tuned.fitted.write().overwrite().save(path)
     return path
 
 
-def load_model(path: str) -> PipelineModel:
-    return PipelineModel.load(path)
+def load_model(path: str) -> PipelineModel | trees.TreeModel:
+    return trees.load_trees(SparkSession.active(), path) or PipelineModel.load(path)
 
 
 def model_leaderboard(metrics: DataFrame) -> DataFrame:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from shiftlode import fixed_values as V
 from shiftlode.operators import models as M
 from shiftlode.operators import stats
+from shiftlode.operators import trees as T
 from shiftlode.plans import features as X
 from shiftlode.plans import forecast as P
 from shiftlode.registry.base import num, query
@@ -111,10 +112,10 @@ def ridge_regression(spark, folder):
     return reduce(DataFrame.union, parts).toDF("alpha", "split", "mse", "rmse", "mae")
 
 
-def tuned_trees(spark, folder, model, grid, draws):
-    """Tune over random draws of a grid of three parameters on all features; what has to hold of the result."""
+def searched_trees(spark, folder, model):
+    """The default grid of a model on all features: 20 random draws, five folds; what has to hold of the result."""
     rows = table(spark, folder)
-    tuned = M.tune(model, train_of(rows), FEATURES, grid, draws=draws)
+    tuned = M.search_trees(model, train_of(rows), FEATURES, V.MODEL_GRIDS[model])
     predictions = settle(M.predict(tuned.fitted, rows, model), "predictions")
     bounds = predictions.where("split = 'train'").agg(F.min("actual"), F.max("actual"), F.avg("actual")).first()
     inside = F.col("prediction").between(bounds[0], bounds[1])
@@ -127,27 +128,69 @@ def tuned_trees(spark, folder, model, grid, draws):
     ).withColumns(
         {
             "candidates": F.lit(len({str(params) for params, _ in tuned.scores})),
+            "fits": F.lit(tuned.fits),
             "chosen_is_best": F.lit(dict((str(p), s) for p, s in tuned.scores)[str(tuned.params)] == best),
         }
     )
 
 
-def trees_sql(draws: int) -> str:
+def trees_sql(model: str) -> str:
+    """Draws that differ only in the number of trees share their fits."""
+    draws = M.parameter_draws(V.MODEL_GRIDS[model])
+    fits = V.FOLDS * len({tuple(v for name, v in draw.items() if name != "n_estimators") for draw in draws})
     return f"""{SPLIT_FEATURES} SELECT split, COUNT(*) AS rows, COUNT(*) AS inside, TRUE AS halves_the_error,
-        CAST({draws} AS BIGINT) AS candidates, TRUE AS chosen_is_best FROM s GROUP BY split"""
+        CAST({len(draws)} AS BIGINT) AS candidates, CAST({fits} AS BIGINT) AS fits, TRUE AS chosen_is_best FROM s GROUP BY split"""
 
 
-@query("random_forest", trees_sql(3), "long_daily")
+@query("random_forest", trees_sql("Random_Forest"), "long_daily")
 def random_forest(spark, folder):
     """Means of leaves lie within the targets of the training rows."""
-    grid = {"n_estimators": [10, 20], "max_depth": [5, 8], "min_samples_leaf": [1, 4]}
-    return tuned_trees(spark, folder, "Random_Forest", grid, 3)
+    return searched_trees(spark, folder, "Random_Forest")
 
 
-@query("gradient_boosting", trees_sql(3).replace("COUNT(*) AS inside, ", ""), "long_daily")
+@query("gradient_boosting", trees_sql("Gradient_Boosting").replace("COUNT(*) AS inside, ", ""), "long_daily")
 def gradient_boosting(spark, folder):
-    grid = {"n_estimators": [10, 15], "learning_rate": [0.1, 0.3], "max_depth": [3, 4]}
-    return tuned_trees(spark, folder, "Gradient_Boosting", grid, 3).drop("inside")
+    return searched_trees(spark, folder, "Gradient_Boosting").drop("inside")
+
+
+# Trees of one split have a closed form: of all features and limits, the split with the largest gain.
+STUMP_FEATURES = ["day_of_week", "month", "day"]
+STUMP_ROUNDS = [1, 2, 4]
+STUMP_RATE = 0.5
+
+
+def stump_round(k: int) -> str:
+    """SQL of round ``k``: gains over all values of all features, the best split, what is left of the training rows, the guess for all."""
+    return f"""
+        g{k} AS (SELECT fold, f, v, SUM(SUM(r)) OVER w AS sl, SUM(COUNT(*)) OVER w AS nl, SUM(SUM(r)) OVER p AS st, SUM(COUNT(*)) OVER p AS nt,
+                   LEAD(v) OVER (PARTITION BY fold, f ORDER BY v) AS next_v
+                 FROM (SELECT fold, f, x[f] AS v, r FROM r{k - 1}, (SELECT UNNEST(RANGE(1, {len(STUMP_FEATURES) + 1})) AS f) q WHERE learns) u
+                 GROUP BY fold, f, v WINDOW w AS (PARTITION BY fold, f ORDER BY v), p AS (PARTITION BY fold, f)),
+        b{k} AS (SELECT fold, f, v, sl / nl AS vl, (st - sl) / (nt - nl) AS vr FROM g{k} WHERE next_v IS NOT NULL
+                 QUALIFY ROW_NUMBER() OVER (PARTITION BY fold ORDER BY ROUND(sl * sl / nl + (st - sl) * (st - sl) / (nt - nl), 3) DESC, f, v) = 1),
+        r{k} AS (SELECT r.fold, split_index, learns, x, y, r.r - {STUMP_RATE} * CASE WHEN x[b.f] <= b.v THEN vl ELSE vr END AS r
+                 FROM r{k - 1} r JOIN b{k} b ON b.fold = r.fold)"""
+
+
+@query(
+    "boosted_stumps",
+    f"""{EARLIER_SPLIT},
+        k AS (SELECT UNNEST(RANGE(0, 5)) AS fold),
+        e AS (SELECT fold, rows - (5 - fold) * (rows // 6) AS first, rows - (4 - fold) * (rows // 6) AS stop
+              FROM k, (SELECT COUNT(*) AS rows FROM s WHERE split = 'train') q),
+        r0 AS (SELECT fold, split_index, split_index < first AS learns, [{', '.join(f'CAST({n} AS DOUBLE)' for n in STUMP_FEATURES)}] AS x, y,
+                 y - AVG(y) FILTER (WHERE split_index < first) OVER (PARTITION BY fold) AS r
+               FROM s JOIN e ON split_index < stop WHERE split = 'train'),
+        {','.join(stump_round(k) for k in range(1, max(STUMP_ROUNDS) + 1))}
+        {' UNION ALL '.join(f"SELECT CAST({k} AS BIGINT) AS rounds, CAST(fold AS BIGINT) AS fold, {num('AVG(r * r) / 1000000', 'mse')}, CAST(5 AS BIGINT) AS fits FROM r{k} WHERE NOT learns GROUP BY fold" for k in STUMP_ROUNDS)}""",
+    "long_daily",
+)
+def boosted_stumps(spark, folder):
+    """Errors after one, two and four rounds of boosting in every fold, all from five fits."""
+    grid = {"n_estimators": STUMP_ROUNDS, "learning_rate": [STUMP_RATE], "max_depth": [1]}
+    found = T.search("Gradient_Boosting", train_of(earlier_table(spark, folder)), STUMP_FEATURES, M.parameter_draws(grid))
+    rows = [(params["n_estimators"], fold, mse / 1e6, found.fits) for params, fold, mse in found.fold_scores]
+    return spark.createDataFrame(rows, "rounds long, fold long, mse double, fits long")
 
 
 @query(
@@ -209,17 +252,11 @@ FORECAST_MODELS = ["Linear_Regression", "Ridge_Regression", "Random_Forest", "Gr
     "long_daily",
 )
 def run_forecast(spark, folder):
-    """The comparison of models, tuned, without the target of the day among the features.
+    """The comparison of models with their default grids, without the target of the day among the features.
 
     ``learned``: the error on the training rows is below that of always guessing their mean.
     """
-    grids = {
-        "Linear_Regression": {},
-        "Ridge_Regression": V.MODEL_GRIDS["Ridge_Regression"],
-        "Random_Forest": {"n_estimators": [10, 20], "max_depth": [5]},
-        "Gradient_Boosting": {"n_estimators": [5, 10], "max_depth": [3]},
-    }
-    forecast = P.run_forecast(W.stored_daily(spark, folder), grids, include_current=False)
+    forecast = P.run_forecast(W.stored_daily(spark, folder), include_current=False)
     rows = settle(forecast.predictions, "predictions")
     mean = rows.where("split = 'train'").agg(F.avg("actual")).first()[0]
     plain = F.avg((F.col("actual") - mean) ** 2)
