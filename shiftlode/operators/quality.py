@@ -161,36 +161,57 @@ def _anomalies(rule: dict, ranges: Sequence[str], domains: Sequence[str]) -> Col
     return F.expr(f"array_compact(array({items}))")
 
 
-def table_quality(df: DataFrame, table: str, rules: dict | None = None) -> DataFrame:
-    """One row with all checks of the table, its score and recommendations.
-
-    One pass: the counts of all checks are taken per key, combined before the shuffle, and summed
-    up; the keys then also say how many rows are repeats.
-    """
+def quality_tests(df: DataFrame, table: str, rules: dict | None = None) -> dict[str, str]:
+    """SQL condition of every counted fault of a table; the names start with the kind."""
     rule = rules_for(table, rules)
     groups = {
         "null_": _missing_conditions(df),
         "range_": _range_conditions(df, rule),
         "domain_": _domain_conditions(df, rule),
     }
-    tests = {f"{prefix}{name}": test for prefix, found in groups.items() for name, test in found.items()}
-    keys = [F.col(name).alias(f"_key_{number}") for number, name in enumerate(rule["keys"] or df.columns)]
-    per_key = df.groupBy(*keys).agg(
+    return {f"{prefix}{name}": test for prefix, found in groups.items() for name, test in found.items()}
+
+
+def counts_per_key(
+    df: DataFrame, table: str, rules: dict | None = None, by: Sequence[Column] = (), ignored: Sequence[str] = ()
+) -> DataFrame:
+    """Rows (``_rows``) and faults of every key, for every value of ``by``; columns that are ``ignored`` are not checked."""
+    checked = df.drop(*ignored)
+    names = rules_for(table, rules)["keys"] or checked.columns
+    keys = [F.col(name).alias(f"_key_{number}") for number, name in enumerate(names)]
+    tests = quality_tests(checked, table, rules)
+    return df.groupBy(*by, *keys).agg(
         F.count("*").alias("_rows"), *[F.expr(f"count_if({test})").alias(name) for name, test in tests.items()]
     )
-    ranges, domains = list(groups["range_"]), list(groups["domain_"])
-    nulls, outs, duplicates = F.col("null_total"), F.col("out_of_range_total"), F.col("duplicate_counts")
+
+
+def table_quality(df: DataFrame, table: str, rules: dict | None = None) -> DataFrame:
+    """One row with all checks of the table, its score and recommendations.
+
+    One pass: the counts of all checks are taken per key, combined before the shuffle, and summed
+    up; the keys then also say how many rows are repeats.
+    """
+    per_key = counts_per_key(df, table, rules)
 
     def total(value):
         return F.coalesce(F.sum(value), F.lit(0))
 
+    totals = per_key.agg(
+        total("_rows").alias("records_checked"),
+        total(F.col("_rows") - 1).alias("duplicate_counts"),
+        *[total(f"`{name}`").alias(name) for name in quality_tests(df, table, rules)],
+    )
+    return assessed(totals, df, table, rules)
+
+
+def assessed(totals: DataFrame, df: DataFrame, table: str, rules: dict | None = None) -> DataFrame:
+    """Score, anomalies and recommendations from a row with ``records_checked``, ``duplicate_counts`` and all fault counts."""
+    rule, tests = rules_for(table, rules), quality_tests(df, table, rules)
+    ranges = [name.removeprefix("range_") for name in tests if name.startswith("range_")]
+    domains = [name.removeprefix("domain_") for name in tests if name.startswith("domain_")]
+    nulls, outs, duplicates = F.col("null_total"), F.col("out_of_range_total"), F.col("duplicate_counts")
     return (
-        per_key.agg(
-            total("_rows").alias("records_checked"),
-            total(F.col("_rows") - 1).alias("duplicate_counts"),
-            *[total(f"`{name}`").alias(name) for name in tests],
-        )
-        .select(
+        totals.select(
             F.lit(table).alias("table_name"),
             "records_checked",
             _nonzero("null_", df.columns).alias("null_counts"),

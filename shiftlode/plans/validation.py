@@ -11,6 +11,7 @@ from shiftlode import fixed_values as V
 from shiftlode.functions.scalars import date_text, days_inclusive, health_bucket, present
 from shiftlode.operators import filters, quality, stats
 from shiftlode.operators.ordered import with_row_index
+from shiftlode.plans import check_states
 from shiftlode.session import settle
 from shiftlode.sources.files import MONTH, calendar_between, scan_since
 
@@ -56,22 +57,28 @@ def weather_completeness(weather: DataFrame, start: str, end: str) -> DataFrame:
     )
 
 
-def _table_checks(name: str, df: DataFrame, since: str | None) -> DataFrame:
+def _table_checks(name: str, df: DataFrame, since: str | None, states: str | None = None) -> DataFrame:
     """Structure and quality of one table. Without ``since`` one pass gives both; with it the
-    checks skip older files, and the count of all records reads no column."""
+    checks skip older files, and the count of all records reads no column. With ``states`` only
+    folders of the table that are new or changed are read."""
     rule = quality.rules_for(name)
     column = rule["date_column"]
     limited = since is not None and column in df.columns
-    checked = scan_since(df, since, column) if limited else df
-    found = quality.table_quality(checked.drop(MONTH), name)
-    total = df.agg(F.count("*")).scalar() if limited else F.col("records_checked")
+    if states is not None and column in rule["keys"] and check_states.part_column(df, name):
+        found = check_states.quality_from_states(df, name, states, since)
+        total = F.col("total_records")
+    else:
+        checked = scan_since(df, since, column) if limited else df
+        found = quality.table_quality(checked.drop(MONTH), name)
+        total = df.agg(F.count("*")).scalar() if limited else F.col("records_checked")
     missing = quality.missing_columns(df, name)
     structure = F.struct(
         F.lit(not missing).alias("structure_valid"),
         (F.array(*map(F.lit, missing)) if missing else F.array().cast("array<string>")).alias("missing_fields"),
         total.alias("total_records"),
     )
-    return found.withColumn("structure", structure).withColumn("errors", F.array().cast("array<string>"))
+    found = found.withColumn("structure", structure).drop("total_records")
+    return found.withColumn("errors", F.array().cast("array<string>"))
 
 
 def _failed(spark, name: str, error: Exception) -> DataFrame:
@@ -81,9 +88,10 @@ def _failed(spark, name: str, error: Exception) -> DataFrame:
 
 
 def validate_tables(
-    tables: dict[str, DataFrame], since: str | None = V.REPORT_SINCE, expected: Sequence[str] = ()
+    tables: dict[str, DataFrame], since: str | None = V.REPORT_SINCE, expected: Sequence[str] = (), states: str | None = None
 ) -> DataFrame:
-    """Structure and quality, one row per table, written once.
+    """Structure and quality, one row per table, written once. ``states`` is the path of the check states, if they
+    are kept (see :mod:`check_states`); the tables have to come as read from their files.
 
     A table that is ``expected`` but not there, or that cannot be read or checked, gets a row with the text in
     ``errors`` and no figures; the others go on. All tables are checked in one run; only if that fails are
@@ -94,7 +102,7 @@ def validate_tables(
     whole = {}
     for name, df in tables.items():
         try:
-            whole[name] = _table_checks(name, df, since)
+            whole[name] = _table_checks(name, df, since, states)
         except AnalysisException as error:
             parts[name] = _failed(spark, name, error)
     try:
@@ -145,9 +153,11 @@ def validation_report(
     weather_until: str = V.REPORT_WEATHER_UNTIL,
     days: int = V.RECENT_DAYS,
     as_of: str | None = None,
+    states: str | None = None,
 ) -> dict[str, DataFrame]:
-    """All sections of the report; each is a small DataFrame."""
-    checks = validate_tables(tables, since, list(V.RULES))
+    """All sections of the report; each is a small DataFrame. With the path ``states`` a run reads only
+    the folders of the stored tables that are new since the last one."""
+    checks = validate_tables(tables, since, list(V.RULES), states)
     recent = production_anomalies(tables["daily_production_metrics"], days, as_of)
     completeness = weather_completeness(tables["weather_data"], since, weather_until)
     overall = overall_assessment(

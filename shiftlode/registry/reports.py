@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from shiftlode import fixed_values as V
 from shiftlode.operators import quality, stats
+from shiftlode.plans import check_states
 from shiftlode.plans import daily as D
 from shiftlode.plans import eda
 from shiftlode.plans import features as X
@@ -19,6 +20,7 @@ from shiftlode.registry.ordering import CURRENT, EARLIER, LAG_SQL, WINDOW
 from shiftlode.registry.scans import DAILY, fixture_daily
 from shiftlode.session import new_path, settle
 from shiftlode.sinks.tables import read_json_report, write_json
+from shiftlode.sources import files
 from shiftlode.sources import views as W
 
 SINCE, UNTIL = "2024-01-01", "2024-02-06"
@@ -162,6 +164,62 @@ def table_quality_since(spark, folder):
     return P.validate_tables(checked_tables(spark, folder), SINCE).select(*QUALITY_COLUMNS)
 
 
+STATE_TABLES = ["production_logs", "equipment_sensors"]
+
+
+def stored_in_two_steps(spark, folder):
+    """Tables stored by month, without their newest month first; their states; then the newest month is added."""
+    states = new_path(spark, "states")
+    for name in STATE_TABLES:
+        df, path = checked_tables(spark, folder)[name], new_path(spark, name)
+        rows = settle(files.with_month(df, quality.rules_for(name)["date_column"]), name)
+        newest = rows.agg(F.max(files.MONTH)).first()[0]
+        for step, part in enumerate((F.col(files.MONTH) < newest, F.col(files.MONTH) == newest)):
+            rows.where(part).hint("rebalance", files.MONTH).write.partitionBy(files.MONTH).mode("append").parquet(path)
+            stored = spark.read.schema(rows.schema).parquet(path)
+            if not step:
+                check_states.refresh_states(stored, name, states)
+        yield name, stored, states
+
+
+def state_rows(spark, folder, since=None):
+    parts = [check_states.quality_from_states(df, name, states, since) for name, df, states in stored_in_two_steps(spark, folder)]
+    return reduce(DataFrame.unionByName, parts).select(*QUALITY_COLUMNS)
+
+
+STATES_WHERE = f"WHERE table_name IN ({', '.join(map(repr, STATE_TABLES))})"
+
+
+@query("table_quality_states", f"WITH {quality_sql(None)} SELECT {CHECK_ROWS} FROM checks {STATES_WHERE}", CHECKED_VIEWS)
+def table_quality_states(spark, folder):
+    """The checks of whole tables from the states of their folders."""
+    return state_rows(spark, folder)
+
+
+@query("table_quality_states_since", f"WITH {quality_sql(SINCE)} SELECT {CHECK_ROWS} FROM checks {STATES_WHERE}", CHECKED_VIEWS)
+def table_quality_states_since(spark, folder):
+    return state_rows(spark, folder, SINCE)
+
+
+@query(
+    "check_states",
+    "\nUNION ALL ".join(
+        f"""SELECT '{name}' AS table_name, month, MAX(month) OVER () = month AS read_again, COUNT(*) AS records,
+              CAST(COUNT(*) - COUNT(DISTINCT ({', '.join(V.RULES[name]['keys'])})) AS BIGINT) AS duplicates
+            FROM (SELECT *, STRFTIME({V.RULES[name]['date_column']}, '%Y-%m') AS month FROM {name}) m GROUP BY month"""
+        for name in STATE_TABLES
+    ),
+    CHECKED_VIEWS,
+)
+def check_state_rows(spark, folder):
+    """States of all folders after the newest month came in; only that folder is read again."""
+    parts = []
+    for name, df, states in stored_in_two_steps(spark, folder):
+        rows, changed = check_states.refresh_states(df, name, states)
+        parts.append(rows.select("table_name", F.col("part").alias("month"), F.col("part").isin(changed).alias("read_again"), "records", "duplicates"))
+    return reduce(DataFrame.unionByName, parts)
+
+
 @query(
     "recommendations",
     f"WITH {quality_sql(None)} SELECT table_name, recommendations FROM checks",
