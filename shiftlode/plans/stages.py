@@ -24,9 +24,10 @@ log = logging.getLogger(__name__)
 def extract(spark: SparkSession, dump_path: str, sensor_path: str, payload_path: str) -> dict[str, DataFrame]:
     """The four source tables as they are found; records of the dump that cannot be read are
     marked in ``_reject``."""
+    pieces = dump.read_statements(spark, dump_path)
     return {
-        "mines": dump.mine_records(spark, dump_path),
-        "production_logs": dump.production_records(spark, dump_path),
+        "mines": dump.mine_records(spark, dump_path, pieces),
+        "production_logs": dump.production_records(spark, dump_path, pieces),
         "equipment_sensors": files.read_sensor_csv(spark, sensor_path),
         "weather_data": files.read_weather_payloads(spark, payload_path),
     }

@@ -116,6 +116,25 @@ def scan_insert_dump_mines(spark, folder):
     return dump.read_mines(spark, path)
 
 
+CUT_TEXT = "; \n;\n/* it''s -- one;\ntext"  # holds the end of a statement twice, and signs of comments
+
+
+@query(
+    "dump_cut_texts",
+    f"""SELECT {ints('mine_id')}, mine_code, mine_name, location || '{CUT_TEXT}' AS location, operational_status, CAST(0 AS BIGINT) AS rejected
+        FROM all_mines""",
+    "all_mines",
+)
+def dump_cut_texts(spark, folder):
+    """Texts and comments with a semicolon at a line end, which are cut by the reader and put together again."""
+    path = new_path(spark, "dump")
+    mines = W.all_mines(spark, folder).withColumn("location", F.concat("location", F.lit(CUT_TEXT.replace("''", "'"))))
+    comment = F.when(F.pmod(F.xxhash64("value"), F.lit(2)) == 0, "/* don't;\n read */ ").otherwise("-- it's;\n")
+    dump.insert_lines(mines, "mines").select(F.concat(comment, "value").alias("value")).write.text(path)
+    records = dump.mine_records(spark, path)
+    return dump.accepted(records).withColumn("rejected", F.lit(dump.rejects(records, "mines").count()))
+
+
 @query(
     "scan_sensor_csv",
     f"""SELECT STRFTIME(timestamp, '%Y-%m-%d %H:%M:%S.%f') AS timestamp, equipment_id, status,

@@ -4,16 +4,28 @@ The text is read in pieces that end with a semicolon and a line end, so large du
 read by many tasks. A piece may hold comments and several statements. It is cut at the
 semicolons outside of quotes; a statement may run over lines and insert several rows. What is
 an INSERT into the wanted table but cannot be read in full is kept as a reject with its text.
+
+A quoted text or a comment may itself hold a semicolon at a line end, so a piece may start inside of one. Every piece has an
+**end state for each start state** (outside, in a quote, in a comment). For nearly all pieces each state ends as it started; only the
+others are listed, per block of the file. The states of the blocks are composed in order, which fixes the state every
+block starts in, and with it the pieces that belong together: those alone are joined by place and put
+together again. Text that is still open at the end of a file is left in its pieces.
 """
 
-from pyspark.sql import DataFrame, SparkSession
+import itertools
+from collections.abc import Iterable, Iterator
+
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shiftlode import schemas
 from shiftlode.functions.scalars import as_double
+from shiftlode.session import settle
 
 STATEMENT_END = ";\n"
+OUTSIDE, IN_QUOTE, IN_COMMENT = range(3)
 
 # Grammar of the statements: a quoted text doubles its quotes, a name may be quoted.
 QUOTED = "'(?:[^']++|'')*+'"
@@ -34,8 +46,131 @@ VALUE_OPTIONS = {
 
 
 def read_statements(spark: SparkSession, path: str, end: str = STATEMENT_END) -> DataFrame:
-    """The text in pieces that end with ``end`` (``";\\r\\n"`` for other line ends)."""
-    return spark.read.option("lineSep", end).text(path)
+    """The text in pieces that end with ``end`` (``";\\r\\n"`` for other line ends) outside of quoted texts and comments."""
+    return whole_pieces(spark.read.option("lineSep", end).text(path), end)
+
+
+def _end_states(text: Column) -> Column:
+    """End state of a piece for each start state. A comment to the end of a line ends with the piece at the latest."""
+
+    def from_outside(rest: Column) -> Column:
+        # What is left when everything complete has been taken from the front starts with what is still open.
+        left = F.regexp_replace(rest, rf"^(?:[^'/-]++|{QUOTED}|--[^\n]*+|/\*(?s:.*?)\*/|-(?!-)|/(?!\*))*+", "")
+        return F.when(left == "", OUTSIDE).when(left.startswith("'"), IN_QUOTE).otherwise(IN_COMMENT)
+
+    quoted = r"^(?:[^']++|'')*+'"
+    from_quote = F.when(F.regexp_extract(text, quoted, 0) == "", IN_QUOTE).otherwise(from_outside(F.regexp_replace(text, quoted, "")))
+    commented = F.instr(text, "*/")
+    from_comment = F.when(commented == 0, IN_COMMENT).otherwise(from_outside(F.substring(text, commented + 2, F.length(text))))
+    return F.array(from_outside(text), from_quote, from_comment)
+
+
+def _placed(pieces: DataFrame) -> DataFrame:
+    """Pieces with file, block and place; a block is read by one task, in order."""
+    return pieces.select(
+        "value",
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("place"),
+    )
+
+
+def _walk(odd: list[dict], state: int) -> Iterator[tuple[int, int, int]]:
+    """(place, state before, state after) of the listed pieces of a block that starts in ``state``."""
+    for piece in odd:
+        after = piece["ends"][state]
+        yield piece["place"], state, after
+        state = after
+
+
+def _block_end(odd: list[dict], state: int) -> tuple[int, int | None]:
+    """State at the end of a block, and the piece at which what is open there began (None: before the block)."""
+    opened = None
+    for place, before, state in _walk(odd, state):
+        if before == OUTSIDE:
+            opened = place
+    return state, opened
+
+
+def _spans(odd: list[dict], state: int, first: int, last: int) -> Iterator[tuple[int, int, bool]]:
+    """(first piece, last piece, whether it began before the block) of what lies over several pieces, up to the end of the block."""
+    start, earlier = (first, True) if state != OUTSIDE else (None, False)
+    for place, before, after in _walk(odd, state):
+        if before == OUTSIDE and after != OUTSIDE:
+            start, earlier = place, False
+        elif before != OUTSIDE and after == OUTSIDE:
+            yield start, place, earlier
+            start = None
+    if start is not None:
+        yield start, last, earlier
+
+
+def whole_pieces(pieces: DataFrame, end: str = STATEMENT_END) -> DataFrame:
+    """Pieces as read from files, those put together that were cut inside of a quoted text or a comment."""
+    spark, placed, value = pieces.sparkSession, _placed(pieces), F.col("value")
+    quotes = F.length("value") - F.length(F.replace(value, F.lit("'")))
+    # With paired quotes and no signs of comments every state ends as it started.
+    listed = (quotes % 2 == 1) | value.contains("--") | value.contains("/*") | value.contains("*/")
+    odd = F.when(listed, F.struct("place", _end_states(value).alias("ends")))
+    blocks = settle(
+        placed.groupBy("file", "block").agg(
+            F.min("place").alias("first"), F.max("place").alias("last"), F.array_sort(F.collect_list(odd)).alias("odd")
+        ),
+        "blocks",
+    )
+    starts, lost = _block_starts(blocks)
+    if not starts and blocks.where(F.exists("odd", lambda piece: piece.ends[OUTSIDE] != OUTSIDE)).isEmpty():
+        return pieces
+    begun = spark.createDataFrame(starts, "file string, block long, state int, key_block long, key_place long")
+    marked = blocks.join(begun, ["file", "block"], "left").where("state IS NOT NULL OR size(odd) > 0")
+    schema = "file string, key_block long, key_place long, first long, last long"
+
+    def spans(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = [
+                (row["file"], *((row["key_block"], row["key_place"]) if earlier else (row["block"], first)), first, last)
+                for row in batch.to_pylist()
+                for first, last, earlier in _spans(row["odd"], row["state"] or OUTSIDE, row["first"], row["last"])
+            ]
+            names = [field.split()[0] for field in schema.split(", ")]
+            kinds = [pa.string()] + [pa.int64()] * 4
+            yield pa.RecordBatch.from_arrays([pa.array([row[i] for row in out], kind) for i, kind in enumerate(kinds)], names=names)
+
+    key = ["file", "key_block", "key_place"]
+    never_closed = spark.createDataFrame(lost, "file string, key_block long, key_place long")
+    found = marked.mapInArrow(spans, schema).join(never_closed, key, "left_anti")
+    members = settle(found.select(*key, F.explode(F.sequence("first", "last")).alias("place")), "members")
+    ordered = F.array_sort(F.collect_list(F.struct("block", "place", "value")))
+    joined = placed.join(members, ["file", "place"]).groupBy(*key).agg(F.array_join(F.transform(ordered, lambda p: p.value), end).alias("value"))
+    return placed.join(members, ["file", "place"], "left_anti").select("value").unionByName(joined.select("value"))
+
+
+def _block_starts(blocks: DataFrame) -> tuple[list[tuple], list[tuple]]:
+    """The blocks that start inside of a text or comment, with its first piece as key; and the keys of what no file closes.
+
+    One short row per block of the files comes to the driver, which has listed the blocks to plan the scan.
+    """
+
+    def functions(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [[_block_end(row["odd"], state) for state in range(3)] for row in batch.to_pylist()]
+            ends = pa.array([[end for end, _ in row] for row in found], pa.list_(pa.int32()))
+            opened = pa.array([[piece for _, piece in row] for row in found], pa.list_(pa.int64()))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), ends, opened], names=["file", "block", "ends", "opened"])
+
+    narrow = blocks.select("file", "block", "odd")
+    rows = sorted(narrow.mapInArrow(functions, "file string, block long, ends array<int>, opened array<long>").collect(), key=lambda row: row[:2])
+    starts, lost = [], []
+    for file, part in itertools.groupby(rows, key=lambda row: row.file):
+        state, key = OUTSIDE, None
+        for row in part:
+            if state != OUTSIDE:
+                starts.append((file, row.block, state, *key))
+            state, piece = row.ends[state], row.opened[state]
+            key = None if state == OUTSIDE else key if piece is None else (row.block, piece)
+        if key:
+            lost.append((file, *key))
+    return starts, lost
 
 
 def insert_statements(pieces: DataFrame, table: str) -> DataFrame:
@@ -102,13 +237,14 @@ def insert_lines(df: DataFrame, table: str) -> DataFrame:
     return df.select(F.concat(F.lit(head), values, F.lit(");")).alias("value"))
 
 
-def mine_records(spark: SparkSession, path: str) -> DataFrame:
-    return parse_records(read_statements(spark, path), "mines", schemas.MINES)
+def mine_records(spark: SparkSession, path: str, pieces: DataFrame | None = None) -> DataFrame:
+    """Mines with ``_reject``; ``pieces`` are those of :func:`read_statements`, if several tables are read from them."""
+    return parse_records(pieces or read_statements(spark, path), "mines", schemas.MINES)
 
 
-def production_records(spark: SparkSession, path: str) -> DataFrame:
+def production_records(spark: SparkSession, path: str, pieces: DataFrame | None = None) -> DataFrame:
     """Shift records as doubles, the type all calculations use, with ``_reject``."""
-    records = parse_records(read_statements(spark, path), "production_logs", schemas.PRODUCTION_LOGS)
+    records = parse_records(pieces or read_statements(spark, path), "production_logs", schemas.PRODUCTION_LOGS)
     return records.withColumns(
         {name: as_double(F.col(name)) for name in ("tons_extracted", "quality_grade")}
     )
