@@ -14,7 +14,10 @@ runs follows from it and the target ``RECALL``. All runs read one sketch, so the
 tokens a pair at the threshold shares (:func:`missed`).
 
 **Links.** Brute force compares sketches; their error at the threshold is below 1e-5. What passes joins sets
-into candidate components. Within a component all pairs are compared, block by block, by sketch
+into candidate components. Only connectivity counts there, so the first ``FIRST`` runs are settled first, each block of a large
+node on its own; every set then carries the root of its component. In what is left, the blocks of those nodes against each other and the
+other runs, only nodes with several roots go on, and only edges between different roots are sent: a group
+of copies found once is not sent again by every run. Within a component all pairs are compared, block by block, by sketch
 and then exactly on the whole sets, so that every link is counted once, pairs that no run has found included.
 Only counts and a spanning forest leave a tile, never pairs. Classes are the components of exact links.
 
@@ -43,6 +46,7 @@ WORDS = 5
 SIMILARITY = 0.8
 RECALL = 0.9999
 TOKENS = 128
+FIRST = 4  # runs that are settled before the others
 START = 2  # levels before the first count
 DEPTH = 6
 LIMIT = 256
@@ -123,18 +127,18 @@ def split(nodes: np.ndarray, sketches: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return place, mixed(nodes[place] + mixed((chosen << np.uint64(32)) | value))
 
 
-def _first_nodes(data: bytes, runs: int) -> list[int]:
-    """Nodes of a set after the first levels of all runs."""
+def _first_nodes(data: bytes, runs: range) -> list[int]:
+    """Nodes of a set after the first levels of some runs."""
     own = np.frombuffer(data, "<u4")[None, :]
-    nodes = mixed(np.arange(1, runs + 1, dtype=np.uint64))
+    nodes = mixed(np.arange(runs.start + 1, runs.stop + 1, dtype=np.uint64))
     for _ in range(START):
         nodes = split(nodes, np.broadcast_to(own, (len(nodes), TOKENS)))[1]
     return np.unique(nodes).astype(np.int64).tolist()
 
 
-def _children(node: int, sid: bytes, data: bytes) -> list[tuple]:
+def _children(node: int, sid: bytes, root: bytes, data: bytes) -> list[tuple]:
     own = np.frombuffer(data, "<u4")[None, :]
-    return [(int(child), sid) for child in split(np.array([node], np.int64).astype(np.uint64), own)[1].astype(np.int64)]
+    return [(int(child), sid, root) for child in split(np.array([node], np.int64).astype(np.uint64), own)[1].astype(np.int64)]
 
 
 def fewest_matches(tokens: int = TOKENS, similarity: float = SIMILARITY) -> int:
@@ -204,10 +208,15 @@ def _relation(group: pa.Table) -> np.ndarray:
 
 
 def _candidate_edges(group: pa.Table) -> list[tuple]:
-    if group.num_rows < 2:
+    """Edges that connect the components (roots) which the pairs of a tile connect, one less than the components."""
+    roots = group.column("root").to_pylist()
+    names, number = np.unique(np.array(roots, object), return_inverse=True)
+    if len(names) < 2:
         return []
-    sids = group.column("sid").to_pylist()
-    return [(sids[a], sids[b]) for a, b in _forest(_relation(group)) if sids[a] != sids[b]]
+    rows, columns = np.nonzero(_relation(group))
+    near = np.zeros((len(names), len(names)), bool)
+    near[number[rows], number[columns]] = True
+    return [(names[a], names[b]) for a, b in _forest(near | near.T)]
 
 
 def _exact(near: np.ndarray, sets: list[np.ndarray]) -> np.ndarray:
@@ -253,37 +262,77 @@ def _exact_links(group: pa.Table) -> list[tuple]:
 
 def _tiles(members: DataFrame, size: str) -> DataFrame:
     """Deal members of a group (column ``grp``) into blocks; every two blocks of it meet in a tile."""
-    blocks = F.ceil(F.col(size) / F.lit(BLOCK)).cast("long")
-    dealt = members.withColumn("_blocks", F.when(F.col(size) > LIMIT, blocks).otherwise(F.lit(1).cast("long")))
-    dealt = dealt.withColumn("block", F.pmod(F.xxhash64("sid"), F.col("_blocks")))
+    dealt = _blocks(members, size)
     dealt = dealt.withColumn("_other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_blocks") - 1)))
     return dealt.withColumn("low", F.least("block", "_other")).withColumn("high", F.greatest("block", "_other"))
 
 
+def _blocks(members: DataFrame, size: str) -> DataFrame:
+    blocks = F.ceil(F.col(size) / F.lit(BLOCK)).cast("long")
+    dealt = members.withColumn("_blocks", F.when(F.col(size) > LIMIT, blocks).otherwise(F.lit(1).cast("long")))
+    return dealt.withColumn("block", F.pmod(F.xxhash64("sid"), F.col("_blocks")))
+
+
+def _own_tiles(members: DataFrame, size: str) -> DataFrame:
+    """As :func:`_tiles`, but every block meets itself only."""
+    return _blocks(members, size).withColumn("low", F.col("block")).withColumn("high", F.col("block"))
+
+
 def _sized(members: DataFrame) -> DataFrame:
-    """Members of nodes that hold at least two sets, with the size of the node."""
-    sizes = members.groupBy("node").agg(F.count("*").alias("members")).filter("members > 1")
-    return members.join(sizes, "node")
+    """Members of nodes that hold sets of at least two roots, with the size of the node."""
+    sizes = members.groupBy("node").agg(F.count("*").alias("members"), F.min("root").alias("low"), F.max("root").alias("high"))
+    return members.join(sizes.filter("low <> high").select("node", "members"), "node")
 
 
-def _leaves(sets: DataFrame, runs: int) -> DataFrame:
-    """Nodes where the recursion ends, with their sets."""
+def _leaves(sets: DataFrame, runs: range) -> DataFrame:
+    """Nodes where the recursion ends, with their sets and the roots of these."""
     start = by_row(
-        sets, ["sid", "sketch"], lambda: lambda sid, data: [(sid, _first_nodes(data, runs))], "sid binary, nodes array<long>"
-    )
-    level = settle(_sized(start.select(F.explode("nodes").alias("node"), "sid")), "nodes")
+        sets, ["sid", "root", "sketch"], lambda: lambda sid, root, data: [(sid, root, _first_nodes(data, runs))],
+        "sid binary, root binary, nodes array<long>",
+    )
+    level = settle(_sized(start.select(F.explode("nodes").alias("node"), "sid", "root")), "nodes")
     leaves = level.filter(F.col("members") <= LIMIT)
     for _ in range(START, DEPTH):
         large = level.filter(F.col("members") > LIMIT)
         if large.isEmpty():
             return leaves
-        known = large.select("node", "sid").join(sets.select("sid", "sketch"), "sid")
-        children = by_row(known, ["node", "sid", "sketch"], lambda: _children, "node long, sid binary").distinct()
+        known = large.select("node", "sid", "root").join(sets.select("sid", "sketch"), "sid")
+        children = by_row(known, ["node", "sid", "root", "sketch"], lambda: _children, "node long, sid binary, root binary").distinct()
         level = settle(_sized(children), "nodes")
         leaves = leaves.unionByName(level.filter(F.col("members") <= LIMIT))
     return leaves.unionByName(level.filter(F.col("members") > LIMIT))
 
 
+def _candidates(sets: DataFrame, known: DataFrame, runs: int) -> DataFrame:
+    """Components (``id``, ``root``) of the sets that brute force in the leaves of all runs connects."""
+    tile = ["grp", "low", "high"]
+    columns = ["root", "brief", "size", "block", "low", "high"]
+
+    def edges(members: DataFrame) -> DataFrame:
+        return by_group(members, tile, columns, _candidate_edges, "a binary, b binary")
+
+    def described(leaves: DataFrame) -> DataFrame:
+        return leaves.join(known, "sid").withColumn("grp", F.col("node"))
+
+    first = settle(_leaves(sets.withColumn("root", F.col("sid")), range(min(FIRST, runs))), "first")
+    found = settle(components(edges(_own_tiles(described(first), "members"))), "found")
+    rooted = found.withColumnRenamed("id", "sid")
+
+    def with_roots(df: DataFrame) -> DataFrame:
+        return df.join(rooted, "sid", "left").withColumn("root", F.coalesce("root", "sid"))
+
+    # Nodes of one block are done; of larger ones the blocks still have to meet.
+    large = _sized(with_roots(first.filter(F.col("members") > LIMIT).select("node", "sid")))
+    later = edges(_tiles(described(large), "members"))
+    if runs > FIRST:
+        others = _leaves(settle(with_roots(sets), "rooted"), range(FIRST, runs))
+        later = later.unionByName(edges(_tiles(described(others), "members")))
+    later = settle(later, "later")
+    if later.isEmpty():
+        return found
+    return settle(components(later.unionByName(found.select(F.col("id").alias("a"), F.col("root").alias("b")))), "candidates")
+
+
 def _described(df: DataFrame, key: str, text: str) -> DataFrame:
     """Every row with its id, hash of its text, set id, size and sketch of its set."""
 
@@ -321,10 +370,7 @@ def _grouped(df: DataFrame, key: str, text: str, recall: float) -> tuple[DataFra
         sets, ["sid", "sketch"], lambda: lambda sid, data: [(sid, np.frombuffer(data, "<u4").astype(np.uint8).tobytes())], "sid binary, brief binary"
     )
     known = sets.select("sid", "size", "texts", "first").join(brief, "sid")
-    tile = ["grp", "low", "high"]
-    members = _tiles(_leaves(sets, runs_for(recall)).join(known, "sid").withColumn("grp", F.col("node")), "members")
-    candidates = by_group(members, tile, ["sid", "brief", "size", "block", "low", "high"], _candidate_edges, "a binary, b binary")
-    found = settle(components(candidates), "candidates")
+    found = _candidates(sets, known, runs_for(recall))
 
     sizes = found.groupBy("root").agg(F.count("*").alias("members"))
     chosen = found.join(sizes, "root").join(known.withColumnRenamed("sid", "id"), "id")
@@ -332,7 +378,7 @@ def _grouped(df: DataFrame, key: str, text: str, recall: float) -> tuple[DataFra
     whole = _whole_sets(df, chosen, key, text)
     members = _tiles(chosen.withColumn("grp", F.xxhash64("root")).join(whole, "sid"), "members")
     columns = ["sid", "brief", "size", "texts", "block", "low", "high", "tokens"]
-    links = settle(by_group(members, tile, columns, _exact_links, "sid binary, links long, other binary"), "links")
+    links = settle(by_group(members, ["grp", "low", "high"], columns, _exact_links, "sid binary, links long, other binary"), "links")
 
     roots = components(links.select(F.col("sid").alias("a"), F.col("other").alias("b")))
     counts = links.groupBy("sid").agg(F.sum("links").alias("links"))
