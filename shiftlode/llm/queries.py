@@ -88,7 +88,9 @@ def op5_masked_likelihood(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op6_isolation_forest(spark: SparkSession, folder: str) -> DataFrame:
     documents = table(spark, folder, "documents")
-    return judge(documents, fit_forest(documents, table(spark, folder, "labels")))
+    judged = judge(documents, fit_forest(documents, table(spark, folder, "labels")))
+    base = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"]
+    return judged.select(*base, *[name for name in judged.columns if name not in base])
 
 
 @query
