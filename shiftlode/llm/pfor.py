@@ -238,8 +238,10 @@ def write_blocks(
         if parts:
             yield segment()
 
-    rows = df.select(F.col(key).cast("long").alias(key), F.col(text))
-    ranged = rows.repartitionByRange(F.col(key)).sortWithinPartitions(key, text)
+    rows = df.select(F.col(key).cast("long").alias(key), F.col(text), F.xxhash64(text).alias("_hash"), F.monotonically_increasing_id().alias("_row"))
+    # Rows with one id are ordered by hash, equal rows by number, so that neither has to lie in one range.
+    order = [F.col(key), F.col("_hash"), F.col("_row")]
+    ranged = rows.repartitionByRange(*order).sortWithinPartitions(*order).select(key, text)
     ranged.mapInArrow(run, SEGMENTS).write.parquet(target)
 
 

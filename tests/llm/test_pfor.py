@@ -7,10 +7,12 @@ import public_tokenizers
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from shiftlode.llm import pfor
 from shiftlode.llm.pfor import WordEncoder, blocks_round_trip, pack, unpack_range
+from shiftlode.session import new_path
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
 LIBRARY = Tokenizer.from_file(PATH)
@@ -80,3 +82,15 @@ def test_rows(spark, segment):
 def test_empty(spark):
     df = spark.createDataFrame([], "doc_id long, text string")
     assert blocks_round_trip(df, PATH, 2).count() == 0
+
+
+def test_equal_rows_lie_in_several_ranges(spark):
+    """Rows with one id, all of them null here, are dealt over the write tasks; places and checksums stay right."""
+    docs = spark.range(6000).selectExpr("CAST(NULL AS LONG) AS doc_id", "IF(id % 4 = 0, 'one text', 'another text here') AS text")
+    target = new_path(spark, "hot")
+    pfor.write_blocks(docs, PATH, 2, target, segment_ids=500)
+    sizes = [row["n"] for row in spark.read.parquet(target).groupBy("part").agg(F.sum(F.size("doc_ids")).alias("n")).collect()]
+    assert len(sizes) >= 4 and max(sizes) <= 2500 and sum(sizes) == 6000
+    rows = pfor.read_blocks(spark, target).orderBy("start").collect()
+    assert {(row.n_tokens, row.ids_crc32) for row in rows} == {expected("one text"), expected("another text here")}
+    assert [row.start for row in rows] == np.cumsum([0] + [row.n_tokens for row in rows])[:-1].tolist()
