@@ -18,7 +18,7 @@ by weight among the others until none is above: rounds of two sums over the sour
 
 **Rounding.** Rates become whole copies: ``floor(rate)`` or one more. Documents of a source are
 dealt by hash into groups of about ``GROUP`` documents (their number is counted, so a source with a
-third of all rows is many groups). A group goes through its documents from the longest to the
+third of all rows is many groups; of rows with the same id and text every ``EQUAL`` go to the next group). A group goes through its documents from the longest to the
 shortest and gives the extra copy whenever the tokens taken so far would else fall behind by
 more than half of the document. What a group misses at the end is about half of a short document.
 
@@ -41,6 +41,7 @@ WEIGHTS = (3.0, 1.0, 2.0)
 SHARE = 1.5
 LIMIT = 2.0
 GROUP = 1000
+EQUAL = 100  # rows with the same id and text that go to one group
 TOLERANCE = 1e-12
 STEPS = 200  # Newton needs about log(size / target) steps
 
@@ -115,14 +116,24 @@ def _copies(group: pd.DataFrame) -> pd.DataFrame:
     return group.assign(copies=out)[["doc_id", "tie", "size", "source_size", "target", "copies"]]
 
 
+def _dealt(docs: DataFrame) -> DataFrame:
+    """``docs`` with ``deal``, which numbers every ``EQUAL`` rows with the same id and text; which of them get a number is all the same."""
+    same = docs.groupBy("doc_id", "source", "size", "tie").agg(F.count("*").alias("_rows"))
+    last = F.floor((F.col("_rows") - 1) / F.lit(EQUAL))
+    runs = same.withColumn("deal", F.explode(F.sequence(F.lit(0).cast("long"), last)))
+    size = F.least(F.col("_rows") - F.col("deal") * EQUAL, F.lit(EQUAL)).cast("int")
+    return runs.withColumn("_one", F.explode(F.sequence(F.lit(1), size))).drop("_rows", "_one")
+
+
 def _rounded(docs: DataFrame, rates: DataFrame, counts: DataFrame) -> DataFrame:
     """``docs`` (doc_id, source, size, tie) with the copies of every row."""
     known = rates.join(counts, rates["source"].eqNullSafe(counts["source"])).select(
         rates["source"].alias("_source"), "source_size", "target", "rate",
         F.ceil(F.col("documents") / F.lit(GROUP)).alias("_groups"),
     )
-    joined = docs.join(known, docs["source"].eqNullSafe(known["_source"]))
-    group = F.pmod(F.xxhash64("doc_id", "tie"), F.col("_groups")).alias("_group")
+    joined = _dealt(docs).join(known, F.col("source").eqNullSafe(F.col("_source")))
+    own = F.pmod(F.xxhash64("doc_id", "tie"), F.col("_groups"))
+    group = F.pmod(own + F.col("deal"), F.col("_groups")).alias("_group")
     return (
         joined.select("doc_id", "tie", "size", "source_size", "target", "rate", "_source", group)
         .groupBy("_source", "_group")
@@ -170,7 +181,9 @@ def mixed_rows(df: DataFrame, key: str = "doc_id", text: str = "text", source: s
     joined = df.join(many, df[key].cast("long").eqNullSafe(many[own]) & (F.xxhash64(df[text]) == many[tie]))
     columns = [F.col(f"`{name}`") for name in df.columns]
     single = joined.filter(F.col(number) == 1)
-    first = Window.partitionBy(own, tie).orderBy(*[F.col(f"`{c}`") for c in df.columns if c != text])
-    repeated = joined.filter(F.col(number) > 1).withColumn(place, F.row_number().over(first)).filter(F.col(place) == 1)
-    rows = single.unionByName(repeated.drop(place))
+    rest = [F.col(f"`{name}`") for name in sorted(df.columns, key=lambda name: name == text)]
+    repeated = joined.filter(F.col(number) > 1).groupBy(own, tie).agg(F.min(F.struct(*rest)).alias(place), F.first(times).alias(times))
+    repeated = repeated.select(*[F.col(f"`{place}`.`{name}`") for name in df.columns], times)
+    single = single.select(*columns, times)
+    rows = single.unionByName(repeated)
     return rows.withColumn(time, F.explode(F.sequence(F.lit(1), F.col(times).cast("int")))).select(*columns)

@@ -6,6 +6,7 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from shiftlode.llm.common import word_count
+from shiftlode.llm import entropy
 from shiftlode.llm.entropy import mix, mixed_rows, source_targets, tilts
 
 
@@ -80,3 +81,15 @@ def test_empty_and_wordless(spark):
     assert mix(spark.createDataFrame([], schema)).count() == 0
     assert [tuple(r)[:5] for r in mix(spark.createDataFrame([(1, None, "a")], schema)).collect()] == [(1, 0, 0, 0.0, 0)]
     assert mixed_rows(spark.createDataFrame([(1, None, "a")], schema)).count() == 0
+
+
+def test_equal_rows_are_spread_over_groups(spark):
+    """One row is a third of all; no group gets many of it, and the targets are met all the same."""
+    docs = spark.range(9000).selectExpr("IF(id % 3 = 0, 0, id) AS doc_id", "'s' AS source", "CAST(7 AS LONG) AS size", "1L AS tie")
+    rates = spark.createDataFrame([("s", 63000, 94500.0, 1.5)], "source string, source_size long, target double, rate double")
+    counts = spark.createDataFrame([("s", 9000)], "source string, documents long")
+    dealt = entropy._dealt(docs).collect()
+    assert len(dealt) == 9000 and max(row.deal for row in dealt) == 29
+    rows = entropy._rounded(docs, rates, counts).collect()
+    assert len(rows) == 9000 and abs(sum(row.copies * row["size"] for row in rows) - 94500) < 9 * 7
+    assert {row.copies for row in rows} <= {1, 2}
