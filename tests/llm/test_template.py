@@ -4,12 +4,13 @@ import html
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from shiftlode.llm.template import extract, read_page
 
 
 def text(source):
-    texts, content, _, _ = read_page(source)
+    texts, content = read_page(source)[:2]
     return "\n".join(t for t, c in zip(texts, content) if c)
 
 
@@ -91,3 +92,57 @@ def test_recurring_prose_of_articles_is_deleted_on_hosts_with_many_pages(spark):
     assert all(got[100 + i]["text"] == f"title {i}\nsaid {i}{kept}" for i in range(9))
     assert all(got[200 + i]["text"] == f"title {i}\nsaid {i}" + "\nquoted" * (i < 10) for i in range(24))
     assert all(got[300 + i]["text"] == f"title 0\nsaid 0{kept}" for i in range(15))
+
+
+def test_words_of_names_delete_no_article_text():
+    probes = "<h2 id='related-work'>a</h2><h2 id='comments'>h</h2><p class='notice-of-terms'>b</p><section class='social-history'>c</section><div id='ad-hoc-methods'>d</div>"
+    assert text(f"<article>{probes}<p>x</p></article>") == "a\nh\nb\nc\nd\nx"
+    assert text(f"{probes}<div class='related-posts'>r</div><div id='commentList'>q</div>") == "a\nb\nc\nd"
+
+
+def articles_of(pages):
+    for page in pages.collect():
+        article = page["html"].partition("<article>")[2].partition("</article>")[0]
+        blocks = [" ".join(html.unescape(re.sub("<[^>]*>", "", b)).split()) for b in re.split("</?(?:p|h1)>", article)]
+        yield page["page_id"], "\n".join(b for b in blocks if b)
+
+
+def test_counts_alone_find_the_content(spark, folder):
+    """The given pages with names that no list knows: menus and adverts differ from page to page, their paths do not."""
+    pages = spark.read.parquet(f"{folder}/pages.parquet".replace("sf0.001", "sf0.1"))
+    named = {"nav>": "div>", 'div class="ad">': "div>", "footer>": "section>", "article>": 'div class="w4">'}
+    renamed = F.col("html")
+    for old, new in named.items():
+        renamed = F.replace(renamed, F.lit(f"<{old}"), F.lit(f"<{new}"))
+    for old, new in {"nav": "div", "footer": "section", "article": "div"}.items():
+        renamed = F.replace(renamed, F.lit(f"</{old}>"), F.lit(f"</{new}>"))
+    expected = dict(articles_of(pages))
+    got = {r["page_id"]: r for r in extract(pages.withColumn("html", renamed)).collect()}
+    assert {number: row["text"] for number, row in got.items()} == expected
+    # As they are, names would do; the counts delete all the same blocks: the items of the menu, the advert and the footer.
+    plain = {r["page_id"]: r for r in extract(pages).collect()}
+    assert {number: row["text"] for number, row in plain.items()} == expected
+    for page in pages.collect():
+        parts = re.findall(r'<li>.*?</li>|<div class="ad">.*?</div>|<footer>.*?</footer>', page["html"], re.S)
+        removed = sum(bool(re.sub("<[^>]*>", "", part).strip()) for part in parts)
+        assert got[page["page_id"]]["n_template_blocks"] == plain[page["page_id"]]["n_template_blocks"] == removed
+
+
+def test_paths_beside_the_content(spark):
+    def page(i, side="", more=""):
+        body = f"<h1>title {i}</h1><p class='lead'>lead {i}</p><div class='body-{i}'><p>{'said %d ' % i * 30}</p></div>"
+        return f"<div class='top'>offer {i * 7}</div><div class='post'>{body}{more}</div><div class='x'>see {i}<div>and {i}</div></div>{side}"
+
+    pages = [(i, f"http://many.example/{i}", page(i, f"<div class='once'>only {i}</div>" if i < 3 else "")) for i in range(12)]
+    # Pages of another layout have no content path; copies of a page are one page; hosts with few pages keep all.
+    pages += [(50 + i, f"http://many.example/g{i}", f"<div class='x'>gallery {i}</div>") for i in range(4)]
+    pages += [(100 + i, f"http://few.example/{i}", page(i)) for i in range(9)]
+    pages += [(200 + i, f"http://copies.example/{i}", page(0)) for i in range(30)]
+    pages += [(300 + i, None, page(i)) for i in range(12)]
+    got = {r["page_id"]: r["text"] for r in extract(spark.createDataFrame(pages, "page_id long, url string, html string")).collect()}
+    own = lambda i: f"title {i}\nlead {i}\n{('said %d ' % i * 30).strip()}"
+    every = lambda i: f"offer {i * 7}\n{own(i)}\nsee {i}\nand {i}"
+    assert all(got[i] == own(i) + f"\nonly {i}" * (i < 3) for i in range(12))
+    assert all(got[50 + i] == f"gallery {i}" for i in range(4))
+    assert all(got[100 + i] == every(i) for i in range(9)) and all(got[300 + i] == every(i) for i in range(12))
+    assert all(got[200 + i] == every(0) for i in range(30))
