@@ -13,8 +13,11 @@ long a run of letters is. For the 50k list the lookahead is 320 bytes.
 **Decoding.** Bytes of the tokens go through an incremental UTF-8 state machine that keeps at
 most three bytes between two pushes; sequences that are no UTF-8 become U+FFFD.
 
-Texts are cut where the split pattern always cuts (before a blank behind a letter or digit), so
-the tokens of a text never exist as one list unless a caller asks for them.
+Every word of the split pattern goes through the transducer; the tokens of words of a slice's length at most are remembered,
+so that a frequent word goes through it once per task. Texts are split a slice at a time, with or without blanks: the
+last two words of a slice may still change with what follows, so the next slice starts with them. A
+word that fills a slice is sent on block by block. So neither the words nor the tokens of a text ever exist
+as one list unless a caller asks for them.
 
 Defined cases: a null or empty text has no tokens and decodes to the empty text; rows with
 equal or null ids are all kept; an empty table gives an empty table; other columns are ignored.
@@ -159,8 +162,14 @@ class Transducer:
         yield from self._emit(len(self.buffer))
 
     def _emit(self, stable: int) -> Iterator[int]:
-        first, sizes, end = self.merges.first, self.merges.bytes_of, 0
-        for token in self.merges.merged([first[byte] for byte in self.buffer]):
+        merges, first, sizes, end = self.merges, self.merges.first, self.merges.bytes_of, 0
+        ids = [first[byte] for byte in self.buffer]
+        ids = merges.merged_word(ids) if len(ids) <= CACHED_LENGTH else merges.merged(ids)
+        if stable == len(self.buffer):
+            self.buffer.clear()
+            yield from ids
+            return
+        for token in ids:
             if end + len(sizes[token]) > stable:
                 break
             end += len(sizes[token])
@@ -193,16 +202,13 @@ class Encoder:
         self.words = _Words(self._word)
 
     def _word(self, word: str) -> tuple[int, ...]:
-        data = word.encode("utf-8", "surrogatepass")
-        if len(data) <= CACHED_LENGTH:
-            return tuple(self.merges.merged_word([self.merges.first[byte] for byte in data]))
-        if len(data) <= BLOCK:
-            return tuple(self.merges.merged([self.merges.first[byte] for byte in data]))
-        return tuple(self._long(data))
-
-    def _long(self, data: bytes) -> Iterator[int]:
+        return tuple(self._run(word, 0, len(word)))
+
+    def _run(self, text: str, start: int, stop: int) -> Iterator[int]:
+        """Tokens of a word, given by its place in the text."""
         transducer = Transducer(self.merges)
-        yield from transducer.push(data)
+        for at in range(start, stop, BLOCK):
+            yield from transducer.push(text[at : min(at + BLOCK, stop)].encode("utf-8", "surrogatepass"))
         yield from transducer.finish()
 
     def pieces(self, text: str) -> Iterator[list[int]]:
@@ -216,23 +222,17 @@ class Encoder:
 
     def _plain(self, text: str, start: int, stop: int) -> Iterator[list[int]]:
         while start < stop:
-            cut = stop
-            if stop - start > SLICE:
-                cut = text.find(" ", start + SLICE, stop)
-                while cut > 0 and not text[cut - 1].isalnum():
-                    cut = text.find(" ", cut + 1, stop)
-                cut = cut if cut > 0 else stop
-            # A word of more than a block is sent on token by token.
-            short: list[str] = []
-            for word in self.split.findall(text[start:cut]):
-                if len(word) <= BLOCK:
-                    short.append(word)
-                else:
-                    yield self._known(short)
-                    yield from batched(self._long(word.encode("utf-8", "surrogatepass")))
-                    short = []
-            yield self._known(short)
-            start = cut
+            cut = min(start + SLICE, stop)
+            words = self.split.findall(text[start:cut])
+            if cut < stop:
+                del words[-2:]
+            if words:
+                yield self._known(words)
+                start += sum(map(len, words))
+            else:
+                cut = self.split.match(text, start, stop).end()
+                yield from batched(self._run(text, start, cut))
+                start = cut
 
     def _known(self, words: list[str]) -> list[int]:
         return list(chain.from_iterable(map(self.words.__getitem__, words)))

@@ -8,7 +8,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
-from shiftlode.llm.bpe import BLOCK, Decoder, Encoder, MergeList, Transducer, bpe_decode, bpe_digest, bpe_encode
+from shiftlode.llm.bpe import BLOCK, SLICE, Decoder, Encoder, MergeList, Transducer, bpe_decode, bpe_digest, bpe_encode
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
 LIBRARY = Tokenizer.from_file(PATH)
@@ -86,3 +86,34 @@ def test_rows(spark):
     round_trip = bpe_decode(bpe_encode(df, PATH), PATH)
     assert sorted(map(str, round_trip.collect())) == sorted(map(str, df.fillna("").select("doc_id", "text").collect()))
     assert bpe_digest(df.limit(0), PATH).count() == 0
+
+
+@pytest.mark.parametrize("unit", ["漢字。", "ab\n", "x'll'", "1a\t\t", "don't  'r", "é" * 50 + "!!"])
+def test_slices_cut_words_nowhere(unit):
+    for pad in range(4):
+        text = "'" * pad + unit * (3 * SLICE // len(unit))
+        assert tokens(text) == LIBRARY.encode(text, add_special_tokens=False).ids
+
+
+def test_all_words_go_through_the_transducer_and_memory_is_bounded(monkeypatch):
+    pushed, held, lists = [0], [0], [0]
+    push, known = Transducer.push, Encoder._known
+
+    def counted(self, data):
+        pushed[0] += len(data)
+        yield from push(self, data)
+        held[0] = max(held[0], len(self.buffer))
+
+    def noted(self, words):
+        lists[0] = max(lists[0], sum(map(len, words)))
+        return known(self, words)
+
+    monkeypatch.setattr(Transducer, "push", counted)
+    monkeypatch.setattr(Encoder, "_known", noted)
+    own = Encoder(MERGES)
+    small = "every word, once: über 漢字"
+    assert [x for piece in own.pieces(small) for x in piece] == LIBRARY.encode(small, add_special_tokens=False).ids
+    assert pushed[0] == len(small.encode())  # no byte takes another way
+    for text in ("漢字。" * 1_700_000, "ab" * 150_000 + "\n" * 40_000):
+        assert max(map(len, own.pieces(text))) <= 4 * SLICE
+    assert lists[0] <= SLICE and held[0] < BLOCK * 5 + MERGES.lookahead + MERGES.longest
