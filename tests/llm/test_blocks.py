@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from shiftlode.llm.blocks import Block, nearest, tile
+from shiftlode.llm.blocks import Block, nearest, tile, valid_vectors
 
 NAN, INF = float("nan"), float("inf")
 
@@ -55,3 +55,12 @@ def test_tiny_and_wide_vectors():
 def test_empty(spark):
     df = spark.createDataFrame([], "vec_id long, embedding array<float>")
     assert nearest(df, F.col("vec_id") % 10 == 0).count() == 0
+
+
+def test_vectors_are_sent_as_they_are_stored(spark):
+    rows = [(i, [float(np.float32(x)) for x in np.random.default_rng(i).normal(size=6)]) for i in range(30)]
+    for kind in ("float", "double"):
+        df = spark.createDataFrame(rows, f"vec_id long, embedding array<{kind}>")
+        assert dict(valid_vectors(df, "vec_id", "embedding").dtypes)["v"] == f"array<{kind}>"
+        got = sorted(map(tuple, nearest(df, F.col("vec_id") % 5 == 0).collect()))
+        assert [r[:3] for r in got] == [r[:3] for r in brute(rows, 5, lambda i: i % 5 == 0)]
