@@ -13,6 +13,8 @@ For every row four kinds of evidence are multiplied:
 
 Counts are sums of text posteriors, grouped over (host, suffix, declared) with combining before the
 shuffle, so a hot host is one row per task. The declared table has (languages + 2) x languages cells.
+Of a page, the text is what its own marks call content, with references decoded (:mod:`shiftlode.llm.template`
+without the counts of the host).
 Only the table of hosts meets the rows again, by a join on the host that carries no texts.
 
 The trigram model is fitted on about ``FIT_ROWS`` rows with a declared language (a documented bound,
@@ -21,7 +23,8 @@ picked by a hash of the text); everything else covers all rows.
 A row is kept if its language is not ``und`` and its posterior is at least ``MIN_POSTERIOR``.
 
 Defined cases: a null or empty text, or one without letters, has no text evidence, is ``und`` with
-posterior 1 and is not kept; null hosts and suffixes are groups of their own; an unknown declared
+posterior 1 and is not kept; very long texts are read whole, slice by slice; of languages with equal posteriors the first in
+code order counts (``und`` last); null hosts and suffixes are groups of their own; an unknown declared
 language is ``other``, a missing one ``none``; repeated rows get equal results; an empty table gives an
 empty table; further columns are ignored by :func:`identify` and kept by :func:`kept_rows`.
 """
@@ -34,6 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shiftlode.llm.common import arrow_types, by_row, to_batch, values
+from shiftlode.llm.template import host_of, read_page
 from shiftlode.session import settle
 
 LANGUAGES = ("de", "en", "es", "fr")
@@ -214,15 +218,26 @@ def kept_rows(
 
 
 def page_evidence(pages: DataFrame, key: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:
-    """key, text, declared language, host and address suffix of web pages, for :func:`identify`."""
-    place = F.lower(F.regexp_extract(F.col(url), r"^(?:[a-zA-Z][a-zA-Z0-9+.-]*:)?//(?:[^/?#@]*@)?([^/?#:]*)", 1))
-    host = F.when(place != "", place)
+    """key, text, declared language, host and address suffix of web pages, for :func:`identify`. Pages are read and written at once."""
+    host = host_of(F.col(url))
     named = F.regexp_extract(F.col(html), r"(?is)<html\b[^>]*?\blang\s*=\s*[\"']?([a-zA-Z]+)", 1)
-    bare = F.regexp_replace(F.col(html), r"(?is)<(script|style)\b.*?</\1\s*>|<!--.*?-->|<[^>]*>|&#?\w+;", " ")
-    return pages.select(
-        F.col(key),
-        bare.alias("text"),
-        F.when(named != "", named).alias("declared"),
-        host.alias("host"),
-        F.when(host.contains("."), F.substring_index(host, ".", -1)).alias("suffix"),
+    rows = pages.select(
+        F.col(key).cast("long").alias("_key"),
+        F.col(html).alias("_html"),
+        F.when(named != "", named).alias("_named"),
+        host.alias("_host"),
+        F.when(host.contains("."), F.substring_index(host, ".", -1)).alias("_suffix"),
     )
+
+    def step():
+        return lambda number, source, *rest: [(number, main_text(source), *rest)]
+
+    schema = "_key long, text string, declared string, host string, suffix string"
+    read = by_row(rows, ["_key", "_html", "_named", "_host", "_suffix"], step, schema)
+    return settle(read, "page-texts").withColumnRenamed("_key", key)
+
+
+def main_text(source: str | None) -> str:
+    """Blocks of a page that its own marks call content."""
+    texts, content = read_page(source)[:2]
+    return "\n".join(text for text, inside in zip(texts, content) if inside)
