@@ -152,29 +152,30 @@ class Transducer:
         self.buffer = bytearray()
         self.full = BLOCK + merges.lookahead + merges.longest
 
-    def push(self, data: bytes) -> Iterator[int]:
+    def push(self, data: bytes) -> list[int]:
+        out: list[int] = []
         for start in range(0, len(data), BLOCK):
             self.buffer += data[start : start + BLOCK]
             if len(self.buffer) >= self.full:
-                yield from self._emit(len(self.buffer) - self.merges.lookahead)
+                out += self._emit(len(self.buffer) - self.merges.lookahead)
+        return out
 
-    def finish(self) -> Iterator[int]:
-        yield from self._emit(len(self.buffer))
+    def finish(self) -> list[int]:
+        return self._emit(len(self.buffer))
 
-    def _emit(self, stable: int) -> Iterator[int]:
-        merges, first, sizes, end = self.merges, self.merges.first, self.merges.bytes_of, 0
+    def _emit(self, stable: int) -> list[int]:
+        merges, first, sizes = self.merges, self.merges.first, self.merges.bytes_of
         ids = [first[byte] for byte in self.buffer]
         ids = merges.merged_word(ids) if len(ids) <= CACHED_LENGTH else merges.merged(ids)
         if stable == len(self.buffer):
             self.buffer.clear()
-            yield from ids
-            return
-        for token in ids:
-            if end + len(sizes[token]) > stable:
-                break
-            end += len(sizes[token])
-            yield token
+            return ids
+        end = final = 0
+        while final < len(ids) and end + len(sizes[ids[final]]) <= stable:
+            end += len(sizes[ids[final]])
+            final += 1
         del self.buffer[:end]
+        return ids[:final]
 
 
 class _Words(dict):
@@ -200,9 +201,12 @@ class Encoder:
         self.split = regex.compile(SPLIT)
         self.marks = regex.compile("|".join(map(regex.escape, sorted(merges.special, key=len, reverse=True))) or "(?!)")
         self.words = _Words(self._word)
+        self.transducer = Transducer(merges)
 
     def _word(self, word: str) -> tuple[int, ...]:
-        return tuple(self._run(word, 0, len(word)))
+        if len(word) > BLOCK:
+            return tuple(self._run(word, 0, len(word)))
+        return (*self.transducer.push(word.encode("utf-8", "surrogatepass")), *self.transducer.finish())
 
     def _run(self, text: str, start: int, stop: int) -> Iterator[int]:
         """Tokens of a word, given by its place in the text."""
