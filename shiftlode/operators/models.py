@@ -1,18 +1,22 @@
 """Regression models with Spark ML: scaling, estimators, tuning over expanding folds.
 
 The input is the daily feature table (one row per day). Fits run on the executors;
-the driver only submits them and keeps parameters and scores. ``tune`` spreads the rows of each fit; forests and
+the driver only submits them and keeps parameters and scores. ``tune`` spreads the rows of each fit; linear models are
+searched by :func:`search_linear` from moments per fold, taken in one pass over rows of any number; forests and
 boosted trees over tables of checked size are searched by ``trees.search``, which spreads the fits.
 """
 
 import itertools
+import json
 import logging
 import math
 import random
 from dataclasses import dataclass, field
 from multiprocessing.pool import ThreadPool
 
+import numpy as np
 from pyspark import inheritable_thread_target
+from pyspark.errors import AnalysisException
 from pyspark.ml import Estimator, Pipeline, PipelineModel
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import StandardScaler, VectorAssembler
@@ -21,8 +25,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shiftlode import fixed_values as V
-from shiftlode.operators import trees
-from shiftlode.plans.features import fold_bounds
+from shiftlode.functions.scalars import as_double
+from shiftlode.operators import moments, trees
+from shiftlode.plans.features import fold_block, fold_bounds
 
 log = logging.getLogger(__name__)
 
@@ -147,14 +152,48 @@ def parameter_draws(grid: dict[str, list], draws: int = V.RANDOM_DRAWS, seed: in
     return random.Random(seed).sample(combinations, draws)
 
 
+@dataclass
+class LinearModel:
+    """Means and coefficients per feature; a prediction is one expression."""
+
+    model: str
+    names: list[str]
+    means: list[float]
+    coefficients: list[float]
+    level: float
+
+    def transform(self, rows: DataFrame) -> DataFrame:
+        """``rows`` with a column ``prediction``, NULL where a feature is missing."""
+        parts = [(as_double(F.col(n)) - m) * b for n, m, b in zip(self.names, self.means, self.coefficients)]
+        return rows.withColumn("prediction", sum(parts, F.lit(self.level)))
+
+    def save(self, path: str) -> None:
+        spark = SparkSession.active()
+        spark.createDataFrame([(json.dumps(vars(self)),)], "value string").write.mode("overwrite").text(f"{path}/linear")
+
+
+def load_linear(spark: SparkSession, path: str) -> LinearModel | None:
+    """A stored linear model, or None if there is none at ``path``."""
+    try:
+        return LinearModel(**json.loads(spark.read.text(f"{path}/linear").first()[0]))
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise
+
+
+Fitted = PipelineModel | LinearModel | trees.TreeModel
+
+
 @dataclass
 class Tuned:
     model: str
     params: dict
-    fitted: PipelineModel | trees.TreeModel
+    fitted: Fitted
     cv_mse: float | None = None
     scores: list[tuple[dict, float]] = field(default_factory=list)
     fits: int | None = None  # fits for the scores, where tree counts share them
+    fold_scores: list[tuple[dict, int, float]] = field(default_factory=list)
 
 
 def tune(
@@ -211,6 +250,44 @@ def tune(
     return Tuned(model, best, PipelineModel([*stages.stages, final]), cv_mse, scores)
 
 
+def search_linear(
+    model: str, train: DataFrame, names: list[str], grid: dict[str, list], draws: int = V.RANDOM_DRAWS, folds: int = V.FOLDS
+) -> Tuned:
+    """As :func:`tune`, for least squares and ridge, from one pass over the features, whatever the folds and penalties.
+
+    The rows before the first test block and every test block have their moments; those of the training rows of
+    a fold are running sums of them, and errors on its test rows follow from theirs. The features are divided by their
+    deviation over all train rows, as in :func:`tune`. Rows with a missing value take no part.
+    Fewer rows than ``folds + 1`` make no folds, so they are an error if there is a penalty to choose.
+    """
+    candidates = parameter_draws(grid, draws)
+    columns = [*names, V.TARGET]
+    choose = len(candidates) > 1
+    found = moments.collect_moments(train, columns, fold_block(train, folds) if choose else None)
+    parts = [found.get(block, moments.Moments.none(columns)) for block in range(-1, folds)] if choose else list(found.values())
+    rows = moments.total(parts, columns)
+    if rows.rows < (folds + 1 if choose else 1):
+        raise ValueError(f"{rows.rows} complete rows are too few")
+    scale = rows.std()[:-1]
+    fold_scores = []
+    if choose:
+        earlier = list(itertools.accumulate(parts))
+        for params, fold in itertools.product(candidates, range(folds)):
+            before, test = earlier[fold], parts[fold + 1]
+            fold_scores.append((params, fold, test.squared_error(before.ridge(params["alpha"], scale), before)))
+    scores = [
+        (params, sum(mse for _, _, mse in fold_scores[number * folds : (number + 1) * folds]) / folds)
+        for number, params in enumerate(candidates)
+        if choose
+    ]
+    best, cv_mse = (
+        min(scores, key=lambda item: item[1] if not math.isnan(item[1]) else math.inf) if choose else ((candidates or [{}])[0], None)
+    )
+    coefficients = rows.ridge(best.get("alpha", 0.0), scale)
+    fitted = LinearModel(model, list(names), rows.means[:-1].tolist(), np.asarray(coefficients).tolist(), float(rows.means[-1]))
+    return Tuned(model, best, fitted, cv_mse, scores, 0, fold_scores)
+
+
 def search_trees(
     model: str, train: DataFrame, names: list[str], grid: dict[str, list], draws: int = V.RANDOM_DRAWS, folds: int = V.FOLDS
 ) -> Tuned:
@@ -224,19 +301,20 @@ def train_models(
 ) -> dict[str, Tuned]:
     """Tune and fit every model of ``grids``; one that fails is reported and left out.
 
-    ``spread_rows=True`` fits trees with Spark ML too, for tables beyond ``trees.MOST_ROWS``.
+    ``spread_rows=True`` fits trees with Spark ML, for tables beyond ``trees.MOST_ROWS``.
     """
     trained = {}
     for model, grid in (V.MODEL_GRIDS if grids is None else grids).items():
         try:
-            way = search_trees if model in trees.MODELS and not spread_rows else tune
+            spread = tune if spread_rows or model not in trees.MODELS else search_trees
+            way = search_linear if model in SCALED_MODELS else spread
             trained[model] = way(model, train, names, grid, **options)
         except Exception:
             log.exception("training %s failed, the model is left out", model)
     return trained
 
 
-def predict(fitted: PipelineModel | trees.TreeModel, rows: DataFrame, model: str) -> DataFrame:
+def predict(fitted: Fitted, rows: DataFrame, model: str) -> DataFrame:
     """Date, split, actual and predicted value of every row."""
     return fitted.transform(rows).select(
         F.lit(model).alias("model"), "split", "date", F.col(V.TARGET).alias("actual"), "prediction"
@@ -246,15 +324,16 @@ def predict(fitted: PipelineModel | trees.TreeModel, rows: DataFrame, model: str
 def save_model(tuned: Tuned, folder: str) -> str:
     """Store a fitted model together with its scaler stage."""
     path = f"{folder.rstrip('/')}/{tuned.model.lower()}_model"
-    if isinstance(tuned.fitted, trees.TreeModel):
+    if isinstance(tuned.fitted, LinearModel | trees.TreeModel):
         tuned.fitted.save(path)
     else:
         tuned.fitted.write().overwrite().save(path)
     return path
 
 
-def load_model(path: str) -> PipelineModel | trees.TreeModel:
-    return trees.load_trees(SparkSession.active(), path) or PipelineModel.load(path)
+def load_model(path: str) -> Fitted:
+    spark = SparkSession.active()
+    return load_linear(spark, path) or trees.load_trees(spark, path) or PipelineModel.load(path)
 
 
 def model_leaderboard(metrics: DataFrame) -> DataFrame:

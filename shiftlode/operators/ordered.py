@@ -49,15 +49,23 @@ def with_row_index(
         .agg(F.count("*").alias("_rows"))
         .select(*entity, "_block", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_offset"))
     )
-    within = Window.partitionBy(*entity, "_block", "_loose").orderBy(order)
-    numbered = blocked.withColumn("_loose", _loose(F.col(order), *df.columns)).withColumn("_row", F.row_number().over(within) - 1)
     return (
-        _at_block(numbered, offsets, entity)
-        .withColumn(name, F.when(F.col(order).isNotNull(), F.col("_offset") + F.col("_row")))
+        _at_block(with_block_rows(df, order, entity, block), offsets, entity)
+        .withColumn(name, F.col("_offset") + F.col("_row"))
         .select(*df.columns, name)
     )
 
 
+def with_block_rows(
+    df: DataFrame, order: str = "date", entity: Sequence[str] = (), block: Column | None = None
+) -> DataFrame:
+    """Add ``_block``, ``_loose`` and the 0-based position ``_row`` within the block, NULL without an order value."""
+    blocked = df.withColumn("_block", month_block(order) if block is None else block)
+    within = Window.partitionBy(*entity, "_block", "_loose").orderBy(order)
+    spread = blocked.withColumn("_loose", _loose(F.col(order), *df.columns))
+    return spread.withColumn("_row", F.when(F.col(order).isNotNull(), F.row_number().over(within) - 1))
+
+
 def _at_block(rows: DataFrame, blocks: DataFrame, entity: Sequence[str]) -> DataFrame:
     """Rows with the values of their block; an entity may be missing."""
     named = blocks.select(*[F.col(c).alias(f"_at_{c}" if c in (*entity, "_block") else c) for c in blocks.columns])

@@ -2,18 +2,19 @@
 
 Each is one aggregate over all wanted columns at once. Exact percentiles keep the
 distinct values of a column, which the one-row-per-day table bounds by its days; for
-raw records pass ``approximate=True``.
+raw records pass ``by_bins=True`` (exact, some passes more) or ``approximate=True``.
 """
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shiftlode import fixed_values as V
 from shiftlode.functions.scalars import as_double, fixed_text, range_text, severity
-from shiftlode.operators.ordered import with_row_index
+from shiftlode.operators.ordered import with_block_rows
+from shiftlode.operators.selection import exact_quantiles
 
 
 def numeric_columns(df: DataFrame) -> list[str]:
@@ -35,12 +36,19 @@ SPREAD = {
     "q3": "{q}({v}, 0.75)",
     "max": "max({v})",
 }
+QUARTILES = {"q1": 0.25, "median": 0.5, "q3": 0.75}
 
 
 def _summary(
-    df: DataFrame, names: Sequence[str], label: str, parts: dict[str, str], approximate: bool
+    df: DataFrame, names: Sequence[str], label: str, parts: dict[str, str], approximate: bool, by_bins: bool
 ) -> DataFrame:
-    """One row per column with the number of rows and the statistics, from one pass."""
+    """One row per column with the number of rows and the statistics, from one pass (and those over bins)."""
+    if by_bins:
+        rest = {part: sql for part, sql in parts.items() if part not in QUARTILES}
+        found = exact_quantiles(df, names, list(QUARTILES.values())).drop("count")
+        quartiles = found.toDF(label, *QUARTILES)  # one row per named column
+        joined = _summary(df, names, label, rest, approximate, False).join(F.broadcast(quartiles), label)
+        return joined.select(label, "rows", *parts)
     quantile = "percentile_approx" if approximate else "percentile"
     rows = []
     for name in names:
@@ -49,15 +57,19 @@ def _summary(
     return df.agg(F.expr(f"array({', '.join(rows)})").alias("found")).select(F.inline("found"))
 
 
-def describe_table(df: DataFrame, names: Sequence[str] | None = None, approximate: bool = False) -> DataFrame:
+def describe_table(
+    df: DataFrame, names: Sequence[str] | None = None, approximate: bool = False, by_bins: bool = False
+) -> DataFrame:
     """count, mean, std, min, quartiles and max per numeric column."""
     parts = {"count": "count({v})", **SPREAD}
-    return _summary(df, names or numeric_columns(df), "column_name", parts, approximate).drop("rows")
+    return _summary(df, names or numeric_columns(df), "column_name", parts, approximate, by_bins).drop("rows")
 
 
-def metric_stats(daily: DataFrame, metrics: Sequence[str] = V.METRICS, approximate: bool = False) -> DataFrame:
+def metric_stats(
+    daily: DataFrame, metrics: Sequence[str] = V.METRICS, approximate: bool = False, by_bins: bool = False
+) -> DataFrame:
     """mean, std, q1, q3, iqr, min and max per metric; nothing for less than a week."""
-    stats = _summary(daily, metrics, "metric", SPREAD, approximate)
+    stats = _summary(daily, metrics, "metric", SPREAD, approximate, by_bins)
     return (
         stats.where(F.col("rows") >= V.MIN_ROWS_FOR_STATS)
         .withColumn("iqr", F.col("q3") - F.col("q1"))
@@ -95,16 +107,55 @@ def iqr_outliers(daily: DataFrame, metrics: Sequence[str] = V.METRICS, stats: Da
 def trend(
     daily: DataFrame, value: str = V.TARGET, threshold: float = V.TREND_THRESHOLD, order: str = "date"
 ) -> DataFrame:
-    """One row: the slope of the value over its position, relative to the mean."""
-    return trend_of_indexed(with_row_index(daily.select(order, value), order), value, threshold)
+    """One row: the slope of the value over its position, relative to the mean.
+
+    Rows are numbered within blocks only. A block gives its size and the moments of value and position within
+    it; running sizes shift the positions, and the blocks are put together around the common means, so no
+    row gets its number by a join. Rows without an order value count for the mean alone.
+    """
+    numbered = with_block_rows(daily.select(order, value), order)
+    x = F.when(F.col(value).isNotNull(), F.col("_row").cast("double"))
+    y = F.col(value)
+    blocks = numbered.groupBy("_block", "_loose").agg(
+        F.count("*").alias("rows"),
+        F.count("_row").alias("places"),
+        F.count(y).alias("values"),
+        F.avg(y).alias("level"),
+        F.count(x).alias("points"),
+        F.avg(x).alias("x"),
+        F.avg(F.when(x.isNotNull(), y)).alias("y"),
+        (F.covar_pop(x, y) * F.count(x)).alias("xy"),
+        (F.var_pop(x) * F.count(x)).alias("xx"),
+    )
+    earlier = Window.orderBy(F.col("_block").asc_nulls_last(), "_loose").rowsBetween(Window.unboundedPreceding, -1)
+    every = Window.partitionBy()
+    points = F.sum("points").over(every)
+    placed = blocks.withColumn("x", F.col("x") + F.coalesce(F.sum("places").over(earlier), F.lit(0))).select(
+        "*",
+        (F.col("x") - F.sum(F.col("x") * F.col("points")).over(every) / points).alias("dx"),
+        (F.col("y") - F.sum(F.col("y") * F.col("points")).over(every) / points).alias("dy"),
+    )
+    products = F.sum(F.coalesce("xy", F.lit(0.0)) + F.coalesce(F.col("points") * F.col("dx") * F.col("dy"), F.lit(0.0)))
+    squares = F.sum(F.coalesce("xx", F.lit(0.0)) + F.coalesce(F.col("points") * F.col("dx") * F.col("dx"), F.lit(0.0)))
+    fit = placed.agg(
+        F.coalesce(F.sum("rows"), F.lit(0)).alias("rows"),
+        F.try_divide(products, squares).alias("slope"),
+        F.try_divide(F.sum(F.col("level") * F.col("values")), F.sum("values")).alias("mean"),
+    )
+    return _judged(fit, threshold)
 
 
 def trend_of_indexed(indexed: DataFrame, value: str, threshold: float = V.TREND_THRESHOLD) -> DataFrame:
+    """As :func:`trend`, for rows that have their position."""
     fit = indexed.agg(
         F.count("*").alias("rows"),
         F.regr_slope(F.col(value), F.col("time_index").cast("double")).alias("slope"),
         F.avg(value).alias("mean"),
     )
+    return _judged(fit, threshold)
+
+
+def _judged(fit: DataFrame, threshold: float) -> DataFrame:
     relative = F.when(F.col("mean") != 0, F.col("slope") / F.col("mean")).otherwise(F.lit(0.0))
     direction = (
         F.when(F.col("rows") < V.MIN_ROWS_FOR_TREND, "insufficient_data")
@@ -180,24 +231,44 @@ def histogram(df: DataFrame, name: str, bins: int) -> DataFrame:
     Bins without rows are kept with a count of 0. A column with a single value gets the
     range one half to either side of it.
     """
-    values = df.select(as_double(F.col(name)).alias("value")).where(F.col("value").isNotNull())
-    single = F.min("value") == F.max("value")
-    bounds = F.struct(
-        F.when(single, F.min("value") - 0.5).otherwise(F.min("value")).alias("low"),
-        F.when(single, F.max("value") + 0.5).otherwise(F.max("value")).alias("high"),
-    )
-    edge = values.agg(bounds).scalar()
-    position = F.floor((F.col("value") - edge["low"]) * float(bins) / (edge["high"] - edge["low"]))
-    counted = values.groupBy(F.least(position, F.lit(bins - 1)).cast("int").alias("bin")).agg(
+    return histograms(df, [name], bins)
+
+
+def histograms(df: DataFrame, names: Sequence[str], bins: int) -> DataFrame:
+    """The :func:`histogram` of every column: one pass for all bounds and one for all counts.
+
+    The second shuffles at most one count per task, column and bin.
+    """
+    values = df.select(*[as_double(F.col(name)).alias(f"v{i}") for i, name in enumerate(names)])
+
+    def bounds(value: str) -> Column:
+        single = F.min(value) == F.max(value)
+        return F.struct(
+            F.when(single, F.min(value) - 0.5).otherwise(F.min(value)).alias("low"),
+            F.when(single, F.max(value) + 0.5).otherwise(F.max(value)).alias("high"),
+        )
+
+    edges = values.agg(F.array(*[bounds(f"v{i}") for i in range(len(names))]).alias("edges"))
+    edge = edges.scalar()
+    long = values.select(
+        F.inline(F.array(*[F.struct(F.lit(i).alias("place"), F.col(f"v{i}").alias("value")) for i in range(len(names))]))
+    ).where("value IS NOT NULL")
+    at = edge[F.col("place")]
+    position = F.floor((F.col("value") - at["low"]) * float(bins) / (at["high"] - at["low"]))
+    counted = long.groupBy("place", F.least(position, F.lit(bins - 1)).cast("int").alias("bin")).agg(
         F.count("*").alias("count")
     )
-    width = (edge["high"] - edge["low"]) / bins
-    every_bin = df.sparkSession.range(bins).select(F.col("id").cast("int").alias("bin"))
-    return every_bin.where(edge["low"].isNotNull()).join(counted, "bin", "left").select(
-        F.lit(name).alias("column_name"),
+    every_bin = (
+        df.sparkSession.range(len(names) * bins)
+        .select((F.col("id") / bins).cast("int").alias("place"), (F.col("id") % bins).cast("int").alias("bin"))
+        .where(at["low"].isNotNull())
+    )
+    width = (at["high"] - at["low"]) / bins
+    return every_bin.join(counted, ["place", "bin"], "left").select(
+        F.element_at(F.array(*[F.lit(name) for name in names]), F.col("place") + 1).alias("column_name"),
         "bin",
-        (edge["low"] + width * F.col("bin")).alias("bin_start"),
-        (edge["low"] + width * (F.col("bin") + 1)).alias("bin_end"),
+        (at["low"] + width * F.col("bin")).alias("bin_start"),
+        (at["low"] + width * (F.col("bin") + 1)).alias("bin_end"),
         F.coalesce("count", F.lit(0)).alias("count"),
     )
 

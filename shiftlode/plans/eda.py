@@ -18,11 +18,7 @@ def feature_pairs(daily: DataFrame) -> DataFrame:
 
 
 def feature_histograms(daily: DataFrame, bins: int = V.FEATURE_BINS) -> DataFrame:
-    parts = [stats.histogram(daily, name, bins) for name in V.BASE_FEATURES]
-    union = parts[0]
-    for part in parts[1:]:
-        union = union.unionByName(part)
-    return union
+    return stats.histograms(daily, V.BASE_FEATURES, bins)
 
 
 def eda_tables(daily: DataFrame) -> dict[str, DataFrame]:

@@ -124,15 +124,21 @@ def fold_bounds(train: DataFrame, folds: int = V.FOLDS) -> DataFrame:
     )
 
 
-def expanding_folds(train: DataFrame, folds: int = V.FOLDS, index: str = "split_index") -> DataFrame:
-    """Every train row with the folds it is used in: its own test fold, if any, and as
-    training row in all later folds. Each row belongs to at most one test block, so the
-    blocks come from arithmetic on the position and no join is needed."""
+def fold_block(train: DataFrame, folds: int = V.FOLDS, index: str = "split_index") -> Column:
+    """The fold in which a train row is tested, -1 for the rows before the first test block.
+
+    Each row belongs to at most one test block, so the blocks come from arithmetic on the position.
+    """
     rows = train.agg(F.count("*")).scalar()
     size = F.floor(rows / (folds + 1))
     first = rows - folds * size
-    block = F.floor((F.col(index) - first) / size)
-    own = F.when(F.col(index) >= first, block).otherwise(F.lit(-1))
+    return F.when(F.col(index) >= first, F.floor((F.col(index) - first) / size)).otherwise(F.lit(-1))
+
+
+def expanding_folds(train: DataFrame, folds: int = V.FOLDS, index: str = "split_index") -> DataFrame:
+    """Every train row with the folds it is used in: its own test fold, if any, and as
+    training row in all later folds. No join is needed."""
+    own = fold_block(train, folds, index)
     fold = F.sequence(F.greatest(own, F.lit(0)).cast("int"), F.lit(folds - 1))
     return (
         train.withColumn("_own", own)

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from shiftlode import fixed_values as V
 from shiftlode.operators import aggregates as A
-from shiftlode.operators import filters, quality, stats
+from shiftlode.operators import filters, moments, quality, stats
 from shiftlode.plans import daily as D
 from shiftlode.registry.base import num, nums, query
 from shiftlode.registry.scans import SUMMARY, fixture_daily
@@ -193,6 +193,36 @@ def describe_table(spark, folder):
     return stats.describe_table(W.long_daily(spark, folder))
 
 
+RAW = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+
+
+@query(
+    "metric_stats_raw",
+    f"""WITH s AS ({stats_sql('lineitem', RAW)})
+        SELECT metric, {nums('mean', 'std', 'q1', 'q3')}, {num('q3 - q1', 'iqr')}, {nums('min', 'max')}
+        FROM s WHERE n >= 7""",
+)
+def metric_stats_raw(spark, folder):
+    """Exact quartiles of raw records by refining bins; no buffer holds their values."""
+    return stats.metric_stats(W.table(spark, folder, "lineitem"), RAW, by_bins=True)
+
+
+@query(
+    "describe_raw",
+    "\nUNION ALL ".join(
+        f"SELECT '{name}' AS column_name, COUNT({name}) AS count, {num(f'AVG({name})', 'mean')}, "
+        f"{num(f'STDDEV_SAMP({name})', 'std')}, {num(f'MIN({name})', 'min')}, "
+        f"{num(f'QUANTILE_CONT({name}, 0.25)', 'q1')}, {num(f'QUANTILE_CONT({name}, 0.5)', 'median')}, "
+        f"{num(f'QUANTILE_CONT({name}, 0.75)', 'q3')}, {num(f'MAX({name})', 'max')} FROM equipment_sensors"
+        for name in ["fuel_consumption"]
+    ),
+    "equipment_sensors",
+)
+def describe_raw(spark, folder):
+    """Sensor readings, some of them missing."""
+    return stats.describe_table(W.equipment_sensors(spark, folder), ["fuel_consumption"], by_bins=True)
+
+
 CORRELATED = [*V.BASE_FEATURES, V.TARGET]
 
 
@@ -209,6 +239,19 @@ def correlation_matrix(spark, folder):
     return stats.correlation_matrix(W.long_daily(spark, folder))
 
 
+@query(
+    "correlation_by_moments",
+    "\nUNION ALL ".join(
+        f"SELECT '{a}' AS row_name, '{b}' AS column_name, {num(f'CORR({a}, {b})', 'correlation')} FROM lineitem"
+        for a in RAW
+        for b in RAW
+    ),
+)
+def correlation_by_moments(spark, folder):
+    """On raw records, from products of matrices."""
+    return moments.correlation_rows(W.table(spark, folder, "lineitem"), RAW)
+
+
 def histogram_sql(table: str, name: str, bins: int) -> str:
     return f"""SELECT '{name}' AS column_name, CAST(b AS BIGINT) AS bin,
           {num(f'lo + (hi - lo) / {bins} * b', 'bin_start')}, {num(f'lo + (hi - lo) / {bins} * (b + 1)', 'bin_end')},

@@ -209,13 +209,32 @@ def boosted_stumps(spark, folder):
 )
 def tune(spark, folder):
     """Mean squared error per alpha over five expanding folds, against the closed form in every fold."""
-    tuned = M.tune("Ridge_Regression", train_of(earlier_table(spark, folder)), PAIR, V.MODEL_GRIDS["Ridge_Regression"])
+    tuned = M.search_linear("Ridge_Regression", train_of(earlier_table(spark, folder)), PAIR, V.MODEL_GRIDS["Ridge_Regression"])
     return spark.createDataFrame(
         [(float(params["alpha"]), mse / 1e6, params == tuned.params) for params, mse in tuned.scores],
         "alpha double, cv_mse double, chosen boolean",
     )
 
 
+@query(
+    "ridge_folds",
+    f"""{EARLIER_SPLIT},
+        k AS (SELECT UNNEST(RANGE(0, 5)) AS fold),
+        e AS (SELECT fold, rows - (5 - fold) * (rows // 6) AS first, rows - (4 - fold) * (rows // 6) AS stop
+              FROM k, (SELECT MAX(rows) AS rows FROM z) r),
+        {ridge_sql("(SELECT e.fold AS g, z.* FROM z JOIN e ON split_index < e.first WHERE split = 'train') v", 'g', ', '.join(map(str, ALPHAS)))}
+        SELECT alpha, CAST(fold AS BIGINT) AS fold, {num(f'AVG((y - ({GUESS})) ** 2) / 1000000', 'mse')}
+        FROM b JOIN e ON b.g = e.fold JOIN z ON split_index >= first AND split_index < stop
+        WHERE split = 'train' GROUP BY alpha, fold""",
+    "long_daily",
+)
+def ridge_folds(spark, folder):
+    """The error of every alpha in every fold, all from one pass over the features."""
+    tuned = M.search_linear("Ridge_Regression", train_of(earlier_table(spark, folder)), PAIR, V.MODEL_GRIDS["Ridge_Regression"])
+    rows = [(float(params["alpha"]), fold, mse / 1e6) for params, fold, mse in tuned.fold_scores]
+    return spark.createDataFrame(rows, "alpha double, fold long, mse double")
+
+
 @query(
     "predict",
     f"""{EARLIER_SPLIT}, {ridge_sql(TRAIN_ROWS, 'g', '0')}

@@ -189,3 +189,47 @@ def test_eda_tables(random_daily):
     assert tables["target_histogram"].count() == 30
     assert tables["missing_values"].first()[0] == 0
     assert tables["monthly_mean"].count() == 7
+
+
+def test_trend_equals_the_slope_over_all_positions(spark):
+    """Months of unequal size, missing values, and rows without a date, which count for the mean alone."""
+    rng = np.random.default_rng(8)
+    days = [dt.date(2023, 1, 17) + dt.timedelta(days=int(d)) for d in np.sort(rng.choice(400, 150, replace=False))]
+    values = [None if i % 13 == 5 else float(v) for i, v in enumerate(1e7 + 3 * np.arange(150) + rng.normal(0, 40, 150))]
+    rows = [*zip(days, values), (None, 5.0), (None, None)]
+    df = spark.createDataFrame(rows, f"date date, {V.TARGET} double").repartition(6)
+    got = stats.trend(df).first()
+    known = [(i, v) for i, v in enumerate(values) if v is not None]
+    x, y = np.array(known).T
+    assert got["rows"] == 152
+    assert got["slope"] == pytest.approx(np.polyfit(x, y - y.mean(), 1)[0], rel=1e-8)
+    assert got["mean"] == pytest.approx((y.sum() + 5.0) / (len(y) + 1))
+    few = stats.trend(df.where("date < DATE '2023-01-01'")).first()
+    assert (few["rows"], few["slope"], few["trend"]) == (0, None, "insufficient_data")
+
+
+def test_trend_has_no_join(random_daily):
+    _, df = random_daily
+    assert "Join" not in stats.trend(df)._jdf.queryExecution().executedPlan().toString()
+
+
+def test_histograms_read_the_table_twice(spark, random_daily, tmp_path):
+    frame, df = random_daily
+    path = str(tmp_path / "t")
+    df.withColumn("flat", F.lit(2.0)).withColumn("none", F.lit(None).cast("double")).write.parquet(path)
+    names = [*V.METRICS, "flat", "none"]
+    found = stats.histograms(spark.read.parquet(path), names, 12)
+    got = found.toPandas()
+    for name in V.METRICS:
+        counts, edges = np.histogram(frame[name], 12)
+        part = got[got.column_name == name].sort_values("bin")
+        assert part["count"].tolist() == counts.tolist()
+        np.testing.assert_allclose(part["bin_start"], edges[:-1])
+    flat = got[got.column_name == "flat"]
+    assert flat["count"].sum() == 200 and (flat["bin_start"].min(), flat["bin_end"].max()) == (1.5, 2.5)
+    assert "none" not in set(got.column_name) and len(got) == 12 * (len(names) - 1)
+    found.collect()
+    plan = found._jdf.queryExecution().explainString(
+        spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
+    )
+    assert plan.count("ReadSchema") == 2
