@@ -15,7 +15,15 @@ from shiftlode.plans import daily as D
 from shiftlode.plans.eda import eda_tables
 from shiftlode.plans.forecast import run_forecast, save_results
 from shiftlode.plans.validation import report_document, validation_report
-from shiftlode.sinks.tables import append_quality_log, full_refresh, with_created_at, with_generated_id, write_json
+from shiftlode.sinks import versions
+from shiftlode.sinks.tables import (
+    append_quality_log,
+    full_refresh,
+    used_slot,
+    with_created_at,
+    with_generated_id,
+    write_json,
+)
 from shiftlode.sources import dump, files
 
 log = logging.getLogger(__name__)
@@ -74,7 +82,8 @@ def run_etl(spark: SparkSession, sources: dict[str, DataFrame], warehouse: str)
     Rows that break a declared constraint go to ``rejected_rows`` and their counts to the quality log. The
     stored records keep their raw values; production is partitioned by date, sensors by
     month. Every source is read once: the days of the calendar come from the stored records,
-    cleaning and its counts happen on the way to the daily table.
+    cleaning and its counts happen on the way to the daily table. At the end one entry publishes all
+    tables (:func:`shiftlode.sinks.versions.read_version`), so its readers never see new mines with old records.
     """
     warehouse = warehouse.rstrip("/")
     tables: dict[str, DataFrame] = {}
@@ -101,6 +110,8 @@ def run_etl(spark: SparkSession, sources: dict[str, DataFrame], warehouse: str)
         with_created_at(with_generated_id(daily, V.ID_COLUMNS["daily_production_metrics"])),
         f"{warehouse}/daily_production_metrics",
     )
+    stored = {name: (f"{name}/{used_slot(spark, f'{warehouse}/{name}')}", df.schema) for name, df in tables.items()}
+    versions.publish(spark, warehouse, stored)
     return tables
 
 

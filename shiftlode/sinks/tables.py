@@ -59,6 +59,11 @@ def read_table(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFram
     return spark.read.format(fmt).schema(fields).load(f"{path}/{slot}").select(*fields.names)
 
 
+def used_slot(spark: SparkSession, path: str) -> str:
+    """The folder below ``path`` that holds the newest version; the next refresh leaves it as it is."""
+    return _current(spark, path.rstrip("/"))[0]
+
+
 def refresh_tables(
     tables: dict[str, tuple[DataFrame, str]], partition_by: dict[str, Sequence[str]] | None = None
 ) -> dict[str, DataFrame]:

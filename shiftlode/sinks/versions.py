@@ -2,7 +2,8 @@
 
 ``versions/<number>.json`` in the folder of the tables names the data folder and schema of every table. An entry is
 written whole and its number can be taken once, so a version exists for all tables or for none, and the second of two
-writers notices. Data folders have names of their own and are not written again.
+writers notices. Data folders of :func:`refresh_together` have names of their own and are not written again; those of
+:func:`publish` are the caller's, who keeps them as long as the version is the newest.
 
 Taking a number is a hard link on a local file system and a rename that does not replace elsewhere, which is atomic
 on HDFS; a store without such a rename allows one writer at a time.
@@ -125,6 +126,17 @@ def refresh_together(
     raise VersionConflict(f"{attempts} versions were taken by others")
 
 
+def publish(spark: SparkSession, base: str, tables: dict[str, tuple[str, StructType]], attempts: int = ATTEMPTS) -> int:
+    """One version of tables that are stored already, as folder below ``base`` and schema; returns its number."""
+    base = base.rstrip("/")
+    named = {name: {"folder": folder, "schema": schema.json()} for name, (folder, schema) in tables.items()}
+    for _ in range(attempts):
+        number, before = current_version(spark, base)
+        if _take(spark, base, number + 1, {**before, **named}):
+            return number + 1
+    raise VersionConflict(f"{attempts} versions were taken by others")
+
+
 def _stored(df: DataFrame, base: str, name: str, parts: Sequence[str]) -> dict[str, str]:
     folder = f"{name}/data-{uuid.uuid4().hex}"
     rows = df.hint("rebalance", *parts) if parts else df

@@ -11,6 +11,7 @@ from shiftlode.plans import validation as P
 from shiftlode.plans.stages import extract, run_all, run_etl
 from shiftlode.registry.scans import dump_text, typed_logs
 from shiftlode.sinks.tables import read_table
+from shiftlode.sinks.versions import read_version
 from shiftlode.sources import dump, files
 from shiftlode.sources import views as W
 
@@ -64,6 +65,10 @@ def test_bad_rows_are_kept_out_and_counted(spark, folder, tmp_path):
     good.mkdir(), bad.mkdir()
     clean = run_etl(spark, extract(spark, *land(spark, folder, good, False)), str(good / "warehouse"))
     dirty = run_etl(spark, extract(spark, *land(spark, folder, bad, True)), str(bad / "warehouse"))
+    published = read_version(spark, str(bad / "warehouse"))
+    assert {name: (df.columns, df.count()) for name, df in published.items()} == {
+        name: (df.columns, df.count()) for name, df in dirty.items()
+    }
     found = {(r["table_name"], r["reason"]): r["count"] for r in dirty["rejected_rows"].groupBy("table_name", "reason").count().collect()}
     repeated = found.pop(("weather_data", "duplicate_date"))
     assert repeated > 0
