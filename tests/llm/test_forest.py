@@ -74,3 +74,25 @@ def test_repeated_labelled_rows_come_once(spark, monkeypatch):
     seen, plain_counted = [], forest.counted
     monkeypatch.setattr(forest, "counted", lambda df, *rest: seen.append(df.count()) or plain_counted(df, *rest))
     assert fit(docs, labels).forest is not None and seen == [1001]
+
+
+def test_all_labelled_rows_fit(spark, monkeypatch):
+    """Every labelled row counts in the trees and in the threshold, also where there are many; the rows may lie anywhere."""
+    fine = [f"w{i}" for i in range(80)]
+    source = np.random.default_rng(3)
+    texts = [" ".join(w + "#" * int(k > source.integers(0, 80)) for w in fine) for k in range(60)]
+    rows = [(i, texts[int(source.exponential(6)) % 60] if i % 20 else "###### " * 10 + " ".join(fine)) for i in range(12_000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    labels = spark.range(12_000).selectExpr("id AS doc_id", "CAST(id % 20 > 0 AS INT) AS quality")
+    tables, plain_counted = [], forest.counted
+    monkeypatch.setattr(forest, "counted", lambda df: tables.append(plain_counted(df)) or tables[-1])
+    verdict = fit(docs, labels)
+    assert tables[0].selectExpr("sum(n0)", "sum(n1)").first()[:] == (11_400, 600)
+    counts = np.array([rule_counts(text) for _, text in rows], np.int64)
+    seen, good = forest.rates(counts), np.arange(12_000) % 20 > 0
+    numbers = np.stack([good, ~good], axis=1).astype(np.int64)
+    whole = Forest(ranges=lambda trees, level: forest.node_ranges(trees, seen, numbers, level), weights=(1.0, 1 / 600))
+    assert (whole.feature == verdict.forest.feature).all() and (whole.value == verdict.forest.value).all()
+    scores = whole.score(seen)
+    assert verdict.threshold == np.quantile(scores[good], 1 - forest.LOSS, method="higher")
+    assert not verdict(counts[~good])[2].any() and verdict(counts[good])[2].mean() >= 1 - forest.LOSS
