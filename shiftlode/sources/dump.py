@@ -7,7 +7,7 @@ an INSERT into the wanted table but cannot be read in full is kept as a reject w
 
 A quoted text or a comment may itself hold a semicolon at a line end, so a piece may start inside of one. Every piece has an
 **end state for each start state** (outside, in a quote, in a comment). For nearly all pieces each state ends as it started; only the
-others are listed, per block of the file. The states of the blocks are composed in order, which fixes the state every
+others are listed, per block of the file, and read one by one, so Python holds a few pieces at a time. The states of the blocks are composed in order, which fixes the state every
 block starts in, and with it the pieces that belong together: those alone are joined by place and put
 together again. Text that is still open at the end of a file is left in its pieces.
 """
@@ -25,6 +25,7 @@ from shiftlode.functions.scalars import as_double
 from shiftlode.session import settle
 
 STATEMENT_END = ";\n"
+SEND = 512
 OUTSIDE, IN_QUOTE, IN_COMMENT = range(3)
 
 # Grammar of the statements: a quoted text doubles its quotes, a name may be quoted.
@@ -75,34 +76,24 @@ def _placed(pieces: DataFrame) -> DataFrame:
     )
 
 
-def _walk(odd: list[dict], state: int) -> Iterator[tuple[int, int, int]]:
-    """(place, state before, state after) of the listed pieces of a block that starts in ``state``."""
-    for piece in odd:
-        after = piece["ends"][state]
-        yield piece["place"], state, after
-        state = after
+def _ends(code: int) -> tuple[int, int, int]:
+    """The end states that :func:`whole_pieces` writes as one number."""
+    return code % 3, code // 3 % 3, code // 9
 
 
-def _block_end(odd: list[dict], state: int) -> tuple[int, int | None]:
-    """State at the end of a block, and the piece at which what is open there began (None: before the block)."""
-    opened = None
-    for place, before, state in _walk(odd, state):
-        if before == OUTSIDE:
-            opened = place
-    return state, opened
+ENDS = [_ends(code) for code in range(27)]
+UNCHANGED = ENDS.index((OUTSIDE, IN_QUOTE, IN_COMMENT))
 
 
-def _spans(odd: list[dict], state: int, first: int, last: int) -> Iterator[tuple[int, int, bool]]:
-    """(first piece, last piece, whether it began before the block) of what lies over several pieces, up to the end of the block."""
-    start, earlier = (first, True) if state != OUTSIDE else (None, False)
-    for place, before, after in _walk(odd, state):
-        if before == OUTSIDE and after != OUTSIDE:
-            start, earlier = place, False
-        elif before != OUTSIDE and after == OUTSIDE:
-            yield start, place, earlier
-            start = None
-    if start is not None:
-        yield start, last, earlier
+def _pieces(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple]:
+    for batch in batches:
+        yield from zip(*[column.to_pylist() for column in batch.columns])
+
+
+def _exploded(blocks: DataFrame, *names: str) -> DataFrame:
+    """The listed pieces of blocks one by one, in order; a block without any has one row of an unchanged state."""
+    piece = F.explode(F.when(F.size("odd") > 0, F.col("odd")).otherwise(F.array(F.struct(F.col("first").alias("place"), F.lit(UNCHANGED).cast("byte").alias("code")))))
+    return blocks.select("file", "block", *names, piece.alias("piece")).select("file", "block", *names, "piece.place", "piece.code")
 
 
 def whole_pieces(pieces: DataFrame, end: str = STATEMENT_END) -> DataFrame:
@@ -111,34 +102,55 @@ def whole_pieces(pieces: DataFrame, end: str = STATEMENT_END) -> DataFrame:
     quotes = F.length("value") - F.length(F.replace(value, F.lit("'")))
     # With paired quotes and no signs of comments every state ends as it started.
     listed = (quotes % 2 == 1) | value.contains("--") | value.contains("/*") | value.contains("*/")
-    odd = F.when(listed, F.struct("place", _end_states(value).alias("ends")))
+    ends = _end_states(value)
+    code = F.when(listed, F.aggregate(F.reverse(ends), F.lit(0), lambda all_, end: all_ * 3 + end)).cast("byte")
+    placed_codes = placed.select("file", "block", "place", code.alias("code"))
+    odd = F.when(F.col("code") != UNCHANGED, F.struct("place", "code"))
     blocks = settle(
-        placed.groupBy("file", "block").agg(
+        placed_codes.groupBy("file", "block").agg(
             F.min("place").alias("first"), F.max("place").alias("last"), F.array_sort(F.collect_list(odd)).alias("odd")
         ),
         "blocks",
     )
     starts, lost = _block_starts(blocks)
-    if not starts and blocks.where(F.exists("odd", lambda piece: piece.ends[OUTSIDE] != OUTSIDE)).isEmpty():
+    if not starts and blocks.where(F.exists("odd", lambda piece: piece.code % 3 != OUTSIDE)).isEmpty():
         return pieces
     begun = spark.createDataFrame(starts, "file string, block long, state int, key_block long, key_place long")
     marked = blocks.join(begun, ["file", "block"], "left").where("state IS NOT NULL OR size(odd) > 0")
     schema = "file string, key_block long, key_place long, first long, last long"
 
     def spans(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            out = [
-                (row["file"], *((row["key_block"], row["key_place"]) if earlier else (row["block"], first)), first, last)
-                for row in batch.to_pylist()
-                for first, last, earlier in _spans(row["odd"], row["state"] or OUTSIDE, row["first"], row["last"])
-            ]
-            names = [field.split()[0] for field in schema.split(", ")]
-            kinds = [pa.string()] + [pa.int64()] * 4
-            yield pa.RecordBatch.from_arrays([pa.array([row[i] for row in out], kind) for i, kind in enumerate(kinds)], names=names)
+        names, kinds = [field.split()[0] for field in schema.split(", ")], [pa.string()] + [pa.int64()] * 4
+        out: list[tuple] = []
+
+        def send() -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array([row[i] for row in out], kind) for i, kind in enumerate(kinds)], names=names)
+
+        for (file, block), part in itertools.groupby(_pieces(batches), key=lambda row: row[:2]):
+            # What lies over several pieces: its first one, and whether it began before the block.
+            start, state = None, None
+            for _, _, first, last, begun_in, key_block, key_place, place, code in part:
+                if state is None:
+                    state = begun_in or OUTSIDE
+                    start, key = (first, (key_block, key_place)) if state != OUTSIDE else (None, None)
+                after = ENDS[code][state]
+                if state == OUTSIDE and after != OUTSIDE:
+                    start, key = place, (block, place)
+                elif state != OUTSIDE and after == OUTSIDE:
+                    out.append((file, *key, start, place))
+                    start = None
+                state = after
+                if len(out) >= SEND:
+                    yield send()
+                    out.clear()
+            if start is not None:
+                out.append((file, *key, start, last))
+        if out:
+            yield send()
 
     key = ["file", "key_block", "key_place"]
     never_closed = spark.createDataFrame(lost, "file string, key_block long, key_place long")
-    found = marked.mapInArrow(spans, schema).join(never_closed, key, "left_anti")
+    found = _exploded(marked, "first", "last", "state", "key_block", "key_place").mapInArrow(spans, schema).join(never_closed, key, "left_anti")
     members = settle(found.select(*key, F.explode(F.sequence("first", "last")).alias("place")), "members")
     ordered = F.array_sort(F.collect_list(F.struct("block", "place", "value")))
     joined = placed.join(members, ["file", "place"]).groupBy(*key).agg(F.array_join(F.transform(ordered, lambda p: p.value), end).alias("value"))
@@ -152,14 +164,19 @@ def _block_starts(blocks: DataFrame) -> tuple[list[tuple], list[tuple]]:
     """
 
     def functions(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found = [[_block_end(row["odd"], state) for state in range(3)] for row in batch.to_pylist()]
-            ends = pa.array([[end for end, _ in row] for row in found], pa.list_(pa.int32()))
-            opened = pa.array([[piece for _, piece in row] for row in found], pa.list_(pa.int64()))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), ends, opened], names=["file", "block", "ends", "opened"])
-
-    narrow = blocks.select("file", "block", "odd")
-    rows = sorted(narrow.mapInArrow(functions, "file string, block long, ends array<int>, opened array<long>").collect(), key=lambda row: row[:2])
+        names = ["file", "block", "ends", "opened"]
+        kinds = [pa.string(), pa.int64(), pa.list_(pa.int32()), pa.list_(pa.int64())]
+        for (file, block), part in itertools.groupby(_pieces(batches), key=lambda row: row[:2]):
+            states, opened = [OUTSIDE, IN_QUOTE, IN_COMMENT], [None] * 3
+            for _, _, place, code in part:
+                ends = ENDS[code]
+                for i, state in enumerate(states):
+                    if state == OUTSIDE:
+                        opened[i] = place
+                    states[i] = ends[state]
+            yield pa.RecordBatch.from_arrays([pa.array([part], kind) for part, kind in zip((file, block, states, opened), kinds)], names=names)
+
+    rows = sorted(_exploded(blocks).mapInArrow(functions, "file string, block long, ends array<int>, opened array<long>").collect(), key=lambda row: row[:2])
     starts, lost = [], []
     for file, part in itertools.groupby(rows, key=lambda row: row.file):
         state, key = OUTSIDE, None
