@@ -69,3 +69,17 @@ def test_statistics_by_bins_equal_the_exact_ones(spark, folder):
         stats.metric_stats(lines, names, by_bins=way).toPandas().set_index("metric").loc[names] for way in (False, True)
     )
     pd.testing.assert_frame_equal(plain, binned, rtol=1e-12)
+
+
+def test_rows_are_read_once(spark):
+    """The values are computed once, however many rounds look at them."""
+    seen = spark.sparkContext.accumulator(0)
+
+    @F.udf("double")
+    def counting(number):
+        seen.add(1)
+        return number / 7.0
+
+    df = spark.range(5000).select(counting("id").alias("v"))
+    assert S.values_at(df, {"v": [0, 1234, 4999]}) == {("v", rank): rank / 7.0 for rank in (0, 1234, 4999)}
+    assert seen.value == 5000
