@@ -2,6 +2,7 @@
 
 import random
 
+import pyarrow as pa
 import pytest
 
 from shiftlode import schemas
@@ -98,3 +99,21 @@ def test_dump_without_cut_texts_is_not_joined(spark, tmp_path):
     (tmp_path / "empty").mkdir()
     (tmp_path / "empty" / "e.sql").write_text("")
     assert dump.read_statements(spark, str(tmp_path / "empty")).count() == 0
+
+
+def test_listed_pieces_come_one_by_one(spark):
+    """A block of many listed pieces reaches Python in rows of two numbers a piece, never whole."""
+    code = dump.ENDS.index((0, 0, 2))
+    odd = "array<struct<place: long, code: tinyint>>"
+    rows = [("f", 0, 0, 30_000, [(i, code) for i in range(30_000)]), ("f", 9, 30_001, 30_004, [])]
+    blocks = spark.createDataFrame(rows, f"file string, block long, first long, last long, odd {odd}")
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_pydict({"n": [batch.num_rows]})
+
+    pieces = dump._exploded(blocks)
+    assert pieces.columns == ["file", "block", "place", "code"]
+    found = [row.n for row in pieces.coalesce(1).mapInArrow(sizes, "n long").collect()]
+    assert sum(found) == 30_001 and max(found) <= 10_000
+    assert dump._block_starts(blocks) == ([], [])
