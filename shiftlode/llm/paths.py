@@ -7,7 +7,7 @@ equal to their Jaccard similarity.
 
 **Chosen paths.** A node of the recursion picks one or two of the sampled tokens (1 / similarity on average, by
 a hash of the node), and every set goes to the child for its value of each. Similar sets stay together, others
-part. Nodes with one set end; nodes with at most ``LIMIT`` sets are compared by brute force; larger ones are split
+part. Nodes with one set end; nodes with at most ``LIMIT`` sets are compared by brute force, and so are larger ones with at most ``BLOCK`` sets outside their main component; others are split
 again, level by level, all runs at once. What is still large after ``DEPTH`` levels is compared in blocks, so no
 bucket is cut. With similarity ``s`` a pair survives a level with the probability of :func:`survival`; the number of
 runs follows from it and the target ``RECALL``. All runs read one sketch, so the miss is averaged over how many sampled
@@ -17,7 +17,8 @@ tokens a pair at the threshold shares (:func:`missed`).
 into candidate components. Only connectivity counts there, so the first ``FIRST`` runs are settled first, each block of a large
 node on its own; every set then carries the root of its component. In what is left, the blocks of those nodes against each other and the
 other runs, only nodes with several roots go on, and only edges between different roots are sent: a group
-of copies found once is not sent again by every run. Within a component all pairs are compared, block by block, by sketch
+of copies found once is not sent again by every run. The largest component of a node does not meet itself: its blocks meet
+those of the other sets only (:func:`_root_tiles`), so the rows of a node grow with its sets times the blocks of the others. Within a component all pairs are compared, block by block, by sketch
 and then exactly on the whole sets, so that every link is counted once, pairs that no run has found included.
 Only counts and a spanning forest leave a tile, never pairs. Classes are the components of exact links.
 
@@ -31,6 +32,8 @@ columns are ignored by :func:`classes` and kept by :func:`first_rows`.
 """
 
 import math
+from collections.abc import Iterable, Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -51,7 +54,11 @@ START = 2  # levels before the first count
 DEPTH = 6
 LIMIT = 256
 BLOCK = 256
-SLICE = 1 << 14
+SLICE = 1 << 8
+LINKED = 4  # blocks that a block of the exact comparison is as large as
+HELD = 1 << 20  # tokens in such a block
+SENT = 1 << 10  # sets whose nodes are computed at once
+SLOTS = 1 << 22
 
 _source = np.random.default_rng(20)
 MULTIPLY = _source.integers(0, 1 << 63, TOKENS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -76,16 +83,32 @@ def shingles(text: str | None, hashes: WordHashes) -> np.ndarray:
     total = np.full(len(words) - size + 1, size, np.uint64)
     for shift in range(size):
         total += number[shift : len(words) - size + 1 + shift] * PLACE[shift]
-    return np.unique(mixed(total))
+    total = mixed(total)
+    total.sort()  # faster here than np.unique, which hashes first
+    return total[np.concatenate([[True], total[1:] != total[:-1]])]
 
 
 def sketch(tokens: np.ndarray) -> np.ndarray:
     """The sampled tokens of a set, 32 bits each."""
     least = np.full(TOKENS, np.iinfo(np.uint64).max, np.uint64)
+    held = np.empty((TOKENS, min(SLICE, len(tokens))), np.uint64)
     for start in range(0, len(tokens), SLICE):
-        part = tokens[None, start : start + SLICE] * MULTIPLY[:, None] + ADD[:, None]
-        least = np.minimum(least, (part >> np.uint64(20)).min(axis=1))
-    return mixed(least).astype("<u4")
+        own = tokens[start : start + SLICE]
+        part = np.multiply(MULTIPLY[:, None], own, out=held[:, : len(own)])
+        part += ADD[:, None]
+        np.minimum(least, part.min(axis=1), out=least)
+    return mixed(least >> np.uint64(20)).astype("<u4")
+
+
+def packed(own: np.ndarray) -> bytes:
+    """A sketch as bytes: the lowest byte of every sampled token first, then the others."""
+    return own.view(np.uint8).reshape(TOKENS, 4).T.tobytes()
+
+
+def unpacked(column: pa.Array) -> np.ndarray:
+    """Sketches of a column of :func:`packed` ones, one a row."""
+    data = np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(-1, 4, TOKENS)
+    return np.ascontiguousarray(data.transpose(0, 2, 1)).view("<u4")[:, :, 0]
 
 
 def survival(levels: int, similarity: float = SIMILARITY) -> float:
@@ -113,8 +136,8 @@ def runs_for(recall: float = RECALL) -> int:
     return runs
 
 
-def split(nodes: np.ndarray, sketches: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Children of sets in their nodes: place of the set, number of the child."""
+def split(nodes: np.ndarray, sketches: np.ndarray, owner: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Children of sets in their nodes: place of the node, number of the child. ``owner`` is the row of ``sketches`` of each node."""
     rows = np.arange(len(nodes))
     draw = mixed(nodes ^ np.uint64(0x5851F42D4C957F2D))
     first = draw % np.uint64(TOKENS)
@@ -123,22 +146,45 @@ def split(nodes: np.ndarray, sketches: np.ndarray) -> tuple[np.ndarray, np.ndarr
     twice = (mixed(again) >> np.uint64(11)) * 2.0**-53 < 1 / SIMILARITY - 1
     place = np.concatenate([rows, rows[twice]])
     chosen = np.concatenate([first, second[twice]])
-    value = sketches[place, chosen.astype(np.int64)].astype(np.uint64)
+    value = sketches[place if owner is None else owner[place], chosen.astype(np.int64)].astype(np.uint64)
     return place, mixed(nodes[place] + mixed((chosen << np.uint64(32)) | value))
 
 
-def _first_nodes(data: bytes, runs: range) -> list[int]:
-    """Nodes of a set after the first levels of some runs."""
-    own = np.frombuffer(data, "<u4")[None, :]
-    nodes = mixed(np.arange(runs.start + 1, runs.stop + 1, dtype=np.uint64))
+def first_nodes(sketches: np.ndarray, runs: range) -> tuple[np.ndarray, np.ndarray]:
+    """Nodes of sets after the first levels of some runs: place of the set, number of the node."""
+    owner = np.repeat(np.arange(len(sketches)), len(runs))
+    nodes = np.tile(mixed(np.arange(runs.start + 1, runs.stop + 1, dtype=np.uint64)), len(sketches))
     for _ in range(START):
-        nodes = split(nodes, np.broadcast_to(own, (len(nodes), TOKENS)))[1]
-    return np.unique(nodes).astype(np.int64).tolist()
+        place, nodes = split(nodes, sketches, owner)
+        owner = owner[place]
+    return owner, nodes
+
+
+def _started(sets: DataFrame, runs: range) -> DataFrame:
+    """``node`` and ``sid`` of all sets after the first levels of some runs."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for start in range(0, batch.num_rows, SENT):
+                part = batch.slice(start, SENT)
+                owner, nodes = first_nodes(unpacked(part.column(1)), runs)
+                yield pa.RecordBatch.from_arrays([pa.array(nodes.view(np.int64)), part.column(0).take(pa.array(owner))], names=["node", "sid"])
 
+    return sets.select("sid", "sketch").mapInArrow(run, "node long, sid binary")
 
-def _children(node: int, sid: bytes, root: bytes, data: bytes) -> list[tuple]:
-    own = np.frombuffer(data, "<u4")[None, :]
-    return [(int(child), sid, root) for child in split(np.array([node], np.int64).astype(np.uint64), own)[1].astype(np.int64)]
+
+def _children(large: DataFrame) -> DataFrame:
+    """``node``, ``sid`` and ``root`` one level down, from the same columns and ``sketch``."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                nodes = np.array(batch.column(0).to_numpy(zero_copy_only=False), np.int64).view(np.uint64)
+                place, children = split(nodes, unpacked(batch.column(3)))
+                others = [batch.column(i).take(pa.array(place)) for i in (1, 2)]
+                yield pa.RecordBatch.from_arrays([pa.array(children.view(np.int64)), *others], names=["node", "sid", "root"])
+
+    return large.select("node", "sid", "root", "sketch").mapInArrow(run, "node long, sid binary, root binary").distinct()
 
 
 def fewest_matches(tokens: int = TOKENS, similarity: float = SIMILARITY) -> int:
@@ -222,23 +268,32 @@ def _candidate_edges(group: pa.Table) -> list[tuple]:
 def _exact(near: np.ndarray, sets: list[np.ndarray]) -> np.ndarray:
     """Keep the pairs whose whole sets are similar enough."""
     rows, columns = np.nonzero(np.triu(near))
-    used = np.unique(np.concatenate([rows, columns]))
+    left, right = np.unique(rows), np.unique(columns)
+    used = np.union1d(left, right)
     kept = np.zeros_like(near)
     if not len(rows):
         return kept
-    every, place = np.unique(np.concatenate([sets[i] for i in used]), return_inverse=True)
-    if len(rows) * 2e-5 > len(used) ** 2 * len(every) * 1e-10:
+    place, times = np.unique(np.concatenate([sets[i] for i in used]), return_inverse=True, return_counts=True)[1:]
+    several = times > 1  # tokens of one set are in no two
+    every = int(several.sum())
+    if len(rows) * 2e-5 > len(left) * len(right) * every * 1e-10:
         # Many pairs of like sets: common tokens as products of 0/1 matrices, some columns at a time.
-        owner = np.repeat(np.arange(len(used)), [len(sets[i]) for i in used])
+        owner = np.repeat(used, [len(sets[i]) for i in used])
+        met = several[place]
+        owner, place = owner[met], (np.cumsum(several) - 1)[place[met]]
         order = np.argsort(place, kind="stable")
         owner, place = owner[order], place[order]
-        common = np.zeros((len(used), len(used)), np.float32)
-        for start in range(0, len(every), 4096):
-            first, stop = np.searchsorted(place, [start, start + 4096])
-            has = np.zeros((len(used), 4096), np.float32)
-            has[owner[first:stop], place[first:stop] - start] = 1
-            common += has @ has.T
-        at = np.searchsorted(used, rows), np.searchsorted(used, columns)
+        common = np.zeros((len(left), len(right)), np.float32)
+        for start in range(0, every, 4096):
+            part = slice(*np.searchsorted(place, [start, start + 4096]))
+            has = []
+            for side in (left, right):
+                at = np.minimum(np.searchsorted(side, owner[part]), len(side) - 1)
+                own = side[at] == owner[part]
+                has.append(np.zeros((len(side), 4096), np.float32))
+                has[-1][at[own], place[part][own] - start] = 1
+            common += has[0] @ has[1].T
+        at = np.searchsorted(left, rows), np.searchsorted(right, columns)
         shared = common[at].astype(np.int64)
     else:
         shared = np.array([len(np.intersect1d(sets[a], sets[b], assume_unique=True)) for a, b in zip(rows, columns)])
@@ -253,54 +308,92 @@ def _exact_links(group: pa.Table) -> list[tuple]:
     sids = group.column("sid").to_pylist()
     if len(set(sids)) < len(sids):  # a set that was read from several equal rows
         group = group.take([sids.index(sid) for sid in dict.fromkeys(sids)])
-        sids = group.column("sid").to_pylist()
+    group = group.take(np.argsort(_numbers(group, "block"), kind="stable"))  # pairs go from one block to the other
+    sids = group.column("sid").to_pylist()
     linked = _exact(_relation(group), [np.frombuffer(x, "<u8") for x in group.column("tokens").to_pylist()])
     texts = linked @ _numbers(group, "texts")
     parent = dict(_forest(linked))
     return [(sids[i], int(texts[i]), sids[parent.get(i, i)]) for i in np.nonzero(texts)[0].tolist()]
 
 
-def _tiles(members: DataFrame, size: str) -> DataFrame:
-    """Deal members of a group (column ``grp``) into blocks; every two blocks of it meet in a tile."""
-    dealt = _blocks(members, size)
-    dealt = dealt.withColumn("_other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_blocks") - 1)))
+def _meet(dealt: DataFrame, others: str) -> DataFrame:
+    """Every member once per tile: with each of the first ``others`` blocks of its group."""
+    dealt = dealt.withColumn("_other", F.explode(F.sequence(F.lit(0).cast("long"), F.col(others) - 1)))
     return dealt.withColumn("low", F.least("block", "_other")).withColumn("high", F.greatest("block", "_other"))
 
 
-def _blocks(members: DataFrame, size: str) -> DataFrame:
-    blocks = F.ceil(F.col(size) / F.lit(BLOCK)).cast("long")
-    dealt = members.withColumn("_blocks", F.when(F.col(size) > LIMIT, blocks).otherwise(F.lit(1).cast("long")))
-    return dealt.withColumn("block", F.pmod(F.xxhash64("sid"), F.col("_blocks")))
+def _tiles(members: DataFrame, size: str, tokens: str) -> DataFrame:
+    """Deal members of a group (column ``grp``) into blocks of bounded numbers of sets and tokens; every two blocks of it meet in a tile."""
+    blocks = F.greatest(F.ceil(F.col(size) / F.lit(LINKED * BLOCK)), F.ceil(F.col(tokens) / F.lit(HELD))).cast("long")
+    return _meet(members.withColumn("_blocks", blocks).withColumn("block", F.pmod(F.xxhash64("sid"), F.col("_blocks"))), "_blocks")
+
+
+def _blocks(size: F.Column) -> F.Column:
+    return F.ceil(size / F.lit(BLOCK)).cast("long")
 
 
 def _own_tiles(members: DataFrame, size: str) -> DataFrame:
-    """As :func:`_tiles`, but every block meets itself only."""
-    return _blocks(members, size).withColumn("low", F.col("block")).withColumn("high", F.col("block"))
+    """Members of a group in blocks, each of which meets itself only."""
+    blocks = F.when(F.col(size) > LIMIT, _blocks(F.col(size))).otherwise(F.lit(1).cast("long"))
+    dealt = members.withColumn("block", F.pmod(F.xxhash64("sid"), blocks))
+    return dealt.withColumn("low", F.col("block")).withColumn("high", F.col("block"))
+
+
+def _root_tiles(members: DataFrame) -> DataFrame:
+    """Tiles in which members of different roots of a group (sized by :func:`_sized`) meet.
+
+    The root with the most members of a large group needs no tiles of its own: its blocks meet those of the others only, so
+    a group that is one component but for a few sets moves about once.
+    """
+    rest, most = _blocks(F.col("rest")), _blocks(F.col("members") - F.col("rest"))
+    own = F.xxhash64("sid")
+    dealt = members.filter(F.col("members") > LIMIT).withColumn("_rest", rest).withColumn("_most", most)
+    dealt = dealt.withColumn("block", F.when(F.col("main"), F.col("_rest") + F.pmod(own, F.col("_most"))).otherwise(F.pmod(own, F.col("_rest"))))
+    met = _meet(dealt.withColumn("_others", F.when(F.col("main"), F.col("_rest")).otherwise(F.col("_rest") + F.col("_most"))), "_others")
+    small = _own_tiles(members.filter(F.col("members") <= LIMIT), "members")
+    return small.unionByName(met.select(*small.columns))
 
 
 def _sized(members: DataFrame) -> DataFrame:
-    """Members of nodes that hold sets of at least two roots, with the size of the node."""
-    sizes = members.groupBy("node").agg(F.count("*").alias("members"), F.min("root").alias("low"), F.max("root").alias("high"))
-    return members.join(sizes.filter("low <> high").select("node", "members"), "node")
-
-
-def _leaves(sets: DataFrame, runs: range) -> DataFrame:
-    """Nodes where the recursion ends, with their sets and the roots of these."""
-    start = by_row(
-        sets, ["sid", "root", "sketch"], lambda: lambda sid, root, data: [(sid, root, _first_nodes(data, runs))],
-        "sid binary, root binary, nodes array<long>",
-    )
-    level = settle(_sized(start.select(F.explode("nodes").alias("node"), "sid", "root")), "nodes")
-    leaves = level.filter(F.col("members") <= LIMIT)
+    """Members of nodes that hold sets of at least two roots, with the size of the node (``members``), whether they are of
+    its ``main`` root, the one with the most of them, and how many are not (``rest``)."""
+    roots = members.groupBy("node", "root").agg(F.count("*").alias("n"))
+    sizes = roots.groupBy("node").agg(F.sum("n").alias("members"), F.max(F.struct("n", "root")).alias("most"), F.count("*").alias("roots"))
+    sizes = sizes.filter("roots > 1").select("node", "members", F.col("most.root").alias("_root"), (F.col("members") - F.col("most.n")).alias("rest"))
+    return members.join(sizes, "node").withColumn("main", F.col("root") == F.col("_root")).drop("_root")
+
+
+def _ended(level: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Nodes that are not split again, and the others. A large node with few members outside its main root ends too: these meet
+    all of it in about as many rows as it has, where its next level would have more."""
+    ends = (F.col("members") <= LIMIT) | (F.col("rest") <= BLOCK)
+    return level.filter(ends), level.filter(~ends)
+
+
+def _leaves(sets: DataFrame, runs: range, found: DataFrame | None = None) -> DataFrame:
+    """Nodes where the recursion ends, with their sets and the roots of these (by ``found``: ``sid``, ``root``)."""
+    start = _started(sets, runs)
+    shared = settle(start.groupBy("node").agg(F.count("*").alias("members")).filter("members > 1").select("node"), "shared")
+    met = settle(_rooted(start.join(shared, "node", "left_semi"), found), "met")  # most nodes hold one set
+    level = settle(_sized(met), "nodes")
+    (leaves, large), own = _ended(level), None
     for _ in range(START, DEPTH):
-        large = level.filter(F.col("members") > LIMIT)
+        large = settle(large.select("node", "sid", "root"), "large")
         if large.isEmpty():
             return leaves
-        known = large.select("node", "sid", "root").join(sets.select("sid", "sketch"), "sid")
-        children = by_row(known, ["node", "sid", "root", "sketch"], lambda: _children, "node long, sid binary, root binary").distinct()
-        level = settle(_sized(children), "nodes")
-        leaves = leaves.unionByName(level.filter(F.col("members") <= LIMIT))
-    return leaves.unionByName(level.filter(F.col("members") > LIMIT))
+        if own is None:  # sets in large nodes were in large ones a level before
+            some = _sifted(sets.select("sid", "sketch"), F.xxhash64("sid"), large.select(F.xxhash64("sid")))
+            own = settle(some.join(large.select("sid").distinct(), "sid", "left_semi"), "sketches")
+        ended, large = _ended(settle(_sized(_children(large.join(own, "sid"))), "nodes"))
+        leaves = leaves.unionByName(ended)
+    return leaves.unionByName(large)
+
+
+def _rooted(members: DataFrame, found: DataFrame | None) -> DataFrame:
+    """Members with the root of their set, which is the set itself if none is known."""
+    if found is None:
+        return members.withColumn("root", F.col("sid"))
+    return members.join(found, "sid", "left").withColumn("root", F.coalesce("root", "sid"))
 
 
 def _candidates(sets: DataFrame, known: DataFrame, runs: int) -> DataFrame:
@@ -314,19 +407,15 @@ def _candidates(sets: DataFrame, known: DataFrame, runs: int) -> DataFrame:
     def described(leaves: DataFrame) -> DataFrame:
         return leaves.join(known, "sid").withColumn("grp", F.col("node"))
 
-    first = settle(_leaves(sets.withColumn("root", F.col("sid")), range(min(FIRST, runs))), "first")
+    first = settle(_leaves(sets, range(min(FIRST, runs))), "first")
     found = settle(components(edges(_own_tiles(described(first), "members"))), "found")
     rooted = found.withColumnRenamed("id", "sid")
 
-    def with_roots(df: DataFrame) -> DataFrame:
-        return df.join(rooted, "sid", "left").withColumn("root", F.coalesce("root", "sid"))
-
     # Nodes of one block are done; of larger ones the blocks still have to meet.
-    large = _sized(with_roots(first.filter(F.col("members") > LIMIT).select("node", "sid")))
-    later = edges(_tiles(described(large), "members"))
-    if runs > FIRST:
-        others = _leaves(settle(with_roots(sets), "rooted"), range(FIRST, runs))
-        later = later.unionByName(edges(_tiles(described(others), "members")))
+    large = _sized(_rooted(first.filter(F.col("members") > LIMIT).select("node", "sid"), rooted))
+    rest = [large, _leaves(sets, range(FIRST, runs), rooted)] if runs > FIRST else [large]
+    later = [edges(_root_tiles(settle(described(leaves), "described"))) for leaves in rest]
+    later = reduce(DataFrame.unionByName, later)
     later = settle(later, "later")
     if later.isEmpty():
         return found
@@ -343,7 +432,7 @@ def _described(df: DataFrame, key: str, text: str) -> DataFrame:
             tokens = shingles(value, hashes)
             if not len(tokens):
                 return [(number, tie, None, 0, None)]
-            return [(number, tie, xxhash.xxh128_digest(tokens.tobytes()), len(tokens), sketch(tokens).tobytes())]
+            return [(number, tie, xxhash.xxh128_digest(tokens.tobytes()), len(tokens), packed(sketch(tokens)))]
 
         return one
 
@@ -354,29 +443,20 @@ def _described(df: DataFrame, key: str, text: str) -> DataFrame:
 def _grouped(df: DataFrame, key: str, text: str, recall: float) -> tuple[DataFrame, DataFrame]:
     """Rows with their set, and sets with class, links and the row that stands for the class."""
     described = settle(_described(df, key, text), "shingles")
-    texts = described.filter("sid IS NOT NULL").groupBy("sid", "_tie").agg(
-        F.min(F.struct(F.col("_key").isNull().alias("_no"), "_key", "_tie")).alias("first"),
-        F.first("size").alias("size"), F.first("sketch").alias("sketch"),
-    )
-    sets = settle(
-        texts.groupBy("sid").agg(
-            F.min("first").alias("first"), F.count("*").alias("texts"),
-            F.first("size").alias("size"), F.first("sketch").alias("sketch"),
-        ),
-        "sets",
-    )
-
-    brief = by_row(
-        sets, ["sid", "sketch"], lambda: lambda sid, data: [(sid, np.frombuffer(data, "<u4").astype(np.uint8).tobytes())], "sid binary, brief binary"
-    )
-    known = sets.select("sid", "size", "texts", "first").join(brief, "sid")
+    some = described.filter("sid IS NOT NULL")
+    texts = some.groupBy("sid", "_tie").agg(F.min(F.struct(F.col("_key").isNull().alias("_no"), "_key", "_tie")).alias("first"))
+    texts = texts.groupBy("sid").agg(F.min("first").alias("first"), F.count("*").alias("texts"))
+    sketches = some.groupBy("sid").agg(F.first("size").alias("size"), F.first("sketch").alias("sketch"))
+    sets = settle(texts.join(sketches, "sid"), "sets")
+
+    known = sets.select("sid", "size", "texts", "first", F.substring("sketch", 1, TOKENS).alias("brief"))
     found = _candidates(sets, known, runs_for(recall))
 
-    sizes = found.groupBy("root").agg(F.count("*").alias("members"))
-    chosen = found.join(sizes, "root").join(known.withColumnRenamed("sid", "id"), "id")
-    chosen = settle(chosen.withColumnRenamed("id", "sid"), "chosen")
+    chosen = settle(found.withColumnRenamed("id", "sid").join(known, "sid"), "chosen")
+    sizes = chosen.groupBy("root").agg(F.count("*").alias("members"), F.sum("size").alias("held"))
     whole = _whole_sets(df, chosen, key, text)
-    members = _tiles(chosen.withColumn("grp", F.xxhash64("root")).join(whole, "sid"), "members")
+    members = chosen.join(sizes, "root").withColumn("grp", F.xxhash64("root")).join(whole, "sid")
+    members = _tiles(members, "members", "held")
     columns = ["sid", "brief", "size", "texts", "block", "low", "high", "tokens"]
     links = settle(by_group(members, ["grp", "low", "high"], columns, _exact_links, "sid binary, links long, other binary"), "links")
 
@@ -389,6 +469,15 @@ def _grouped(df: DataFrame, key: str, text: str, recall: float) -> tuple[DataFra
     return described, joined.join(first, "root").select("sid", "class", number)
 
 
+def _sifted(rows: DataFrame, number: F.Column, wanted: DataFrame) -> DataFrame:
+    """Rows whose number may be one of the wanted ones (one column), so that a join need not move the others.
+
+    Numbers are compared by slot; at most ``SLOTS`` whole numbers go to all tasks, however many are wanted.
+    """
+    slots = wanted.select(F.pmod(F.col(f"`{wanted.columns[0]}`"), F.lit(SLOTS)).cast("int").alias("_slot")).distinct()
+    return rows.withColumn("_at", F.pmod(number, F.lit(SLOTS)).cast("int")).join(F.broadcast(slots), F.col("_at") == F.col("_slot"), "left_semi").drop("_at")
+
+
 def _whole_sets(df: DataFrame, chosen: DataFrame, key: str, text: str) -> DataFrame:
     """All tokens of the chosen sets, from the text of one row each."""
 
@@ -396,8 +485,9 @@ def _whole_sets(df: DataFrame, chosen: DataFrame, key: str, text: str) -> DataFr
         hashes = WordHashes()
         return lambda sid, value: [(sid, shingles(value, hashes).tobytes())]
 
-    wanted = chosen.select("sid", F.col("first._key").alias("_key"), F.col("first._tie").alias("_tie"))
+    wanted = settle(chosen.select("sid", F.col("first._key").alias("_key"), F.col("first._tie").alias("_tie")), "wanted")
     rows = df.select(F.col(key).cast("long").alias("_own"), F.col(text).alias("_text"))
+    rows = _sifted(rows, F.xxhash64("_text"), wanted.select("_tie"))
     met = rows.join(wanted, F.col("_own").eqNullSafe(F.col("_key")))
     met = met.filter(F.xxhash64("_text") == F.col("_tie"))
     return settle(by_row(met, ["sid", "_text"], step, "sid binary, tokens binary"), "tokens")

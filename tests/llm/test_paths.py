@@ -1,9 +1,11 @@
 """Classes and links against brute force; buckets of every size; graphs of every shape."""
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from shiftlode.llm import paths
 from shiftlode.llm.common import WordHashes
@@ -146,3 +148,62 @@ def test_runs_are_enough_for_pairs_of_one_sketch():
     chances = {x: survival(paths.DEPTH, x) for x in np.unique(shared)}
     found = np.array([chances[x] for x in shared])
     assert ((1 - found) ** runs_for()).mean() <= 2e-4
+
+
+@pytest.mark.parametrize("strays", [1, 40, 700])
+def test_rows_of_tiles_grow_with_the_members(spark, strays):
+    """A node that is one component but for some sets: every pair of different roots meets once, rows grow with the members."""
+    made = {}
+    for size in (2000, 4000):
+        rows = [(7, b"%05d" % i, b"%05d" % i if i < strays else b"main", 1) for i in range(size)] + [(8, b"a", b"a", 1), (8, b"b", b"b", 1), (9, b"c", b"x", 1), (9, b"d", b"x", 1)]
+        sized = paths._sized(spark.createDataFrame(rows, "node long, sid binary, root binary, size long"))
+        tiles = paths._root_tiles(sized.withColumn("grp", F.col("node"))).select("grp", "sid", "root", "block", "low", "high").collect()
+        assert {r["grp"] for r in tiles} == {7, 8}
+        met = {}
+        for r in tiles:
+            met.setdefault((r["grp"], r["low"], r["high"]), []).append(r)
+        blocks = {}
+        for r in tiles:
+            blocks.setdefault((r["grp"], bytes(r["sid"])), (bytes(r["root"]), r["block"]))
+        of = {}
+        for (grp, _), (root, block) in blocks.items():
+            of.setdefault((grp, block), set()).add(root)
+        for (grp, a), left in of.items():
+            for (other, b), right in of.items():
+                if grp == other and a <= b and len(left | right) > 1:
+                    members = met[grp, a, b]
+                    assert len(members) == sum(x == (grp, z) for x in [(g, k) for (g, _), (_, k) in blocks.items()] for z in {a, b})
+        made[size] = len(tiles)
+        assert max(len(x) for x in met.values()) < 3 * paths.BLOCK
+    assert made[4000] < 2.5 * made[2000]
+    assert strays > paths.BLOCK or made[4000] < 2.5 * 4000
+
+
+def test_nodes_of_many_sets_are_those_of_each():
+    source = np.random.default_rng(6)
+    sketches = source.integers(0, 1 << 32, (20, paths.TOKENS), dtype=np.uint64).astype("<u4")
+    column = pa.array([paths.packed(x) for x in sketches])
+    assert np.array_equal(paths.unpacked(column), sketches)
+    assert column[3].as_py()[: paths.TOKENS] == sketches[3].astype(np.uint8).tobytes()
+    owner, nodes = paths.first_nodes(sketches, range(4, 9))
+    for i, own in enumerate(sketches):
+        want = paths.mixed(np.arange(5, 10, dtype=np.uint64))
+        for _ in range(paths.START):
+            want = paths.split(want, np.broadcast_to(own, (len(want), paths.TOKENS)))[1]
+        assert sorted(nodes[owner == i].tolist()) == sorted(want.tolist())
+
+
+def test_exact_links_of_two_blocks():
+    """Common tokens by products of matrices or one pair at a time, the same."""
+    source = np.random.default_rng(7)
+    base = source.integers(0, 1 << 63, 300, dtype=np.uint64)
+    sets = [np.unique(np.where(source.random(300) < 0.06, source.integers(0, 1 << 63, 300, dtype=np.uint64), base)) for _ in range(60)]
+    near = np.zeros((60, 60), bool)
+    near[:25, 25:] = True
+    got = paths._exact(near | near.T, sets)
+    for a in range(60):
+        for b in range(60):
+            common = len(np.intersect1d(sets[a], sets[b]))
+            like = common >= paths.SIMILARITY * (len(sets[a]) + len(sets[b]) - common) - 1e-9
+            assert got[a, b] == (like and (a < 25) != (b < 25))
+    assert got.any() and not got[:25, 25:].all()
