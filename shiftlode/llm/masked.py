@@ -81,14 +81,17 @@ class Vocabulary:
 
 
 def log_softmax(logits: np.ndarray, chosen: np.ndarray) -> np.ndarray:
-    logits -= logits.max(axis=1, keepdims=True)
-    return logits[np.arange(len(chosen)), chosen] - np.log(np.exp(logits).sum(axis=1))
+    """Of the chosen row of every column; rows at minus infinity take no part. Changes ``logits``, as the next does."""
+    logits -= logits.max(axis=0)
+    found = logits[chosen, np.arange(len(chosen))]
+    return found - np.log(np.exp(logits, out=logits).sum(axis=0))
 
 
 def softmax_error(logits: np.ndarray, chosen: np.ndarray) -> np.ndarray:
-    error = np.exp(logits - logits.max(axis=1, keepdims=True))
-    error /= error.sum(axis=1, keepdims=True)
-    error[np.arange(len(chosen)), chosen] -= 1
+    logits -= logits.max(axis=0)
+    error = np.exp(logits, out=logits)
+    error /= error.sum(axis=0)
+    error[chosen, np.arange(len(chosen))] -= 1
     return error
 
 
@@ -112,52 +115,84 @@ class Network:
             self.inner_prior[:] = vocabulary.log_class
 
     def hidden(self, window: np.ndarray) -> np.ndarray:
-        total = self.tables[0][window[:, 0]]
+        """Hidden values of each target and a one, so that products add the priors too."""
+        total = self.tables[0].take(window[:, 0], axis=0)
         for place in range(1, 2 * SIDE):
-            total += self.tables[place][window[:, place]]
-        return np.tanh(total + self.bias)
-
-    def by_class(self, kind: np.ndarray) -> Iterator[tuple[np.ndarray, slice]]:
-        """Places of the targets of each class, and its cells; nothing for a class of one cell."""
-        group = self.group[kind]
-        order = np.argsort(group.astype(np.uint16), kind="stable")
-        ends = np.cumsum(np.bincount(group, minlength=len(self.first) - 1))
-        for start, stop, first, last in zip([0, *ends[:-1].tolist()], ends.tolist(), self.first[:-1].tolist(), self.first[1:].tolist()):
-            if stop > start and last - first > 1:
-                yield order[start:stop], slice(first, last)
+            total += self.tables[place].take(window[:, place], axis=0)
+        total += self.bias
+        own = np.ones((len(total), WIDTH + 1), np.float32)
+        np.tanh(total, out=own[:, :WIDTH])
+        return own
+
+    def in_classes(self, window: np.ndarray, kind: np.ndarray) -> tuple[np.ndarray, ...]:
+        """Targets in the order of their classes: their places, windows, classes and cells in these."""
+        order = np.argsort(self.group[kind].astype(np.uint16), kind="stable")
+        group = self.group[kind[order]]
+        return order, window[order], group, kind[order] - self.first[group]
+
+    def by_class(self, group: np.ndarray) -> Iterator[tuple[slice, slice]]:
+        """Targets (in the order of their classes) of each class, and its cells."""
+        ends = np.searchsorted(group, np.arange(len(self.first))).tolist()
+        first = self.first.tolist()
+        return ((slice(*x), slice(*y)) for x, y in zip(itertools.pairwise(ends), itertools.pairwise(first)) if x[0] < x[1])
+
+    def of_classes(self, own: np.ndarray) -> np.ndarray:
+        """Logits of the classes, one column a target: sums over short columns are much faster than over short rows."""
+        return np.concatenate([self.out, self.prior[None]]).T @ own.T
+
+    def of_cells(self, own: np.ndarray, group: np.ndarray) -> np.ndarray:
+        """Logits of the cells of the class of each target, one column a target, minus infinity after the last cell."""
+        inner = np.concatenate([self.inner, self.inner_prior[:, None]], axis=1)
+        logits = np.full((int(np.diff(self.first).max()), len(group)), -np.inf, np.float32)
+        for targets, cells in self.by_class(group):
+            logits[: cells.stop - cells.start, targets] = inner[cells].dot(own[targets].T)
+        return logits
 
     def log_probability(self, window: np.ndarray, kind: np.ndarray) -> np.ndarray:
-        hidden = self.hidden(window)
-        found = log_softmax(hidden @ self.out + self.prior, self.group[kind])
-        for places, cells in self.by_class(kind):
-            found[places] += log_softmax(hidden[places] @ self.inner[cells].T + self.inner_prior[cells], kind[places] - cells.start)
+        order, window, group, cell = self.in_classes(window, kind)
+        own = self.hidden(window)
+        found = np.empty(len(kind), np.float32)
+        found[order] = log_softmax(self.of_classes(own), group) + log_softmax(self.of_cells(own, group), cell)
         return found
 
     def learn(self, window: np.ndarray, kind: np.ndarray, share: float = 1.0) -> None:
         """One step of gradient descent on a batch; ``share`` shortens the step of a small one."""
-        hidden = self.hidden(window)
-        error = softmax_error(hidden @ self.out + self.prior, self.group[kind])
-        back = error @ self.out.T
-        for places, cells in self.by_class(kind):
-            own = hidden[places]
-            wrong = softmax_error(own @ self.inner[cells].T + self.inner_prior[cells], kind[places] - cells.start)
-            back[places] += wrong @ self.inner[cells]
-            pace = np.float32(share * RATE / max(len(places), CELLS))  # few targets make a short step
-            self.inner[cells] -= pace * (wrong.T @ own)
-            self.inner_prior[cells] -= pace * wrong.sum(axis=0)
+        _, window, group, cell = self.in_classes(window, kind)
+        own = self.hidden(window)
+        hidden = own[:, :WIDTH]
+        error = softmax_error(self.of_classes(own), group)
+        wrong = softmax_error(self.of_cells(own, group), cell)
+        back, moved = np.empty((len(kind), WIDTH), np.float32), np.zeros((len(self.inner), WIDTH + 1), np.float32)
+        for targets, cells in self.by_class(group):
+            part = wrong[: cells.stop - cells.start, targets]
+            part.T.dot(self.inner[cells], out=back[targets])
+            part.dot(own[targets], out=moved[cells])
+        times = np.bincount(group, minlength=len(self.first) - 1)
+        pace = share * RATE / np.maximum(times, CELLS)  # few targets make a short step
+        moved *= np.repeat(pace, np.diff(self.first)).astype(np.float32)[:, None]
+        self.inner -= moved[:, :WIDTH]
+        self.inner_prior -= moved[:, WIDTH]
+        back += error.T @ self.out.T
         back *= 1 - hidden * hidden
         step = np.float32(share * RATE / len(kind))
-        self.out -= step * (hidden.T @ error)
-        self.prior -= step * error.sum(axis=0)
+        turned = step * (error @ own)
+        self.out -= turned[:, :WIDTH].T
+        self.prior -= turned[:, WIDTH]
         self.bias -= step * back.sum(axis=0)
-        for place in range(2 * SIDE):
-            # Rows of frequent words get the mean of their gradients, so steps stay bounded.
-            order = np.argsort(window[:, place].astype(np.uint16), kind="stable")
-            ordered = window[order, place]
-            starts = np.nonzero(np.diff(ordered, prepend=-1))[0]
-            times = np.diff(starts, append=len(ordered))
-            sums = np.add.reduceat(back[order], starts, axis=0)
-            self.tables[place][ordered[starts]] -= np.float32(share * TABLE_RATE) * sums / np.sqrt(times, dtype=np.float32)[:, None]
+        # Rows of frequent words get the mean of their gradients, so steps stay bounded. The tables of all positions go at once.
+        rows = (window + np.arange(2 * SIDE) * FEATURES).astype(np.uint16).T.ravel()
+        order = np.argsort(rows, kind="stable")
+        rows, order = rows[order], order % len(kind)
+        starts = np.concatenate([[0], 1 + np.nonzero(rows[1:] != rows[:-1])[0]])
+        times = np.diff(starts, append=len(rows))
+        tables, pace = self.tables.reshape(-1, WIDTH), np.float32(share * TABLE_RATE)
+        back *= pace
+        once, several = starts[times == 1], times > 1  # most rows occur once in a batch and need no sum
+        tables[rows[once]] -= back.take(order[once], axis=0)
+        held, often = np.repeat(several, times), times[several]
+        if len(often):
+            sums = np.add.reduceat(back.take(order[held], axis=0), np.cumsum(often) - often, axis=0)
+            tables[rows[starts[several]]] -= sums / np.sqrt(often, dtype=np.float32)[:, None]
 
 
 def windows(buckets: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -235,22 +270,33 @@ def frequent_words(words: DataFrame, most: int = FREQUENT) -> tuple[np.ndarray,
     return number[order], np.log(n[order])
 
 
+def gathered(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """``row``, ``word`` and ``times`` of the words of many texts at once, from ``row``, ``words`` and ``times`` of each."""
+
+    def joined(held: list[tuple[int, bytes, bytes]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        rows, words, times = zip(*held)
+        sizes = [len(x) // 8 for x in words]
+        return np.repeat(np.array(rows, np.int64), sizes), np.frombuffer(b"".join(words), "<i8"), np.frombuffer(b"".join(times), "<i8")
+
+    for batch in batches:
+        held, size = [], 0
+        for row in zip(*[values(batch.column(i)) for i in range(3)]):
+            held.append(row)
+            size += len(row[1]) // 8
+            if size >= HELD // 8:
+                yield joined(held)
+                held, size = [], 0
+        if size:
+            yield joined(held)
+
+
 def other_words(tokens: DataFrame, frequent: np.ndarray) -> DataFrame:
     """``row``, ``word``, ``times`` of the words of every text that are not frequent."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            held, size = [], 0
-            for row, words, times in zip(*[values(batch.column(i)) for i in range(3)]):
-                words, times = np.frombuffer(words, "<i8"), np.frombuffer(times, "<i8")
-                other = ~known(frequent, words)[0]
-                held.append((np.full(int(other.sum()), row), words[other], times[other]))
-                size += len(held[-1][0])
-                if size >= HELD // 8:
-                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*held)], names=["row", "word", "times"])
-                    held, size = [], 0
-            if size:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*held)], names=["row", "word", "times"])
+        for held in gathered(batches):
+            other = ~known(frequent, held[1])[0]
+            yield pa.RecordBatch.from_arrays([pa.array(x[other]) for x in held], names=["row", "word", "times"])
 
     return tokens.select("row", "words", "times").mapInArrow(run, "row long, word long, times long")
 
@@ -395,20 +441,18 @@ def score(tokens: DataFrame, network: Network, vocabulary: Vocabulary, key: str
 
 
 def word_shares(tokens: DataFrame, counts: np.ndarray) -> DataFrame:
-    """``row`` and ``share``: the sum of log p(word | bucket) over all tokens of a text."""
+    """``row`` and ``share``: the sum of log p(word | bucket) over all tokens of a text that has any."""
     words = count_words(tokens)
     frequent, logs = frequent_words(words)
     log_bucket = np.log(np.maximum(counts, 1))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rows = []
-            for row, held, times in zip(*[values(batch.column(i)) for i in range(3)]):
-                held, times = np.frombuffer(held, "<i8"), np.frombuffer(times, "<i8")
-                found, place = known(frequent, held)
-                own = (logs[place[found]] * times[found]).sum() if found.any() else 0.0
-                rows.append((row, float(own - (log_bucket[held % BUCKETS] * times).sum())))
-            yield to_batch(rows, ["row", "share"], arrow_types("row long, share double"))
+        for rows, words, times in gathered(batches):
+            found, place = known(frequent, words)
+            logs_of = np.where(found, logs[place], 0.0) if len(logs) else 0.0
+            starts = np.nonzero(np.diff(rows, prepend=-1))[0]
+            sums = np.add.reduceat((logs_of - log_bucket[words % BUCKETS]) * times, starts)
+            yield pa.RecordBatch.from_arrays([pa.array(rows[starts]), pa.array(sums)], names=["row", "share"])
 
     here = tokens.select("row", "words", "times").mapInArrow(run, "row long, share double")
     met = other_words(tokens, frequent).join(words, "word").select("row", (F.col("times") * F.log("n")).alias("share"))
@@ -421,7 +465,7 @@ def pseudo_likelihood(df: DataFrame, key: str = "doc_id", text: str = "text", ro
     counts = count_buckets(tokens)
     vocabulary = Vocabulary(counts)
     scored = score(tokens, train(tokens, vocabulary, rounds), vocabulary, "row")
-    total = F.col("log_likelihood") + F.col("share")
-    return scored.join(word_shares(tokens, counts), "row").select(
+    total = F.col("log_likelihood") + F.coalesce("share", F.lit(0.0))
+    return scored.join(word_shares(tokens, counts), "row", "left").select(
         F.col("doc_id").alias(key), "n_tokens", total.alias("log_likelihood"), F.when(F.col("n_tokens") > 0, total / F.col("n_tokens")).alias("mean_log_likelihood")
     )

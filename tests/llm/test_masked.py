@@ -1,6 +1,7 @@
 """The network against its gradient, scores against plain sums, and learning on text it has not seen."""
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from shiftlode.llm import masked
@@ -171,3 +172,63 @@ def test_words_of_one_class_depend_on_the_window():
 
     assert not np.allclose(inside(1), inside(2), atol=1e-3)
     assert inside(1)[one - cells[0]] > inside(2)[one - cells[0]]
+
+
+def plain_step(network, window, kind, share):
+    """One step of descent, class by class in plain matrix products."""
+    hidden = np.tanh(sum(network.tables[i][window[:, i]] for i in range(2 * masked.SIDE)) + network.bias)
+
+    def error_of(logits, chosen):
+        found = np.exp(logits - logits.max(axis=1, keepdims=True))
+        found /= found.sum(axis=1, keepdims=True)
+        found[np.arange(len(chosen)), chosen] -= 1
+        return found
+
+    group = network.group[kind]
+    error = error_of(hidden @ network.out + network.prior, group)
+    back = error @ network.out.T
+    for each in np.unique(group):
+        cells, own = slice(*network.first[each : each + 2]), group == each
+        wrong = error_of(hidden[own] @ network.inner[cells].T + network.inner_prior[cells], kind[own] - cells.start)
+        back[own] += wrong @ network.inner[cells]
+        pace = share * masked.RATE / max(own.sum(), masked.CELLS)
+        network.inner[cells] -= pace * (wrong.T @ hidden[own])
+        network.inner_prior[cells] -= pace * wrong.sum(axis=0)
+    back *= 1 - hidden**2
+    step = share * masked.RATE / len(kind)
+    network.out -= step * (hidden.T @ error)
+    network.prior -= step * error.sum(axis=0)
+    network.bias -= step * back.sum(axis=0)
+    for place in range(2 * masked.SIDE):
+        for row in np.unique(window[:, place]):
+            own = window[:, place] == row
+            network.tables[place][row] -= share * masked.TABLE_RATE * back[own].sum(axis=0) / np.sqrt(own.sum())
+
+
+def test_a_step_takes_all_classes_at_once(monkeypatch):
+    source = np.random.default_rng(6)
+    texts = [" ".join(f"w{k}" for k in source.zipf(1.3, 3000) % 5000) for _ in range(3)] + ["the " * 400]
+    own = vocabulary(arrays(texts))
+    sizes = np.bincount(own.group)
+    assert sizes.min() == 1 < sizes.max() and len(sizes) > 10  # classes of one cell, and of several
+    held = [(w, own.kind[t]) for x in arrays(texts) for w, t in windows(x)]
+    calls, plain = [], masked.softmax_error
+    monkeypatch.setattr(masked, "softmax_error", lambda *given: calls.append(1) or plain(*given))
+    one, other = Network(own), Network(own)
+    for share, (window, kind) in zip((1.0, 0.5, 1.0, 1.0), held):
+        one.learn(window, kind, share)
+        plain_step(other, window, kind, share)
+    assert np.allclose(one.flat, other.flat, atol=2e-5) and not np.allclose(one.flat, Network(own).flat, atol=1e-2)
+    assert len(calls) == 2 * len(held)  # classes and cells, not one for each class
+
+
+def test_words_of_many_texts_are_looked_up_at_once(monkeypatch):
+    texts = [np.arange(i % 7, dtype="<i8") for i in range(1000)]
+    columns = [list(range(1000)), [x.tobytes() for x in texts], [(x + 1).tobytes() for x in texts]]
+    batch = pa.RecordBatch.from_arrays([pa.array(x) for x in columns], names=["row", "words", "times"])
+    expected = [(i, w, w + 1) for i, x in enumerate(texts) for w in x.tolist()]
+    for most in (masked.HELD, 8):
+        monkeypatch.setattr(masked, "HELD", most)
+        got = list(masked.gathered([batch]))
+        assert len(got) == 1 if most > 8 else len(got) > 100  # bounded by words, however many texts
+        assert [tuple(map(int, x)) for part in got for x in zip(*part)] == expected

@@ -1,5 +1,7 @@
 """Classes and links against brute force; buckets of every size; graphs of every shape."""
 
+import tracemalloc
+
 import numpy as np
 import pyarrow as pa
 import pytest
@@ -207,3 +209,12 @@ def test_exact_links_of_two_blocks():
             like = common >= paths.SIMILARITY * (len(sets[a]) + len(sets[b]) - common) - 1e-9
             assert got[a, b] == (like and (a < 25) != (b < 25))
     assert got.any() and not got[:25, 25:].all()
+
+
+def test_hashed_words_are_not_kept():
+    hashes, words = WordHashes(), [" ".join(f"w{i}" for i in range(at, at + 1000)) for at in range(0, 100_000, 1000)]
+    tracemalloc.start()
+    found = [len(shingles(text, hashes)) for text in words]
+    held = tracemalloc.get_traced_memory()[0]
+    tracemalloc.stop()
+    assert found == [996] * 100 and held < 1 << 20
