@@ -33,7 +33,6 @@ columns are ignored by :func:`classes` and kept by :func:`first_rows`.
 
 import math
 from collections.abc import Iterable, Iterator
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -174,7 +173,7 @@ def _started(sets: DataFrame, runs: range) -> DataFrame:
 
 
 def _children(large: DataFrame) -> DataFrame:
-    """``node``, ``sid`` and ``root`` one level down, from the same columns and ``sketch``."""
+    """``node``, ``sid`` and ``root`` one level down, from the same columns and ``sketch``. The children of a set in a node differ."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -184,7 +183,7 @@ def _children(large: DataFrame) -> DataFrame:
                 others = [batch.column(i).take(pa.array(place)) for i in (1, 2)]
                 yield pa.RecordBatch.from_arrays([pa.array(children.view(np.int64)), *others], names=["node", "sid", "root"])
 
-    return large.select("node", "sid", "root", "sketch").mapInArrow(run, "node long, sid binary, root binary").distinct()
+    return large.select("node", "sid", "root", "sketch").mapInArrow(run, "node long, sid binary, root binary")
 
 
 def fewest_matches(tokens: int = TOKENS, similarity: float = SIMILARITY) -> int:
@@ -313,7 +312,10 @@ def _exact_links(group: pa.Table) -> list[tuple]:
     linked = _exact(_relation(group), [np.frombuffer(x, "<u8") for x in group.column("tokens").to_pylist()])
     texts = linked @ _numbers(group, "texts")
     parent = dict(_forest(linked))
-    return [(sids[i], int(texts[i]), sids[parent.get(i, i)]) for i in np.nonzero(texts)[0].tolist()]
+    least = list(sids)  # of the members that hang on a member
+    for member, root in parent.items():
+        least[root] = min(least[root], sids[member])
+    return [(sids[i], int(texts[i]), least[parent.get(i, i)]) for i in np.nonzero(texts)[0].tolist()]
 
 
 def _meet(dealt: DataFrame, others: str) -> DataFrame:
@@ -354,13 +356,19 @@ def _root_tiles(members: DataFrame) -> DataFrame:
     return small.unionByName(met.select(*small.columns))
 
 
+def _counted(members: DataFrame) -> DataFrame:
+    """As :func:`_sized` without ``main``, where every set is its own root: no count by root is needed."""
+    sizes = members.groupBy("node").agg(F.count("*").alias("members")).filter("members > 1")
+    return members.join(settle(sizes.withColumn("rest", F.col("members") - 1), "sizes"), "node")
+
+
 def _sized(members: DataFrame) -> DataFrame:
     """Members of nodes that hold sets of at least two roots, with the size of the node (``members``), whether they are of
     its ``main`` root, the one with the most of them, and how many are not (``rest``)."""
     roots = members.groupBy("node", "root").agg(F.count("*").alias("n"))
     sizes = roots.groupBy("node").agg(F.sum("n").alias("members"), F.max(F.struct("n", "root")).alias("most"), F.count("*").alias("roots"))
     sizes = sizes.filter("roots > 1").select("node", "members", F.col("most.root").alias("_root"), (F.col("members") - F.col("most.n")).alias("rest"))
-    return members.join(sizes, "node").withColumn("main", F.col("root") == F.col("_root")).drop("_root")
+    return members.join(settle(sizes, "sizes"), "node").withColumn("main", F.col("root") == F.col("_root")).drop("_root")
 
 
 def _ended(level: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -373,10 +381,13 @@ def _ended(level: DataFrame) -> tuple[DataFrame, DataFrame]:
 def _leaves(sets: DataFrame, runs: range, found: DataFrame | None = None) -> DataFrame:
     """Nodes where the recursion ends, with their sets and the roots of these (by ``found``: ``sid``, ``root``)."""
     start = _started(sets, runs)
-    shared = settle(start.groupBy("node").agg(F.count("*").alias("members")).filter("members > 1").select("node"), "shared")
-    met = settle(_rooted(start.join(shared, "node", "left_semi"), found), "met")  # most nodes hold one set
-    level = settle(_sized(met), "nodes")
-    (leaves, large), own = _ended(level), None
+    if found is None:
+        sized, level = _counted, _counted(start.withColumn("root", F.col("sid")))
+    else:
+        shared = settle(start.groupBy("node").agg(F.count("*").alias("members")).filter("members > 1").select("node"), "shared")
+        met = settle(_rooted(start.join(shared, "node", "left_semi"), found), "met")  # most nodes hold one set
+        sized, level = _sized, _sized(met)
+    (leaves, large), own = _ended(settle(level, "nodes")), None
     for _ in range(START, DEPTH):
         large = settle(large.select("node", "sid", "root"), "large")
         if large.isEmpty():
@@ -384,7 +395,7 @@ def _leaves(sets: DataFrame, runs: range, found: DataFrame | None = None) -> Dat
         if own is None:  # sets in large nodes were in large ones a level before
             some = _sifted(sets.select("sid", "sketch"), F.xxhash64("sid"), large.select(F.xxhash64("sid")))
             own = settle(some.join(large.select("sid").distinct(), "sid", "left_semi"), "sketches")
-        ended, large = _ended(settle(_sized(_children(large.join(own, "sid"))), "nodes"))
+        ended, large = _ended(settle(sized(settle(_children(large.join(own, "sid")), "children")), "nodes"))
         leaves = leaves.unionByName(ended)
     return leaves.unionByName(large)
 
@@ -413,10 +424,8 @@ def _candidates(sets: DataFrame, known: DataFrame, runs: int) -> DataFrame:
 
     # Nodes of one block are done; of larger ones the blocks still have to meet.
     large = _sized(_rooted(first.filter(F.col("members") > LIMIT).select("node", "sid"), rooted))
-    rest = [large, _leaves(sets, range(FIRST, runs), rooted)] if runs > FIRST else [large]
-    later = [edges(_root_tiles(settle(described(leaves), "described"))) for leaves in rest]
-    later = reduce(DataFrame.unionByName, later)
-    later = settle(later, "later")
+    rest = large.unionByName(_leaves(sets, range(FIRST, runs), rooted)) if runs > FIRST else large  # nodes of different runs differ
+    later = settle(edges(_root_tiles(settle(described(rest), "described"))), "later")
     if later.isEmpty():
         return found
     return settle(components(later.unionByName(found.select(F.col("id").alias("a"), F.col("root").alias("b")))), "candidates")

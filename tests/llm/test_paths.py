@@ -9,6 +9,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from shiftlode.llm import components as module
 from shiftlode.llm import paths
 from shiftlode.llm.common import WordHashes
 from shiftlode.llm.components import components
@@ -218,3 +219,35 @@ def test_hashed_words_are_not_kept():
     held = tracemalloc.get_traced_memory()[0]
     tracemalloc.stop()
     assert found == [996] * 100 and held < 1 << 20
+
+
+@pytest.mark.parametrize("edges, rounds", [([(3, 9), (9, 3), (3, 5), (4, 4), (1, 8)], 0), ([(1, 2), (2, 3)], 1)])
+def test_components_end_with_stars(spark, monkeypatch, edges, rounds):
+    """Edges that are stars already take no round, and the last round is not followed by one that moves nothing."""
+    written, settle = [], module.settle
+    monkeypatch.setattr(module, "settle", lambda df, label: [written.append(label), settle(df, label)][1])
+    got = {tuple(r) for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    assert got == ({(3, 3), (5, 3), (9, 3), (1, 1), (8, 1)} if not rounds else {(1, 1), (2, 1), (3, 1)})
+    assert written.count("stars") == rounds
+
+
+def test_links_hang_on_the_smallest_set():
+    source = np.random.default_rng(9)
+    base = source.integers(0, 1 << 63, 200, dtype=np.uint64)
+    sets = [np.unique(np.append(base, np.uint64(i))) for i in range(4)] + [np.unique(source.integers(0, 1 << 63, 200, dtype=np.uint64))]
+    names = [b"d", b"a", b"c", b"b", b"0"]
+    columns = {"sid": names, "brief": [paths.packed(sketch(x))[: paths.TOKENS] for x in sets], "size": [len(x) for x in sets], "texts": [1, 2, 1, 1, 1]}
+    columns |= {"block": [0, 1, 1, 1, 1], "low": [0] * 5, "high": [1] * 5, "tokens": [x.tobytes() for x in sets]}
+    assert sorted(paths._exact_links(pa.table(columns))) == [(b"a", 1, b"a"), (b"b", 1, b"a"), (b"c", 1, b"a"), (b"d", 4, b"a")]
+
+
+def test_sets_of_their_own_are_counted_without_their_roots(spark):
+    rows = [(node, b"%d" % i, b"%d" % i) for node in range(1, 9) for i in range(node * node)]
+    members = spark.createDataFrame(rows, "node long, sid binary, root binary")
+    columns = ["node", "sid", "root", "members", "rest"]
+    counted = paths._counted(members)
+    assert sorted(counted.select(columns).collect()) == sorted(paths._sized(members).select(columns).collect())
+    sketched = members.withColumn("sketch", F.lit(bytes(4 * paths.TOKENS)))
+    children = paths._children(sketched)
+    assert "Exchange" not in children._jdf.queryExecution().executedPlan().toString()
+    assert children.count() == children.distinct().count() >= len(rows)
