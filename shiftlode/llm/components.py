@@ -9,7 +9,8 @@ ROUNDS = 60  # far above the logarithm of any diameter
 
 
 def components(edges: DataFrame) -> DataFrame:
-    """``id`` and ``root`` (the smallest id of its component) of all ids in edges ``a``, ``b``.
+    """``id`` and ``root`` (the smallest id of its component) of all ids in edges ``a``, ``b``; edges may repeat and are best
+    stored, since the first round reads them more than once.
 
     Each round hangs the larger neighbours of an id, then its smaller ones, on the smallest
     id it knows; after a number of rounds that grows with the logarithm of the longest chain
@@ -19,7 +20,7 @@ def components(edges: DataFrame) -> DataFrame:
     stored table), so an id with very many neighbours is no hot spot. After that step an id has few smaller neighbours.
     """
     start = F.least("a", "b"), F.greatest("a", "b")
-    links = settle(edges.filter("a <> b").select(start[0].alias("v"), start[1].alias("u")).distinct(), "edges")
+    links = edges.filter("a <> b").select(start[0].alias("v"), start[1].alias("u"))
     for _ in range(ROUNDS):
         both = links.select("u", "v").union(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
         near = settle(both.groupBy("u").agg(F.min("v").alias("least"), F.max("v").alias("most")), "least")

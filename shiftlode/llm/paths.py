@@ -419,7 +419,7 @@ def _candidates(sets: DataFrame, known: DataFrame, runs: int) -> DataFrame:
         return leaves.join(known, "sid").withColumn("grp", F.col("node"))
 
     first = settle(_leaves(sets, range(min(FIRST, runs))), "first")
-    found = settle(components(edges(_own_tiles(described(first), "members"))), "found")
+    found = settle(components(settle(edges(_own_tiles(described(first), "members")).distinct(), "edges")), "found")
     rooted = found.withColumnRenamed("id", "sid")
 
     # Nodes of one block are done; of larger ones the blocks still have to meet.
