@@ -101,6 +101,12 @@ def test_fixed_text_rounds_like_printf(spark, numbers):
     assert values(spark, S.fixed_text(F.col("x"), 1), rows) == [f"{x:.1f}" for x, _ in rows]
 
 
+@pytest.mark.parametrize("digits", [1, 2])
+def test_fixed_text_of_values_next_to_ties(spark, digits):
+    rows = [(number / (2 * 10**digits), 0.0) for number in range(-2001, 2002) if number]
+    assert values(spark, S.fixed_text(F.col("x"), digits), rows) == [f"{x:.{digits}f}" for x, _ in rows]
+
+
 def test_salts_spread_full_copies(spark):
     copies = spark.range(0, 4000, 1, 16).select(F.lit("same").alias("k"))
     assert copies.select(S.salt_of(64, "k").alias("s")).distinct().count() > 4
