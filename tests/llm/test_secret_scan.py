@@ -1,5 +1,6 @@
 """Base findings against plain code; the network against numeric gradients and on findings it has not seen."""
 
+import copy
 import hashlib
 import re
 
@@ -157,3 +158,99 @@ def test_all_findings_count(spark, monkeypatch):
     chance = detector.probability([(r.before, r.value, r.after) for r in some]) >= detector.threshold
     known = np.array([r.known for r in some]) == 1
     assert chance[known].mean() >= 0.95 and chance[~known].mean() <= 0.02
+
+
+def kept(monkeypatch, name):
+    """The first arguments of the calls of a function of the module, which goes on as before."""
+    calls, plain = [], getattr(s, name)
+    monkeypatch.setattr(s, name, lambda first, *rest: calls.append(first) or plain(first, *rest))
+    return calls
+
+
+def test_all_epochs_read_all_shards(spark, monkeypatch):
+    """With several shards the network is the mean of theirs after each of all the epochs, as trained here one by one."""
+    source = np.random.default_rng(5)
+    rows = [(i, key_text(source, i, "token"), "") for i in range(150)]
+    monkeypatch.setattr(s, "SHARD", 128)
+    calls = kept(monkeypatch, "held_scores")
+    detector = s.fit(spark.createDataFrame(rows, SCHEMA).repartition(3))
+    shards = {}
+    for row in calls[0].collect():
+        shards.setdefault(row.shard, []).append((row.value, row.before, row.after, row.known, row.held))
+    assert len(shards) == 4 and sum(map(len, shards.values())) == 450
+    network = s.Network()
+    for epoch in range(12):
+        each = []
+        for shard in shards.values():
+            items, label, held = s._items(shard, [])
+            own = copy.deepcopy(network)
+            ids = [s.window_ids(*item) for item, out in zip(items, held) if not out]
+            own.train(ids, label[~held], np.where(label[~held], 1.0, 0.5), 1, s.SEED + epoch)
+            each.append(own.parts)
+        network.parts = [np.mean(same, axis=0).astype(np.float32) for same in zip(*each)]
+    assert all(np.allclose(a, b, rtol=0, atol=1e-3) for a, b in zip(network.parts, detector.network.parts))
+
+
+def test_long_values_are_learned_whole(spark):
+    """Values that are equal up to the end of the first window are told apart by what follows."""
+    source = np.random.default_rng(6)
+    start = "".join(source.choice(list("ghijklmnop"), 170))
+
+    def text(i):
+        key, word = ("".join(source.choice(list(letters), 40)) for letters in ("0123456789abcdef", "qrstuvwxyz"))
+        return f"the one is {start}{key} , the other {start}{word} and so on"
+
+    seen, new = (spark.createDataFrame([(i, text(i), "") for i in range(count)], SCHEMA) for count in (300, 100))
+    assert s.labelled_findings(seen).groupBy("known").count().orderBy("known").collect() == [(0, 300), (1, 300)]
+    detector = s.fit(seen)
+    rows = s.labelled_findings(new).collect()
+    chance = detector.probability([(r.before, r.value, r.after) for r in rows]) >= detector.threshold
+    # The highest window is the one that learns, whichever it is.
+    known = np.array([r.known for r in rows]) == 1
+    assert chance[known].mean() >= 0.9 and chance[~known].mean() <= 0.05
+
+
+def test_window_that_learns():
+    """A step of training on a long value is one on its highest window."""
+    windows = s.window_ids("", "".join(chr(48 + i % 10) if i > 200 else "x" for i in range(400)), "")
+    whole, single = s.Network(), s.Network()
+    best = int(whole.score(windows).argmax())
+    whole.train([windows], np.array([1]), np.array([1.0]), 1)
+    single.train([windows[best : best + 1]], np.array([1]), np.array([1.0]), 1)
+    assert len(windows) > 2 and all((a == b).all() for a, b in zip(whole.parts, single.parts))
+
+
+def test_shards_by_windows(spark, monkeypatch):
+    """Long values make shards of fewer findings, and all of them are read in all epochs."""
+    source = np.random.default_rng(8)
+    texts = [f"{i} {'z' * 5000}{''.join(source.choice(list('0123456789abcdef'), 40))} or {'y' * 5000}{i}" for i in range(40)]
+    monkeypatch.setattr(s, "WINDOWS", 80 * 8)
+    calls, means = kept(monkeypatch, "held_scores"), kept(monkeypatch, "trained")
+    s.fit(spark.createDataFrame([(i, text, "") for i, text in enumerate(texts)], SCHEMA))
+    assert calls[0].count() == 80 and calls[0].agg({"shard": "max"}).first()[0] < 10
+    assert calls[0].select("shard").distinct().count() > 5 and len(means) == s.EPOCHS
+
+
+def test_secrets_of_all_shards_in_foreign_context(spark, monkeypatch):
+    """Shards without an ordinary candidate show their secrets in the contexts of other shards' ordinary ones."""
+    items, label, held = s._items([("w", "b", "a", 1, 1), ("v", "b", "a", 1, 0)], [("x", "y")])
+    assert items == [("b", "v", "a"), ("b", "w", "a"), ("x", "v", "y"), ("x", "w", "y")]
+    assert label.tolist() == [1] * 4 and held.tolist() == [False, True] * 2
+    source = np.random.default_rng(9)
+    texts = [f"token = {''.join(source.choice(list('0123456789abcdef'), 30))} ;" for _ in range(200)]
+    texts += [f"the number {10**11 + 7 * i} ;" for i in range(8)]
+    monkeypatch.setattr(s, "SHARD", 16)
+    found, scores = kept(monkeypatch, "held_scores"), kept(monkeypatch, "logistic_fit")
+    s.fit(spark.createDataFrame([(i, text, "") for i, text in enumerate(texts)], SCHEMA))
+    bare = found[0].groupBy("shard").agg({"known": "min"}).filter("`min(known)` = 1").count()
+    out = {row.known: row["count"] for row in found[0].filter("held = 1").groupBy("known").count().collect()}
+    shown = {row.label: row["count"] for row in scores[0].groupBy("label").count().collect()}
+    assert bare > 0 and shown == {1: 2 * out[1], 0: out[0]}
+
+
+def test_shard_without_training_rows(spark):
+    """A shard in which all is held out does not count in the mean of the networks."""
+    rows = [(i % 2, f"value{i:04}", "is ", " here", i // 2 % 2, int(i % 2 == 0)) for i in range(60)]
+    found = spark.createDataFrame(rows, "shard long, value string, before string, after string, known long, held long")
+    both, one = (s.trained(s.packed(part, 2), [], s.Network(), np.ones(2), 1, 3) for part in (found, found.filter("shard = 1")))
+    assert all((a == b).all() for a, b in zip(both.parts, one.parts)) and (both.parts[4] != s.Network().parts[4]).any()
